@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adlens.functions.ratios import (
@@ -69,7 +69,10 @@ def additive_sums(df: DataFrame, *keys) -> DataFrame:
             cols.append(F.sum(f"{m}_cents").alias(f"{m}_cents"))
         else:
             cols.append(F.sum(F.col(m).cast("double")).alias(m))
-    cols += [F.sum("impressions").alias("impressions"), F.sum("clicks").alias("clicks")]
+    cols += [F.sum("impressions").alias("impressions"), F.sum("clicks").alias("clicks"),
+             F.count(F.lit(1)).alias("rows")]
+    if "purchases" in df.columns:
+        cols.append(F.sum("purchases").alias("purchases"))
     return df.groupBy(*keys).agg(*cols)
 
 
@@ -93,52 +96,68 @@ def period_metrics(df: DataFrame, unit: str) -> DataFrame:
     )
 
 
-def _last_two_change(periods: DataFrame, suffix: str) -> DataFrame:
-    """Change of each ratio between the last two observed periods (gaps not filled).
+def trend_changes(df: DataFrame, daily: DataFrame | None = None) -> DataFrame:
+    """One row: n_periods, roas_wow, ctr_wow, roas_mom, ctr_mom (percent).
 
-    The two latest periods are a top-k (``TakeOrderedAndProject``), so no
-    single-partition window is needed.
+    Week and month totals come from the daily pre-aggregate; the last two
+    observed periods of each unit are picked with a window partitioned by
+    unit (at most #weeks + #months rows, bounded by the calendar), then one
+    global aggregate pivots the changes into a single row.
     """
-    last2 = periods.orderBy(F.col("period").desc()).limit(2)
-    out = []
-    for m in RATIO_PARTS:
-        last = F.max_by(F.col(m), F.col("period"))
-        prev = F.min_by(F.col(m), F.col("period"))
-        change = F.when(F.count(F.lit(1)) < 2, F.lit(0.0)).otherwise(pct_change(last, prev))
-        out.append(change.alias(f"{m}_{suffix}"))
-    return last2.agg(*out)
-
-
-def trend_changes(df: DataFrame) -> DataFrame:
-    """One row: roas_wow, roas_mom, ctr_wow, ctr_mom (percent)."""
-    daily = daily_sums(df)
-    wk = _last_two_change(period_metrics(daily, "week"), "wow")
-    mo = _last_two_change(period_metrics(daily, "month"), "mom")
-    return wk.select(
-        "roas_wow", "ctr_wow",
-        mo.select("roas_mom").scalar().alias("roas_mom"),
-        mo.select("ctr_mom").scalar().alias("ctr_mom"))
-
-
-def trends(df: DataFrame, params: Params = Params()) -> DataFrame:
+    daily = daily_sums(df) if daily is None else daily
+    periods = (period_metrics(daily, "week").withColumn("unit", F.lit("wow"))
+               .unionByName(period_metrics(daily, "month").withColumn("unit", F.lit("mom"))))
+    w = Window.partitionBy("unit").orderBy(F.col("period").desc())
+    last2 = periods.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= 2)
+    per_unit = last2.groupBy("unit").agg(
+        F.count(F.lit(1)).alias("k"),
+        *[F.max(F.when(F.col("rk") == 1, F.col(m))).alias(f"{m}_last") for m in RATIO_PARTS],
+        *[F.max(F.when(F.col("rk") == 2, F.col(m))).alias(f"{m}_prev") for m in RATIO_PARTS])
+    changes = per_unit.select(
+        "unit", *[F.when(F.col("k") < 2, F.lit(0.0)).otherwise(pct_change(f"{m}_last", f"{m}_prev")).alias(m)
+                  for m in RATIO_PARTS])
+    return changes.agg(
+        F.count(F.lit(1)).alias("n_units"),
+        *[F.max(F.when(F.col("unit") == u, F.col(m))).alias(f"{m}_{u}")
+          for u in ("wow", "mom") for m in RATIO_PARTS])
+
+
+def trends(df: DataFrame, params: Params = Params(), daily: DataFrame | None = None) -> DataFrame:
     """One row per metric (roas, ctr): direction and week/month-over-month change.
 
     No rows for an empty input.  With ``params.trend_requires_metric_column``
     a metric whose row-level column is absent reports stable/0.
     """
-    ch = trend_changes(df)
-    rows = []
+    ch = trend_changes(df, daily).where(F.col("n_units") > 0)
+    packed = []
     for m in RATIO_PARTS:
         gate = params.trend_requires_metric_column and m not in df.columns
         wow = F.lit(0.0) if gate else F.col(f"{m}_wow")
         mom = F.lit(0.0) if gate else F.col(f"{m}_mom")
-        rows.append(ch.select(
+        packed.append(F.struct(
             F.lit(m).alias("metric"),
             trend_direction(wow, mom, params.trend_stable_threshold).alias("direction"),
             wow.alias("week_over_week_change"),
             mom.alias("month_over_month_change")))
-    out = rows[0].unionByName(rows[1])
-    return out.where(df.select(F.lit(1)).exists())
+    return ch.select(F.explode(F.array(*packed)).alias("t")).select("t.*")
+
+
+def overall_from_daily(daily: DataFrame) -> DataFrame:
+    """``overall_metrics`` from daily (or any re-aggregable) sums."""
+    return overall_metrics(daily)
+
+
+def summary_from_daily(daily: DataFrame, seg: DataFrame, issues: DataFrame | None = None) -> DataFrame:
+    """``dataset_summary`` from daily sums plus the campaign segments (distinct campaigns)."""
+    s = daily.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("total_rows"),
+        F.min("date").alias("start_date"), F.max("date").alias("end_date"),
+        money_sum(daily, "spend").alias("total_spend"),
+        money_sum(daily, "revenue").alias("total_revenue"))
+    n_camp = seg.where(F.col("dimension") == "campaign_name").select(F.count(F.lit(1))).scalar()
+    invalid = (F.lit(0).cast("bigint") if issues is None
+               else issues.agg(F.coalesce(F.sum("count"), F.lit(0)).cast("bigint")).scalar())
+    return s.select("*", n_camp.cast("bigint").alias("campaigns_count"), invalid.alias("invalid_rows"))
 
 
 def missing_by_column(df: DataFrame) -> DataFrame:

@@ -41,38 +41,74 @@ def _moment_aggs(df: DataFrame) -> list[Column]:
     return out
 
 
-def segment_aggregates(df: DataFrame, dims=DIMENSIONS, moments: bool = True) -> DataFrame:
-    """Long-form per (dimension, value): totals, guarded ratios and, optionally,
-    n/mean/var of row-level ctr and roas.  NULL values are dropped."""
+def fact_cube(df: DataFrame, dims=DIMENSIONS, moments: bool = True,
+              include_daily: bool = False) -> DataFrame:
+    """One GROUPING SETS pass: per (dimension, value) and optionally per date.
+
+    Columns: dimension, dim_ord, value, date (daily rows only), re-aggregable
+    sums (money as cents when carried), rows, guarded spend/revenue/roas/ctr
+    and, with ``moments``, n/mean/var of row-level ctr and roas.
+    """
     dims = present_dimensions(df, dims)
-    if not dims:
+    keys = list(dims) + (["date"] if include_daily else [])
+    if not keys:
         raise ValueError("no segmentation dimension present")
-    aggs = [money_sum(df, "spend").alias("spend"), money_sum(df, "revenue").alias("revenue"),
-            count_sum("impressions").cast("bigint").alias("impressions"),
-            count_sum("clicks").cast("bigint").alias("clicks")]
-    if moments:
-        aggs += _moment_aggs(df)
-    aggs += [F.grouping(d).alias(f"_g_{i}") for i, d in enumerate(dims)]
-    if len(dims) == 1:
-        grouped = df.groupBy(dims[0]).agg(*aggs[:-1], F.lit(0).alias("_g_0"))
+    cents = "spend_cents" in df.columns and "revenue_cents" in df.columns
+    sums = ([F.sum("spend_cents").alias("spend_cents"), F.sum("revenue_cents").alias("revenue_cents")]
+            if cents else [F.coalesce(F.sum(F.col("spend").cast("double")), F.lit(0.0)).alias("spend"),
+                           F.coalesce(F.sum(F.col("revenue").cast("double")), F.lit(0.0)).alias("revenue")])
+    sums += [count_sum("impressions").alias("impressions"), count_sum("clicks").alias("clicks"),
+             F.count(F.lit(1)).alias("rows")]
+    if "purchases" in df.columns:
+        sums.append(count_sum("purchases").alias("purchases"))
+    aggs = list(sums) + (_moment_aggs(df) if moments else [])
+    if len(keys) == 1:
+        grouped = df.groupBy(keys[0]).agg(*aggs, F.lit(0).alias("_g_0"))
     else:
-        grouped = df.groupingSets([[d] for d in dims], *dims).agg(*aggs)
-    dim_name = reduce(lambda acc, i: acc.when(F.col(f"_g_{i}") == 0, F.lit(dims[i])),
-                      range(1, len(dims)), F.when(F.col("_g_0") == 0, F.lit(dims[0])))
-    dim_value = reduce(lambda acc, i: acc.when(F.col(f"_g_{i}") == 0, F.col(dims[i]).cast("string")),
-                       range(1, len(dims)), F.when(F.col("_g_0") == 0, F.col(dims[0]).cast("string")))
-    dim_ord = reduce(lambda acc, i: acc.when(F.col(f"_g_{i}") == 0, F.lit(DIMENSIONS.index(dims[i]))),
-                     range(1, len(dims)), F.when(F.col("_g_0") == 0, F.lit(DIMENSIONS.index(dims[0]))))
+        grouped = df.groupingSets([[k] for k in keys], *keys).agg(
+            *aggs, *[F.grouping(k).alias(f"_g_{i}") for i, k in enumerate(keys)])
+    order = {d: i for i, d in enumerate(DIMENSIONS)}
+    order["date"] = len(DIMENSIONS)
+
+    def pick(fn):
+        return reduce(lambda acc, i: acc.when(F.col(f"_g_{i}") == 0, fn(keys[i])),
+                      range(1, len(keys)), F.when(F.col("_g_0") == 0, fn(keys[0])))
+
+    dim_name = pick(lambda k: F.lit(k))
+    dim_ord = pick(lambda k: F.lit(order[k]))
+    dim_value = pick(lambda k: F.col(k).cast("string"))
+    money = ([(F.coalesce(F.col("spend_cents"), F.lit(0)) / 100.0).alias("spend"),
+              (F.coalesce(F.col("revenue_cents"), F.lit(0)) / 100.0).alias("revenue"),
+              "spend_cents", "revenue_cents"] if cents else ["spend", "revenue"])
     extra = ([c for m in ("ctr", "roas") for c in (f"{m}_n", f"{m}_mean", f"{m}_var")]
              if moments else [])
-    return grouped.select(
+    extra += ["purchases"] if "purchases" in df.columns else []
+    out = grouped.select(
         dim_name.alias("dimension"), dim_ord.alias("dim_ord"), dim_value.alias("value"),
-        "spend", "revenue",
-        guarded_ratio("revenue", "spend").alias("roas"),
-        "impressions", "clicks",
-        guarded_ratio("clicks", "impressions").alias("ctr"),
-        *extra,
-    ).where(F.col("value").isNotNull())
+        (F.when(F.col(f"_g_{len(keys) - 1}") == 0, F.col("date")) if include_daily
+         else F.lit(None).cast("date")).alias("date"),
+        *money, F.col("impressions").cast("bigint").alias("impressions"),
+        F.col("clicks").cast("bigint").alias("clicks"), "rows", *extra)
+    out = out.select("*", guarded_ratio("revenue", "spend").alias("roas"),
+                     guarded_ratio("clicks", "impressions").alias("ctr"))
+    return out.where(F.col("value").isNotNull())
+
+
+def segment_aggregates(df: DataFrame, dims=DIMENSIONS, moments: bool = True) -> DataFrame:
+    """Long-form per (dimension, value): totals, guarded ratios and, optionally,
+    n/mean/var of row-level ctr and roas.  NULL values are dropped."""
+    return fact_cube(df, dims, moments, include_daily=False)
+
+
+def segments_of_cube(cube: DataFrame) -> DataFrame:
+    return cube.where(F.col("dimension") != "date")
+
+
+def daily_of_cube(cube: DataFrame) -> DataFrame:
+    """Daily re-aggregable sums (same shape as ``metrics.daily_sums``) from a cube."""
+    keep = [c for c in ("spend_cents", "revenue_cents") if c in cube.columns] or ["spend", "revenue"]
+    keep += ["impressions", "clicks", "rows"] + (["purchases"] if "purchases" in cube.columns else [])
+    return cube.where(F.col("dimension") == "date").select("date", *keep)
 
 
 def segments(df: DataFrame, dims=DIMENSIONS) -> DataFrame:
