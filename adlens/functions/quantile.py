@@ -4,6 +4,7 @@
 task; on a row-level ratio column that map grows with the data.  Here:
 
 1. distinct values with counts (hash aggregate, partial/final split);
+   The histogram is written once to the session's checkpoint folder;
 2. ``B`` bucket boundaries from ``approx_percentile`` (an array of fixed size
    ``B``, attached as a scalar subquery);
 3. per-bucket counts (``B`` rows) and their prefix sums;
@@ -19,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from adlens.session import cut_lineage
+
 DEFAULT_BUCKETS = 256
 
 
@@ -32,7 +35,9 @@ def quantile_frame(df: DataFrame, column: str, q: float,
     """One row ``(n, quantile)``; quantile is NULL when the column has no values."""
     vals = df.select(F.col(column).cast("double").alias("v")).where(
         F.col("v").isNotNull() & ~F.isnan("v"))
-    hist = vals.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+    # distinct values with counts, materialised once: every later step (bounds,
+    # bucket totals, the ranked bucket) reads this table instead of the input
+    hist = cut_lineage(vals.groupBy("v").agg(F.count(F.lit(1)).alias("c")))
     fracs = [i / buckets for i in range(1, buckets)]
     bounds = hist.agg(F.percentile_approx("v", fracs, 10 * buckets).alias("b")).scalar()
     tagged = (hist.withColumn("bounds", bounds)

@@ -84,14 +84,34 @@ def _coerced(df: DataFrame, name: str) -> Column:
     return F.when(F.isnan(x), F.lit(None).cast("double")).otherwise(x)
 
 
-@dataclass
 class Cleaned:
-    flags: DataFrame      # raw rows + flag columns (internal)
-    clean: DataFrame      # typed rows that survived
-    profile: DataFrame    # one row of counts
-    issues: DataFrame     # issue rows (ord, issue_type, field, count, action, examples)
-    numeric_fields: list
-    required: list
+    """Result of the loading rules; each table is built lazily on first access."""
+
+    def __init__(self, flags: DataFrame, numeric_fields: list, required: list):
+        self.flags = flags                    # raw rows + flag columns (internal)
+        self.numeric_fields = numeric_fields
+        self.required = required
+        self._cache: dict = {}
+
+    def _get(self, name, build):
+        if name not in self._cache:
+            self._cache[name] = build()
+        return self._cache[name]
+
+    @property
+    def clean(self) -> DataFrame:
+        """Typed rows that survived."""
+        return self._get("clean", lambda: clean_rows(self.flags, self.numeric_fields))
+
+    @property
+    def profile(self) -> DataFrame:
+        """One row of counts."""
+        return self._get("profile", lambda: quality_profile(self.flags, self.numeric_fields, self.required))
+
+    @property
+    def issues(self) -> DataFrame:
+        """Issue rows (ord, issue_type, field, count, action, examples)."""
+        return self._get("issues", lambda: quality_issues(self.flags, self.numeric_fields, self.required))
 
 
 def flag_rows(raw: DataFrame, params: Params = Params()) -> tuple[DataFrame, list]:
@@ -146,13 +166,12 @@ def date_examples(flagged: DataFrame) -> DataFrame:
     first = (flagged.where("_date_fail").select(F.col(ORD).alias("o"), F.col("date").cast("string").alias("v"))
              .orderBy("o").limit(N_EXAMPLES))
     arr = first.agg(F.sort_array(F.collect_list(F.struct("o", "v"))).alias("a")).scalar()
-    ranks = flagged.where("_q2").agg(*[
-        F.count_if(F.col(ORD) < F.try_element_at(arr, F.lit(i + 1)).getField("o")).alias(f"r{i}")
-        for i in range(N_EXAMPLES)])
-    rows = [ranks.select(F.lit(i).alias("pos"), F.col(f"r{i}").alias("row"),
-                         F.try_element_at(arr, F.lit(i + 1)).getField("v").alias("value"))
-            for i in range(N_EXAMPLES)]
-    return reduce(DataFrame.unionByName, rows).where(F.col("value").isNotNull())
+    ranks = flagged.where("_q2").agg(F.array(*[
+        F.struct(F.lit(i).alias("pos"),
+                 F.count_if(F.col(ORD) < F.try_element_at(arr, F.lit(i + 1)).getField("o")).alias("row"),
+                 F.first(F.try_element_at(arr, F.lit(i + 1)).getField("v")).alias("value"))
+        for i in range(N_EXAMPLES)]).alias("ex"))
+    return ranks.select(F.explode("ex").alias("e")).select("e.*").where(F.col("value").isNotNull())
 
 
 def numeric_examples(flagged: DataFrame, numeric: list) -> DataFrame:
@@ -183,11 +202,11 @@ def quality_issues(flagged: DataFrame, numeric: list, required: list,
     rows.append((len(required), "invalid_dates", None, "date_failures", "excluded_rows"))
     for j, f in enumerate(numeric):
         rows.append((len(required) + 1 + j, "non_numeric_values", f, f"nonnum_{f}", "converted_to_nan"))
-    parts = [prof.select(F.lit(o).alias("ord"), F.lit(t).alias("issue_type"),
-                         F.lit(f).cast("string").alias("field"),
-                         F.col(c).cast("bigint").alias("count"), F.lit(a).alias("action"))
-             for o, t, f, c, a in rows]
-    issues = reduce(DataFrame.unionByName, parts).where(F.col("count") > 0)
+    structs = [F.struct(F.lit(o).alias("ord"), F.lit(t).alias("issue_type"),
+                        F.lit(f).cast("string").alias("field"),
+                        F.col(c).cast("bigint").alias("count"), F.lit(a).alias("action"))
+               for o, t, f, c, a in rows]
+    issues = prof.select(F.explode(F.array(*structs)).alias("i")).select("i.*").where(F.col("count") > 0)
     if not with_examples:
         return issues
     dex = date_examples(flagged).agg(F.sort_array(F.collect_list(
@@ -209,15 +228,7 @@ def quality_issues(flagged: DataFrame, numeric: list, required: list,
 def clean(raw: DataFrame, params: Params = Params()) -> Cleaned:
     """Apply the loading rules; every part is a lazy DataFrame."""
     flagged, numeric = flag_rows(raw, params)
-    required = list(params.required_fields)
-    return Cleaned(
-        flags=flagged,
-        clean=clean_rows(flagged, numeric),
-        profile=quality_profile(flagged, numeric, required),
-        issues=quality_issues(flagged, numeric, required),
-        numeric_fields=numeric,
-        required=required,
-    )
+    return Cleaned(flagged, numeric, list(params.required_fields))
 
 
 def lenient(raw: DataFrame, params: Params = Params()) -> DataFrame:

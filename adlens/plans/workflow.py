@@ -72,8 +72,6 @@ def analyze(facts: DataFrame, params: Params = Params(), issues: DataFrame | Non
     hyp = H.hypotheses(d["metrics"], d["trends"], d["seg"], params)
     ev = E.evidence_by_category(d["seg"], d["metrics"], d["trends"], params)
     validated = E.validate(hyp, ev, params)
-    if checkpoint:
-        validated = cut_lineage(validated)
     out = Analysis(params=params, cube=d["cube"], daily=d["daily"], seg=d["seg"], summary=d["summary"],
                    metrics=d["metrics"], trends=d["trends"], hypotheses=hyp, evidence=ev,
                    validated=validated, top_insights=E.top_insights(validated))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,16 +53,27 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return None
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of a (small, aggregated) frame.
+def cut_lineage(df: DataFrame, how: str = "table") -> DataFrame:
+    """Materialise a frame in the session's shared checkpoint folder and read it back.
 
-    Written to the session's shared checkpoint folder so that a lost
-    executor does not force recomputation from the raw scan.  Without a
-    shared folder the frame is persisted instead (lineage kept).
+    ``how="table"`` writes a parquet table under the checkpoint folder (one
+    job; the returned frame's plan is a plain scan, so later analysis and
+    any executor loss never go back to the raw input).  ``how="checkpoint"``
+    uses ``DataFrame.checkpoint`` instead.  Without a shared folder (cluster
+    with no ``spark.checkpoint.dir``) the frame is persisted, lineage kept.
     """
-    if checkpoint_dir(df.sparkSession) is None:
+    spark = df.sparkSession
+    folder = checkpoint_dir(spark)
+    if folder is None:
         return df.persist()
-    return df.checkpoint(eager=True)
+    if how == "checkpoint":
+        cached = df.persist()
+        out = cached.checkpoint(eager=True)
+        cached.unpersist(blocking=False)
+        return out
+    path = f"{folder.rstrip('/')}/adlens-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
 
 
 def env_cpus(default: str = "8") -> str:

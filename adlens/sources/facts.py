@@ -15,8 +15,27 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_PLANS: dict = {}
+
+
+def _session_key(spark: SparkSession):
+    return (id(spark._jsparkSession), spark.sparkContext.applicationId)
+
+
+def _memo(spark: SparkSession, key, build):
+    """Reuse a DataFrame *plan* object per session (no data is cached: every
+    action still scans the files).  Saves re-listing files and re-analysing
+    the same join for every query of a session."""
+    k = (_session_key(spark),) + key
+    df = _PLANS.get(k)
+    if df is None:
+        df = _PLANS[k] = build()
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    return _memo(spark, ("table", path), lambda: spark.read.parquet(path))
 
 
 def _case(col: Column, mapping: list[tuple[object, object]], default: object) -> Column:
@@ -83,6 +102,10 @@ def _fact_columns() -> list[Column]:
 
 def ad_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean fact table: typed columns, cents plus DOUBLE money, row-level ratios."""
+    return _memo(spark, ("ad_facts", sf_dir), lambda: _ad_facts(spark, sf_dir))
+
+
+def _ad_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _joined(spark, sf_dir).select(*_fact_columns())
     return base.select(
         "campaign_name", "adset_name", "date",
@@ -103,6 +126,10 @@ def raw_ad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     ``invalid-date`` dates and missing revenue on fixed order-key classes.
     ``row_ord`` is the input ordinal (file position).
     """
+    return _memo(spark, ("raw_ad_rows", sf_dir), lambda: _raw_ad_rows(spark, sf_dir))
+
+
+def _raw_ad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _joined(spark, sf_dir).select(*_fact_columns())
     ok = F.col("l_orderkey")
     s = lambda c: F.col(c).cast("string")
