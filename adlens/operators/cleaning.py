@@ -166,10 +166,13 @@ def date_examples(flagged: DataFrame) -> DataFrame:
     first = (flagged.where("_date_fail").select(F.col(ORD).alias("o"), F.col("date").cast("string").alias("v"))
              .orderBy("o").limit(N_EXAMPLES))
     arr = first.agg(F.sort_array(F.collect_list(F.struct("o", "v"))).alias("a")).scalar()
-    ranks = flagged.where("_q2").agg(F.array(*[
+    # the <= 5 example ordinals are attached as a projected column (a scalar
+    # subquery result), then one aggregate counts the kept rows before each
+    with_ex = flagged.where("_q2").select(F.col(ORD), arr.alias("_ex"))
+    ranks = with_ex.agg(F.array(*[
         F.struct(F.lit(i).alias("pos"),
-                 F.count_if(F.col(ORD) < F.try_element_at(arr, F.lit(i + 1)).getField("o")).alias("row"),
-                 F.first(F.try_element_at(arr, F.lit(i + 1)).getField("v")).alias("value"))
+                 F.count_if(F.col(ORD) < F.try_element_at(F.col("_ex"), F.lit(i + 1)).getField("o")).alias("row"),
+                 F.first(F.try_element_at(F.col("_ex"), F.lit(i + 1)).getField("v")).alias("value"))
         for i in range(N_EXAMPLES)]).alias("ex"))
     return ranks.select(F.explode("ex").alias("e")).select("e.*").where(F.col("value").isNotNull())
 
