@@ -3,13 +3,14 @@
 ``percentile`` keeps a value->count map of every distinct value in one final
 task; on a row-level ratio column that map grows with the data.  Here:
 
-1. distinct values with counts (hash aggregate, partial/final split);
-   The histogram is written once to the session's checkpoint folder;
-2. ``B`` bucket boundaries from ``approx_percentile`` (an array of fixed size
-   ``B``, attached as a scalar subquery);
-3. per-bucket counts (``B`` rows) and their prefix sums;
-4. only the bucket(s) holding the two interpolation ranks are ranked with a
-   window, partitioned by bucket.
+1. distinct values with counts (hash aggregate, partial/final split), range
+   partitioned into ``B`` ordered buckets (default: the session's shuffle
+   partition count, so the bucket size follows the cluster sizing) by Spark's range partitioner
+   (sampled boundaries, binary search per value) and written once, with the
+   bucket number, to the session's checkpoint folder;
+2. per-bucket counts (``B`` rows) and their prefix sums;
+3. only the bucket(s) holding the two interpolation ranks are ranked with a
+   window partitioned by bucket, i.e. about 1/B of the distinct values.
 
 The interpolation follows numpy's ``linear`` method, including its
 ``b - (b-a)*(1-t)`` form for ``t >= 0.5``.
@@ -22,29 +23,33 @@ from pyspark.sql import functions as F
 
 from adlens.session import cut_lineage
 
-DEFAULT_BUCKETS = 256
+DEFAULT_BUCKETS = None  # None: spark.sql.shuffle.partitions, adjacent ranges merged by AQE
 
 
-def _bucket_of(value: Column, bounds: Column) -> Column:
-    # number of boundaries strictly below the value: 0 .. B
-    return F.size(F.filter(bounds, lambda b: b < value))
+def bucketed_histogram(df: DataFrame, column: str, buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
+    """(v, c, bucket): distinct non-NULL values, their counts and an ordered bucket id.
+
+    Range partitioning keeps buckets ordered by value (AQE may merge adjacent
+    partitions, which keeps the order); the table is materialised so that
+    every later read sees the same bucket ids.
+    """
+    vals = df.select(F.col(column).cast("double").alias("v")).where(
+        F.col("v").isNotNull() & ~F.isnan("v"))
+    hist = vals.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+    ranged = (hist.repartitionByRange("v") if buckets is None
+              else hist.repartitionByRange(int(buckets), "v"))
+    ranged = ranged.withColumn("bucket", F.spark_partition_id())
+    return cut_lineage(ranged)
 
 
 def quantile_frame(df: DataFrame, column: str, q: float,
-                   buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                   buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """One row ``(n, quantile)``; quantile is NULL when the column has no values."""
-    vals = df.select(F.col(column).cast("double").alias("v")).where(
-        F.col("v").isNotNull() & ~F.isnan("v"))
-    # distinct values with counts, materialised once: every later step (bounds,
-    # bucket totals, the ranked bucket) reads this table instead of the input
-    hist = cut_lineage(vals.groupBy("v").agg(F.count(F.lit(1)).alias("c")))
-    fracs = [i / buckets for i in range(1, buckets)]
-    bounds = hist.agg(F.percentile_approx("v", fracs, 10 * buckets).alias("b")).scalar()
-    tagged = (hist.withColumn("bounds", bounds)
-              .select("v", "c", _bucket_of(F.col("v"), F.col("bounds")).alias("bucket")))
-    per_bucket = tagged.groupBy("bucket").agg(F.sum("c").alias("bc"))
-    # prefix sums over at most B+1 rows (bounded, fixed by the bucket count)
-    w_pref = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    tagged = bucketed_histogram(df, column, buckets)
+    per_bucket = tagged.groupBy("bucket").agg(F.sum("c").alias("bc"), F.min("v").alias("lo"))
+    # prefix sums over at most B rows (bounded by the bucket count); buckets are
+    # ordered by their smallest value, which is the range order
+    w_pref = Window.orderBy("lo").rowsBetween(Window.unboundedPreceding, -1)
     prefix = per_bucket.select(
         "bucket", "bc", F.coalesce(F.sum("bc").over(w_pref), F.lit(0)).alias("before"))
     n = per_bucket.agg(F.sum("bc")).scalar()
@@ -70,6 +75,6 @@ def quantile_frame(df: DataFrame, column: str, q: float,
 
 
 def quantile_scalar(df: DataFrame, column: str, q: float,
-                    buckets: int = DEFAULT_BUCKETS) -> Column:
+                    buckets: int | None = DEFAULT_BUCKETS) -> Column:
     """The exact quantile as a scalar-subquery Column (no join needed to use it)."""
     return quantile_frame(df, column, q, buckets).select("quantile").scalar()
