@@ -96,6 +96,12 @@ def period_metrics(df: DataFrame, unit: str) -> DataFrame:
     )
 
 
+def period_mean(df: DataFrame, unit: str, column: str) -> DataFrame:
+    """Per-period mean of a raw row-level column (the generic metric branch of the trend rules)."""
+    period = F.date_trunc(PERIOD_UNITS[unit], F.col("date")).cast("date").alias("period")
+    return df.groupBy(period).agg(F.avg(F.col(column).cast("double")).alias(f"mean_{column}"))
+
+
 def trend_changes(df: DataFrame, daily: DataFrame | None = None) -> DataFrame:
     """One row: n_periods, roas_wow, ctr_wow, roas_mom, ctr_mom (percent).
 

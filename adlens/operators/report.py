@@ -84,6 +84,24 @@ def segment_dimension_counts(seg: DataFrame) -> DataFrame:
     return seg.groupBy("dimension").agg(F.count(F.lit(1)).alias("segments"))
 
 
+def hypothesis_categories(hyp: DataFrame) -> DataFrame:
+    """Distinct hypothesis categories (A21), one row each."""
+    return hyp.select("category").distinct()
+
+
+def top_hypothesis(hyp: DataFrame) -> DataFrame:
+    """Highest-confidence hypothesis, first in generator order on ties (W10)."""
+    return hyp.agg(F.max_by(F.struct("hypothesis_text", "confidence_score"),
+                            F.struct(F.col("confidence_score"), (-F.col("ord")).alias("o"))).alias("t")) \
+        .where(F.col("t").isNotNull()).select("t.*")
+
+
+def validated_with_input(validated: DataFrame, hyp: DataFrame) -> DataFrame:
+    """Validated hypotheses joined back to their input hypotheses by id (J8)."""
+    v = validated.select("hypothesis_id", "adjusted_confidence_score", "validation_status", "rank")
+    return v.join(hyp.select("hypothesis_id", "ord", "category", "confidence_score"), "hypothesis_id", "inner")
+
+
 def insight_narrative(metrics: DataFrame, trends: DataFrame, seg: DataFrame, hyp: DataFrame,
                       focus: str = "roas") -> DataFrame:
     """think / analyze / conclude texts of the hypothesis step (one row)."""

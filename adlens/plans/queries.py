@@ -23,7 +23,7 @@ from adlens.operators import report as R
 from adlens.operators import requests as RQ
 from adlens.operators import segments as S
 from adlens.operators.contracts import contract_violations
-from adlens.params import REQUIRED_FIELDS, Params
+from adlens.params import Params
 from adlens.plans import workflow as W
 from adlens.sources.facts import ad_facts, raw_ad_rows, table
 from adlens.sources.sinks import json_round_trip
@@ -110,6 +110,11 @@ def monthly_metrics(spark, sf):
     return M.period_metrics(facts(spark, sf), "month")
 
 
+def weekly_mean_ctr(spark, sf):
+    m = M.period_mean(facts(spark, sf), "week", "ctr")
+    return m.select("period", _r(F.col("mean_ctr")).alias("mean_ctr"))
+
+
 def trend_changes(spark, sf):
     return M.trend_changes(facts(spark, sf)).select("roas_wow", "ctr_wow", "roas_mom", "ctr_mom")
 
@@ -212,6 +217,32 @@ def top_insights(spark, sf):
                     _r(F.col("validated_confidence")).alias("validated_confidence"))
 
 
+def segment_counts(spark, sf):
+    return R.segment_dimension_counts(S.segment_aggregates(facts(spark, sf), moments=False))
+
+
+def hypothesis_categories(spark, sf):
+    return R.hypothesis_categories(_analysis(spark, sf).hypotheses)
+
+
+def top_hypothesis(spark, sf):
+    t = R.top_hypothesis(_analysis(spark, sf).hypotheses)
+    return t.select("hypothesis_text", _r(F.col("confidence_score")).alias("confidence_score"))
+
+
+def validated_hypotheses(spark, sf):
+    a = _analysis(spark, sf)
+    j = R.validated_with_input(a.validated, a.hypotheses)
+    return j.select("hypothesis_id", "ord", "category", _r(F.col("confidence_score")).alias("confidence_score"),
+                    _r(F.col("adjusted_confidence_score")).alias("adjusted_confidence_score"),
+                    "validation_status", F.col("rank").cast("bigint").alias("rank"))
+
+
+def report_counts(spark, sf):
+    a = _full(spark, sf)
+    return R.report_counts(a.validated, a.recommendations)
+
+
 def status_counts(spark, sf):
     return E.status_counts(_analysis(spark, sf).validated)
 
@@ -382,4 +413,7 @@ REGISTRY = {
     "report_summary": report_summary, "report_insights": report_insights, "report_metrics": report_metrics,
     "report_recommendations": report_recommendations, "contract_violations": contract_check,
     "json_round_trip": json_round_trip_segments, "narratives": narratives,
+    "weekly_mean_ctr": weekly_mean_ctr, "segment_counts": segment_counts,
+    "hypothesis_categories": hypothesis_categories, "top_hypothesis": top_hypothesis,
+    "validated_hypotheses": validated_hypotheses, "report_counts": report_counts,
 }

@@ -602,6 +602,21 @@ REPORT_SUMMARY = _with(F, *_VALID, *[c for c in _VARS if c not in _VALID]) + """
   (SELECT hypothesis_text FROM ranked_v WHERE rank = 1) AS top_insight,
   (SELECT round(adjusted_confidence_score, 10) FROM ranked_v WHERE rank = 1) AS top_confidence"""
 
+WEEKLY_MEAN_CTR = _with(F) + """SELECT CAST(date_trunc('week', date) AS DATE) AS period, round(avg(ctr), 10) AS mean_ctr
+FROM ad_facts GROUP BY 1"""
+SEGMENT_COUNTS = _with(F, *_SEG) + "SELECT dimension, CAST(count(*) AS BIGINT) AS segments FROM segx GROUP BY dimension"
+HYPOTHESIS_CATEGORIES = _with(F, *_hyp()) + "SELECT DISTINCT category FROM hyp"
+TOP_HYPOTHESIS = _with(F, *_hyp()) + """SELECT hypothesis_text, round(confidence_score, 10) AS confidence_score
+FROM hyp ORDER BY confidence_score DESC, ord ASC LIMIT 1"""
+VALIDATED_HYPOTHESES = _with(F, *_VALID) + """SELECT sha256(concat_ws('~', CAST(ord AS VARCHAR), category, hypothesis_text))
+         AS hypothesis_id, ord, category, round(initial_confidence, 10) AS confidence_score,
+       round(adjusted_confidence_score, 10) AS adjusted_confidence_score, validation_status,
+       CAST(rank AS BIGINT) AS rank FROM ranked_v"""
+REPORT_COUNTS = _with(F, *_VALID, *[c for c in _VARS if c not in _VALID]) + """SELECT
+  (SELECT CAST(count(*) AS BIGINT) FROM validated) AS validated_hypotheses,
+  (SELECT CAST(count(*) AS BIGINT) FROM low) AS recommendation_sets,
+  (SELECT hypothesis_text FROM ranked_v WHERE rank = 1) AS top_hypothesis"""
+
 SEGMENTS = {
     "campaign_name": _segment_by("campaign_name"), "creative_type": _segment_by("creative_type"),
     "audience_type": _segment_by("audience_type"), "platform": _segment_by("platform"),
@@ -631,4 +646,7 @@ ORACLE = {
     "report_summary": REPORT_SUMMARY, "report_insights": REPORT_INSIGHTS, "report_metrics": REPORT_METRICS,
     "report_recommendations": REPORT_RECOMMENDATIONS,
     "json_round_trip": SEGMENTS_ALL,
+    "weekly_mean_ctr": WEEKLY_MEAN_CTR, "segment_counts": SEGMENT_COUNTS,
+    "hypothesis_categories": HYPOTHESIS_CATEGORIES, "top_hypothesis": TOP_HYPOTHESIS,
+    "validated_hypotheses": VALIDATED_HYPOTHESES, "report_counts": REPORT_COUNTS,
 }

@@ -86,6 +86,31 @@ def analyze(facts: DataFrame, params: Params = Params(), issues: DataFrame | Non
     return out
 
 
+def run_workflow(facts: DataFrame, params: Params = Params(), raw: DataFrame | None = None,
+                 request_text: str | None = None) -> dict:
+    """End-to-end: (optional) loading rules on raw rows, analysis, creatives, report tables.
+
+    Returns the result tables as DataFrames.  The ranked hypotheses are
+    materialised once (small table in the checkpoint folder) because every
+    report table reads them.
+    """
+    from adlens.operators import cleaning as Q
+    issues = None
+    out = {}
+    if raw is not None:
+        c = Q.clean(raw, params)
+        facts = c.clean
+        issues = cut_lineage(c.issues)
+        out["quality_issues"] = issues
+    a = analyze(facts, params, issues=issues, creatives=True, checkpoint=True)
+    a.validated = cut_lineage(a.validated)
+    a.top_insights = E.top_insights(a.validated)
+    out.update(analysis=a, summary=a.summary, metrics=a.metrics, trends=a.trends, segments=a.segments(),
+               validated=a.validated, top_insights=a.top_insights, recommendations=a.recommendations)
+    out.update({f"report_{k}": v for k, v in report_tables(a, request_text).items() if v is not None})
+    return out
+
+
 def report_tables(a: Analysis, request_text: str | None = None) -> dict:
     recs = a.recommendations
     if recs is None:
