@@ -10,19 +10,15 @@ finisher is a pandas UDF, over at most three rows.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adlens.functions.ratios import clamp01, fmt
-from adlens.functions.stats import ci_diff, p_value, pooled_t
-from adlens.operators.hypotheses import metrics_struct, trend_struct
+from adlens.functions.stats import p_value
+from adlens.operators.hypotheses import metrics_struct, sql_str, trend_struct
 from adlens.operators.segments import best_worst
 from adlens.params import Params
 
-METRIC_TYPE = "struct<metric_name:string,value:double,comparison:string>"
-
 # category -> (dimension, metric, label used in names, label used in texts, threshold, t-test)
 SEGMENT_CATEGORIES = {
     "creative": ("creative_type", "ctr", "creative", "creative type", 0.002, True),
@@ -33,78 +29,80 @@ SEGMENT_CATEGORIES = {
 KNOWN_CATEGORIES = ("creative", "audience", "platform", "budget", "seasonality")
 
 
-def _m(name, value: Column, comparison: Column) -> Column:
-    return F.struct(F.lit(name).alias("metric_name") if isinstance(name, str) else name.alias("metric_name"),
-                    value.cast("double").alias("value"), comparison.alias("comparison"))
+def _ev_sql(category: str, metrics_arr: str, status: str, has_test: str = "false", t: str = "NULL",
+            dof: str = "NULL", lo: str = "NULL", hi: str = "NULL") -> str:
+    return (f"named_struct('category', {sql_str(category)}, 'metrics', {metrics_arr}, "
+            f"'validation_status', {status}, 'has_test', {has_test}, "
+            f"'t_stat', CAST({t} AS DOUBLE), 'dof', CAST({dof} AS DOUBLE), "
+            f"'ci_lower', CAST({lo} AS DOUBLE), 'ci_upper', CAST({hi} AS DOUBLE))")
 
 
-def _status(diff: Column, confirm: float) -> Column:
-    return (F.when(diff > confirm, F.lit("confirmed")).when(diff < 0, F.lit("rejected"))
-            .otherwise(F.lit("inconclusive")))
+def _m_sql(name: str, value: str, comparison: str) -> str:
+    return (f"named_struct('metric_name', {sql_str(name)}, 'value', CAST({value} AS DOUBLE), "
+            f"'comparison', {comparison})")
 
 
-def _ev(category: str, metrics_arr: Column, status: Column, has_test: Column | None = None,
-        t: Column | None = None, dof: Column | None = None, lo: Column | None = None,
-        hi: Column | None = None) -> Column:
-    null = F.lit(None).cast("double")
-    has_test = F.lit(False) if has_test is None else has_test
-    t, dof, lo, hi = [null if c is None else c for c in (t, dof, lo, hi)]
-    return F.struct(F.lit(category).alias("category"), metrics_arr.alias("metrics"),
-                    status.alias("validation_status"), has_test.alias("has_test"),
-                    t.cast("double").alias("t_stat"), dof.cast("double").alias("dof"),
-                    lo.cast("double").alias("ci_lower"), hi.cast("double").alias("ci_upper"))
+def _status_sql(diff: str, confirm: float) -> str:
+    return (f"CASE WHEN {diff} > {confirm}D THEN 'confirmed' WHEN {diff} < 0 THEN 'rejected' "
+            f"ELSE 'inconclusive' END")
 
 
-def _segment_evidence(category: str, m: Column, params: Params) -> Column:
-    """Evidence struct of one segment category from the context row."""
+def _segment_evidence_sql(category: str, params: Params) -> str:
+    """Evidence struct of one segment category as SQL over the context row."""
     dim, metric, label, text_label, confirm, with_test = SEGMENT_CATEGORIES[category]
     overall_name = "overall_ctr" if metric == "ctr" else "overall_roas"
-    overall = m.getField(overall_name)
-    n = F.coalesce(F.col(f"{dim}_n"), F.lit(0))
-    w, b = F.col(f"{dim}_w"), F.col(f"{dim}_b")
-    cmp_w = F.concat(F.lit(f"Worst performing {text_label}: "), F.coalesce(w.value, F.lit("unknown")))
-    cmp_b = F.concat(F.lit(f"Best performing {text_label}: "), F.coalesce(b.value, F.lit("unknown")))
-    enough = [_m(f"worst_{label}_{metric}", w.metric, cmp_w), _m(f"best_{label}_{metric}", b.metric, cmp_b)]
+    overall = f"m.{overall_name}"
+    n = f"coalesce({dim}_n, 0)"
+    w, b = f"{dim}_w", f"{dim}_b"
+    enough = [_m_sql(f"worst_{label}_{metric}", f"{w}.metric",
+                     f"concat({sql_str(f'Worst performing {text_label}: ')}, coalesce({w}.value, 'unknown'))"),
+              _m_sql(f"best_{label}_{metric}", f"{b}.metric",
+                     f"concat({sql_str(f'Best performing {text_label}: ')}, coalesce({b}.value, 'unknown'))")]
     if category == "budget":
-        enough.append(_m("worst_campaign_spend", w.spend, fmt("Spend on worst campaign: $%.2f", w.spend)))
+        enough.append(_m_sql("worst_campaign_spend", f"{w}.spend",
+                             f"format_string('Spend on worst campaign: $%.2f', {w}.spend)"))
     plural = {"creative": "creative type segments", "audience": "audience segments",
               "platform": "platform segments", "budget": "campaign segments"}[category]
     baseline = "Overall CTR baseline" if metric == "ctr" else "Overall ROAS baseline"
-    scarce = [_m(f"{label}_segments_count", n, F.lit(f"Insufficient {plural} for comparison")),
-              _m(overall_name, overall, F.lit(baseline))]
-    has_pair = n >= 2
-    arr = F.when(has_pair, F.array(*enough)).otherwise(F.array(*scarce))
-    status = F.when(has_pair, _status(b.metric - w.metric, confirm)).otherwise(F.lit("inconclusive"))
+    scarce = [_m_sql(f"{label}_segments_count", n, sql_str(f"Insufficient {plural} for comparison")),
+              _m_sql(overall_name, overall, sql_str(baseline))]
+    pair = f"({n} >= 2)"
+    arr = f"CASE WHEN {pair} THEN array({', '.join(enough)}) ELSE array({', '.join(scarce)}) END"
+    status = (f"CASE WHEN {pair} THEN {_status_sql(f'({b}.metric - {w}.metric)', confirm)} "
+              f"ELSE 'inconclusive' END")
     if not with_test:
-        return _ev(category, arr, status)
-    n1, m1, v1 = w[f"{metric}_n"].cast("double"), w[f"{metric}_mean"], w[f"{metric}_var"]
-    n2, m2, v2 = b[f"{metric}_n"].cast("double"), b[f"{metric}_mean"], b[f"{metric}_var"]
-    k = params.min_data_points
-    tested = F.coalesce(has_pair & (n1 >= k) & (n2 >= k), F.lit(False))
-    t = pooled_t(n1, m1, v1, n2, m2, v2)
-    lo, hi = ci_diff(n1, m1, v1, n2, m2, v2)
-    return _ev(category, arr, status, tested, F.when(tested, t), F.when(tested, n1 + n2 - 2),
-               F.when(tested, lo), F.when(tested, hi))
-
-
-def _seasonality_evidence(t: Column) -> Column:
-    rw = F.coalesce(t.getField("roas_wow"), F.lit(0.0))
-    rm = F.coalesce(t.getField("roas_mom"), F.lit(0.0))
-    cw = F.coalesce(t.getField("ctr_wow"), F.lit(0.0))
-    avg_change = (F.abs(rw) + F.abs(rm)) / 2
-    return _ev("seasonality",
-               F.array(_m("roas_wow_change", rw, fmt("ROAS week-over-week change: %.1f%%", rw)),
-                       _m("roas_mom_change", rm, fmt("ROAS month-over-month change: %.1f%%", rm)),
-                       _m("ctr_wow_change", cw, fmt("CTR week-over-week change: %.1f%%", cw))),
-               F.when(avg_change > 10, F.lit("confirmed")).when(avg_change < 3, F.lit("rejected"))
-               .otherwise(F.lit("inconclusive")))
-
-
-def _generic_evidence(m: Column) -> Column:
-    return _ev("generic",
-               F.array(_m("overall_roas", m.getField("overall_roas"), F.lit("Overall ROAS")),
-                       _m("overall_ctr", m.getField("overall_ctr"), F.lit("Overall CTR"))),
-               F.lit("inconclusive"))
+        return _ev_sql(category, arr, status)
+    n1, m1, v1 = f"CAST({w}.{metric}_n AS DOUBLE)", f"{w}.{metric}_mean", f"{w}.{metric}_var"
+    n2, m2, v2 = f"CAST({b}.{metric}_n AS DOUBLE)", f"{b}.{metric}_mean", f"{b}.{metric}_var"
+    k = int(params.min_data_points)
+    tested = f"coalesce({pair} AND {n1} >= {k} AND {n2} >= {k}, false)"
+    dof = f"({n1} + {n2} - 2)"
+    se = f"sqrt(((({n1} - 1) * {v1} + ({n2} - 1) * {v2}) / {dof}) * (1.0D / {n1} + 1.0D / {n2}))"
+    diff = f"({m1} - {m2})"
+    t = (f"CASE WHEN {dof} <= 0 THEN NULL WHEN {se} = 0 THEN CASE WHEN {diff} = 0 THEN NULL "
+         f"WHEN {diff} > 0 THEN double('inf') ELSE double('-inf') END ELSE {diff} / {se} END")
+    se2 = f"sqrt({v1} / {n1} + {v2} / {n2})"
+    lo, hi = f"(({m2} - {m1}) - 1.96D * {se2})", f"(({m2} - {m1}) + 1.96D * {se2})"
+    return _ev_sql(category, arr, status, tested, f"CASE WHEN {tested} THEN {t} END",
+                   f"CASE WHEN {tested} THEN {dof} END", f"CASE WHEN {tested} THEN {lo} END",
+                   f"CASE WHEN {tested} THEN {hi} END")
+
+
+def _seasonality_evidence_sql() -> str:
+    rw, rm, cw = "coalesce(t.roas_wow, 0.0D)", "coalesce(t.roas_mom, 0.0D)", "coalesce(t.ctr_wow, 0.0D)"
+    avg_change = f"((abs({rw}) + abs({rm})) / 2)"
+    arr = (f"array({_m_sql('roas_wow_change', rw, f'format_string({chr(39)}ROAS week-over-week change: %.1f%%{chr(39)}, {rw})')}, "
+           f"{_m_sql('roas_mom_change', rm, f'format_string({chr(39)}ROAS month-over-month change: %.1f%%{chr(39)}, {rm})')}, "
+           f"{_m_sql('ctr_wow_change', cw, f'format_string({chr(39)}CTR week-over-week change: %.1f%%{chr(39)}, {cw})')})")
+    status = (f"CASE WHEN {avg_change} > 10 THEN 'confirmed' WHEN {avg_change} < 3 THEN 'rejected' "
+              f"ELSE 'inconclusive' END")
+    return _ev_sql("seasonality", arr, status)
+
+
+def _generic_evidence_sql() -> str:
+    arr = (f"array({_m_sql('overall_roas', 'm.overall_roas', sql_str('Overall ROAS'))}, "
+           f"{_m_sql('overall_ctr', 'm.overall_ctr', sql_str('Overall CTR'))})")
+    return _ev_sql("generic", arr, "'inconclusive'")
 
 
 def evidence_context(seg: DataFrame) -> DataFrame:
@@ -122,12 +120,17 @@ def evidence_context(seg: DataFrame) -> DataFrame:
 
 def evidence_by_category(seg: DataFrame, metrics: DataFrame, trends: DataFrame,
                          params: Params = Params()) -> DataFrame:
-    """Six rows: evidence metrics, status and test statistics per category."""
-    ctx = evidence_context(seg)
-    m, t = metrics_struct(metrics), trend_struct(trends)
-    rows = [_segment_evidence(c, m, params) for c in SEGMENT_CATEGORIES]
-    rows += [_seasonality_evidence(t), _generic_evidence(m)]
-    ev = ctx.select(F.explode(F.array(*rows)).alias("e")).select("e.*")
+    """Six rows: evidence metrics, status and test statistics per category.
+
+    One context row (per-dimension worst/best structs + the metrics and trend
+    structs as scalar subqueries) and one SQL projection exploding the six
+    category structs.
+    """
+    ctx = evidence_context(seg).select("*", metrics_struct(metrics).alias("m"),
+                                       trend_struct(trends).alias("t"))
+    rows = [_segment_evidence_sql(c, params) for c in SEGMENT_CATEGORIES]
+    rows += [_seasonality_evidence_sql(), _generic_evidence_sql()]
+    ev = ctx.selectExpr(f"explode(array({', '.join(rows)})) AS e").select("e.*")
     p = p_value(F.col("t_stat"), F.col("dof"))
     return ev.select("*", F.when(F.col("has_test"), p).alias("p_value"))
 

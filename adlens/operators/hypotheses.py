@@ -89,129 +89,127 @@ def hypothesis_context(metrics: DataFrame, trends: DataFrame, seg: DataFrame) ->
     ).drop("t")
 
 
-def _row(cond: Column, ord_: int, text: Column, category: str, subject: Column,
-         obs: list[Column], evidence: list[str], conf: Column, approach: str):
-    return dict(cond=cond, ord=ord_, text=text, category=category, subject=subject,
-                obs=obs, evidence=evidence, conf=conf, approach=approach)
+def sql_str(text: str) -> str:
+    """A Spark SQL string literal (backslash escapes)."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _generators(focus: str) -> list[dict]:
+def conf_sql(magnitude: str, max_magnitude: float) -> str:
+    """``initial_confidence`` as a SQL expression (missing magnitude counts as 0)."""
+    return (f"greatest(0.0D, least(1.0D, 0.3D + least(coalesce({magnitude}, 0.0D) / {float(max_magnitude)}D, "
+            f"1.0D) * 0.5D))")
+
+
+def _fmt(pattern: str, *args: str) -> str:
+    return f"format_string({sql_str(pattern)}, {', '.join(args)})"
+
+
+def _generators_sql(focus: str) -> list[dict]:
+    """The six generators as SQL expressions over the context row."""
     FM = focus.upper()
-    rw, rm = F.coalesce(F.col("roas_wow"), F.lit(0.0)), F.coalesce(F.col("roas_mom"), F.lit(0.0))
-    cw, cm = F.coalesce(F.col("ctr_wow"), F.lit(0.0)), F.coalesce(F.col("ctr_mom"), F.lit(0.0))
-    o_roas, o_ctr = F.col("overall_roas"), F.col("overall_ctr")
-    gens = []
-    # 1 ROAS trend (seasonality)
-    sig = F.col("has_roas") & ((F.abs(rw) > 5) | (F.abs(rm) > 5))
-    decline = (rw < -5) | (rm < -5)
-    gens.append(_row(
-        sig, 1,
-        F.when(decline, fmt("ROAS declined due to trend (WoW: %.1f%%, MoM: %.1f%%)", rw, rm))
-         .otherwise(fmt("ROAS improved due to trend (WoW: %.1f%%, MoM: %.1f%%)", rw, rm)),
-        "seasonality", F.lit("roas"),
-        [fmt("Week-over-week ROAS change: %.1f%%", rw), fmt("Month-over-month ROAS change: %.1f%%", rm),
-         F.concat(F.lit("Trend direction: "), F.coalesce(F.col("roas_dir"), F.lit("stable")))],
-        ["roas_trend", "week_over_week_change", "month_over_month_change"],
-        initial_confidence(F.abs(rw) + F.abs(rm), 20),
-        "Compare ROAS across time periods and validate trend direction"))
-    # 2 CTR trend (creative)
-    sig = F.col("has_ctr") & ((F.abs(cw) > 5) | (F.abs(cm) > 5))
-    decline = (cw < 0) | (cm < 0)
-    gens.append(_row(
-        sig, 2,
-        F.when(decline, fmt(f"CTR decline (WoW: %.1f%%, MoM: %.1f%%) negatively impacted {FM}", cw, cm))
-         .otherwise(fmt(f"CTR improvement (WoW: %.1f%%, MoM: %.1f%%) positively impacted {FM}", cw, cm)),
-        "creative", F.lit("ctr"),
-        [fmt("Week-over-week CTR change: %.1f%%", cw), fmt("Month-over-month CTR change: %.1f%%", cm),
-         F.concat(F.lit("CTR trend direction: "), F.coalesce(F.col("ctr_dir"), F.lit("stable")))],
-        ["ctr_trend", "week_over_week_change", "month_over_month_change"],
-        initial_confidence(F.abs(cw) + F.abs(cm), 20),
-        "Correlate CTR changes with ROAS changes across segments"))
-    # 3 worst underperforming campaign (budget)
-    b = F.col("budget_pick")
-    gens.append(_row(
-        b.isNotNull(), 3,
-        fmt(f"Campaign '%s' underperformance (ROAS: %.2f) is dragging down overall {FM}", b.value, b.roas),
-        "budget", b.value,
-        [fmt("Campaign ROAS: %.2f vs Overall: %.2f", b.roas, o_roas),
-         fmt("Number of underperforming campaigns: %d", F.col("budget_n")),
-         fmt("Campaign spend: $%.2f", b.spend)],
-        ["campaign_segmentation", "roas_by_campaign"],
-        initial_confidence(F.abs(o_roas - b.roas) / F.greatest(o_roas, F.lit(0.01)) * 100, 50),
-        "Compare campaign performance metrics and validate impact on overall ROAS"))
-    # 4 worst low-CTR creative type (creative)
-    c = F.col("creative_pick")
-    gap = (o_ctr - c.ctr) / F.greatest(o_ctr, F.lit(0.0001)) * 100
-    gens.append(_row(
-        c.isNotNull(), 4,
-        fmt("'%s' creative type underperforming with CTR of %.4f vs overall %.4f", c.value, c.ctr, o_ctr),
-        "creative", c.value,
-        [fmt("Creative type CTR: %.4f", c.ctr), fmt("Overall CTR: %.4f", o_ctr), fmt("CTR gap: %.1f%%", gap)],
-        ["creative_type_segmentation", "ctr_by_creative_type"],
-        initial_confidence(F.abs(o_ctr - c.ctr) / F.greatest(o_ctr, F.lit(0.0001)) * 100, 50),
-        "Compare creative type performance and test correlation with overall metrics"))
-    # 5 worst low-ROAS audience (audience)
-    a = F.col("audience_pick")
-    gap = (o_roas - a.roas) / F.greatest(o_roas, F.lit(0.01)) * 100
-    gens.append(_row(
-        a.isNotNull(), 5,
-        fmt("Audience segment '%s' showing poor ROAS of %.2f compared to overall %.2f", a.value, a.roas, o_roas),
-        "audience", a.value,
-        [fmt("Audience ROAS: %.2f", a.roas), fmt("Overall ROAS: %.2f", o_roas), fmt("Performance gap: %.1f%%", gap)],
-        ["audience_segmentation", "roas_by_audience"],
-        initial_confidence(F.abs(o_roas - a.roas) / F.greatest(o_roas, F.lit(0.01)) * 100, 50),
-        "Compare audience segment performance and validate impact on overall ROAS"))
-    # 6 platform gap (platform)
-    w, bst = F.col("platform_worst"), F.col("platform_best")
-    gap = (bst.roas - w.roas) / F.greatest(w.roas, F.lit(0.01)) * 100
-    gens.append(_row(
-        (F.col("platform_n") >= 2) & (bst.roas > w.roas * 1.2), 6,
-        fmt("Platform '%s' (ROAS: %.2f) underperforming compared to '%s' (ROAS: %.2f)",
-            w.value, w.roas, bst.value, bst.roas),
-        "platform", w.value,
-        [fmt("%s ROAS: %.2f", w.value, w.roas), fmt("%s ROAS: %.2f", bst.value, bst.roas),
-         fmt("Performance gap: %.1f%%", gap)],
-        ["platform_segmentation", "roas_by_platform"],
-        initial_confidence(F.abs(bst.roas - w.roas) / F.greatest(w.roas, F.lit(0.01)) * 100, 50),
-        "Compare platform performance metrics and validate statistical significance"))
-    return gens
+    rw, rm = "coalesce(roas_wow, 0.0D)", "coalesce(roas_mom, 0.0D)"
+    cw, cm = "coalesce(ctr_wow, 0.0D)", "coalesce(ctr_mom, 0.0D)"
+    gap_t = "(overall_ctr - creative_pick.ctr) / greatest(overall_ctr, 0.0001D) * 100"
+    gap_a = "(overall_roas - audience_pick.roas) / greatest(overall_roas, 0.01D) * 100"
+    gap_p = "(platform_best.roas - platform_worst.roas) / greatest(platform_worst.roas, 0.01D) * 100"
+    return [
+        dict(ord=1, category="seasonality", subject="'roas'",
+             cond=f"has_roas AND (abs({rw}) > 5 OR abs({rm}) > 5)",
+             text=(f"CASE WHEN {rw} < -5 OR {rm} < -5 "
+                   f"THEN {_fmt('ROAS declined due to trend (WoW: %.1f%%, MoM: %.1f%%)', rw, rm)} "
+                   f"ELSE {_fmt('ROAS improved due to trend (WoW: %.1f%%, MoM: %.1f%%)', rw, rm)} END"),
+             obs=[_fmt("Week-over-week ROAS change: %.1f%%", rw), _fmt("Month-over-month ROAS change: %.1f%%", rm),
+                  "concat('Trend direction: ', coalesce(roas_dir, 'stable'))"],
+             evidence=["roas_trend", "week_over_week_change", "month_over_month_change"],
+             conf=conf_sql(f"abs({rw}) + abs({rm})", 20),
+             approach="Compare ROAS across time periods and validate trend direction"),
+        dict(ord=2, category="creative", subject="'ctr'",
+             cond=f"has_ctr AND (abs({cw}) > 5 OR abs({cm}) > 5)",
+             text=(f"CASE WHEN {cw} < 0 OR {cm} < 0 "
+                   f"THEN {_fmt(f'CTR decline (WoW: %.1f%%, MoM: %.1f%%) negatively impacted {FM}', cw, cm)} "
+                   f"ELSE {_fmt(f'CTR improvement (WoW: %.1f%%, MoM: %.1f%%) positively impacted {FM}', cw, cm)} END"),
+             obs=[_fmt("Week-over-week CTR change: %.1f%%", cw), _fmt("Month-over-month CTR change: %.1f%%", cm),
+                  "concat('CTR trend direction: ', coalesce(ctr_dir, 'stable'))"],
+             evidence=["ctr_trend", "week_over_week_change", "month_over_month_change"],
+             conf=conf_sql(f"abs({cw}) + abs({cm})", 20),
+             approach="Correlate CTR changes with ROAS changes across segments"),
+        dict(ord=3, category="budget", subject="budget_pick.value",
+             cond="budget_pick IS NOT NULL",
+             text=_fmt(f"Campaign '%s' underperformance (ROAS: %.2f) is dragging down overall {FM}",
+                       "budget_pick.value", "budget_pick.roas"),
+             obs=[_fmt("Campaign ROAS: %.2f vs Overall: %.2f", "budget_pick.roas", "overall_roas"),
+                  _fmt("Number of underperforming campaigns: %d", "budget_n"),
+                  _fmt("Campaign spend: $%.2f", "budget_pick.spend")],
+             evidence=["campaign_segmentation", "roas_by_campaign"],
+             conf=conf_sql("abs(overall_roas - budget_pick.roas) / greatest(overall_roas, 0.01D) * 100", 50),
+             approach="Compare campaign performance metrics and validate impact on overall ROAS"),
+        dict(ord=4, category="creative", subject="creative_pick.value",
+             cond="creative_pick IS NOT NULL",
+             text=_fmt("'%s' creative type underperforming with CTR of %.4f vs overall %.4f",
+                       "creative_pick.value", "creative_pick.ctr", "overall_ctr"),
+             obs=[_fmt("Creative type CTR: %.4f", "creative_pick.ctr"), _fmt("Overall CTR: %.4f", "overall_ctr"),
+                  _fmt("CTR gap: %.1f%%", gap_t)],
+             evidence=["creative_type_segmentation", "ctr_by_creative_type"],
+             conf=conf_sql("abs(overall_ctr - creative_pick.ctr) / greatest(overall_ctr, 0.0001D) * 100", 50),
+             approach="Compare creative type performance and test correlation with overall metrics"),
+        dict(ord=5, category="audience", subject="audience_pick.value",
+             cond="audience_pick IS NOT NULL",
+             text=_fmt("Audience segment '%s' showing poor ROAS of %.2f compared to overall %.2f",
+                       "audience_pick.value", "audience_pick.roas", "overall_roas"),
+             obs=[_fmt("Audience ROAS: %.2f", "audience_pick.roas"), _fmt("Overall ROAS: %.2f", "overall_roas"),
+                  _fmt("Performance gap: %.1f%%", gap_a)],
+             evidence=["audience_segmentation", "roas_by_audience"],
+             conf=conf_sql("abs(overall_roas - audience_pick.roas) / greatest(overall_roas, 0.01D) * 100", 50),
+             approach="Compare audience segment performance and validate impact on overall ROAS"),
+        dict(ord=6, category="platform", subject="platform_worst.value",
+             cond="platform_n >= 2 AND platform_best.roas > platform_worst.roas * 1.2D",
+             text=_fmt("Platform '%s' (ROAS: %.2f) underperforming compared to '%s' (ROAS: %.2f)",
+                       "platform_worst.value", "platform_worst.roas", "platform_best.value", "platform_best.roas"),
+             obs=[_fmt("%s ROAS: %.2f", "platform_worst.value", "platform_worst.roas"),
+                  _fmt("%s ROAS: %.2f", "platform_best.value", "platform_best.roas"),
+                  _fmt("Performance gap: %.1f%%", gap_p)],
+             evidence=["platform_segmentation", "roas_by_platform"],
+             conf=conf_sql("abs(platform_best.roas - platform_worst.roas) / greatest(platform_worst.roas, 0.01D) * 100",
+                           50),
+             approach="Compare platform performance metrics and validate statistical significance"),
+    ]
 
 
 def _hid(*parts: Column) -> Column:
     return F.sha2(F.concat_ws("~", *[p.cast("string") for p in parts]), 256)
 
 
+def _candidate(keep: str, ord_: int, text: str, category: str, subject: str, obs: list[str],
+               evidence: list[str], conf: str, approach: str) -> str:
+    return (f"named_struct('keep', {keep}, 'ord', {ord_}, 'hypothesis_text', {text}, "
+            f"'category', {sql_str(category)}, 'subject', CAST({subject} AS STRING), "
+            f"'supporting_observations', array({', '.join(obs)}), "
+            f"'evidence_used', array({', '.join(sql_str(e) for e in evidence)}), "
+            f"'confidence_score', CAST({conf} AS DOUBLE), 'testable', true, "
+            f"'validation_approach', {sql_str(approach)})")
+
+
 def generate(ctx: DataFrame, params: Params = Params()) -> DataFrame:
     """Hypothesis rows: generators in order, cut to ``max_hypotheses``, padded to 3.
 
-    All candidate rows are built as one array of structs from the context
-    row and exploded once (a single projection, no union of branches).
+    All candidate rows are one array of structs built from the context row
+    by a single SQL projection and exploded once (no union of branches).
     """
-    gens = _generators(params.focus_metric)
-    flags = [F.coalesce(g["cond"], F.lit(False)).cast("int") for g in gens]
+    gens = _generators_sql(params.focus_metric)
+    flags = [f"CAST(coalesce({g['cond']}, false) AS INT)" for g in gens]
     cands = []
     for i, g in enumerate(gens):
-        earlier = reduce(lambda a, b: a + b, flags[:i], F.lit(0))
-        keep = F.coalesce(g["cond"], F.lit(False)) & (earlier < params.max_hypotheses)
-        cands.append(F.struct(
-            keep.alias("keep"), F.lit(g["ord"]).alias("ord"), g["text"].alias("hypothesis_text"),
-            F.lit(g["category"]).alias("category"), g["subject"].cast("string").alias("subject"),
-            F.array(*g["obs"]).alias("supporting_observations"),
-            F.array(*[F.lit(e) for e in g["evidence"]]).alias("evidence_used"),
-            g["conf"].cast("double").alias("confidence_score"),
-            F.lit(True).alias("testable"), F.lit(g["approach"]).alias("validation_approach")))
-    n_kept = F.least(reduce(lambda a, b: a + b, flags), F.lit(params.max_hypotheses))
+        earlier = " + ".join(flags[:i]) or "0"
+        keep = f"(coalesce({g['cond']}, false) AND ({earlier}) < {int(params.max_hypotheses)})"
+        cands.append(_candidate(keep, g["ord"], g["text"], g["category"], g["subject"], g["obs"],
+                                g["evidence"], g["conf"], g["approach"]))
+    n_kept = f"least({' + '.join(flags)}, {int(params.max_hypotheses)})"
     FM = params.focus_metric.upper()
     for idx, (text, cat, obs, ev, conf, appr) in enumerate(DEFAULT_HYPOTHESES):
-        cands.append(F.struct(
-            (n_kept <= idx).alias("keep"), F.lit(100 + idx).alias("ord"),
-            F.lit(text.replace("{FOCUS}", FM)).alias("hypothesis_text"),
-            F.lit(cat).alias("category"), F.lit(None).cast("string").alias("subject"),
-            F.array(F.lit(obs)).alias("supporting_observations"),
-            F.array(F.lit(ev)).alias("evidence_used"),
-            F.lit(conf).cast("double").alias("confidence_score"),
-            F.lit(True).alias("testable"), F.lit(appr).alias("validation_approach")))
-    allh = ctx.select(F.explode(F.array(*cands)).alias("h")).select("h.*").where("keep").drop("keep")
+        cands.append(_candidate(f"({n_kept} <= {idx})", 100 + idx, sql_str(text.replace("{FOCUS}", FM)),
+                                cat, "NULL", [sql_str(obs)], [ev], f"{conf}D", appr))
+    allh = (ctx.selectExpr(f"explode(array({', '.join(cands)})) AS h")
+            .select("h.*").where("keep").drop("keep"))
     return allh.select(_hid(F.col("ord"), F.col("category"), F.col("hypothesis_text")).alias("hypothesis_id"),
                        *[c for c in HYPOTHESIS_COLUMNS if c != "hypothesis_id"])
 

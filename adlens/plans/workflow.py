@@ -16,8 +16,6 @@ the scans works on those small tables.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
 from pyspark.sql import DataFrame
 
 from adlens.operators import creatives as C
@@ -31,23 +29,51 @@ from adlens.params import Params
 from adlens.session import cut_lineage
 
 
-@dataclass
 class Analysis:
-    params: Params
-    cube: DataFrame
-    daily: DataFrame
-    seg: DataFrame
-    summary: DataFrame
-    metrics: DataFrame
-    trends: DataFrame
-    hypotheses: DataFrame
-    evidence: DataFrame
-    validated: DataFrame
-    top_insights: DataFrame
-    low_ctr: DataFrame | None = None
-    variations: DataFrame | None = None
-    recommendations: DataFrame | None = None
-    extras: dict = field(default_factory=dict)
+    """Result tables of one analysis; each step is built on first access.
+
+    Building a DataFrame costs plan analysis on the driver, so a query that
+    needs only the hypotheses does not pay for evidence or creatives.
+    """
+
+    def __init__(self, facts: DataFrame, params: Params, data: dict, creatives: bool, checkpoint: bool):
+        self.facts, self.params, self._checkpoint = facts, params, checkpoint
+        self.cube, self.daily, self.seg = data["cube"], data["daily"], data["seg"]
+        self.summary, self.metrics, self.trends = data["summary"], data["metrics"], data["trends"]
+        self._creatives = creatives
+        self._cache: dict = {}
+
+    def _get(self, name, build):
+        if name not in self._cache:
+            self._cache[name] = build()
+        return self._cache[name]
+
+    def _set(self, name, value):
+        self._cache[name] = value
+
+    hypotheses = property(lambda self: self._get(
+        "hypotheses", lambda: H.hypotheses(self.metrics, self.trends, self.seg, self.params)))
+    evidence = property(lambda self: self._get(
+        "evidence", lambda: E.evidence_by_category(self.seg, self.metrics, self.trends, self.params)))
+    validated = property(lambda self: self._get(
+        "validated", lambda: E.validate(self.hypotheses, self.evidence, self.params)),
+        lambda self, v: self._set("validated", v))
+    top_insights = property(lambda self: self._get(
+        "top_insights", lambda: E.top_insights(self.validated)),
+        lambda self, v: self._set("top_insights", v))
+
+    def _creative_pipe(self):
+        def build():
+            pipe = C.creative_pipeline(self.seg, self.facts, self.params)
+            if self._checkpoint:
+                pipe["variations"] = cut_lineage(pipe["variations"])
+            pipe["recommendations"] = C.recommendations(pipe["variations"])
+            return pipe
+        return self._get("creative_pipe", build) if self._creatives else None
+
+    low_ctr = property(lambda self: (self._creative_pipe() or {}).get("low_ctr"))
+    variations = property(lambda self: (self._creative_pipe() or {}).get("variations"))
+    recommendations = property(lambda self: (self._creative_pipe() or {}).get("recommendations"))
 
     def segments(self) -> DataFrame:
         return self.seg.select(*S.SEGMENT_COLUMNS)
@@ -68,22 +94,8 @@ def data_step(facts: DataFrame, params: Params = Params(), issues: DataFrame | N
 
 def analyze(facts: DataFrame, params: Params = Params(), issues: DataFrame | None = None,
             creatives: bool = True, checkpoint: bool = True) -> Analysis:
-    d = data_step(facts, params, issues, checkpoint)
-    hyp = H.hypotheses(d["metrics"], d["trends"], d["seg"], params)
-    ev = E.evidence_by_category(d["seg"], d["metrics"], d["trends"], params)
-    validated = E.validate(hyp, ev, params)
-    out = Analysis(params=params, cube=d["cube"], daily=d["daily"], seg=d["seg"], summary=d["summary"],
-                   metrics=d["metrics"], trends=d["trends"], hypotheses=hyp, evidence=ev,
-                   validated=validated, top_insights=E.top_insights(validated))
-    if creatives:
-        pipe = C.creative_pipeline(d["seg"], facts, params)
-        var = pipe["variations"]
-        if checkpoint:
-            var = cut_lineage(var)
-        out.low_ctr = pipe["low_ctr"]
-        out.variations = var
-        out.recommendations = C.recommendations(var)
-    return out
+    """The data step now (one cube pass, materialised); later steps lazily on access."""
+    return Analysis(facts, params, data_step(facts, params, issues, checkpoint), creatives, checkpoint)
 
 
 def run_workflow(facts: DataFrame, params: Params = Params(), raw: DataFrame | None = None,
