@@ -41,18 +41,33 @@ def _moment_aggs(df: DataFrame) -> list[Column]:
     return out
 
 
+MODE_FIELDS = ("creative_type", "creative_message", "audience_type")
+
+
 def fact_cube(df: DataFrame, dims=DIMENSIONS, moments: bool = True,
-              include_daily: bool = False) -> DataFrame:
-    """One GROUPING SETS pass: per (dimension, value) and optionally per date.
+              include_daily: bool = False, include_modes: bool = False) -> DataFrame:
+    """One GROUPING SETS pass: per (dimension, value), optionally per date and
+    per-campaign modes.
 
     Columns: dimension, dim_ord, value, date (daily rows only), re-aggregable
-    sums (money as cents when carried), rows, guarded spend/revenue/roas/ctr
-    and, with ``moments``, n/mean/var of row-level ctr and roas.
+    sums (money as cents when carried), rows, guarded spend/revenue/roas/ctr,
+    with ``moments`` n/mean/var of row-level ctr and roas, and with
+    ``include_modes`` rows ``dimension = 'mode:<field>'`` holding, per
+    campaign (``value``), the most frequent non-NULL ``<field>`` value
+    (``mode_value``; ties -> smallest).  The mode rows come from (campaign,
+    value) grouping sets of the same Expand, reduced per campaign by a
+    second ``min_by`` aggregate that reads the same shuffle output, so the
+    facts are scanned once for everything.
     """
     dims = present_dimensions(df, dims)
+    mode_fields = ([f for f in MODE_FIELDS if f in df.columns]
+                   if include_modes and "campaign_name" in df.columns else [])
     keys = list(dims) + (["date"] if include_daily else [])
+    keys += [f for f in mode_fields if f not in keys]
     if not keys:
         raise ValueError("no segmentation dimension present")
+    sets = [[d] for d in dims] + ([["date"]] if include_daily else [])
+    sets += [["campaign_name", f] for f in mode_fields]
     cents = "spend_cents" in df.columns and "revenue_cents" in df.columns
     sums = ([F.sum("spend_cents").alias("spend_cents"), F.sum("revenue_cents").alias("revenue_cents")]
             if cents else [F.coalesce(F.sum(F.col("spend").cast("double")), F.lit(0.0)).alias("spend"),
@@ -62,21 +77,30 @@ def fact_cube(df: DataFrame, dims=DIMENSIONS, moments: bool = True,
     if "purchases" in df.columns:
         sums.append(count_sum("purchases").alias("purchases"))
     aggs = list(sums) + (_moment_aggs(df) if moments else [])
-    if len(keys) == 1:
-        grouped = df.groupBy(keys[0]).agg(*aggs, F.lit(0).alias("_g_0"))
+    if len(sets) == 1:
+        grouped = df.groupBy(*sets[0]).agg(*aggs, F.lit(0).alias("_gid"))
+        gid_of = {0: sets[0]}
     else:
-        grouped = df.groupingSets([[k] for k in keys], *keys).agg(
-            *aggs, *[F.grouping(k).alias(f"_g_{i}") for i, k in enumerate(keys)])
+        grouped = df.groupingSets(sets, *keys).agg(*aggs, F.grouping_id(*keys).alias("_gid"))
+        n = len(keys)
+        gid_of = {sum(1 << (n - 1 - i) for i, k in enumerate(keys) if k not in st): st for st in sets}
     order = {d: i for i, d in enumerate(DIMENSIONS)}
     order["date"] = len(DIMENSIONS)
 
-    def pick(fn):
-        return reduce(lambda acc, i: acc.when(F.col(f"_g_{i}") == 0, fn(keys[i])),
-                      range(1, len(keys)), F.when(F.col("_g_0") == 0, fn(keys[0])))
+    def label(st):
+        return st[0] if len(st) == 1 else f"mode:{st[1]}"
+
+    def case(fn):
+        items = list(gid_of.items())
+        expr = F.when(F.col("_gid") == items[0][0], fn(items[0][1]))
+        for g, st in items[1:]:
+            expr = expr.when(F.col("_gid") == g, fn(st))
+        return expr
 
-    dim_name = pick(lambda k: F.lit(k))
-    dim_ord = pick(lambda k: F.lit(order[k]))
-    dim_value = pick(lambda k: F.col(k).cast("string"))
+    dim_name = case(lambda st: F.lit(label(st)))
+    dim_ord = case(lambda st: F.lit(order.get(label(st), len(DIMENSIONS) + 1)))
+    dim_value = case(lambda st: F.col(st[0]).cast("string"))
+    mode_value = case(lambda st: F.col(st[1]).cast("string") if len(st) == 2 else F.lit(None).cast("string"))
     money = ([(F.coalesce(F.col("spend_cents"), F.lit(0)) / 100.0).alias("spend"),
               (F.coalesce(F.col("revenue_cents"), F.lit(0)) / 100.0).alias("revenue"),
               "spend_cents", "revenue_cents"] if cents else ["spend", "revenue"])
@@ -85,13 +109,31 @@ def fact_cube(df: DataFrame, dims=DIMENSIONS, moments: bool = True,
     extra += ["purchases"] if "purchases" in df.columns else []
     out = grouped.select(
         dim_name.alias("dimension"), dim_ord.alias("dim_ord"), dim_value.alias("value"),
-        (F.when(F.col(f"_g_{len(keys) - 1}") == 0, F.col("date")) if include_daily
-         else F.lit(None).cast("date")).alias("date"),
+        (F.when(F.col("_gid") == [g for g, st in gid_of.items() if st == ["date"]][0], F.col("date"))
+         if include_daily else F.lit(None).cast("date")).alias("date"),
+        mode_value.alias("mode_value"),
         *money, F.col("impressions").cast("bigint").alias("impressions"),
         F.col("clicks").cast("bigint").alias("clicks"), "rows", *extra)
     out = out.select("*", guarded_ratio("revenue", "spend").alias("roas"),
                      guarded_ratio("clicks", "impressions").alias("ctr"))
-    return out.where(F.col("value").isNotNull())
+    out = out.where(F.col("value").isNotNull())
+    if not mode_fields:
+        return out.drop("mode_value")
+    is_mode = F.col("dimension").startswith("mode:")
+    cube_rows = out.where(~is_mode)
+    key = F.struct((-F.col("rows")).alias("n"), F.col("mode_value").alias("v"))
+    modes = (out.where(is_mode & F.col("mode_value").isNotNull())
+             .groupBy("dimension", "value")
+             .agg(F.min_by(F.col("mode_value"), key).alias("mode_value")))
+    return cube_rows.unionByName(modes, allowMissingColumns=True)
+
+
+def modes_of_cube(cube: DataFrame) -> DataFrame:
+    """Per campaign: mode_creative_type, mode_creative_message, mode_audience_type."""
+    m = cube.where(F.col("dimension").startswith("mode:"))
+    return m.groupBy(F.col("value").alias("campaign_name")).agg(*[
+        F.max(F.when(F.col("dimension") == f"mode:{f}", F.col("mode_value"))).alias(f"mode_{f}")
+        for f in MODE_FIELDS])
 
 
 def segment_aggregates(df: DataFrame, dims=DIMENSIONS, moments: bool = True) -> DataFrame:
@@ -101,7 +143,7 @@ def segment_aggregates(df: DataFrame, dims=DIMENSIONS, moments: bool = True) ->
 
 
 def segments_of_cube(cube: DataFrame) -> DataFrame:
-    return cube.where(F.col("dimension") != "date")
+    return cube.where(F.col("dimension").isin(*DIMENSIONS))
 
 
 def daily_of_cube(cube: DataFrame) -> DataFrame:

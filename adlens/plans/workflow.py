@@ -2,11 +2,13 @@
 
 Physical shape, whatever the data size:
 
-* scan 1 -- ``fact_cube``: one GROUPING SETS aggregate over the facts
-  (four dimensions + date; sums, row counts, t-test moments).  Partial
-  aggregation map-side, one shuffle; output is #dates + #segment values rows.
-* scan 2 -- ``campaign_modes``: (campaign, value) counts, then ``min_by``.
-* scan 3/4 -- exact ctr quantile histogram and the high-CTR message counts.
+* one scan -- ``fact_cube``: one GROUPING SETS aggregate over the facts
+  (four dimensions + date; sums, row counts, t-test moments; with creatives
+  also the (campaign, value) counts whose per-campaign ``min_by`` gives the
+  modes).  Partial aggregation map-side, one shuffle; output is #dates +
+  #segment values + 3 x #campaigns rows.
+* the exact ctr quantile histogram and the high-CTR message counts (only
+  for the high-CTR message report) scan again.
 
 The small outputs of the scans are cut from their lineage with a reliable
 checkpoint in the session's shared checkpoint folder, so later steps (and
@@ -40,6 +42,7 @@ class Analysis:
         self.facts, self.params, self._checkpoint = facts, params, checkpoint
         self.cube, self.daily, self.seg = data["cube"], data["daily"], data["seg"]
         self.summary, self.metrics, self.trends = data["summary"], data["metrics"], data["trends"]
+        self.modes = data.get("modes")
         self._creatives = creatives
         self._cache: dict = {}
 
@@ -64,7 +67,7 @@ class Analysis:
 
     def _creative_pipe(self):
         def build():
-            pipe = C.creative_pipeline(self.seg, self.facts, self.params)
+            pipe = C.creative_pipeline(self.seg, self.facts, self.params, self.modes)
             if self._checkpoint:
                 pipe["variations"] = cut_lineage(pipe["variations"])
             pipe["recommendations"] = C.recommendations(pipe["variations"])
@@ -80,22 +83,30 @@ class Analysis:
 
 
 def data_step(facts: DataFrame, params: Params = Params(), issues: DataFrame | None = None,
-              checkpoint: bool = True) -> dict:
-    cube = S.fact_cube(facts, moments=True, include_daily=True)
+              checkpoint: bool = True, modes: bool = False) -> dict:
+    """One scan of the facts (the cube, optionally with per-campaign modes),
+    materialised; overall metrics and trends (one or two rows each) are
+    materialised too, since every later step reads them through scalar
+    subqueries."""
+    cube = S.fact_cube(facts, moments=True, include_daily=True, include_modes=modes)
     if checkpoint:
         cube = cut_lineage(cube)
     daily = S.daily_of_cube(cube)
     seg = S.segments_of_cube(cube)
-    return dict(cube=cube, daily=daily, seg=seg,
+    metrics = M.overall_metrics(daily)
+    trends = M.trends(facts, params, daily=daily)
+    if checkpoint:
+        metrics, trends = cut_lineage(metrics), cut_lineage(trends)
+    return dict(cube=cube, daily=daily, seg=seg, metrics=metrics, trends=trends,
                 summary=M.summary_from_daily(daily, seg, issues),
-                metrics=M.overall_metrics(daily),
-                trends=M.trends(facts, params, daily=daily))
+                modes=S.modes_of_cube(cube) if modes else None)
 
 
 def analyze(facts: DataFrame, params: Params = Params(), issues: DataFrame | None = None,
             creatives: bool = True, checkpoint: bool = True) -> Analysis:
     """The data step now (one cube pass, materialised); later steps lazily on access."""
-    return Analysis(facts, params, data_step(facts, params, issues, checkpoint), creatives, checkpoint)
+    return Analysis(facts, params, data_step(facts, params, issues, checkpoint, modes=creatives),
+                    creatives, checkpoint)
 
 
 def run_workflow(facts: DataFrame, params: Params = Params(), raw: DataFrame | None = None,
