@@ -51,6 +51,10 @@ def scan_clean(spark, sf):
     return _cleaned(spark, sf).clean
 
 
+def lenient_scan(spark, sf):
+    return Q.lenient(raw_ad_rows(spark, sf), P)
+
+
 def missing_profile(spark, sf):
     c = _cleaned(spark, sf)
     return (c.issues.where(F.col("issue_type") == "missing_values")
@@ -391,7 +395,7 @@ def narratives(spark, sf):
 
 
 REGISTRY = {
-    "scan_clean": scan_clean, "missing_profile": missing_profile, "date_failures": date_failures,
+    "scan_clean": scan_clean, "lenient_scan": lenient_scan, "missing_profile": missing_profile, "date_failures": date_failures,
     "numeric_failures": numeric_failures, "column_missing": column_missing, "quality_issues": quality_issues,
     "invalid_rows": invalid_rows, "date_range_filter": date_range_filter, "last_n_days": last_n_days,
     "dataset_summary": dataset_summary, "overall_metrics": overall_metrics, "weekly_metrics": weekly_metrics,

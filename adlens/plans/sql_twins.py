@@ -43,6 +43,10 @@ CLEAN_CTES = [RAW_SQL.strip(), _RAWN, _FLAGS, _CLEAN]
 
 SCAN_CLEAN = _with(*CLEAN_CTES) + "SELECT * FROM clean"
 
+LENIENT_SCAN = _with(RAW_SQL.strip(), _RAWN) + "SELECT " + ", ".join(
+    "CAST(try_strptime(date, '%Y-%m-%d') AS DATE) AS date" if c == "date"
+    else (f"TRY_CAST({c} AS DOUBLE) AS {c}" if c in RAW_NUMERIC else c) for c in RAW_COLS) + " FROM raw_n"
+
 MISSING_PROFILE = _with(*CLEAN_CTES) + "SELECT field, missing FROM (" + " UNION ALL ".join(
     f"SELECT {_q(c)} AS field, CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS missing FROM raw_n"
     for c in REQUIRED_FIELDS) + ") WHERE missing > 0"
@@ -623,7 +627,7 @@ SEGMENTS = {
 }
 
 ORACLE = {
-    "scan_clean": SCAN_CLEAN, "missing_profile": MISSING_PROFILE, "date_failures": DATE_FAILURES,
+    "scan_clean": SCAN_CLEAN, "lenient_scan": LENIENT_SCAN, "missing_profile": MISSING_PROFILE, "date_failures": DATE_FAILURES,
     "numeric_failures": NUMERIC_FAILURES, "column_missing": COLUMN_MISSING, "quality_issues": QUALITY_ISSUES,
     "invalid_rows": INVALID_ROWS, "date_range_filter": DATE_RANGE_FILTER, "last_n_days": LAST_N_DAYS,
     "dataset_summary": DATASET_SUMMARY, "overall_metrics": OVERALL_METRICS, "weekly_metrics": WEEKLY_METRICS,

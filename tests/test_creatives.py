@@ -68,3 +68,15 @@ def test_high_ctr_messages_and_p75(spark, facts):
     top = C.high_ctr_messages(facts).collect()
     assert [r.rank for r in top] == [1, 2, 3]
     assert [r.rows for r in top] == sorted((r.rows for r in top), reverse=True)
+
+
+def test_cube_modes_equal_standalone_modes(facts):
+    cube = S.fact_cube(facts, moments=False, include_daily=True, include_modes=True)
+    a = sorted(map(tuple, S.modes_of_cube(cube).collect()))
+    b = sorted(map(tuple, C.campaign_modes(facts).collect()))
+    assert a == b and len(a) == 101
+    # the cube rows themselves are unchanged by the extra grouping sets
+    plain = S.fact_cube(facts, moments=False, include_daily=True)
+    key = ["dimension", "value", "spend_cents", "revenue_cents", "impressions", "clicks", "rows"]
+    assert sorted(map(tuple, S.segments_of_cube(cube).select(key).collect())) == \
+        sorted(map(tuple, S.segments_of_cube(plain).select(key).collect()))

@@ -116,3 +116,9 @@ def test_exact_cents_match_double_path(facts):
     assert math.isclose(a.total_spend, b.total_spend, rel_tol=1e-12)
     assert a.total_rows == b.total_rows == 6000
     assert Params().spark_date_format == "yyyy-MM-dd"
+
+
+def test_period_mean_of_raw_column(small):
+    got = {str(r.period): r.mean_ctr for r in M.period_mean(small, "week", "ctr").collect()}
+    assert got["2024-01-01"] == pytest.approx((10 / 1000 + 5 / 500) / 2)
+    assert got["2024-01-08"] == pytest.approx(40 / 2000)      # zero-impression row has NULL ctr
