@@ -38,8 +38,10 @@ class Analysis:
     needs only the hypotheses does not pay for evidence or creatives.
     """
 
-    def __init__(self, facts: DataFrame, params: Params, data: dict, creatives: bool, checkpoint: bool):
+    def __init__(self, facts: DataFrame, params: Params, data: dict, creatives: bool, checkpoint: bool,
+                 evidence_facts: DataFrame | None = None):
         self.facts, self.params, self._checkpoint = facts, params, checkpoint
+        self.evidence_facts = evidence_facts
         self.cube, self.daily, self.seg = data["cube"], data["daily"], data["seg"]
         self.summary, self.metrics, self.trends = data["summary"], data["metrics"], data["trends"]
         self.modes = data.get("modes")
@@ -56,8 +58,16 @@ class Analysis:
 
     hypotheses = property(lambda self: self._get(
         "hypotheses", lambda: H.hypotheses(self.metrics, self.trends, self.seg, self.params)))
+    def _evidence_seg(self) -> DataFrame:
+        """Segments whose t-test moments come from ``evidence_facts`` when given."""
+        if self.evidence_facts is None:
+            return self.seg
+        moments = [c for m in ("ctr", "roas") for c in (f"{m}_n", f"{m}_mean", f"{m}_var")]
+        stats = S.segment_aggregates(self.evidence_facts, moments=True).select("dimension", "value", *moments)
+        return self.seg.drop(*moments).join(stats, ["dimension", "value"], "left")
+
     evidence = property(lambda self: self._get(
-        "evidence", lambda: E.evidence_by_category(self.seg, self.metrics, self.trends, self.params)))
+        "evidence", lambda: E.evidence_by_category(self._evidence_seg(), self.metrics, self.trends, self.params)))
     validated = property(lambda self: self._get(
         "validated", lambda: E.validate(self.hypotheses, self.evidence, self.params)),
         lambda self, v: self._set("validated", v))
@@ -67,7 +77,10 @@ class Analysis:
 
     def _creative_pipe(self):
         def build():
-            pipe = C.creative_pipeline(self.seg, self.facts, self.params, self.modes)
+            if self.evidence_facts is not None:
+                pipe = C.creative_pipeline(self.seg, self.evidence_facts, self.params)
+            else:
+                pipe = C.creative_pipeline(self.seg, self.facts, self.params, self.modes)
             if self._checkpoint:
                 pipe["variations"] = cut_lineage(pipe["variations"])
             pipe["recommendations"] = C.recommendations(pipe["variations"])
@@ -103,10 +116,18 @@ def data_step(facts: DataFrame, params: Params = Params(), issues: DataFrame | N
 
 
 def analyze(facts: DataFrame, params: Params = Params(), issues: DataFrame | None = None,
-            creatives: bool = True, checkpoint: bool = True) -> Analysis:
-    """The data step now (one cube pass, materialised); later steps lazily on access."""
-    return Analysis(facts, params, data_step(facts, params, issues, checkpoint, modes=creatives),
-                    creatives, checkpoint)
+            creatives: bool = True, checkpoint: bool = True,
+            evidence_facts: DataFrame | None = None) -> Analysis:
+    """The data step now (one cube pass, materialised); later steps lazily on access.
+
+    ``evidence_facts``: optional second frame (e.g. the lenient, unfiltered
+    load) from which the t-test moments and the creative modes are taken,
+    as the analysed tool does; this costs one more scan.  By default both
+    come from ``facts`` and the facts are scanned once.
+    """
+    modes = creatives and evidence_facts is None
+    return Analysis(facts, params, data_step(facts, params, issues, checkpoint, modes=modes),
+                    creatives, checkpoint, evidence_facts)
 
 
 def run_workflow(facts: DataFrame, params: Params = Params(), raw: DataFrame | None = None,

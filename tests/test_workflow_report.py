@@ -70,3 +70,20 @@ def test_narratives(analysis):
     summ = C.recommendation_summary(a.variations, a.low_ctr)
     n3 = R.creative_narrative(a.low_ctr, a.variations, summ, 0.01).collect()[0]
     assert n3.think.startswith("Analyzing campaigns to identify those with CTR below 0.0100.")
+
+
+def test_evidence_from_separate_frame(spark, facts):
+    from adlens.operators import cleaning as Q
+    from adlens.sources.facts import raw_ad_rows
+    c = Q.clean(raw_ad_rows(spark, "/root/testdata/sf0.001"))
+    lenient = Q.lenient(raw_ad_rows(spark, "/root/testdata/sf0.001")).withColumns({
+        "ctr": F.col("clicks") / F.nullif(F.col("impressions"), F.lit(0.0)),
+        "roas": F.col("revenue") / F.nullif(F.col("spend"), F.lit(0.0))})
+    clean = c.clean.withColumns({"ctr": F.col("clicks") / F.nullif(F.col("impressions"), F.lit(0.0)),
+                                 "roas": F.col("revenue") / F.nullif(F.col("spend"), F.lit(0.0))})
+    a = analyze(clean, evidence_facts=lenient)
+    ev = {r.category: r for r in a.evidence.collect()}
+    # the creative t-test uses every lenient row of the worst/best types (more rows than the clean frame)
+    n_clean = {r.value: r.ctr_n for r in a.seg.where("dimension = 'creative_type'").collect()}
+    assert ev["creative"].has_test and ev["creative"].dof > sum(sorted(n_clean.values())[:2]) - 2
+    assert a.recommendations.count() > 0
