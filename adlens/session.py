@@ -34,22 +34,29 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder of the session.
 
-    Reads ``spark.checkpoint.dir`` (or the context's directory).  Only a
-    local-mode session without one gets a fresh temporary folder; a cluster
-    session without a configured shared folder returns ``None``.
+    Reads the context's checkpoint directory or ``spark.checkpoint.dir``.
+    Only a local-mode session without one gets a fresh temporary folder; a
+    cluster session without a configured shared folder returns ``None``.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a local SparkContext
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if conf:
-        sc.setCheckpointDir(conf)
-        return sc.getCheckpointDir()
-    if sc.master.startswith("local"):
+        if sc is not None:
+            sc.setCheckpointDir(conf)
+            return sc.getCheckpointDir()
+        return conf
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if str(master).startswith("local"):
         path = tempfile.mkdtemp(prefix="adlens-ckpt-")
-        sc.setCheckpointDir(path)
-        return sc.getCheckpointDir()
+        if sc is not None:
+            sc.setCheckpointDir(path)
+            return sc.getCheckpointDir()
+        return path
     return None
 
 

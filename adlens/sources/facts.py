@@ -19,7 +19,10 @@ _PLANS: dict = {}
 
 
 def _session_key(spark: SparkSession):
-    return (id(spark._jsparkSession), spark.sparkContext.applicationId)
+    try:
+        return (id(spark._jsparkSession), spark.sparkContext.applicationId)
+    except Exception:  # noqa: BLE001 - sessions without JVM handles
+        return (id(spark),)
 
 
 def _memo(spark: SparkSession, key, build):
