@@ -130,13 +130,27 @@ def analyze(facts: DataFrame, params: Params = Params(), issues: DataFrame | Non
                     creatives, checkpoint, evidence_facts)
 
 
+def materialize_concurrently(builders: dict, threads: int = 4) -> dict:
+    """Run independent materialisations as concurrent Spark jobs.
+
+    Each value is a zero-argument callable returning a DataFrame (typically
+    ``cut_lineage`` of a small result).  Spark schedules jobs submitted from
+    several driver threads side by side, so chains of small, latency-bound
+    jobs overlap instead of queueing.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
+        futures = {k: pool.submit(fn) for k, fn in builders.items()}
+        return {k: f.result() for k, f in futures.items()}
+
+
 def run_workflow(facts: DataFrame, params: Params = Params(), raw: DataFrame | None = None,
-                 request_text: str | None = None) -> dict:
+                 request_text: str | None = None, threads: int = 4) -> dict:
     """End-to-end: (optional) loading rules on raw rows, analysis, creatives, report tables.
 
-    Returns the result tables as DataFrames.  The ranked hypotheses are
-    materialised once (small table in the checkpoint folder) because every
-    report table reads them.
+    Returns the result tables as DataFrames.  The ranked hypotheses and the
+    creative variations (independent branches over the materialised cube)
+    are materialised concurrently; every report table then reads them.
     """
     from adlens.operators import cleaning as Q
     issues = None
@@ -147,7 +161,11 @@ def run_workflow(facts: DataFrame, params: Params = Params(), raw: DataFrame | N
         issues = cut_lineage(c.issues)
         out["quality_issues"] = issues
     a = analyze(facts, params, issues=issues, creatives=True, checkpoint=True)
-    a.validated = cut_lineage(a.validated)
+    done = materialize_concurrently({
+        "validated": lambda: cut_lineage(a.validated),
+        "creatives": lambda: a.recommendations,        # builds and materialises the variations
+    }, threads)
+    a.validated = done["validated"]
     a.top_insights = E.top_insights(a.validated)
     out.update(analysis=a, summary=a.summary, metrics=a.metrics, trends=a.trends, segments=a.segments(),
                validated=a.validated, top_insights=a.top_insights, recommendations=a.recommendations)
@@ -155,6 +173,11 @@ def run_workflow(facts: DataFrame, params: Params = Params(), raw: DataFrame | N
     return out
 
 
+def collect_all(tables: dict, threads: int = 4) -> dict:
+    """Collect several small result tables with concurrent jobs."""
+    return materialize_concurrently({k: (lambda v=v: v.collect()) for k, v in tables.items()}, threads)
+
+
 def report_tables(a: Analysis, request_text: str | None = None) -> dict:
     recs = a.recommendations
     if recs is None:
