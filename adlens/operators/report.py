@@ -19,15 +19,23 @@ def printable(c: Column) -> Column:
 
 def executive_summary(summary: DataFrame, validated: DataFrame, recs: DataFrame,
                       request_text: str | None = None) -> DataFrame:
-    """One row: period, rows, spend, revenue, counts and the top insight."""
-    top = validated.where(F.col("rank") == 1)
+    """One row: period, rows, spend, revenue, counts and the top insight.
+
+    The validated table is reduced once to a struct scalar (count + first
+    ranked hypothesis), the recommendations to a count.
+    """
+    v = validated.agg(F.struct(
+        F.count(F.lit(1)).alias("n"),
+        F.min_by(F.struct("hypothesis_text", "adjusted_confidence_score"), F.col("rank")).alias("top"))
+    ).scalar()
+    n_recs = recs.select(F.count(F.lit(1))).scalar()
     return summary.select(
         F.lit(request_text).cast("string").alias("request"),
         "start_date", "end_date", "total_rows", "total_spend", "total_revenue",
-        validated.select(F.count(F.lit(1))).scalar().alias("validated_hypotheses"),
-        recs.select(F.count(F.lit(1))).scalar().alias("recommendation_sets"),
-        top.select(F.first("hypothesis_text")).scalar().alias("top_insight"),
-        top.select(F.first("adjusted_confidence_score")).scalar().alias("top_confidence"))
+        v.getField("n").alias("validated_hypotheses"),
+        n_recs.alias("recommendation_sets"),
+        v.getField("top").getField("hypothesis_text").alias("top_insight"),
+        v.getField("top").getField("adjusted_confidence_score").alias("top_confidence"))
 
 
 def confidence_labels(score: Column) -> tuple[Column, Column]:

@@ -44,20 +44,17 @@ def _moment_aggs(df: DataFrame) -> list[Column]:
 MODE_FIELDS = ("creative_type", "creative_message", "audience_type")
 
 
-def fact_cube(df: DataFrame, dims=DIMENSIONS, moments: bool = True,
-              include_daily: bool = False, include_modes: bool = False) -> DataFrame:
-    """One GROUPING SETS pass: per (dimension, value), optionally per date and
-    per-campaign modes.
+def cube_aggregate(df: DataFrame, dims=DIMENSIONS, moments: bool = True,
+                   include_daily: bool = False, include_modes: bool = False) -> DataFrame:
+    """First level of ``fact_cube``: one GROUPING SETS pass over the facts.
 
     Columns: dimension, dim_ord, value, date (daily rows only), re-aggregable
     sums (money as cents when carried), rows, guarded spend/revenue/roas/ctr,
-    with ``moments`` n/mean/var of row-level ctr and roas, and with
-    ``include_modes`` rows ``dimension = 'mode:<field>'`` holding, per
-    campaign (``value``), the most frequent non-NULL ``<field>`` value
-    (``mode_value``; ties -> smallest).  The mode rows come from (campaign,
-    value) grouping sets of the same Expand, reduced per campaign by a
-    second ``min_by`` aggregate that reads the same shuffle output, so the
-    facts are scanned once for everything.
+    and with ``moments`` n/mean/var of row-level ctr and roas.  With
+    ``include_modes`` it also holds (campaign, value) pair rows
+    ``dimension = 'mode:<field>'`` (campaign in ``value``, the field value in
+    ``mode_value``, its row count in ``rows``) from the same Expand;
+    ``finish_cube`` reduces them to the per-campaign mode (ties -> smallest).
     """
     dims = present_dimensions(df, dims)
     mode_fields = ([f for f in MODE_FIELDS if f in df.columns]
@@ -119,13 +116,45 @@ def fact_cube(df: DataFrame, dims=DIMENSIONS, moments: bool = True,
     out = out.where(F.col("value").isNotNull())
     if not mode_fields:
         return out.drop("mode_value")
+    return out
+
+
+def finish_cube(out: DataFrame) -> DataFrame:
+    """Reduce the (campaign, value) pair rows of a first-level cube to per-campaign modes.
+
+    One more aggregate over all first-level rows, keyed by (dimension, value,
+    date): cube rows are already unique per key and pass through (``first``);
+    pair rows collapse per (mode field, campaign) to the value with the most
+    rows, ties -> smallest (``min_by`` on (-rows, value)).  A single linear
+    plan (no union of branches), so the facts are read once; both levels are
+    partial aggregates, so a campaign holding a third of the rows is reduced
+    map-side.
+    """
+    if "mode_value" not in out.columns:
+        return out
     is_mode = F.col("dimension").startswith("mode:")
-    cube_rows = out.where(~is_mode)
-    key = F.struct((-F.col("rows")).alias("n"), F.col("mode_value").alias("v"))
-    modes = (out.where(is_mode & F.col("mode_value").isNotNull())
-             .groupBy("dimension", "value")
-             .agg(F.min_by(F.col("mode_value"), key).alias("mode_value")))
-    return cube_rows.unionByName(modes, allowMissingColumns=True)
+    keys = ["dimension", "value", "date"]
+    passthrough = [c for c in out.columns if c not in keys + ["mode_value"]]
+    key = F.when(is_mode & F.col("mode_value").isNotNull(),
+                 F.struct((-F.col("rows")).alias("n"), F.col("mode_value").alias("v")))
+    agg = out.groupBy(*keys).agg(
+        *[F.first(c).alias(c) for c in passthrough],
+        F.min_by(F.col("mode_value"), key).alias("mode_value"))
+    # mode rows keep only (dimension, value, mode_value); their other columns
+    # would be an arbitrary pair's totals
+    meaningful = {"dimension", "value", "mode_value", "dim_ord"}
+    return agg.where(~is_mode | F.col("mode_value").isNotNull()).select(*[
+        F.col(c) if c in meaningful else F.when(~is_mode, F.col(c)).alias(c) for c in out.columns])
+
+
+def fact_cube(df: DataFrame, dims=DIMENSIONS, moments: bool = True,
+              include_daily: bool = False, include_modes: bool = False) -> DataFrame:
+    """The cube (see ``cube_aggregate``) with pair rows reduced to modes.
+
+    The plan is linear: scan -> Expand -> partial/final aggregate -> (with
+    modes) one more partial/final aggregate; the facts are read once.
+    """
+    return finish_cube(cube_aggregate(df, dims, moments, include_daily, include_modes))
 
 
 def modes_of_cube(cube: DataFrame) -> DataFrame:
