@@ -21,7 +21,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -178,18 +178,27 @@ def date_examples(flagged: DataFrame) -> DataFrame:
 
 
 def numeric_examples(flagged: DataFrame, numeric: list) -> DataFrame:
-    """First five raw values per numeric field that failed coercion: (field, pos, value)."""
-    parts = []
-    for f in numeric:
-        top = (flagged.where(f"_fail_{f}").select(F.col(ORD).alias("o"), F.col(f).cast("string").alias("value"))
-               .orderBy("o").limit(N_EXAMPLES))
-        parts.append(top.select(F.lit(f).alias("field"), "o", "value"))
-    if not parts:
+    """First five raw values per numeric field that failed coercion: (field, pos, value).
+
+    One scan: every failing (field, ordinal, value) triple is emitted once;
+    a window per (field, input partition) keeps each partition's first five,
+    then a window per field ranks at most 5 x #partitions rows.  Work stays
+    spread over all partitions even when one field fails on a third of the
+    rows.
+    """
+    if not numeric:
         return flagged.sparkSession.createDataFrame([], "field string, pos int, value string")
-    allp = reduce(DataFrame.unionByName, parts)
-    return allp.groupBy("field").agg(F.sort_array(F.collect_list(F.struct("o", "value"))).alias("a")) \
-        .select("field", F.posexplode("a").alias("pos", "e")) \
-        .select("field", "pos", F.col("e.value").alias("value"))
+    fails = flagged.select(
+        F.col(ORD).alias("o"),
+        F.explode(F.array(*[F.when(F.col(f"_fail_{f}"), F.struct(F.lit(f).alias("field"),
+                                                                  F.col(f).cast("string").alias("value")))
+                            for f in numeric])).alias("e"))
+    fails = fails.where(F.col("e").isNotNull()).select("o", "e.field", "e.value",
+                                                       F.spark_partition_id().alias("part"))
+    first_local = (fails.withColumn("r", F.row_number().over(Window.partitionBy("field", "part").orderBy("o")))
+                   .where(F.col("r") <= N_EXAMPLES))
+    ranked = first_local.withColumn("pos", F.row_number().over(Window.partitionBy("field").orderBy("o")) - 1)
+    return ranked.where(F.col("pos") < N_EXAMPLES).select("field", "pos", "value")
 
 
 _EX_TYPE = "array<struct<row:bigint,value:string>>"

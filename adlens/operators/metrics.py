@@ -111,8 +111,21 @@ def trend_changes(df: DataFrame, daily: DataFrame | None = None) -> DataFrame:
     global aggregate pivots the changes into a single row.
     """
     daily = daily_sums(df) if daily is None else daily
-    periods = (period_metrics(daily, "week").withColumn("unit", F.lit("wow"))
-               .unionByName(period_metrics(daily, "month").withColumn("unit", F.lit("mom"))))
+    # week and month totals in one GROUPING SETS aggregate over the daily sums:
+    # a single branch, so the input is read once
+    dated = daily.select(
+        F.date_trunc("week", F.col("date")).cast("date").alias("wk"),
+        F.date_trunc("month", F.col("date")).cast("date").alias("mo"),
+        *[c for c in daily.columns if c != "date"])
+    sums = dated.groupingSets([["wk"], ["mo"]], "wk", "mo").agg(
+        money_sum(dated, "spend").alias("spend"), money_sum(dated, "revenue").alias("revenue"),
+        count_sum("impressions").alias("impressions"), count_sum("clicks").alias("clicks"),
+        F.grouping("wk").alias("_g_wk"))
+    periods = sums.select(
+        F.when(F.col("_g_wk") == 0, F.lit("wow")).otherwise(F.lit("mom")).alias("unit"),
+        F.coalesce("wk", "mo").alias("period"),
+        period_ratio("revenue", "spend").alias("roas"),
+        period_ratio("clicks", "impressions").alias("ctr"))
     w = Window.partitionBy("unit").orderBy(F.col("period").desc())
     last2 = periods.withColumn("rk", F.row_number().over(w)).where(F.col("rk") <= 2)
     per_unit = last2.groupBy("unit").agg(

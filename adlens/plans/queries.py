@@ -150,9 +150,8 @@ def best_worst_segments(spark, sf):
 
 def _under(dim, metric, factor):
     def q(spark, sf):
-        df = facts(spark, sf)
-        return H.underperformers(S.segment_aggregates(df, moments=False), M.overall_metrics(df),
-                                 dim, metric, factor)
+        a = _analysis(spark, sf)
+        return H.underperformers(a.seg, a.metrics, dim, metric, factor)
     return q
 
 
@@ -253,13 +252,8 @@ def status_counts(spark, sf):
 
 # -- creatives -------------------------------------------------------------------
 
-def _seg(df):
-    return S.segment_aggregates(df, moments=False)
-
-
 def low_ctr_campaigns(spark, sf):
-    df = facts(spark, sf)
-    return C.low_ctr_campaigns(_seg(df), df, P).select(
+    return _creatives(spark, sf)["low_ctr"].select(
         "campaign", "current_ctr", "current_creative_type", "current_message")
 
 
@@ -277,7 +271,7 @@ def high_ctr_messages(spark, sf):
 
 
 def best_creative_types(spark, sf):
-    b = C.best_creative_types(_seg(facts(spark, sf)))
+    b = C.best_creative_types(_analysis(spark, sf).seg)
     return b.select(F.posexplode("best_types").alias("pos", "creative_type")).select(
         (F.col("pos") + 1).cast("bigint").alias("rank"), "creative_type")
 
@@ -289,8 +283,10 @@ def audience_tags(spark, sf):
 
 
 def _creatives(spark, sf):
-    df = facts(spark, sf)
-    return C.creative_pipeline(_seg(df), df, P)
+    """Creative pipeline over the materialised single-scan cube (segments + modes)."""
+    a = _analysis(spark, sf, creatives=True)
+    a.recommendations  # builds and materialises the variations
+    return a._creative_pipe()
 
 
 def creative_candidates(spark, sf):

@@ -43,7 +43,8 @@ class Analysis:
         self.facts, self.params, self._checkpoint = facts, params, checkpoint
         self.evidence_facts = evidence_facts
         self.cube, self.daily, self.seg = data["cube"], data["daily"], data["seg"]
-        self.summary, self.metrics, self.trends = data["summary"], data["metrics"], data["trends"]
+        self.summary = data["summary"]
+        self._metrics_builder, self._trends_builder = data["metrics"], data["trends"]
         self.modes = data.get("modes")
         self._creatives = creatives
         self._cache: dict = {}
@@ -56,6 +57,8 @@ class Analysis:
     def _set(self, name, value):
         self._cache[name] = value
 
+    metrics = property(lambda self: self._get("metrics", self._metrics_builder))
+    trends = property(lambda self: self._get("trends", self._trends_builder))
     hypotheses = property(lambda self: self._get(
         "hypotheses", lambda: H.hypotheses(self.metrics, self.trends, self.seg, self.params)))
     def _evidence_seg(self) -> DataFrame:
@@ -98,19 +101,21 @@ class Analysis:
 def data_step(facts: DataFrame, params: Params = Params(), issues: DataFrame | None = None,
               checkpoint: bool = True, modes: bool = False) -> dict:
     """One scan of the facts (the cube, optionally with per-campaign modes),
-    materialised; overall metrics and trends (one or two rows each) are
-    materialised too, since every later step reads them through scalar
-    subqueries."""
+    materialised.  Overall metrics and trends (one or two rows each) are
+    returned as builders: ``Analysis`` materialises them on first use, since
+    every later step reads them through scalar subqueries."""
     cube = S.fact_cube(facts, moments=True, include_daily=True, include_modes=modes)
     if checkpoint:
         cube = cut_lineage(cube)
     daily = S.daily_of_cube(cube)
     seg = S.segments_of_cube(cube)
-    metrics = M.overall_metrics(daily)
-    trends = M.trends(facts, params, daily=daily)
-    if checkpoint:
-        metrics, trends = cut_lineage(metrics), cut_lineage(trends)
-    return dict(cube=cube, daily=daily, seg=seg, metrics=metrics, trends=trends,
+
+    def small(df):
+        return cut_lineage(df) if checkpoint else df
+
+    return dict(cube=cube, daily=daily, seg=seg,
+                metrics=lambda: small(M.overall_metrics(daily)),
+                trends=lambda: small(M.trends(facts, params, daily=daily)),
                 summary=M.summary_from_daily(daily, seg, issues),
                 modes=S.modes_of_cube(cube) if modes else None)
 
