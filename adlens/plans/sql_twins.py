@@ -621,6 +621,60 @@ REPORT_COUNTS = _with(F, *_VALID, *[c for c in _VARS if c not in _VALID]) + """S
   (SELECT CAST(count(*) AS BIGINT) FROM low) AS recommendation_sets,
   (SELECT hypothesis_text FROM ranked_v WHERE rank = 1) AS top_hypothesis"""
 
+CONTRACT_VIOLATIONS = _with(F, *_VALID, *[c for c in _VARS if c not in _VALID], """summ AS (
+  SELECT CAST(count(*) AS BIGINT) AS total_rows, CAST(coalesce(sum(spend_cents), 0) AS DOUBLE) / 100.0 AS total_spend,
+         CAST(coalesce(sum(revenue_cents), 0) AS DOUBLE) / 100.0 AS total_revenue,
+         CAST(count(DISTINCT campaign_name) AS BIGINT) AS campaigns_count, CAST(0 AS BIGINT) AS invalid_rows
+  FROM ad_facts)""", """nmet AS (SELECT category, count(*) AS n FROM evm GROUP BY category)""",
+  """vfull AS (SELECT v.*, e.t_stat, e.ci_lower, e.ci_upper, coalesce(m.n, 0) AS n_metrics_rows,
+                   EXISTS (SELECT 1 FROM evm x WHERE x.category = v.ev_category AND (isnan(x.value) OR isinf(x.value)))
+                     AS bad_metric
+            FROM validated v JOIN ev e ON e.category = v.ev_category LEFT JOIN nmet m ON m.category = v.ev_category)""",
+  """recs AS (SELECT campaign, count(*) AS n,
+                  count(*) FILTER (WHERE NOT coalesce(greatest(0.0, least(1.0, conf)) BETWEEN 0 AND 1, FALSE)) AS bad_conf,
+                  count(*) FILTER (WHERE coalesce(length(creative_message) = 0 OR length(upper(substr(parts, 1, 1))
+                                                      || substr(parts, 2) || '.') = 0, TRUE)) AS empty_fields
+           FROM variations GROUP BY campaign)""") + """
+SELECT 'summary' AS table_name, 'required_fields' AS rule,
+       CAST(count(*) FILTER (WHERE total_rows IS NULL OR total_spend IS NULL OR total_revenue IS NULL
+                                   OR campaigns_count IS NULL) AS BIGINT) AS violations FROM summ
+UNION ALL SELECT 'summary', 'non_negative_counts',
+       CAST(count(*) FILTER (WHERE total_rows < 0 OR campaigns_count < 0 OR invalid_rows < 0) AS BIGINT) FROM summ
+UNION ALL SELECT 'trends', 'direction_enum',
+       CAST(count(*) FILTER (WHERE NOT coalesce(direction IN ('increasing', 'decreasing', 'stable'), FALSE)) AS BIGINT) FROM trends
+UNION ALL SELECT 'trends', 'finite_changes',
+       CAST(count(*) FILTER (WHERE coalesce(isnan(week_over_week_change) OR isinf(week_over_week_change), FALSE)
+                                OR coalesce(isnan(month_over_month_change) OR isinf(month_over_month_change), FALSE)) AS BIGINT)
+       FROM trends
+UNION ALL SELECT 'hypotheses', 'required_fields',
+       CAST(count(*) FILTER (WHERE hypothesis_text IS NULL OR category IS NULL OR confidence_score IS NULL) AS BIGINT) FROM hyp
+UNION ALL SELECT 'hypotheses', 'category_enum',
+       CAST(count(*) FILTER (WHERE NOT coalesce(category IN ('creative', 'audience', 'platform', 'budget', 'seasonality'),
+                                                FALSE)) AS BIGINT) FROM hyp
+UNION ALL SELECT 'hypotheses', 'confidence_range',
+       CAST(count(*) FILTER (WHERE NOT coalesce(confidence_score BETWEEN 0 AND 1, FALSE)) AS BIGINT) FROM hyp
+UNION ALL SELECT 'hypotheses', 'min_count', CAST(CASE WHEN count(*) < 3 THEN 1 ELSE 0 END AS BIGINT) FROM hyp
+UNION ALL SELECT 'validated', 'required_fields',
+       CAST(count(*) FILTER (WHERE validation_status IS NULL OR adjusted_confidence_score IS NULL) AS BIGINT) FROM vfull
+UNION ALL SELECT 'validated', 'status_enum',
+       CAST(count(*) FILTER (WHERE NOT coalesce(validation_status IN ('confirmed', 'rejected', 'inconclusive'), FALSE))
+            AS BIGINT) FROM vfull
+UNION ALL SELECT 'validated', 'confidence_range',
+       CAST(count(*) FILTER (WHERE NOT coalesce(adjusted_confidence_score BETWEEN 0 AND 1, FALSE)) AS BIGINT) FROM vfull
+UNION ALL SELECT 'validated', 'min_metrics', CAST(count(*) FILTER (WHERE n_metrics_rows < 2) AS BIGINT) FROM vfull
+UNION ALL SELECT 'validated', 'p_value_range',
+       CAST(count(*) FILTER (WHERE p_value IS NOT NULL AND NOT p_value BETWEEN 0 AND 1) AS BIGINT) FROM vfull
+UNION ALL SELECT 'validated', 'finite_statistics',
+       CAST(count(*) FILTER (WHERE coalesce(isnan(p_value) OR isinf(p_value), FALSE)
+                                OR coalesce(isnan(ci_lower) OR isinf(ci_lower), FALSE)
+                                OR coalesce(isnan(ci_upper) OR isinf(ci_upper), FALSE) OR bad_metric) AS BIGINT) FROM vfull
+UNION ALL SELECT 'validated', 'interval_pair',
+       CAST(count(*) FILTER (WHERE has_test AND (ci_lower IS NULL OR ci_upper IS NULL)) AS BIGINT) FROM vfull
+UNION ALL SELECT 'recommendations', 'required_fields', CAST(count(*) FILTER (WHERE campaign IS NULL) AS BIGINT) FROM recs
+UNION ALL SELECT 'recommendations', 'min_variations', CAST(count(*) FILTER (WHERE n < 3) AS BIGINT) FROM recs
+UNION ALL SELECT 'recommendations', 'confidence_range', CAST(count(*) FILTER (WHERE bad_conf > 0) AS BIGINT) FROM recs
+UNION ALL SELECT 'recommendations', 'non_empty_fields', CAST(count(*) FILTER (WHERE empty_fields > 0) AS BIGINT) FROM recs"""
+
 SEGMENTS = {
     "campaign_name": _segment_by("campaign_name"), "creative_type": _segment_by("creative_type"),
     "audience_type": _segment_by("audience_type"), "platform": _segment_by("platform"),
@@ -653,4 +707,5 @@ ORACLE = {
     "weekly_mean_ctr": WEEKLY_MEAN_CTR, "segment_counts": SEGMENT_COUNTS,
     "hypothesis_categories": HYPOTHESIS_CATEGORIES, "top_hypothesis": TOP_HYPOTHESIS,
     "validated_hypotheses": VALIDATED_HYPOTHESES, "report_counts": REPORT_COUNTS,
+    "contract_violations": CONTRACT_VIOLATIONS,
 }
