@@ -10,10 +10,12 @@ Semantics, in order:
      raw values and become NULL, the row is kept.
 
 All counts come from one fused global aggregate over flag columns.  The
-examples are top-5 queries by input ordinal (``TakeOrderedAndProject``);
+date examples are a top-5 query by input ordinal (``TakeOrderedAndProject``);
 the row position of a date example is the number of surviving rows before
 it, computed by conditional counts against a scalar array of at most five
-ordinals -- exact, distributed, and without a join or a global window.
+ordinals -- exact, distributed, and without a join or a global window.  The
+numeric examples of all fields come from one scan with a two-level window
+(first five per field and input partition, then per field).
 """
 
 from __future__ import annotations

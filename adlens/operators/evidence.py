@@ -4,8 +4,8 @@ Evidence depends only on a hypothesis' category and the data, so it is
 computed once per category (six rows: creative, audience, platform, budget,
 seasonality and a generic fallback) and joined to the hypotheses by
 category.  The t-test uses the per-segment sufficient statistics gathered
-by the segmentation pass (no rescan of the facts); only the p-value
-finisher is a pandas UDF, over at most three rows.
+by the segmentation pass (no rescan of the facts); the p-value finisher
+(regularised incomplete beta) runs JVM-side on at most three rows.
 """
 
 from __future__ import annotations

@@ -1,9 +1,11 @@
 """Rule-based hypotheses from the aggregated tables (metrics, trends, segments).
 
 All inputs are small aggregates.  They are combined into a one-row context
-(scalar subqueries, no joins); every generator is a filter + projection of
-that row, the six generators are unioned in their fixed order, cut to
-``max_hypotheses`` by that order and padded to three with default rows.
+(struct scalar subqueries, no joins).  Every generator and every default
+row is one ``named_struct`` candidate built from that row by a single SQL
+projection; the array of candidates is exploded once, the generated rows
+are cut to ``max_hypotheses`` in their fixed order and padded to three with
+the default rows.
 """
 
 from __future__ import annotations

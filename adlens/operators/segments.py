@@ -1,10 +1,12 @@
 """Segmentation: per-value totals of the four dimensions in one pass.
 
-``segment_aggregates`` runs a single GROUPING SETS aggregate (Expand x4 feeding
-a partial hash aggregate, one shuffle) and also collects the two-sample
-sufficient statistics (n, mean, sample variance) of the row-level ``ctr`` and
-``roas`` columns, so the t-tests need no second scan.  Hot keys are harmless:
-the partial aggregate collapses them map-side before the shuffle.
+``fact_cube`` runs a single GROUPING SETS aggregate (Expand feeding a partial
+hash aggregate, one shuffle) over the four dimensions, optionally the date
+and the (campaign, value) pairs of the per-campaign modes.  It also collects
+the two-sample sufficient statistics (n, mean, sample variance) of the
+row-level ``ctr`` and ``roas`` columns, so the t-tests need no second scan.
+Hot keys are harmless: the partial aggregate collapses them map-side before
+the shuffle.
 """
 
 from __future__ import annotations
