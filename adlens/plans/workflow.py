@@ -5,15 +5,17 @@ Physical shape, whatever the data size:
 * one scan -- ``fact_cube``: one GROUPING SETS aggregate over the facts
   (four dimensions + date; sums, row counts, t-test moments; with creatives
   also the (campaign, value) counts whose per-campaign ``min_by`` gives the
-  modes).  Partial aggregation map-side, one shuffle; output is #dates +
-  #segment values + 3 x #campaigns rows.
+  modes, reduced by a second aggregate in the same linear plan).  Partial
+  aggregation map-side; output is #dates + #segment values + 3 x #campaigns
+  rows.
 * the exact ctr quantile histogram and the high-CTR message counts (only
   for the high-CTR message report) scan again.
 
-The small outputs of the scans are cut from their lineage with a reliable
-checkpoint in the session's shared checkpoint folder, so later steps (and
-an executor loss) never recompute from the raw facts.  Everything after
-the scans works on those small tables.
+The cube is written as a table into the session's shared checkpoint folder
+and read back (``session.cut_lineage``), and so are the one- and two-row
+metrics and trends tables and the creative variations when first used, so
+later steps (and an executor loss) never recompute from the raw facts.
+Everything after the scan works on those small tables.
 """
 
 from __future__ import annotations
