@@ -675,6 +675,79 @@ UNION ALL SELECT 'recommendations', 'min_variations', CAST(count(*) FILTER (WHER
 UNION ALL SELECT 'recommendations', 'confidence_range', CAST(count(*) FILTER (WHERE bad_conf > 0) AS BIGINT) FROM recs
 UNION ALL SELECT 'recommendations', 'non_empty_fields', CAST(count(*) FILTER (WHERE empty_fields > 0) AS BIGINT) FROM recs"""
 
+_NARR_EXTRA = ["""narr_in AS (
+  SELECT 'insight' AS step,
+    'Analyzing data to understand ROAS performance changes. '
+      || printf('Current overall ROAS: %.2f. ', (SELECT overall_roas FROM metrics))
+      || CASE WHEN EXISTS (SELECT 1 FROM trends) THEN 'Trend data available for analysis. ' ELSE '' END
+      || printf('Segmentation data available across %d dimensions. ', (SELECT count(DISTINCT dimension) FROM segx)) AS think,
+    'Data pattern analysis:' || chr(10)
+      || coalesce((SELECT string_agg(printf('- %s trend: %s (WoW: %.1f%%, MoM: %.1f%%)', upper(metric), direction,
+                                            week_over_week_change, month_over_month_change) || chr(10), ''
+                                     ORDER BY CASE WHEN metric = 'roas' THEN 0 ELSE 1 END) FROM trends), '')
+      || coalesce((SELECT string_agg(printf('- %s: %d segments identified',
+                                            CASE dimension WHEN 'campaign_name' THEN 'by_campaign'
+                                                           WHEN 'creative_type' THEN 'by_creative_type'
+                                                           WHEN 'audience_type' THEN 'by_audience_type'
+                                                           ELSE 'by_platform' END, n) || chr(10), '' ORDER BY o)
+                   FROM (SELECT dimension, count(*) AS n, min(dim_ord) AS o FROM segx GROUP BY dimension)), '')
+      || printf(chr(10) || 'Generated %d hypotheses across categories: ', (SELECT count(*) FROM hyp))
+      || coalesce((SELECT string_agg(category, ', ' ORDER BY category) FROM (SELECT DISTINCT category FROM hyp)), '')
+      AS analyze,
+    printf('Generated %d testable hypotheses to explain ROAS performance. ', (SELECT count(*) FROM hyp))
+      || coalesce((SELECT printf('Top hypothesis (confidence: %.2f): ', confidence_score) || hypothesis_text || '. '
+                   FROM hyp ORDER BY confidence_score DESC, ord ASC LIMIT 1), '')
+      || 'These hypotheses require validation through the Evaluator Agent using quantitative metrics. '
+      || 'Each hypothesis includes a validation approach for testing.' AS conclude)""",
+    """narr_ev AS (
+  SELECT 'evaluation' AS step,
+    printf('Validating %d hypotheses using quantitative metrics and statistical analysis. ', (SELECT count(*) FROM hyp))
+      || 'Each hypothesis will be tested against dataset segments and compared for statistical significance. '
+      || 'Confidence scores will be adjusted based on validation strength and segmentation evidence.' AS think,
+    printf('Validation analysis:' || chr(10) || '- Confirmed hypotheses: %d' || chr(10) || '- Rejected hypotheses: %d'
+           || chr(10) || '- Inconclusive hypotheses: %d' || chr(10)
+           || '- Hypotheses with statistical significance tests: %d' || chr(10) || '- High confidence (≥0.7): %d'
+           || chr(10) || '- Medium confidence (0.5-0.7): %d' || chr(10) || '- Low confidence (<0.5): %d',
+           count(*) FILTER (WHERE validation_status = 'confirmed'), count(*) FILTER (WHERE validation_status = 'rejected'),
+           count(*) FILTER (WHERE validation_status = 'inconclusive'), count(*) FILTER (WHERE has_test),
+           count(*) FILTER (WHERE adjusted_confidence_score >= 0.7),
+           count(*) FILTER (WHERE adjusted_confidence_score >= 0.5 AND adjusted_confidence_score < 0.7),
+           count(*) FILTER (WHERE adjusted_confidence_score < 0.5)) AS analyze,
+    printf('Validation complete for %d hypotheses. ', count(*))
+      || coalesce((SELECT printf('Top hypothesis (confidence: %.2f): ', adjusted_confidence_score) || hypothesis_text
+                          || '. Status: ' || validation_status || '. ' FROM ranked_v WHERE rank = 1), '')
+      || printf('Generated %d top insights for reporting. ', least(count(*), 3))
+      || 'Hypotheses ranked by adjusted confidence score using weighted formula: '
+      || '(InsightConfidence * 0.4) + (ValidationStrength * 0.4) + (SegmentationEvidence * 0.2).' AS conclude
+  FROM validated)""",
+    """narr_cr AS (
+  SELECT 'creative' AS step,
+    printf('Analyzing campaigns to identify those with CTR below %.4f. ', 0.01)
+      || printf('Found %d campaigns requiring creative optimization. ', (SELECT count(*) FROM low))
+      || 'Will generate creative variations based on high-performing creative attributes and audience targeting.'
+      AS think,
+    'Creative performance analysis:' || chr(10)
+      || CASE WHEN (SELECT count(*) FROM low) > 0 THEN
+           printf('- Average CTR of low-performing campaigns: %.4f', (SELECT avg(current_ctr) FROM low)) || chr(10)
+           || printf('- Campaigns identified: %d', (SELECT count(*) FROM low)) || chr(10)
+           || coalesce((SELECT string_agg(printf('  * %s: CTR %.4f', campaign, current_ctr) || chr(10), ''
+                                          ORDER BY spend DESC, campaign ASC)
+                        FROM (SELECT * FROM low ORDER BY spend DESC, campaign ASC LIMIT 3)), '')
+           || CASE WHEN (SELECT count(*) FROM low) > 3
+                   THEN printf('  * ... and %d more', (SELECT count(*) FROM low) - 3) || chr(10) ELSE '' END
+         ELSE '- No campaigns found below CTR threshold' || chr(10) END
+      || printf(chr(10) || 'Generated %d creative variations ', (SELECT count(*) FROM variations))
+      || printf('across %d campaigns.', (SELECT count(*) FROM low)) AS analyze,
+    printf('Generated creative recommendations for %d low-CTR campaigns. ', (SELECT count(*) FROM low))
+      || CASE WHEN (SELECT count(*) FROM low) > 0 THEN
+           printf('Each campaign received %.1f creative variations on average. ',
+                  (SELECT count(*) / count(DISTINCT campaign) FROM variations))
+           || printf('Average confidence score: %.2f. ',
+                     (SELECT avg(greatest(0.0, least(1.0, conf))) FROM variations)) ELSE '' END
+      || 'Recommendations include creative type, message, audience targeting, and expected CTR improvement.' AS conclude)"""]
+NARRATIVES = _with(F, *_VALID, *[c for c in _VARS if c not in _VALID], *_NARR_EXTRA) + """SELECT * FROM narr_in
+UNION ALL SELECT * FROM narr_ev UNION ALL SELECT * FROM narr_cr"""
+
 SEGMENTS = {
     "campaign_name": _segment_by("campaign_name"), "creative_type": _segment_by("creative_type"),
     "audience_type": _segment_by("audience_type"), "platform": _segment_by("platform"),
@@ -707,5 +780,5 @@ ORACLE = {
     "weekly_mean_ctr": WEEKLY_MEAN_CTR, "segment_counts": SEGMENT_COUNTS,
     "hypothesis_categories": HYPOTHESIS_CATEGORIES, "top_hypothesis": TOP_HYPOTHESIS,
     "validated_hypotheses": VALIDATED_HYPOTHESES, "report_counts": REPORT_COUNTS,
-    "contract_violations": CONTRACT_VIOLATIONS,
+    "contract_violations": CONTRACT_VIOLATIONS, "narratives": NARRATIVES,
 }
