@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -60,28 +59,18 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return None
 
 
-def cut_lineage(df: DataFrame, how: str = "table") -> DataFrame:
+def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise a frame in the session's shared checkpoint folder and read it back.
 
-    ``how="table"`` writes a parquet table under the checkpoint folder (one
-    job; the returned frame's plan is a plain scan, so later analysis and
-    any executor loss never go back to the raw input).  ``how="checkpoint"``
-    uses ``DataFrame.checkpoint`` instead.  Without a shared folder (cluster
-    with no ``spark.checkpoint.dir``) the frame is persisted, lineage kept.
+    Writes a parquet table under the checkpoint folder (one job); the returned
+    frame's plan is a plain scan, so later analysis and any executor loss never
+    go back to the raw input.  A cluster session without
+    ``spark.checkpoint.dir`` is an error: the tables must outlive executors.
     """
     spark = df.sparkSession
     folder = checkpoint_dir(spark)
     if folder is None:
-        return df.persist()
-    if how == "checkpoint":
-        cached = df.persist()
-        out = cached.checkpoint(eager=True)
-        cached.unpersist(blocking=False)
-        return out
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = f"{folder.rstrip('/')}/adlens-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return spark.read.parquet(path)
-
-
-def env_cpus(default: str = "8") -> str:
-    return os.environ.get("BENCH_CPUS", default)
