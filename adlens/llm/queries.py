@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from .common import table
+from .quality import quality_verdicts
 from .sharding import shard_documents
 
 
@@ -11,6 +14,15 @@ def op4_sharding(spark, sf_dir):
     return shard_documents(table(spark, sf_dir, "documents"), shards=8).drop("row_no")
 
 
+def op5_quality_rules(spark, sf_dir):
+    """Quality cascade over all documents: base features, base verdict, verdict of all rules."""
+    found = quality_verdicts(table(spark, sf_dir, "documents"))
+    base_failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                        base_failed.alias("base_failed"), F.col("failed_rule").isNull().alias("kept"))
+
+
 QUERIES = {
     "op4_sharding": op4_sharding,
+    "op5_quality_rules": op5_quality_rules,
 }
