@@ -36,10 +36,9 @@ def written(df: DataFrame) -> DataFrame:
     return cut_lineage(df)
 
 
-def low_ascii(text: Column | str) -> Column:
-    """A-Z to a-z; other letters as they are."""
-    text = F.col(text) if isinstance(text, str) else text
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once: a lambda's variable, not a repeated expression."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def texts_as_bytes(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:

@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_CLASS
+from .common import SPACE_CLASS, let
 
 #: Rows of the sample that orders the rules; it has no influence on verdicts.
 SAMPLE_ROWS = 2000
@@ -63,9 +63,6 @@ def _without(text: Column, chars: str) -> Column:
 
 def _repeat_words(words: Column) -> Column:
     """Words inside five-word windows that occur twice or more, the first included."""
-    def let(value: Column, body):
-        return F.get(F.transform(F.array(value), body), F.lit(0))
-
     starts = F.sequence(F.lit(0), F.size(words) - WINDOW)
 
     def of_windows(w: Column) -> Column:

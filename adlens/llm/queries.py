@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from .common import table
 from .quality import quality_verdicts
+from .secrets import BASE_RULES as BASE_SECRETS
+from .secrets import joined, scan_secrets
 from .sharding import shard_documents
 
 
@@ -22,7 +24,21 @@ def op5_quality_rules(spark, sf_dir):
                         base_failed.alias("base_failed"), F.col("failed_rule").isNull().alias("kept"))
 
 
+def op9_secret_scan(spark, sf_dir):
+    """Secrets in all documents: counts and digest of the base kinds, spans of all kinds."""
+    found = scan_secrets(table(spark, sf_dir, "documents"))
+    base = [r.kind for r in BASE_SECRETS]
+    found = found.withColumn("_base", F.filter("spans", lambda s: s["kind"].isin(base)))
+
+    def count(kind):
+        return F.size(F.filter("_base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, base), F.sha2(joined("_base"), 256).alias("base_sha256"),
+                        joined("spans").alias("spans"))
+
+
 QUERIES = {
     "op4_sharding": op4_sharding,
     "op5_quality_rules": op5_quality_rules,
+    "op9_secret_scan": op9_secret_scan,
 }
