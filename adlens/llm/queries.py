@@ -5,12 +5,18 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .common import table
+from .near_dedup import near_duplicates
 from .quality import quality_verdicts
 from .secrets import BASE_RULES as BASE_SECRETS
 from .secrets import joined, scan_secrets
 from .sharding import shard_documents
 
 
+def op1_minhash_near_dedup(spark, sf_dir):
+    """Near-duplicate components of all documents at Jaccard 0.85 on five-word shingles."""
+    return near_duplicates(table(spark, sf_dir, "documents"), threshold=85).drop("text_hash")
+
+
 def op4_sharding(spark, sf_dir):
     """All documents into 8 shards by a Feistel permutation of global row numbers."""
     return shard_documents(table(spark, sf_dir, "documents"), shards=8).drop("row_no")
@@ -38,6 +44,7 @@ def op9_secret_scan(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op4_sharding": op4_sharding,
     "op5_quality_rules": op5_quality_rules,
     "op9_secret_scan": op9_secret_scan,
