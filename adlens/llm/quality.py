@@ -100,28 +100,24 @@ def with_features(docs: DataFrame, text_col: str = "text") -> DataFrame:
     }).drop("_t", "_w", "_l")
 
 
-def rule_order(features: DataFrame, rules: tuple[Rule, ...], sample_rows: int = SAMPLE_ROWS) -> list[dict]:
-    """The rules by rejections per unit of cost on a sample, best first.
+def rule_order(sample: DataFrame, rules: tuple[Rule, ...]) -> list[dict]:
+    """The rules by rejections per unit of cost on ``sample`` (feature columns), best first.
 
-    The sample is at most ``sample_rows`` rows; only one row of sums reaches
-    the driver.  An empty sample keeps the given order.
+    Only one row of averages reaches the driver.  An empty sample keeps the given order.
     """
-    sample = features.sample(0.1, seed=5).limit(sample_rows)
-    sums = sample.agg(F.count("*").alias("n"), *[
+    sums = sample.agg(*[
         x for i, r in enumerate(rules) for x in (
             F.avg(F.expr(f"cast({r.rejects} as int)")).alias(f"rejects_{i}"),
-            F.avg(F.expr(f"cast({r.cost} as double)")).alias(f"cost_{i}"))]).first()
+            F.avg(F.expr(f"cast({r.cost} as double)")).alias(f"cost_{i}"))]).first() if rules else {}
     found = [{"rule": r, "rejects": sums[f"rejects_{i}"] or 0.0, "cost": sums[f"cost_{i}"] or 1.0}
              for i, r in enumerate(rules)]
     return sorted(found, key=lambda x: -x["rejects"] / max(x["cost"], 1.0))
 
 
-def cascade(features: DataFrame, rules: tuple[Rule, ...], sample_rows: int = SAMPLE_ROWS,
-            failed: str = "failed_rule") -> DataFrame:
-    """``features`` with the first rule that rejects the row, null for rows that pass all."""
+def cascade(features: DataFrame, rules: list[Rule], failed: str = "failed_rule") -> DataFrame:
+    """``features`` with the first of the ordered rules that rejects the row, null for rows that pass all."""
     verdict = None
-    for x in rule_order(features, rules, sample_rows):
-        r = x["rule"]
+    for r in rules:
         verdict = F.when(F.expr(r.rejects), r.name) if verdict is None else verdict.when(F.expr(r.rejects), r.name)
     return features.withColumn(failed, F.lit(None).cast("string") if verdict is None else verdict)
 
@@ -130,4 +126,6 @@ def quality_verdicts(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + EXT
                      sample_rows: int = SAMPLE_ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Features and verdict of every document."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return cascade(with_features(rows), rules, sample_rows).drop("text")
+    sample = with_features(rows.sample(0.1, seed=5).limit(sample_rows))
+    order = [x["rule"] for x in rule_order(sample, rules)]
+    return cascade(with_features(rows), order).drop("text")
