@@ -10,6 +10,8 @@ from .quality import quality_verdicts
 from .secrets import BASE_RULES as BASE_SECRETS
 from .secrets import joined, scan_secrets
 from .sharding import shard_documents
+from .toxicity import fit as fit_toxicity
+from .toxicity import score_toxicity
 
 
 def op1_minhash_near_dedup(spark, sf_dir):
@@ -43,9 +45,19 @@ def op9_secret_scan(spark, sf_dir):
                         joined("spans").alias("spans"))
 
 
+def op10_toxicity(spark, sf_dir):
+    """Toxicity of every document, learned from the labelled rows that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = fit_toxicity(docs, table(spark, sf_dir, "labels"))
+    found = score_toxicity(docs, model, score="score")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op4_sharding": op4_sharding,
     "op5_quality_rules": op5_quality_rules,
     "op9_secret_scan": op9_secret_scan,
+    "op10_toxicity": op10_toxicity,
 }
