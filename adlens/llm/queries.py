@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .common import table
+from .decontaminate import find_items
 from .near_dedup import near_duplicates
 from .quality import quality_verdicts
 from .secrets import BASE_RULES as BASE_SECRETS
@@ -32,6 +33,17 @@ def op5_quality_rules(spark, sf_dir):
                         base_failed.alias("base_failed"), F.col("failed_rule").isNull().alias("kept"))
 
 
+def op7_benchmark_decontamination(spark, sf_dir):
+    """Benchmark items that each document contains within their error budgets; documents with any are not kept."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_items(docs, table(spark, sf_dir, "benchmark"))
+    hits = F.col("benchmark_hits")
+    return found.select("doc_id", F.size(hits).cast("long").alias("n_items"),
+                        F.transform(hits, lambda h: h["item_id"]).alias("item_ids"),
+                        F.array_min(F.transform(hits, lambda h: h["edits"])).alias("fewest_edits"),
+                        (F.size(hits) == 0).alias("kept"))
+
+
 def op9_secret_scan(spark, sf_dir):
     """Secrets in all documents: counts and digest of the base kinds, spans of all kinds."""
     found = scan_secrets(table(spark, sf_dir, "documents"))
@@ -58,6 +70,7 @@ QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
     "op4_sharding": op4_sharding,
     "op5_quality_rules": op5_quality_rules,
+    "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op9_secret_scan": op9_secret_scan,
     "op10_toxicity": op10_toxicity,
 }
