@@ -343,6 +343,7 @@ def near_duplicates(docs: DataFrame, threshold: int = 85, id_col: str = "doc_id"
     linked = found.join(names, "component").join(stands.select("node", "digest"), "node").select("digest", "component_id")
     own = stands.select("digest", F.col("doc_id").alias("own_id"))
     named = own.join(linked, "digest", "left").select("digest", F.coalesce("component_id", "own_id").alias("component_id"))
+    named = written(named)          # then both sides of the next join are plain exchanges, whose hot digests Spark splits
     columns = ["doc_id", "text_hash", "n_shingles", "component_id"]
     out = sets.where(linkable).join(named, "digest").select(*columns)
     alone = sets.where(~linkable).withColumn("component_id", F.col("doc_id")).select(*columns)
