@@ -2,4 +2,18 @@
 
 from __future__ import annotations
 
+#: Base32 of a 40-digit hex SHA-1 ``h``: each 5 hex digits are 4 letters.
+_BASE32 = """list_aggregate(list_transform(range(8), lambda i: list_aggregate(list_transform(range(4), lambda j:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(h, 1 + 5 * CAST(i AS INTEGER), 5))::BIGINT >> (15 - 5 * CAST(j AS INTEGER))) & 31)::INTEGER, 1)),
+    'string_agg', '')), 'string_agg', '')"""
+
 ORACLES: dict[str, str] = {}
+
+ORACLES["op3_warc_revisits"] = f"""
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),
+     q AS (SELECT page_id, payload_bytes::BIGINT AS payload_bytes, {_BASE32} AS payload_digest,
+                  min(page_id) OVER (PARTITION BY h) AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM q"""

@@ -13,6 +13,7 @@ from .secrets import joined, scan_secrets
 from .sharding import shard_documents
 from .toxicity import fit as fit_toxicity
 from .toxicity import score_toxicity
+from .warc import archive_pages
 
 
 def op1_minhash_near_dedup(spark, sf_dir):
@@ -20,6 +21,11 @@ def op1_minhash_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), threshold=85).drop("text_hash")
 
 
+def op3_warc_revisits(spark, sf_dir):
+    """All pages archived, repeated payloads turned into revisits, and the new archive read back."""
+    return archive_pages(table(spark, sf_dir, "pages"))
+
+
 def op4_sharding(spark, sf_dir):
     """All documents into 8 shards by a Feistel permutation of global row numbers."""
     return shard_documents(table(spark, sf_dir, "documents"), shards=8).drop("row_no")
@@ -68,6 +74,7 @@ def op10_toxicity(spark, sf_dir):
 
 QUERIES = {
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op3_warc_revisits": op3_warc_revisits,
     "op4_sharding": op4_sharding,
     "op5_quality_rules": op5_quality_rules,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
