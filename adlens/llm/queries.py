@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from .chat import canonical_turns, formatted, read_back
 from .common import table, written
 from .decontaminate import find_items
+from .language import document_evidence, identify, page_evidence
+from .language import train as train_language
 from .near_dedup import near_duplicates
 from .quality import quality_verdicts
 from .secrets import BASE_RULES as BASE_SECRETS
@@ -40,6 +42,15 @@ def op5_quality_rules(spark, sf_dir):
                         base_failed.alias("base_failed"), F.col("failed_rule").isNull().alias("kept"))
 
 
+def op6_language_id(spark, sf_dir):
+    """Language of every page and every document; text likelihoods come from all documents with a known language."""
+    docs = table(spark, sf_dir, "documents")
+    model = train_language(docs.select("text", "lang"))
+    pages = page_evidence(table(spark, sf_dir, "pages")).withColumn("doc_id", F.lit(None).cast("long"))
+    own = document_evidence(docs).withColumn("page_id", F.lit(None).cast("long"))
+    return identify(own.unionByName(pages), model, keep=("doc_id", "page_id"))
+
+
 def op7_benchmark_decontamination(spark, sf_dir):
     """Benchmark items that each document contains within their error budgets; documents with any are not kept."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -102,6 +113,7 @@ QUERIES = {
     "op3_warc_revisits": op3_warc_revisits,
     "op4_sharding": op4_sharding,
     "op5_quality_rules": op5_quality_rules,
+    "op6_language_id": op6_language_id,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_chat_formatting": op8_chat_formatting,
     "op9_secret_scan": op9_secret_scan,
