@@ -348,3 +348,28 @@ def near_duplicates(docs: DataFrame, threshold: int = 85, id_col: str = "doc_id"
     out = sets.where(linkable).join(named, "digest").select(*columns)
     alone = sets.where(~linkable).withColumn("component_id", F.col("doc_id")).select(*columns)
     return out.union(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+
+def keep_one_of_each(docs: DataFrame, threshold: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without all but one row of each group of near-duplicates; all columns pass through.
+
+    The rows to drop are taken out by an anti-join on (id, hash of the text),
+    broadcast only after their number was checked.  Rows that share id and
+    text count as copies of one document: one of them stays.
+    """
+    found = written(near_duplicates(docs, threshold, id_col, text_col).select("doc_id", "text_hash", "kept"))
+    dropped = found.where(~F.col("kept")).select("doc_id", "text_hash").distinct()
+    repeated = written(found.groupBy("doc_id", "text_hash").count().where("count > 1").select("doc_id", "text_hash"))
+
+    def matching(rows: DataFrame, keys: DataFrame, kind: str) -> DataFrame:
+        keys = keys.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+        if keys.count() <= BROADCAST_MEMBERS:
+            keys = F.broadcast(keys)
+        return rows.join(keys, rows["_row_id"].eqNullSafe(keys["_id"]) & (rows["_row_hash"] == keys["_hash"]), kind)
+
+    rows = docs.withColumns({"_row_id": F.col(id_col).cast("long"), "_row_hash": F.xxhash64(text_col)})
+    rows = matching(rows, written(dropped), "left_anti")
+    if repeated.limit(1).count():
+        once = matching(rows, repeated, "left_semi").dropDuplicates(["_row_id", "_row_hash"])
+        rows = matching(rows, repeated, "left_anti").unionByName(once)
+    return rows.drop("_row_id", "_row_hash")

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 #: Base32 of a 40-digit hex SHA-1 ``h``: each 5 hex digits are 4 letters.
 _BASE32 = """list_aggregate(list_transform(range(8), lambda i: list_aggregate(list_transform(range(4), lambda j:
     substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(h, 1 + 5 * CAST(i AS INTEGER), 5))::BIGINT >> (15 - 5 * CAST(j AS INTEGER))) & 31)::INTEGER, 1)),
     'string_agg', '')), 'string_agg', '')"""
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {} if corpus_pipeline.ORACLE_SQL is None else {"pipeline": corpus_pipeline.ORACLE_SQL}
 
 ORACLES["op3_warc_revisits"] = f"""
 WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS h FROM pages),

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+import corpus_pipeline
+
 from .chat import canonical_turns, formatted, read_back
 from .common import table, written
 from .decontaminate import find_items
 from .language import document_evidence, identify, page_evidence
 from .language import train as train_language
+from .mixing import cells_of, mixed, tempered, with_cells
 from .near_dedup import near_duplicates
 from .quality import quality_verdicts
 from .secrets import BASE_RULES as BASE_SECRETS
@@ -24,6 +27,17 @@ def op1_minhash_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), threshold=85).drop("text_hash")
 
 
+def op2_source_mixing(spark, sf_dir):
+    """Sampling probability of every document so that sources, languages and topics meet target token shares."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
+    celled = written(with_cells(docs).drop("text", "source", "lang"))
+    cells = cells_of(celled)
+    found = mixed(celled, cells, tempered(cells, {"_source": 0.5, "_lang": 0.7, "_topic": 0.8}))
+    return found.select("doc_id", F.col("_source").alias("source"), F.col("_lang").alias("lang"),
+                        F.col("_topic").alias("topic"), F.col("_tokens").alias("tokens"),
+                        F.col("_probability").alias("probability"), F.col("_kept").alias("kept"))
+
+
 def op3_warc_revisits(spark, sf_dir):
     """All pages archived, repeated payloads turned into revisits, and the new archive read back."""
     return archive_pages(table(spark, sf_dir, "pages"))
@@ -108,8 +122,15 @@ def op10_toxicity(spark, sf_dir):
     return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def pipeline(spark, sf_dir):
+    """The corpus pipeline over all documents."""
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
+    "pipeline": pipeline,
     "op1_minhash_near_dedup": op1_minhash_near_dedup,
+    "op2_source_mixing": op2_source_mixing,
     "op3_warc_revisits": op3_warc_revisits,
     "op4_sharding": op4_sharding,
     "op5_quality_rules": op5_quality_rules,
