@@ -61,7 +61,7 @@ def myers_search(item: str, text: str, most: int) -> int:
     for i, c in enumerate(item):
         masks[c] = masks.get(c, 0) | (1 << i)
     full, high = (1 << m) - 1, 1 << (m - 1)
-    up, down, score, best = full, 0, m, most + 1        # vertical differences of +1 and -1
+    up, down, score, best = full, 0, m, min(m, most + 1)        # vertical differences of +1 and -1
     for c in text:
         eq = masks.get(c, 0)
         across = (((eq & up) + up) ^ up) | eq
