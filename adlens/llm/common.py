@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,3 +51,15 @@ def texts_as_bytes(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
 def words_of(text: bytes, lower: bool = True) -> list[bytes]:
     """The words ``[^\\x20\\x09-\\x0D]+`` of a text, A-Z lower-cased on request."""
     return [w for w in text.translate(LOWER_BYTES if lower else SPACE_BYTES).split(b" ") if w]
+
+
+def clear_of(docs: DataFrame, reserved: list[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with columns of reserved names renamed, and the function that gives a result
+    exactly the columns that ``docs`` had."""
+    away = {c: f"{c}__own{i}" for i, c in enumerate(docs.columns) if c.lower() in {r.lower() for r in reserved}}
+    names = list(docs.columns)
+
+    def back(result: DataFrame) -> DataFrame:
+        return result.select(*[F.col(f"`{away.get(c, c)}`").alias(c) for c in names])
+
+    return docs.withColumnsRenamed(away), back

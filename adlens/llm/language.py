@@ -176,8 +176,8 @@ def _posterior(log: np.ndarray) -> np.ndarray:
 def _score(model: TextModel, keep: tuple[str, ...]):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            markup = batch.column("is_markup").to_pylist()
-            texts = [visible_text(x) if m else x or "" for x, m in zip(batch.column("text").to_pylist(), markup)]
+            markup = batch.column("_markup").to_pylist()
+            texts = [visible_text(x) if m else x or "" for x, m in zip(batch.column("_text").to_pylist(), markup)]
             log = model.scores(texts)
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in keep], pa.array(list(log), pa.list_(pa.float64())),
@@ -236,7 +236,7 @@ def identify(rows: DataFrame, model: TextModel, keep: tuple[str, ...]) -> DataFr
                              "host": F.coalesce("host", F.lit("")), "domain": F.coalesce("domain", F.lit(""))})
     through = tuple(dict.fromkeys([*keep, "host", "domain", "declared", "address"]))
     kinds = {x.name: x.dataType.simpleString() for x in rows.schema.fields}
-    scored = written(rows.select("text", "is_markup", *through).mapInArrow(
+    scored = written(rows.select(F.col("text").alias("_text"), F.col("is_markup").alias("_markup"), *through).mapInArrow(
         _score(model, through), ", ".join(f"`{c}` {kinds[c]}" for c in through)
         + ", text_log array<double>, text_posterior array<double>, text_best int"))
     sums = [F.sum(F.get("text_posterior", F.lit(k))).alias(f"s{k}") for k in range(len(langs))]

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_BYTES, texts_as_bytes, written
+from .common import LOWER_BYTES, clear_of, texts_as_bytes, written
 from .components import connected_components
 from .sharding import numbered
 
@@ -367,9 +367,10 @@ def keep_one_of_each(docs: DataFrame, threshold: int = 80, id_col: str = "doc_id
             keys = F.broadcast(keys)
         return rows.join(keys, rows["_row_id"].eqNullSafe(keys["_id"]) & (rows["_row_hash"] == keys["_hash"]), kind)
 
+    docs, back = clear_of(docs, ["_row_id", "_row_hash", "_id", "_hash"])
     rows = docs.withColumns({"_row_id": F.col(id_col).cast("long"), "_row_hash": F.xxhash64(text_col)})
     rows = matching(rows, written(dropped), "left_anti")
     if repeated.limit(1).count():
         once = matching(rows, repeated, "left_semi").dropDuplicates(["_row_id", "_row_hash"])
         rows = matching(rows, repeated, "left_anti").unionByName(once)
-    return rows.drop("_row_id", "_row_hash")
+    return back(rows)

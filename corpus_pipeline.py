@@ -15,9 +15,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlens.llm.common import shared_folder, table
+from adlens.llm.common import clear_of, shared_folder, table
 from adlens.llm.decontaminate import find_items
-from adlens.llm.mixing import cells_of, mixed, tempered, with_cells
+from adlens.llm.mixing import ADDED, cells_of, mixed, tempered, with_cells
 from adlens.llm.near_dedup import keep_one_of_each
 from adlens.llm.sharding import shard_documents
 from adlens.llm.toxicity import fit, score_toxicity
@@ -33,8 +33,9 @@ SHARDS, SHARD_SEED = 8, 2024
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: documents that the model, learned from ``labels``, calls toxic go."""
+    docs, back = clear_of(docs, ["_toxicity"])
     model = fit(docs, table(spark, sf_dir, "labels"))
-    return score_toxicity(docs, model, score="_toxicity").where(F.col("_toxicity") < TOXIC_FROM).drop("_toxicity")
+    return back(score_toxicity(docs, model, score="_toxicity").where(F.col("_toxicity") < TOXIC_FROM))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,15 +45,16 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7: documents that contain a benchmark item within its error budget go."""
-    found = find_items(docs, table(spark, sf_dir, "benchmark"), hits="_hits")
-    return found.where(F.size("_hits") == 0).drop("_hits")
+    docs, back = clear_of(docs, ["_hits", "_block_hits"])
+    return back(find_items(docs, table(spark, sf_dir, "benchmark"), hits="_hits").where(F.size("_hits") == 0))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2: documents sampled so that sources, languages and topics meet their target token shares."""
+    docs, back = clear_of(docs, ADDED)
     celled = with_cells(docs)
     cells = cells_of(celled)
-    return mixed(celled, cells, tempered(cells, MIX_POWERS)).where("_kept").select(*docs.columns)
+    return back(mixed(celled, cells, tempered(cells, MIX_POWERS)).where("_kept"))
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -19,5 +19,5 @@ def messy(spark):
         (8, "pass word \\### : </turn> é ü 😀 idiot", "en", "a", 5, "x"),
     ]
     clashing = ("doc_id long, text string, lang string, source string, n_chars long, shard string, "
-                "kept string, _tokens string, benchmark_hits string, node string, digest string")
+                "kept string, _tokens string, _hits string, _row_id string, digest string")
     return spark.createDataFrame([(*r, "k", "t", "h", "n", "d") for r in rows], clashing)
