@@ -2,19 +2,19 @@
 
 ``write_archive`` writes one WARC/1.1 record per row through Spark's text
 writer (gzip), whose line separator is the blank lines that end a record.
-``read_archive`` reads archives back by the records' Content-Length.
+``read_headers`` reads archives back by the records' Content-Length.
 
-``deduplicated`` resolves revisits: only headers (record id, payload digest,
-length) are shuffled, grouped by digest; the smallest page of each digest
-stays the response, all others become revisits that refer to it, and the
-payloads join their decisions by record id.  The new archive gets fresh
-headers; a revisit has no payload.  ``resolved`` reads it again and joins
-revisits to the responses they refer to.
+``deduplicated`` resolves revisits: only headers (file, record id, payload
+digest, length) are shuffled, grouped by digest; the smallest page of each
+digest stays the response and all others become revisits that refer to it.
+The decisions join the files their records are in, and the records are written
+anew with fresh headers; a revisit has no payload.  ``resolved`` reads the new
+archive and joins revisits to the responses they refer to.
 
 A digest that a third of all records have is reduced to its smallest page
 before the shuffle (partial aggregation), and the join back on the digest is
 one Spark can split; payloads are never grouped by digest.  Files are cut at
-``FILE_RECORDS`` records, which bounds what one task parses.
+``FILE_RECORDS`` records, which bounds what one step parses.
 
 Defined results: null html is an empty payload; records with equal payloads
 of at least ``min_bytes`` bytes are one group, shorter ones are all
@@ -100,101 +100,120 @@ def _write_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for x in batch.to_pylist()], pa.string())], names=["value"])
 
 
-def write_archive(records: DataFrame, folder: str) -> None:
-    """Records (columns of ``_RECORD``) as gzipped archives in ``folder``."""
-    lines = records.select(*[c for c, _ in _HEADERS]).mapInArrow(_write_lines, "value string")
-    (lines.write.option("lineSep", RECORD_END).option("compression", "gzip")
+def _write(lines: DataFrame, folder: str) -> None:
+    """Records (column ``value``, without their endings) as gzipped archives in ``folder``."""
+    (lines.write.option("lineSep", RECORD_END).option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
      .option("maxRecordsPerFile", FILE_RECORDS).text(folder))
 
 
-def _read_files(with_payload: bool):
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def out(rows: list[dict]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_pylist(rows, schema=pa.schema(_HEADERS))
-
-        for batch in batches:
-            for data in batch.column("content"):
-                rows, size = [], 0
-                for head, block in parsed_records(gzip.open(io.BytesIO(data.as_py()))):
-                    digest = head["WARC-Payload-Digest"].removeprefix("sha1:")
-                    if head["WARC-Type"] == "response" and payload_digest(block) != digest:
-                        raise ValueError(f"payload of {head['WARC-Record-ID']} does not have its digest")
-                    rows.append({
-                        "record_id": head["WARC-Record-ID"][10:-1], "record_type": head["WARC-Type"],
-                        "page_id": int(head["X-Page-ID"]) if "X-Page-ID" in head else None, "url": head["WARC-Target-URI"],
-                        "payload_digest": digest, "payload_bytes": int(head["X-Payload-Length"]),
-                        "refers_to_record": head["WARC-Refers-To"][10:-1] if "WARC-Refers-To" in head else None,
-                        "payload": block.decode() if with_payload else None})
-                    size += len(block)
-                    if size > 8_000_000:
-                        yield out(rows)
-                        rows, size = [], 0
-                if rows:
-                    yield out(rows)
-    return read
-
-
-def read_archive(spark: SparkSession, folder: str, with_payload: bool = True) -> DataFrame:
-    """The records of all archives in ``folder``, one file per task's step; digests of responses are verified."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(folder).select("content")
-    return files.mapInArrow(_read_files(with_payload), _RECORD)
-
-
-def _original(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _files(spark: SparkSession, folder: str) -> DataFrame:
+    """(file, content) of every archive in ``folder``."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(folder)
+    return files.select(F.col("path").alias("file"), "content")
+
+
+def _parsed_file(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
+    """The records of one archive; the digests of responses are verified."""
+    for head, block in parsed_records(gzip.open(io.BytesIO(content))):
+        digest = head["WARC-Payload-Digest"].removeprefix("sha1:")
+        if head["WARC-Type"] == "response" and payload_digest(block) != digest:
+            raise ValueError(f"payload of {head['WARC-Record-ID']} does not have its digest")
+        yield head, block
+
+
+def _id(header: str | None) -> str | None:
+    """The bare id of a ``<urn:uuid:...>`` header."""
+    return header[10:-1] if header else None
+
+
+_HEADERS = pa.schema([("file", pa.string()), ("record_id", pa.string()), ("record_type", pa.string()), ("page_id", pa.int64()),
+                      ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("refers_to_record", pa.string())])
+
+
+def _read_headers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        payloads = [x or "" for x in batch.column("html").to_pylist()]
-        raw = [x.encode() for x in payloads]
-        n = len(raw)
-        yield pa.RecordBatch.from_arrays([
-            pa.array([str(uuid.uuid5(uuid.NAMESPACE_OID, f"capture {k}")) for k in batch.column("row").to_pylist()], pa.string()),
-            pa.array(["response"] * n, pa.string()), batch.column("page_id"), batch.column("url"),
-            pa.array([payload_digest(x) for x in raw], pa.string()), pa.array([len(x) for x in raw], pa.int64()),
-            pa.nulls(n, pa.string()), pa.array(payloads, pa.string())], schema=pa.schema(_HEADERS))
+        for file, content in zip(batch.column("file").to_pylist(), batch.column("content")):
+            yield pa.RecordBatch.from_pylist([{
+                "file": file, "record_id": _id(head["WARC-Record-ID"]), "record_type": head["WARC-Type"],
+                "page_id": int(head["X-Page-ID"]) if "X-Page-ID" in head else None,
+                "payload_digest": head["WARC-Payload-Digest"].removeprefix("sha1:"),
+                "payload_bytes": int(head["X-Payload-Length"]), "refers_to_record": _id(head.get("WARC-Refers-To")),
+            } for head, _ in _parsed_file(content.as_py())], schema=_HEADERS)
+
 
+def read_headers(spark: SparkSession, folder: str) -> DataFrame:
+    """What the headers of all records in ``folder`` say; the payloads stay in their files."""
+    return _files(spark, folder).mapInArrow(_read_headers, (
+        "file string, record_id string, record_type string, page_id long, payload_digest string, "
+        "payload_bytes long, refers_to_record string"))
 
-def archived(pages: DataFrame) -> DataFrame:
+
+def _capture(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        lines = []
+        for row, page, url, payload in zip(*[batch.column(c).to_pylist() for c in ("row", "page_id", "url", "html")]):
+            raw = (payload or "").encode()
+            lines.append(warc_record("response", str(uuid.uuid5(uuid.NAMESPACE_OID, f"capture {row}")), url, page,
+                                     payload_digest(raw), len(raw), payload or ""))
+        yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
+
+
+def write_archive(pages: DataFrame, folder: str) -> None:
     """A full response record for every row of ``pages`` (page_id, url, html).
 
     Record ids come from the rows' places and are settled by writing the archive once.
     """
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                         F.col("html").cast("string").alias("html"), F.monotonically_increasing_id().alias("row"))
-    return rows.mapInArrow(_original, _RECORD)
+    _write(rows.mapInArrow(_capture, "value string"), folder)
 
 
-def revisit_decisions(headers: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """(record_id, refers_to_record) of each header; the latter is null for responses."""
+def revisits(headers: DataFrame, min_bytes: int = 0) -> DataFrame:
+    """(file, record_id, refers_to_record) of each record that repeats the payload of another."""
+    long_enough = headers.where(F.col("payload_bytes") >= min_bytes)
     order = F.struct(F.col("page_id").isNull().alias("last"), "page_id", "record_id")
-    firsts = headers.where(F.col("payload_bytes") >= min_bytes).groupBy("payload_digest").agg(F.min(order).alias("first"))
-    firsts = written(firsts.select("payload_digest", F.col("first.record_id").alias("first")))
-    joined = headers.join(firsts, "payload_digest", "left")
-    refers = F.when((F.col("payload_bytes") >= min_bytes) & (F.col("first") != F.col("record_id")), F.col("first"))
-    return joined.select("record_id", refers.alias("refers_to_record"))
+    firsts = long_enough.groupBy("payload_digest").agg(F.min(order).alias("first"), F.count("*").alias("n")).where("n > 1")
+    firsts = written(firsts.select("payload_digest", F.col("first.record_id").alias("refers_to_record")))
+    joined = long_enough.select("file", "record_id", "payload_digest").join(firsts, "payload_digest")
+    return joined.where("record_id <> refers_to_record").select("file", "record_id", "refers_to_record")
 
 
-def _fresh_id(record_id: Column) -> Column:
+def fresh_id(record_id: str) -> str:
     """The id of the new archive's record for one of the old."""
-    h = F.md5(F.concat(F.lit("deduplicated "), record_id))
-    return F.concat_ws("-", *[F.substring(h, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
+    return str(uuid.uuid5(uuid.NAMESPACE_OID, f"deduplicated {record_id}"))
+
+
+def _rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for content, repeats in zip(batch.column("content"), batch.column("repeats").to_pylist()):
+            refers = {x["record_id"]: x["refers_to_record"] for x in repeats or ()}
+            lines = []
+            for head, block in _parsed_file(content.as_py()):
+                old = _id(head["WARC-Record-ID"])
+                there = refers.get(old)
+                lines.append(warc_record(
+                    "revisit" if there else "response", fresh_id(old), head["WARC-Target-URI"],
+                    int(head["X-Page-ID"]) if "X-Page-ID" in head else None, head["WARC-Payload-Digest"].removeprefix("sha1:"),
+                    len(block), "" if there else block.decode(), fresh_id(there) if there else None))
+            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], names=["value"])
 
 
 def deduplicated(spark: SparkSession, raw: str, folder: str, min_bytes: int = 0) -> None:
-    """The archives in ``raw`` written anew in ``folder``, repeated payloads as revisits."""
-    headers = written(read_archive(spark, raw, with_payload=False)
-                      .select("record_id", "page_id", "payload_digest", "payload_bytes"))
-    decisions = revisit_decisions(headers, min_bytes)
-    records = read_archive(spark, raw).drop("refers_to_record", "record_type").join(decisions, "record_id")
-    revisit = F.col("refers_to_record").isNotNull()
-    write_archive(records.select(
-        _fresh_id(F.col("record_id")).alias("record_id"), F.when(revisit, "revisit").otherwise("response").alias("record_type"),
-        "page_id", "url", "payload_digest", "payload_bytes",
-        F.when(revisit, _fresh_id(F.col("refers_to_record"))).alias("refers_to_record"),
-        F.when(~revisit, F.col("payload")).alias("payload")), folder)
+    """The archives in ``raw`` written anew in ``folder``, repeated payloads as revisits.
+
+    The decisions go to the files their records are in (a file has at most
+    ``FILE_RECORDS``), so payloads move, if at all, in their compressed files.
+    """
+    headers = written(read_headers(spark, raw))
+    repeats = revisits(headers, min_bytes).groupBy("file").agg(
+        F.collect_list(F.struct("record_id", "refers_to_record")).alias("repeats"))
+    _write(_files(spark, raw).join(repeats, "file", "left").select("content", "repeats")
+           .mapInArrow(_rewrite, "value string"), folder)
 
 
 def resolved(spark: SparkSession, folder: str) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to of every record of a deduplicated archive."""
-    records = written(read_archive(spark, folder, with_payload=False).drop("payload"))
+    records = written(read_headers(spark, folder).drop("file"))
     responses = records.where("record_type = 'response'").select(
         F.col("record_id").alias("refers_to_record"), F.col("page_id").alias("refers_to"),
         F.col("payload_digest").alias("digest_there"), F.col("payload_bytes").alias("bytes_there"))
@@ -211,6 +230,6 @@ def archive_pages(pages: DataFrame, min_bytes: int = 0) -> DataFrame:
     """Pages written as an archive, deduplicated into a second one, and read back from that."""
     spark = pages.sparkSession
     base = f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
-    write_archive(archived(pages), f"{base}/raw")
+    write_archive(pages, f"{base}/raw")
     deduplicated(spark, f"{base}/raw", f"{base}/deduplicated", min_bytes)
     return resolved(spark, f"{base}/deduplicated")
