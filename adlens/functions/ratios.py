@@ -70,3 +70,12 @@ def count_sum(name: str) -> Column:
 def fmt(pattern: str, *cols: Column) -> Column:
     """printf-style text (``%.2f`` etc.) built JVM-side."""
     return F.format_string(pattern, *cols)
+
+
+#: White space as Unicode defines it, with the separators U+001C-U+001F.
+WHITE = r"[\x09-\x0D\x1C-\x1F\x20\x85\p{Z}]"
+
+
+def stripped(text: Column) -> Column:
+    """``text`` without white space at both ends (``trim`` knows the plain space only)."""
+    return F.regexp_replace(text, f"^{WHITE}+|{WHITE}+$", "")

@@ -1,128 +1,45 @@
-"""Two-sample Student t-test from sufficient statistics.
+"""P-value of the two-sample Student t-test from sufficient statistics.
 
 The heavy part (n, mean, sample variance per segment) is a hash aggregate
-elsewhere; this module turns one row of statistics per segment pair into
-t, degrees of freedom, a p-value and a confidence interval.  Only the
-p-value needs the regularised incomplete beta function, which Spark SQL
-lacks; by default it is evaluated JVM-side through ``reflect`` into the
-commons-math library that ships with Spark, with an Arrow-batched pandas UDF
-as the alternative.  Either way it runs on the already aggregated rows (a
-handful per analysis), never per fact row.
+elsewhere, and t, degrees of freedom and interval are arithmetic on one row of
+statistics per segment pair (``operators/evidence.py``).  The p-value needs
+special functions that Spark SQL lacks; they are called JVM-side through
+``reflect`` in the commons-math library that ships with Spark, on the already
+aggregated rows (a handful per analysis), never per fact row.
 """
 
 from __future__ import annotations
 
-import math
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
-
-_EPS = 1e-16
-_TINY = 1e-300
-
-
-def _betacf(a: float, b: float, x: float) -> float:
-    """Continued fraction of the incomplete beta function (modified Lentz)."""
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = _TINY if abs(d) < _TINY else d
-    d = 1.0 / d
-    h = d
-    for m in range(1, 10_000):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = _TINY if abs(d) < _TINY else d
-        c = 1.0 + aa / c
-        c = _TINY if abs(c) < _TINY else c
-        d = 1.0 / d
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = _TINY if abs(d) < _TINY else d
-        c = 1.0 + aa / c
-        c = _TINY if abs(c) < _TINY else c
-        d = 1.0 / d
-        delta = d * c
-        h *= delta
-        if abs(delta - 1.0) < _EPS:
-            break
-    return h
-
-
-def regularized_beta(x: float, a: float, b: float) -> float:
-    """I_x(a, b) for 0 <= x <= 1."""
-    if x <= 0.0:
-        return 0.0
-    if x >= 1.0:
-        return 1.0
-    ln_front = (math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
-                + a * math.log(x) + b * math.log1p(-x))
-    front = math.exp(ln_front)
-    if x < (a + 1.0) / (a + b + 2.0):
-        return front * _betacf(a, b, x) / a
-    return 1.0 - front * _betacf(b, a, 1.0 - x) / b
-
 
-def t_two_sided_p(t: float, dof: float) -> float:
-    """Two-sided p-value of Student's t with ``dof`` degrees of freedom."""
-    if t is None or dof is None or (isinstance(t, float) and math.isnan(t)) or dof <= 0:
-        return float("nan")
-    if math.isinf(t):
-        return 0.0
-    return min(1.0, regularized_beta(dof / (dof + t * t), dof / 2.0, 0.5))
+#: From so many degrees of freedom the normal transformation is used: the
+#: incomplete beta function loses digits as its argument nears one.
+LARGE_DOF = 1e4
 
 
-@F.pandas_udf(DoubleType())
-def t_pvalue(t: pd.Series, dof: pd.Series) -> pd.Series:
-    out = np.full(len(t), np.nan)
-    for i, (tv, dv) in enumerate(zip(t.to_numpy(dtype=float), dof.to_numpy(dtype=float))):
-        if not (np.isnan(tv) or np.isnan(dv)):
-            out[i] = t_two_sided_p(float(tv), float(dv))
-    return pd.Series(out)
+def _reflected(cls: str, method: str, *args: Column) -> Column:
+    return F.call_function("reflect", F.lit(f"org.apache.commons.math3.special.{cls}"), F.lit(method),
+                           *[a.cast("double") for a in args]).cast("double")
 
 
-def pooled_t(n1: Column, m1: Column, v1: Column, n2: Column, m2: Column, v2: Column) -> Column:
-    """Pooled-variance t statistic of sample 1 minus sample 2 (NULL when undefined)."""
-    dof = n1 + n2 - 2
-    sp2 = ((n1 - 1) * v1 + (n2 - 1) * v2) / dof
-    se = F.sqrt(sp2 * (F.lit(1.0) / n1 + F.lit(1.0) / n2))
-    diff = m1 - m2
-    return (F.when(dof <= 0, F.lit(None).cast("double"))
-            .when(se == 0, F.when(diff == 0, F.lit(None).cast("double"))
-                  .when(diff > 0, F.lit(float("inf"))).otherwise(F.lit(float("-inf"))))
-            .otherwise(diff / se))
-
-
-def jvm_regularized_beta(x: Column, a: Column, b: Column) -> Column:
-    """I_x(a, b) evaluated JVM-side by commons-math (bundled with Spark) via ``reflect``."""
-    return F.call_function("reflect", F.lit("org.apache.commons.math3.special.Beta"),
-                           F.lit("regularizedBeta"), x.cast("double"), a.cast("double"),
-                           b.cast("double")).cast("double")
-
-
-def p_value(t: Column, dof: Column, engine: str = "jvm") -> Column:
+def p_value(t: Column, dof: Column) -> Column:
     """Two-sided p-value; infinite |t| gives 0, NULL t gives NULL.
 
-    ``engine="jvm"`` keeps the computation in the JVM (no Python worker);
-    ``engine="python"`` uses the Arrow-batched pandas UDF above.
+    Below ``LARGE_DOF`` the regularised incomplete beta function
+    I_x(dof / 2, 1 / 2) at x = dof / (dof + t^2).  Beyond, Hill's normal
+    transformation (CACM algorithm 395): y = (dof - 1/2) log(1 + t^2 / dof),
+    computed with log1p, turned into a normal deviate by a series in 1 / dof^2
+    whose error is below double precision there.
     """
     dof = dof.cast("double")
-    if engine == "jvm":
-        finite = F.least(F.lit(1.0), jvm_regularized_beta(dof / (dof + t * t), dof / 2.0, F.lit(0.5)))
-    else:
-        finite = t_pvalue(t, dof)
+    exact = F.least(F.lit(1.0), _reflected("Beta", "regularizedBeta", dof / (dof + t * t), dof / 2.0, F.lit(0.5)))
+    a = dof - 0.5
+    b = 48.0 * a * a
+    y = a * F.log1p(t * t / dof)
+    tail = (((-0.4 * y - 3.3) * y - 24.0) * y - 85.5) / (0.8 * y * y + 100.0 + b)
+    normal = F.sqrt(y) * (1.0 + (y + 3.0 + tail) / b)
+    large = _reflected("Erf", "erfc", normal / F.sqrt(F.lit(2.0)))
     return (F.when(t.isNull() | dof.isNull() | (dof <= 0), F.lit(None).cast("double"))
             .when(F.abs(t) == float("inf"), F.lit(0.0))
-            .otherwise(finite))
-
-
-def ci_diff(n1: Column, m1: Column, v1: Column, n2: Column, m2: Column, v2: Column,
-            z: float = 1.96) -> tuple[Column, Column]:
-    """CI of mean2 - mean1 with the unpooled standard error and a normal quantile."""
-    diff = m2 - m1
-    se = F.sqrt(v1 / n1 + v2 / n2)
-    return diff - z * se, diff + z * se
+            .when(dof < LARGE_DOF, exact).otherwise(large))

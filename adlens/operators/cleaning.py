@@ -30,6 +30,8 @@ from pyspark.sql import types as T
 from adlens.params import NA_STRINGS, NUMERIC_FIELDS, Params
 
 ORD = "row_ord"
+#: Decimal literals (a cast alone would also take suffixes and hexadecimal digits).
+NUMBER = r"^[ \t\r\n]*[+-]?(([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)[ \t\r\n]*$"
 N_EXAMPLES = 5
 
 
@@ -82,7 +84,7 @@ def _coerced(df: DataFrame, name: str) -> Column:
     if isinstance(dtype, T.NumericType):
         x = F.col(name).cast("double")
     else:
-        x = F.expr(f"try_cast(`{name}` AS DOUBLE)")
+        x = F.when(F.col(name).rlike(NUMBER), F.expr(f"try_cast(`{name}` AS DOUBLE)"))
     return F.when(F.isnan(x), F.lit(None).cast("double")).otherwise(x)
 
 

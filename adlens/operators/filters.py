@@ -29,15 +29,3 @@ def last_n_days(df: DataFrame, n: int, as_of) -> DataFrame:
     """``[as_of - n days, as_of]`` inclusive (n+1 calendar days)."""
     hi = _date_lit(as_of)
     return df.where((F.col("date") >= F.date_sub(hi, int(n))) & (F.col("date") <= hi))
-
-
-def period_filter(df: DataFrame, period: DataFrame | None) -> DataFrame:
-    """Filter by a one-row ``(date_from, date_to)`` frame (e.g. a parsed request).
-
-    Bounds are attached as scalar subqueries; a NULL bound does not filter.
-    """
-    if period is None:
-        return df
-    lo = period.select(F.min("date_from")).scalar()
-    hi = period.select(F.max("date_to")).scalar()
-    return df.where((lo.isNull() | (F.col("date") >= lo)) & (hi.isNull() | (F.col("date") <= hi)))

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adlens.functions.ratios import fmt
+from adlens.functions.ratios import fmt, stripped
 
 # non-printable characters: control/format/unassigned/surrogate/private,
 # line and paragraph separators, and spaces other than the plain space
@@ -14,7 +14,8 @@ NON_PRINTABLE = r"[\p{C}\p{Zl}\p{Zp}]|[\p{Zs}&&[^ ]]"
 
 
 def printable(c: Column) -> Column:
-    return F.regexp_replace(F.trim(c), NON_PRINTABLE, "")
+    """Ends stripped of white space first, then non-printable characters taken out."""
+    return F.regexp_replace(stripped(c), NON_PRINTABLE, "")
 
 
 def executive_summary(summary: DataFrame, validated: DataFrame, recs: DataFrame,

@@ -11,6 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from adlens.functions.ratios import stripped
+
 # Keyword rules, in precedence order.
 ROAS_WORDS = ["roas", "return on ad spend", "roi"]
 CREATIVE_WORDS = ["creative", "ad copy", "recommendation"]
@@ -71,7 +73,8 @@ def period(text: Column, as_of) -> tuple[Column, Column]:
 
 
 def is_valid(text: Column) -> Column:
-    return F.coalesce(F.length(F.trim(text)) >= 5, F.lit(False))
+    """At least five characters besides white space at the ends."""
+    return F.coalesce(F.length(stripped(text)) >= 5, F.lit(False))
 
 
 def tag_requests(df: DataFrame, text_col: str = "text", as_of="2025-12-01",

@@ -313,8 +313,26 @@ def recommendation_summary(spark, sf):
 
 # -- request tagging -------------------------------------------------------------------
 
+def request_rows(spark, sf):
+    """Requests to tag: all conversation texts, and one worded request per customer (stand-in input;
+    negative conv_id) that goes through phrasings, periods, dates and blank texts."""
+    k = F.col("c_custkey")
+    day = F.date_format(F.date_add(F.lit("1996-01-01").cast("date"), (k % 700).cast("int")), "yyyy-MM-dd")
+    later = F.date_format(F.date_add(F.lit("1996-03-01").cast("date"), (k % 700).cast("int")), "yyyy-MM-dd")
+    words = [F.lit("Analyze ROAS for last 7 days"), F.lit("Why did click rates fall in the PAST 14 days?"),
+             F.lit("Generate creative recommendations for last month"),
+             F.concat(F.lit("Show conversion from "), day, F.lit(" to "), later),
+             F.concat(F.lit("How was the return on ad spend on "), day), F.lit(""), F.lit("\t\n\t\n\t"), F.lit(" help "),
+             F.lit("\u00a0\u2003ab\u3000"), F.lit("Ad copy ideas, CVR dropping since 1997-13-45"),
+             F.lit("ab\n\n\n"), F.lit("last 2 weeks: ROI and CTR"), F.lit(None).cast("string"), F.lit("\x1fhello\x85")]
+    text = F.element_at(F.array(*words), (k % len(words) + 1).cast("int"))
+    worded = table(spark, sf, "customer").select((-k - 1).cast("long").alias("conv_id"), F.lit(0).cast("long").alias("turn"),
+                                                 text.alias("text"))
+    return table(spark, sf, "conversations").select("conv_id", "turn", "text").unionByName(worded)
+
+
 def _requests(spark, sf):
-    return RQ.tag_requests(table(spark, sf, "conversations"), "text", AS_OF)
+    return RQ.tag_requests(request_rows(spark, sf), "text", AS_OF)
 
 
 def request_intent(spark, sf):
@@ -352,10 +370,15 @@ def report_summary(spark, sf):
 
 
 def report_insights(spark, sf):
-    k = R.key_insights(_analysis(spark, sf).validated)
-    return k.select(F.col("rank").cast("bigint").alias("rank"), "hypothesis_text",
-                    _r(F.col("adjusted_confidence_score")).alias("adjusted_confidence_score"),
-                    "validation_status", _r(F.col("p_value"), 6).alias("p_value"))
+    return _insight_rows(_analysis(spark, sf).validated)
+
+
+def _insight_rows(validated, k=3):
+    return R.key_insights(validated, k).select(
+        F.col("rank").cast("bigint").alias("rank"), "hypothesis_text",
+        _r(F.col("adjusted_confidence_score")).alias("adjusted_confidence_score"),
+        "validation_status", _r(F.col("p_value"), 6).alias("p_value"), "evaluation_band", "report_band",
+        "validation_reasoning")
 
 
 def report_metrics(spark, sf):
@@ -372,9 +395,89 @@ def report_recommendations(spark, sf):
                     _r(F.col("confidence_score")).alias("confidence_score"))
 
 
+# Requests of the registered request runs: an analysis without creatives, a creative run and a full one, each
+# with a period that leaves few rows per segment.
+REQUESTS = {
+    "analysis": "Analyze ROAS for last 7 days",
+    "creative": "Generate creative recommendations for 1997-03-01 to 1997-03-03",
+    "full": "What happened on 1996-05-05",
+}
+
+
+def _request_run(kind):
+    def q(spark, sf):
+        """All ranked hypotheses of a request, with the number of its recommendations (null: not asked for)."""
+        run = W.run_request(facts(spark, sf), REQUESTS[kind], AS_OF, P.with_(max_hypotheses=6))
+        recs = run["recommendations"]
+        n = F.lit(None).cast("bigint") if recs is None else recs.select(F.count(F.lit(1))).scalar()
+        return _insight_rows(run["validated"], 100).withColumn("recommendation_sets", n)
+    q.__name__ = f"request_run_{kind}"
+    return q
+
+
+def request_run_lenient(spark, sf):
+    """The analysis request with t-test moments from the unfiltered facts."""
+    f = facts(spark, sf)
+    return _insight_rows(W.run_request(f, REQUESTS["analysis"], AS_OF, evidence_facts=f)["validated"], 100)
+
+
+def hypotheses_six(spark, sf):
+    """With room for a sixth hypothesis (the low-CTR rule)."""
+    return _analysis(spark, sf, P.with_(max_hypotheses=6)).hypotheses.select(
+        "ord", "category", "subject", "confidence_score", "hypothesis_text")
+
+
 def contract_check(spark, sf):
     a = _full(spark, sf)
-    return contract_violations(a.summary, a.trends, a.hypotheses, a.validated, a.recommendations)
+    return contract_violations(a.summary, a.trends, a.hypotheses, a.validated, a.recommendations, a.metrics)
+
+
+def contract_defects(spark, sf):
+    """The contract rules over result-like tables made from customers, with a defect of one kind or another
+    in most rows (stand-in input)."""
+    k = F.col("c_custkey")
+    base = table(spark, sf, "customer").select("c_custkey")
+    null, inf = F.lit(None), F.lit(float("inf"))
+
+    def every(m, r, bad, good):
+        return F.when(k % m == r, bad).otherwise(good)
+
+    def metric(name, value):
+        return F.struct(name.cast("string").alias("metric_name"), value.cast("double").alias("value"),
+                        F.lit("c").alias("comparison"))
+
+    summary = base.select(every(11, 0, null, k).cast("bigint").alias("total_rows"), F.lit("a").alias("start_date"),
+                          every(13, 0, null, F.lit("b")).cast("string").alias("end_date"),
+                          every(7, 1, F.lit(-1), F.lit(1)).cast("bigint").alias("campaigns_count"),
+                          every(5, 2, F.lit(-2), F.lit(0)).cast("bigint").alias("invalid_rows"))
+    trends = base.select(every(9, 0, null, every(9, 1, F.lit("up"), F.lit("stable"))).cast("string").alias("direction"),
+                         every(10, 3, inf, F.lit(0.5)).alias("week_over_week_change"),
+                         F.lit(1.0).alias("month_over_month_change"))
+    hyp = base.select(F.lit("h").alias("hypothesis_id"), every(6, 0, null, F.lit("t")).cast("string").alias("hypothesis_text"),
+                      every(8, 1, F.lit("other"), F.lit("budget")).alias("category"),
+                      every(9, 2, F.lit(1.5), every(9, 3, null, F.lit(0.5))).cast("double").alias("confidence_score"))
+    two = F.array(metric(every(12, 1, null, F.lit("m")), F.lit(1)), metric(F.lit("n"), every(12, 2, inf, F.lit(2))))
+    validated = base.select(
+        F.lit("h").alias("hypothesis_id"), F.lit("t").alias("hypothesis_text"),
+        every(7, 0, F.lit("maybe"), F.lit("confirmed")).alias("validation_status"),
+        F.when(k % 10 == 0, null).when(k % 10 == 1, F.slice(two, 1, 1)).otherwise(two).alias("evidence_metrics"),
+        every(11, 3, F.lit(-0.1), F.lit(0.5)).cast("double").alias("adjusted_confidence_score"),
+        every(13, 1, F.lit(1.2), every(13, 2, null, F.lit(0.5))).cast("double").alias("p_value"),
+        (k % 2 == 0).alias("has_test"), every(14, 2, null, F.lit(0.1)).cast("double").alias("ci_lower"),
+        F.lit(0.2).alias("ci_upper"))
+    creative = F.struct(every(15, 1, F.lit(""), F.lit("msg")).alias("creative_message"),
+                        every(15, 2, null, F.lit("video")).cast("string").alias("creative_type"),
+                        every(15, 3, null, F.lit("Broad")).cast("string").alias("audience_type"),
+                        F.lit("why").alias("rationale"),
+                        every(15, 4, F.lit(2.0), F.lit(0.5)).alias("confidence_score"))
+    recs = base.select(F.lit("c").alias("campaign"), every(16, 0, null, F.lit(0.1)).cast("double").alias("current_ctr"),
+                       F.when(k % 17 == 0, null).when(k % 17 == 1, F.array(creative)).otherwise(
+                           F.array(creative, creative, creative)).alias("new_creatives"))
+    metrics = base.select(F.lit(1.0).alias("overall_roas"), F.lit(1.0).alias("overall_ctr"),
+                          F.lit(1.0).alias("avg_cpc"))                       # conversion_rate is absent
+    stamps = ["2025-01-01T00:00:00Z", "2025-01-01", "yesterday", "2025-13-01T00:00:00Z", "2025-01-01T10:00:00.123456Z"]
+    outputs = base.select(F.element_at(F.array(*map(F.lit, stamps)), (k % 5 + 1).cast("int")).alias("timestamp"))
+    return contract_violations(summary, trends, hyp, validated, recs, metrics, outputs)
 
 
 def json_round_trip_segments(spark, sf):
@@ -412,6 +515,9 @@ REGISTRY = {
     "request_workflow": request_workflow, "request_validity": request_validity,
     "report_summary": report_summary, "report_insights": report_insights, "report_metrics": report_metrics,
     "report_recommendations": report_recommendations, "contract_violations": contract_check,
+    "contract_defects": contract_defects, "hypotheses_six": hypotheses_six,
+    "request_run_analysis": _request_run("analysis"), "request_run_creative": _request_run("creative"),
+    "request_run_full": _request_run("full"), "request_run_lenient": request_run_lenient,
     "json_round_trip": json_round_trip_segments, "narratives": narratives,
     "weekly_mean_ctr": weekly_mean_ctr, "segment_counts": segment_counts,
     "hypothesis_categories": hypothesis_categories, "top_hypothesis": top_hypothesis,

@@ -8,8 +8,61 @@ subqueries instead of the Spark library code.
 
 from __future__ import annotations
 
-from adlens.params import NA_STRINGS, REQUIRED_FIELDS
-from adlens.sources.facts import FACTS_SQL, RAW_SQL
+# The required fields and the strings that stand for a missing value.
+REQUIRED_FIELDS = ["campaign_name", "date", "spend", "impressions", "clicks", "revenue"]
+NA_STRINGS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+              "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
+
+# The fact rows over the driver tables; prefix an oracle query with ``WITH`` + these.
+FACTS_BASE_SQL = """
+fact_base AS (
+  SELECT concat(p_brand, '_', CASE p_size % 5 WHEN 0 THEN 'Female_18-30' WHEN 1 THEN 'Female_31-45'
+                WHEN 2 THEN 'Male_18-24' WHEN 3 THEN 'Male_25-40' ELSE 'Broad' END) AS campaign_name,
+         concat(p_brand, '/', l_returnflag) AS adset_name,
+         CAST(l_shipdate AS DATE) AS date,
+         CAST(floor(l_extendedprice * abs(l_discount) * 100 + 0.5) AS BIGINT) AS spend_cents,
+         CAST(floor(l_quantity * 1000) AS BIGINT) AS impressions,
+         CAST(floor(l_quantity * 1000 * l_tax / 4
+              * CAST(CASE p_size % 4 WHEN 0 THEN 0.5 WHEN 1 THEN 1.5 WHEN 2 THEN 1.0 ELSE 1.25 END AS DOUBLE)) AS BIGINT) AS clicks,
+         CAST(l_linenumber AS BIGINT) AS purchases,
+         CAST(floor(l_extendedprice * l_tax * 300
+              * CAST(CASE l_linestatus WHEN 'O' THEN 1.5 ELSE 0.9 END AS DOUBLE)
+              * CAST(CASE c_mktsegment WHEN 'BUILDING' THEN 0.4 WHEN 'MACHINERY' THEN 1.2 ELSE 1.0 END AS DOUBLE)
+              * CAST(CASE WHEN p_brand IN ('Brand#1', 'Brand#2') THEN 0.5 ELSE 1.0 END AS DOUBLE) + 0.5) AS BIGINT) AS revenue_cents,
+         CASE p_size % 4 WHEN 0 THEN 'image' WHEN 1 THEN 'video' WHEN 2 THEN 'carousel' ELSE 'collection' END AS creative_type,
+         p_name AS creative_message,
+         c_mktsegment AS audience_type,
+         CASE l_linestatus WHEN 'O' THEN 'Facebook' ELSE 'Instagram' END AS platform,
+         n_name AS country,
+         l_orderkey * 8 + l_linenumber AS row_ord,
+         l_orderkey
+  FROM lineitem JOIN part ON p_partkey = l_partkey JOIN orders ON o_orderkey = l_orderkey
+       JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey
+)"""
+
+FACTS_SQL = FACTS_BASE_SQL + """,
+ad_facts AS (
+  SELECT campaign_name, adset_name, date, spend_cents / 100.0 AS spend, impressions, clicks, purchases,
+         revenue_cents / 100.0 AS revenue, creative_type, creative_message, audience_type, platform, country,
+         clicks / nullif(impressions, 0) AS ctr,
+         revenue_cents / nullif(spend_cents, 0) AS roas,
+         spend_cents, revenue_cents, row_ord
+  FROM fact_base
+)"""
+
+RAW_SQL = FACTS_BASE_SQL + """,
+raw_ad_rows AS (
+  SELECT row_ord * 1000 + row_number() OVER (
+           PARTITION BY row_ord ORDER BY fact_base.date, campaign_name, adset_name, spend_cents, impressions, clicks,
+           revenue_cents, creative_message, country) AS row_ord, campaign_name, adset_name,
+         CASE WHEN l_orderkey % 89 = 0 THEN 'invalid-date' ELSE CAST(date AS VARCHAR) END AS date,
+         CASE WHEN l_orderkey % 97 = 0 THEN 'not-a-number' ELSE CAST(spend_cents AS VARCHAR) END AS spend,
+         CAST(impressions AS VARCHAR) AS impressions, CAST(clicks AS VARCHAR) AS clicks,
+         CAST(purchases AS VARCHAR) AS purchases,
+         CASE WHEN l_orderkey % 83 = 0 THEN NULL ELSE CAST(revenue_cents AS VARCHAR) END AS revenue,
+         creative_type, creative_message, audience_type, platform, country
+  FROM fact_base
+)"""
 
 AS_OF = "1998-06-30"
 RANGE = ("1996-01-01", "1997-12-31")
@@ -439,9 +492,27 @@ STATUS_COUNTS = _with(F, *_VALID) + """SELECT CAST(count(*) AS BIGINT) AS valida
        CAST(count(*) FILTER (WHERE adjusted_confidence_score >= 0.5 AND adjusted_confidence_score < 0.7) AS BIGINT) AS medium_confidence,
        CAST(count(*) FILTER (WHERE adjusted_confidence_score < 0.5) AS BIGINT) AS low_confidence
 FROM validated"""
-REPORT_INSIGHTS = _with(F, *_VALID) + """SELECT CAST(rank AS BIGINT) AS rank, hypothesis_text,
+# The wording of the bands and of the reasoning.
+_INSIGHTS = """SELECT CAST(rank AS BIGINT) AS rank, hypothesis_text,
        round(adjusted_confidence_score, 10) AS adjusted_confidence_score, validation_status,
-       round(CASE WHEN has_test THEN p_value END, 6) AS p_value FROM ranked_v WHERE rank <= 3"""
+       round(CASE WHEN has_test THEN p_value END, 6) AS p_value,
+       CASE WHEN adjusted_confidence_score >= 0.7 THEN 'high' WHEN adjusted_confidence_score >= 0.5 THEN 'moderate'
+            ELSE 'low' END AS evaluation_band,
+       CASE WHEN adjusted_confidence_score >= 0.8 THEN 'highly likely and actionable'
+            WHEN adjusted_confidence_score >= 0.6 THEN 'moderately valid, requires monitoring'
+            ELSE 'low confidence insight' END AS report_band,
+       'Hypothesis validation: ' || validation_status || '. '
+         || CASE WHEN n_metrics > 0 THEN printf('Analyzed %d metrics. ', n_metrics)
+                 || coalesce((SELECT string_agg(x.comparison || '. ', '' ORDER BY x.pos) FROM evm x
+                              WHERE x.category = r.ev_category AND x.pos < 2), '') ELSE '' END
+         || CASE WHEN has_test THEN 'Statistical test p-value: ' || coalesce(printf('%.4f', p_value), 'nan') || '. '
+                 || CASE WHEN p_value < 0.05 THEN 'Result is statistically significant. '
+                         ELSE 'Result is not statistically significant. ' END ELSE '' END
+         || printf('Adjusted confidence score: %.2f. ', adjusted_confidence_score)
+         || CASE WHEN adjusted_confidence_score >= 0.7 THEN 'High confidence in this hypothesis.'
+                 WHEN adjusted_confidence_score >= 0.5 THEN 'Moderate confidence in this hypothesis.'
+                 ELSE 'Low confidence - requires further investigation.' END AS validation_reasoning"""
+REPORT_INSIGHTS = _with(F, *_VALID) + _INSIGHTS + " FROM ranked_v r WHERE rank <= 3"
 REPORT_METRICS = _with(F, *_VALID) + """SELECT CAST(r.rank AS BIGINT) AS rank, CAST(e.pos AS BIGINT) AS pos, e.metric_name,
        round(e.value, 10) AS value, e.comparison
 FROM ranked_v r JOIN evm e ON e.category = CASE WHEN r.category IN ('creative', 'audience', 'platform', 'budget', 'seasonality')
@@ -595,6 +666,81 @@ REQUEST_PERIOD = f"""SELECT conv_id, turn,
        WHEN len(ds) = 1 THEN CAST(try_strptime(ds[1], '%Y-%m-%d') AS DATE) END AS date_to
 FROM (SELECT *, regexp_extract_all(lower(text), '\\d{{4}}-\\d{{2}}-\\d{{2}}') AS ds FROM conversations)"""
 
+# -------------------------------------------------------------- requests ----
+_REQUEST_ROWS = """(SELECT conv_id, turn, text FROM conversations UNION ALL
+  SELECT -c_custkey - 1, 0, [
+    'Analyze ROAS for last 7 days', 'Why did click rates fall in the PAST 14 days?',
+    'Generate creative recommendations for last month',
+    'Show conversion from ' || strftime(DATE '1996-01-01' + (c_custkey % 700)::INTEGER, '%Y-%m-%d') || ' to '
+      || strftime(DATE '1996-03-01' + (c_custkey % 700)::INTEGER, '%Y-%m-%d'),
+    'How was the return on ad spend on ' || strftime(DATE '1996-01-01' + (c_custkey % 700)::INTEGER, '%Y-%m-%d'),
+    '', chr(9) || chr(10) || chr(9) || chr(10) || chr(9), ' help ', chr(160) || chr(8195) || 'ab' || chr(12288),
+    'Ad copy ideas, CVR dropping since 1997-13-45', 'ab' || chr(10) || chr(10) || chr(10), 'last 2 weeks: ROI and CTR',
+    NULL, chr(31) || 'hello' || chr(133)][(c_custkey % 14 + 1)::INTEGER] FROM customer)"""
+REQUEST_INTENT, REQUEST_FOCUS, REQUEST_WORKFLOW, REQUEST_PERIOD = (
+    q.replace("FROM conversations", f"FROM {_REQUEST_ROWS}")
+    for q in (REQUEST_INTENT, REQUEST_FOCUS, REQUEST_WORKFLOW, REQUEST_PERIOD))
+# Unicode white space, spelled out: what stands at both ends does not count
+_ENDS = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(28) || chr(29) || chr(30) || chr(31) || ' ' || chr(133)" \
+    " || chr(160) || chr(5760) || chr(8192) || chr(8193) || chr(8194) || chr(8195) || chr(8196) || chr(8197) || chr(8198)" \
+    " || chr(8199) || chr(8200) || chr(8201) || chr(8202) || chr(8232) || chr(8233) || chr(8239) || chr(8287) || chr(12288)"
+REQUEST_VALIDITY = f"SELECT conv_id, turn, coalesce(length(trim(text, {_ENDS})) >= 5, FALSE) AS valid FROM {_REQUEST_ROWS}"
+
+
+def _request_run(where: str, recs: bool, max_h: int = 6, lenient: bool = False) -> str:
+    """The insights of an analysis whose facts are cut to ``where``; ``lenient`` takes the moments from all facts."""
+    cut = F.replace("FROM fact_base\n)", f"FROM fact_base WHERE {where}\n)")
+    assert cut != F
+    valid = _hyp(max_h) + _VALID[len(_hyp()):]
+    ctes = [*valid, *[c for c in _VARS if c not in _VALID]] if recs else valid
+    if lenient:
+        cut += ",\nall_facts AS (SELECT * FROM (" + F[F.index("ad_facts AS (") + len("ad_facts AS ("):].rstrip().rstrip(")") + "))"
+        every = _SEG[0].replace("seg_raw AS", "seg_all AS").replace("FROM ad_facts", "FROM all_facts")
+        moments = ", ".join(f"a.{m}_{x}" for m in ("ctr", "roas") for x in ("n", "mean", "var"))
+        ctes = [every, *[c.replace("FROM seg_raw)", f"FROM (SELECT s.dimension, s.dim_ord, s.value, s.sc, s.rc, s.imp, s.clk, "
+                                                    f"{moments} FROM seg_raw s LEFT JOIN seg_all a USING (dimension, value)))")
+                         for c in ctes]]
+    n = "(SELECT CAST(count(*) AS BIGINT) FROM low)" if recs else "CAST(NULL AS BIGINT)"
+    return _with(cut, *ctes) + _INSIGHTS + ("" if lenient else f", {n} AS recommendation_sets") + " FROM ranked_v r"
+
+
+_WEEK = f"date >= DATE '{AS_OF}' - INTERVAL 7 DAY AND date <= DATE '{AS_OF}'"
+REQUEST_RUN_ANALYSIS = _request_run(_WEEK, recs=False)
+REQUEST_RUN_CREATIVE = _request_run("date >= DATE '1997-03-01' AND date <= DATE '1997-03-03'", recs=True)
+REQUEST_RUN_FULL = _request_run("date >= DATE '1996-04-28' AND date <= DATE '1996-05-05'", recs=True)
+REQUEST_RUN_LENIENT = _request_run(_WEEK, recs=False, max_h=5, lenient=True)
+HYPOTHESES_SIX = _with(F, *_hyp(6)) + "SELECT ord, category, subject, confidence_score, hypothesis_text FROM hyp"
+
+# each rule over the customers' numbers, from the places where the stand-in tables put defects
+_K = "c_custkey"
+_DEFECTS = [
+    ("summary", "required_fields", f"{_K} % 11 = 0 OR {_K} % 13 = 0"),
+    ("summary", "non_negative_counts", f"{_K} % 7 = 1 OR {_K} % 5 = 2"),
+    ("trends", "direction_enum", f"{_K} % 9 IN (0, 1)"),
+    ("trends", "finite_changes", f"{_K} % 10 = 3"),
+    ("hypotheses", "required_fields", f"{_K} % 6 = 0 OR {_K} % 9 = 3"),
+    ("hypotheses", "category_enum", f"{_K} % 8 = 1"),
+    ("hypotheses", "confidence_range", f"{_K} % 9 IN (2, 3)"),
+    ("hypotheses", "min_count", "false"),
+    ("validated", "required_fields", f"{_K} % 10 = 0"),
+    ("validated", "status_enum", f"{_K} % 7 = 0"),
+    ("validated", "confidence_range", f"{_K} % 11 = 3"),
+    ("validated", "min_metrics", f"{_K} % 10 IN (0, 1)"),
+    ("validated", "metric_fields", f"{_K} % 12 = 1 AND {_K} % 10 <> 0"),
+    ("validated", "p_value_range", f"{_K} % 13 = 1"),
+    ("validated", "finite_statistics", f"{_K} % 12 = 2 AND {_K} % 10 NOT IN (0, 1)"),
+    ("validated", "interval_pair", f"{_K} % 2 = 0 AND {_K} % 14 = 2"),
+    ("recommendations", "required_fields", f"{_K} % 16 = 0 OR {_K} % 17 = 0"),
+    ("recommendations", "min_variations", f"{_K} % 17 IN (0, 1)"),
+    ("recommendations", "confidence_range", f"{_K} % 15 = 4 AND {_K} % 17 <> 0"),
+    ("recommendations", "non_empty_fields", f"{_K} % 15 IN (1, 2, 3) AND {_K} % 17 <> 0"),
+    ("metrics", "required_fields", None), ("metrics", "finite_metrics", None),
+    ("outputs", "iso_timestamp", f"{_K} % 5 IN (2, 3)"),
+]
+CONTRACT_DEFECTS = " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{r}' AS rule, " + ("CAST(max(1) AS BIGINT)" if w is None else f"CAST(count(*) FILTER (WHERE {w}) AS BIGINT)")
+    + " AS violations FROM customer" for t, r, w in _DEFECTS)
+
 # ----------------------------------------------------------------- report ---
 REPORT_SUMMARY = _with(F, *_VALID, *[c for c in _VARS if c not in _VALID]) + """SELECT
   (SELECT min(date) FROM ad_facts) AS start_date, (SELECT max(date) FROM ad_facts) AS end_date,
@@ -624,7 +770,8 @@ REPORT_COUNTS = _with(F, *_VALID, *[c for c in _VARS if c not in _VALID]) + """S
 CONTRACT_VIOLATIONS = _with(F, *_VALID, *[c for c in _VARS if c not in _VALID], """summ AS (
   SELECT CAST(count(*) AS BIGINT) AS total_rows, CAST(coalesce(sum(spend_cents), 0) AS DOUBLE) / 100.0 AS total_spend,
          CAST(coalesce(sum(revenue_cents), 0) AS DOUBLE) / 100.0 AS total_revenue,
-         CAST(count(DISTINCT campaign_name) AS BIGINT) AS campaigns_count, CAST(0 AS BIGINT) AS invalid_rows
+         CAST(count(DISTINCT campaign_name) AS BIGINT) AS campaigns_count, CAST(0 AS BIGINT) AS invalid_rows,
+         min(date) AS start_date, max(date) AS end_date
   FROM ad_facts)""", """nmet AS (SELECT category, count(*) AS n FROM evm GROUP BY category)""",
   """vfull AS (SELECT v.*, e.t_stat, e.ci_lower, e.ci_upper, coalesce(m.n, 0) AS n_metrics_rows,
                    EXISTS (SELECT 1 FROM evm x WHERE x.category = v.ev_category AND (isnan(x.value) OR isinf(x.value)))
@@ -636,7 +783,7 @@ CONTRACT_VIOLATIONS = _with(F, *_VALID, *[c for c in _VARS if c not in _VALID],
                                                       || substr(parts, 2) || '.') = 0, TRUE)) AS empty_fields
            FROM variations GROUP BY campaign)""") + """
 SELECT 'summary' AS table_name, 'required_fields' AS rule,
-       CAST(count(*) FILTER (WHERE total_rows IS NULL OR total_spend IS NULL OR total_revenue IS NULL
+       CAST(count(*) FILTER (WHERE total_rows IS NULL OR start_date IS NULL OR end_date IS NULL
                                    OR campaigns_count IS NULL) AS BIGINT) AS violations FROM summ
 UNION ALL SELECT 'summary', 'non_negative_counts',
        CAST(count(*) FILTER (WHERE total_rows < 0 OR campaigns_count < 0 OR invalid_rows < 0) AS BIGINT) FROM summ
@@ -662,6 +809,14 @@ UNION ALL SELECT 'validated', 'status_enum',
 UNION ALL SELECT 'validated', 'confidence_range',
        CAST(count(*) FILTER (WHERE NOT coalesce(adjusted_confidence_score BETWEEN 0 AND 1, FALSE)) AS BIGINT) FROM vfull
 UNION ALL SELECT 'validated', 'min_metrics', CAST(count(*) FILTER (WHERE n_metrics_rows < 2) AS BIGINT) FROM vfull
+UNION ALL SELECT 'validated', 'metric_fields', CAST(count(DISTINCT v.category) AS BIGINT)
+       FROM vfull v JOIN evm x ON x.category = v.ev_category WHERE x.metric_name IS NULL OR x.value IS NULL
+UNION ALL SELECT 'metrics', 'required_fields',
+       CAST(count(*) FILTER (WHERE overall_roas IS NULL OR overall_ctr IS NULL OR avg_cpc IS NULL OR conversion_rate IS NULL) AS BIGINT)
+       FROM metrics
+UNION ALL SELECT 'metrics', 'finite_metrics',
+       CAST(count(*) FILTER (WHERE isinf(overall_roas + overall_ctr + avg_cpc + conversion_rate)
+                                OR isnan(overall_roas + overall_ctr + avg_cpc + conversion_rate)) AS BIGINT) FROM metrics
 UNION ALL SELECT 'validated', 'p_value_range',
        CAST(count(*) FILTER (WHERE p_value IS NOT NULL AND NOT p_value BETWEEN 0 AND 1) AS BIGINT) FROM vfull
 UNION ALL SELECT 'validated', 'finite_statistics',
@@ -781,4 +936,7 @@ ORACLE = {
     "hypothesis_categories": HYPOTHESIS_CATEGORIES, "top_hypothesis": TOP_HYPOTHESIS,
     "validated_hypotheses": VALIDATED_HYPOTHESES, "report_counts": REPORT_COUNTS,
     "contract_violations": CONTRACT_VIOLATIONS, "narratives": NARRATIVES,
+    "contract_defects": CONTRACT_DEFECTS, "hypotheses_six": HYPOTHESES_SIX,
+    "request_run_analysis": REQUEST_RUN_ANALYSIS, "request_run_creative": REQUEST_RUN_CREATIVE,
+    "request_run_full": REQUEST_RUN_FULL, "request_run_lenient": REQUEST_RUN_LENIENT,
 }

@@ -180,9 +180,30 @@ def run_workflow(facts: DataFrame, params: Params = Params(), raw: DataFrame | N
     return out
 
 
-def collect_all(tables: dict, threads: int = 4) -> dict:
-    """Collect several small result tables with concurrent jobs."""
-    return materialize_concurrently({k: (lambda v=v: v.collect()) for k, v in tables.items()}, threads)
+def run_request(facts: DataFrame, request_text: str, as_of, params: Params = Params(),
+                evidence_facts: DataFrame | None = None, checkpoint: bool = True) -> dict:
+    """One free-text request from tagging to results.
+
+    The request's tags decide what runs: its period filters the facts (pushed
+    into their scan), its focus metric phrases the hypotheses, and creatives
+    are made only for the workflow types that ask for them.  ``evidence_facts``
+    (for instance the lenient, unfiltered load) gives the t-test moments and
+    the creative modes instead of the filtered facts.  An invalid request
+    raises ``ValueError``.
+    """
+    from adlens.operators import filters as FL
+    from adlens.operators import requests as RQ
+    spark = facts.sparkSession
+    one = spark.createDataFrame([(request_text,)], "text string")
+    tags = RQ.tag_requests(one, "text", as_of, keys=()).first()             # one row decides the plan
+    if not tags["valid"]:
+        raise ValueError("the request is empty or too short")
+    wants_creatives = tags["workflow_type"] in ("creative_generation", "full")
+    focus = "ctr" if tags["focus_metric"] == "ctr" else "roas"
+    a = analyze(FL.date_range(facts, tags["date_from"], tags["date_to"]), params.with_(focus_metric=focus),
+                creatives=wants_creatives, checkpoint=checkpoint, evidence_facts=evidence_facts)
+    return {"tags": tags, "analysis": a, "validated": a.validated, "top_insights": a.top_insights,
+            "recommendations": a.recommendations if wants_creatives else None}
 
 
 def report_tables(a: Analysis, request_text: str | None = None) -> dict:
@@ -196,5 +217,5 @@ def report_tables(a: Analysis, request_text: str | None = None) -> dict:
         "insights": R.key_insights(a.validated),
         "metrics": R.supporting_metrics(a.validated),
         "recommendations": R.recommendation_rows(recs) if a.recommendations is not None else None,
-        "contracts": contract_violations(a.summary, a.trends, a.hypotheses, a.validated, recs),
+        "contracts": contract_violations(a.summary, a.trends, a.hypotheses, a.validated, recs, a.metrics),
     }

@@ -4,41 +4,18 @@ This module only shapes input: it gives rows in the fact schema the
 analysis expects (one row per campaign/ad-set/day) and does none of the
 analysis.  Money is carried as integer cents (exact, order-independent
 sums) next to the DOUBLE amounts.
-
-The same derivation is available as SQL text (``FACTS_SQL``) for the
-DuckDB oracle, where the driver tables are registered as views.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-
-
-_PLANS: dict = {}
-
-
-def _session_key(spark: SparkSession):
-    try:
-        return (id(spark._jsparkSession), spark.sparkContext.applicationId)
-    except Exception:  # noqa: BLE001 - sessions without JVM handles
-        return (id(spark),)
-
-
-def _memo(spark: SparkSession, key, build):
-    """Reuse a DataFrame *plan* object per session (no data is cached: every
-    action still scans the files).  Saves re-listing files and re-analysing
-    the same join for every query of a session."""
-    k = (_session_key(spark),) + key
-    df = _PLANS.get(k)
-    if df is None:
-        df = _PLANS[k] = build()
-    return df
+from pyspark.sql.window import Window
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return _memo(spark, ("table", path), lambda: spark.read.parquet(path))
+    """A driver table; its files are listed anew by every call, so appended ones are seen."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _case(col: Column, mapping: list[tuple[object, object]], default: object) -> Column:
@@ -105,10 +82,6 @@ def _fact_columns() -> list[Column]:
 
 def ad_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean fact table: typed columns, cents plus DOUBLE money, row-level ratios."""
-    return _memo(spark, ("ad_facts", sf_dir), lambda: _ad_facts(spark, sf_dir))
-
-
-def _ad_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _joined(spark, sf_dir).select(*_fact_columns())
     return base.select(
         "campaign_name", "adset_name", "date",
@@ -127,17 +100,16 @@ def raw_ad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Money is written in cents.  Injected dirt: ``not-a-number`` spend,
     ``invalid-date`` dates and missing revenue on fixed order-key classes.
-    ``row_ord`` is the input ordinal (file position).
+    ``row_ord`` is the input ordinal (file position): unique, since the lines
+    of one order that share a number are told apart by all their columns.
     """
-    return _memo(spark, ("raw_ad_rows", sf_dir), lambda: _raw_ad_rows(spark, sf_dir))
-
-
-def _raw_ad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = _joined(spark, sf_dir).select(*_fact_columns())
     ok = F.col("l_orderkey")
     s = lambda c: F.col(c).cast("string")
+    same = Window.partitionBy("row_ord").orderBy(
+        "date", "campaign_name", "adset_name", "spend_cents", "impressions", "clicks", "revenue_cents", "creative_message", "country")
     return base.select(
-        F.col("row_ord"),
+        (F.col("row_ord") * 1000 + F.row_number().over(same)).alias("row_ord"),
         "campaign_name", "adset_name",
         F.when(ok % 89 == 0, F.lit("invalid-date")).otherwise(s("date")).alias("date"),
         F.when(ok % 97 == 0, F.lit("not-a-number")).otherwise(s("spend_cents")).alias("spend"),
@@ -147,54 +119,3 @@ def _raw_ad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(ok % 83 == 0, F.lit(None).cast("string")).otherwise(s("revenue_cents")).alias("revenue"),
         "creative_type", "creative_message", "audience_type", "platform", "country",
     )
-
-
-# SQL twin of ad_facts / raw_ad_rows for the DuckDB oracle (driver tables are
-# registered as views there).  Prefix an oracle query with ``WITH`` + these.
-FACTS_BASE_SQL = """
-fact_base AS (
-  SELECT concat(p_brand, '_', CASE p_size % 5 WHEN 0 THEN 'Female_18-30' WHEN 1 THEN 'Female_31-45'
-                WHEN 2 THEN 'Male_18-24' WHEN 3 THEN 'Male_25-40' ELSE 'Broad' END) AS campaign_name,
-         concat(p_brand, '/', l_returnflag) AS adset_name,
-         CAST(l_shipdate AS DATE) AS date,
-         CAST(floor(l_extendedprice * abs(l_discount) * 100 + 0.5) AS BIGINT) AS spend_cents,
-         CAST(floor(l_quantity * 1000) AS BIGINT) AS impressions,
-         CAST(floor(l_quantity * 1000 * l_tax / 4
-              * CAST(CASE p_size % 4 WHEN 0 THEN 0.5 WHEN 1 THEN 1.5 WHEN 2 THEN 1.0 ELSE 1.25 END AS DOUBLE)) AS BIGINT) AS clicks,
-         CAST(l_linenumber AS BIGINT) AS purchases,
-         CAST(floor(l_extendedprice * l_tax * 300
-              * CAST(CASE l_linestatus WHEN 'O' THEN 1.5 ELSE 0.9 END AS DOUBLE)
-              * CAST(CASE c_mktsegment WHEN 'BUILDING' THEN 0.4 WHEN 'MACHINERY' THEN 1.2 ELSE 1.0 END AS DOUBLE)
-              * CAST(CASE WHEN p_brand IN ('Brand#1', 'Brand#2') THEN 0.5 ELSE 1.0 END AS DOUBLE) + 0.5) AS BIGINT) AS revenue_cents,
-         CASE p_size % 4 WHEN 0 THEN 'image' WHEN 1 THEN 'video' WHEN 2 THEN 'carousel' ELSE 'collection' END AS creative_type,
-         p_name AS creative_message,
-         c_mktsegment AS audience_type,
-         CASE l_linestatus WHEN 'O' THEN 'Facebook' ELSE 'Instagram' END AS platform,
-         n_name AS country,
-         l_orderkey * 8 + l_linenumber AS row_ord,
-         l_orderkey
-  FROM lineitem JOIN part ON p_partkey = l_partkey JOIN orders ON o_orderkey = l_orderkey
-       JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey
-)"""
-
-FACTS_SQL = FACTS_BASE_SQL + """,
-ad_facts AS (
-  SELECT campaign_name, adset_name, date, spend_cents / 100.0 AS spend, impressions, clicks, purchases,
-         revenue_cents / 100.0 AS revenue, creative_type, creative_message, audience_type, platform, country,
-         clicks / nullif(impressions, 0) AS ctr,
-         revenue_cents / nullif(spend_cents, 0) AS roas,
-         spend_cents, revenue_cents, row_ord
-  FROM fact_base
-)"""
-
-RAW_SQL = FACTS_BASE_SQL + """,
-raw_ad_rows AS (
-  SELECT row_ord, campaign_name, adset_name,
-         CASE WHEN l_orderkey % 89 = 0 THEN 'invalid-date' ELSE CAST(date AS VARCHAR) END AS date,
-         CASE WHEN l_orderkey % 97 = 0 THEN 'not-a-number' ELSE CAST(spend_cents AS VARCHAR) END AS spend,
-         CAST(impressions AS VARCHAR) AS impressions, CAST(clicks AS VARCHAR) AS clicks,
-         CAST(purchases AS VARCHAR) AS purchases,
-         CASE WHEN l_orderkey % 83 = 0 THEN NULL ELSE CAST(revenue_cents AS VARCHAR) END AS revenue,
-         creative_type, creative_message, audience_type, platform, country
-  FROM fact_base
-)"""

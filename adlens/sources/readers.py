@@ -3,8 +3,9 @@ CSV, parquet, or any DataFrame."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from adlens.operators import cleaning
 from adlens.params import Params
@@ -28,8 +29,13 @@ def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     if not cols:
         raise DatasetError(f"Dataset file is empty: {path}")
     schema = ", ".join(f"`{c}` STRING" for c in cols)
-    return (spark.read.option("header", True).option("mode", "PERMISSIVE")
+    rows = (spark.read.option("header", True).option("mode", "PERMISSIVE")
             .option("nullValue", None).schema(schema).csv(path))
+    # a row's place: its file, the block of it, and the order of reading inside the block
+    # (Spark packs blocks into partitions by size, so an id alone is not file order)
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                     F.monotonically_increasing_id().alias("at"))
+    return rows.select("*", place.alias(cleaning.ORD)) if cleaning.ORD not in cols else rows
 
 
 def load_strict(spark: SparkSession, path: str, params: Params = Params()) -> cleaning.Cleaned:

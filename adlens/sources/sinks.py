@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+RECOMMENDATION_SCHEMA = (
+    "campaign string, current_ctr double, current_creative_type string, current_message string, "
+    "new_creatives array<struct<creative_id:string,creative_type:string,creative_message:string,audience_type:string,"
+    "rationale:string,confidence_score:double,expected_ctr_improvement:double>>")
+
+
 def evidence_struct(validated: DataFrame) -> DataFrame:
     """Validated rows with a nested ``evidence`` document (metrics + optional test)."""
     sig = F.when(F.col("has_test"), F.struct(
@@ -25,12 +31,27 @@ def write_insights(validated: DataFrame, top: DataFrame, path: str, query: str,
     top.select("*", *meta).write.mode("overwrite").json(f"{path}/top_insights")
 
 
-def write_recommendations(recs: DataFrame | None, path: str, threshold: float) -> None:
-    """Recommendations with the threshold used; an empty folder (same schema) when none were requested."""
+def write_recommendations(spark: SparkSession, recs: DataFrame | None, path: str, threshold: float, query: str,
+                          dataset: str, timestamp: str) -> None:
+    """Recommendations in ``creatives`` and the run's metadata in ``creatives_metadata``.
+
+    ``recs`` of None (not requested by the workflow) writes an empty
+    ``creatives`` folder, and metadata with a note instead of the threshold.
+    """
+    meta = {"query": query, "timestamp": timestamp}
     if recs is None:
-        return
-    recs.select("*", F.lit(float(threshold)).alias("low_ctr_threshold")) \
-        .write.mode("overwrite").json(f"{path}/creatives")
+        recs = spark.createDataFrame([], RECOMMENDATION_SCHEMA)
+        meta["note"] = "Creative generation not requested for this workflow"
+    else:
+        meta |= {"dataset": dataset, "low_ctr_threshold": float(threshold)}
+    recs.write.mode("overwrite").json(f"{path}/creatives")
+    row = spark.range(1).select(*[F.lit(v).alias(k) for k, v in meta.items()])
+    row.coalesce(1).write.mode("overwrite").json(f"{path}/creatives_metadata")
+
+
+def read_recommendations(spark: SparkSession, path: str) -> DataFrame:
+    """What ``write_recommendations`` wrote, with its schema also where it is empty."""
+    return spark.read.schema(RECOMMENDATION_SCHEMA).json(f"{path}/creatives")
 
 
 def json_round_trip(df: DataFrame) -> DataFrame:

@@ -94,3 +94,36 @@ def test_dirty_fixture_counts(spark):
     p = c.profile.collect()[0]
     assert p.raw_rows == 6000
     assert p.raw_rows - p.clean_rows == p.missing_revenue + p.date_failures
+
+
+def test_only_decimal_numbers_are_numbers(spark):
+    bad = ["12d", "12f", "0x1p3", "1_000", "1e", ".", "+", "١٢", "1,5", "--1", "abc"]
+    good = {"12": 12.0, " 1.5 ": 1.5, "+.5": 0.5, "-2.": -2.0, "1E3": 1000.0, "1e-2": 0.01}
+    rows = [("A", "2024-01-01", v, "1", "1", "1") for v in [*bad, *good]]
+    raw = spark.createDataFrame(rows, "campaign_name string, date string, spend string, impressions string, "
+                                      "clicks string, revenue string")
+    c = Q.clean(raw)
+    assert c.profile.first().nonnum_spend == len(bad)
+    assert sorted(r.spend for r in c.clean.where("spend is not null").collect()) == sorted(good.values())
+
+
+def test_examples_follow_file_order(spark):
+    """A small first file and a large second one, which Spark reads first."""
+    d = tempfile.mkdtemp(prefix="adlens-test-")
+    head = "campaign_name,date,spend,impressions,clicks,revenue\n"
+    with open(os.path.join(d, "a.csv"), "w") as f:
+        f.write(head + "A,from-a,1,1,1,1\n")
+    with open(os.path.join(d, "b.csv"), "w") as f:
+        f.write(head + "".join(f"B,from-b{i},x{i},1,1,1\n" for i in range(2000)))
+    c = readers.load_strict(spark, d)
+    dates = c.issues.where("issue_type = 'invalid_dates'").first().examples
+    assert [(e.row, e.value) for e in dates] == [(0, "from-a")] + [(i + 1, f"from-b{i}") for i in range(4)]
+
+
+def test_appended_files_are_seen(spark):
+    from adlens.sources.facts import table
+    d = tempfile.mkdtemp(prefix="adlens-test-")
+    spark.range(5).write.parquet(f"{d}/t.parquet")
+    assert table(spark, d, "t").count() == 5
+    spark.range(7).write.mode("append").parquet(f"{d}/t.parquet")
+    assert table(spark, d, "t").count() == 12

@@ -19,3 +19,10 @@ def test_request_tagging(spark):
     assert (rows[7].date_from, rows[7].date_to) == (dt.date(2025, 11, 1), dt.date(2025, 12, 1))
     assert rows[4].date_from is None
     assert [r.valid for r in rows] == [True, True, True, True, False, False, False, True]
+
+
+def test_white_space_is_not_text(spark):
+    texts = ["\t\n\t\n\t", "ab\n\n\n", "\u00a0\u2003ab\u3000", "\x1fhello\x85", " a b c ", "abcde", "\u2028\u2029\u202f\u205f\u1680"]
+    df = spark.createDataFrame(list(enumerate(texts)), "conv_id long, text string")
+    got = {r.conv_id: r.valid for r in RQ.tag_requests(df, "text", keys=("conv_id",)).collect()}
+    assert got == {i: len(t.strip()) >= 5 for i, t in enumerate(texts)}

@@ -10,39 +10,30 @@ from adlens.functions import stats
 from adlens.functions.quantile import quantile_frame
 
 
-def test_regularized_beta_matches_commons_math(spark):
+def p_values(spark, rows):
+    df = spark.createDataFrame([(i, t, d) for i, (t, d) in enumerate(rows)], "i int, t double, dof double")
+    return [r.p for r in df.select("i", stats.p_value(F.col("t"), F.col("dof")).alias("p")).orderBy("i").collect()]
+
+
+def test_p_value_matches_the_distribution(spark):
     jvm = spark._jvm.org.apache.commons.math3.distribution.TDistribution
-    for t, dof in [(0.5, 3.0), (2.1, 10.0), (-1.7, 25.0), (3.5, 120.0), (0.01, 1.0), (8.0, 4000.0)]:
-        expected = 2 * jvm(dof).cumulativeProbability(-abs(t))
-        assert stats.t_two_sided_p(t, dof) == pytest.approx(expected, rel=1e-9, abs=1e-300)
-
-
-def test_p_value_engines_agree(spark):
-    df = spark.createDataFrame([(0.5, 3.0), (2.1, 10.0), (-1.7, 25.0), (3.5, 120.0), (None, 5.0)],
-                               "t double, dof double")
-    out = df.select(stats.p_value(F.col("t"), F.col("dof"), "jvm").alias("j"),
-                    stats.p_value(F.col("t"), F.col("dof"), "python").alias("p")).collect()
-    for r in out[:4]:
-        assert r.j == pytest.approx(r.p, rel=1e-9)
-    assert out[4].j is None and out[4].p is None
-
-
-def test_pooled_t_and_ci_match_manual(spark):
-    rng = np.random.default_rng(7)
-    a, b = rng.normal(1.0, 0.3, 40), rng.normal(1.3, 0.5, 55)
-    n1, n2 = len(a), len(b)
-    v1, v2 = a.var(ddof=1), b.var(ddof=1)
-    sp2 = ((n1 - 1) * v1 + (n2 - 1) * v2) / (n1 + n2 - 2)
-    t_exp = (a.mean() - b.mean()) / math.sqrt(sp2 * (1 / n1 + 1 / n2))
-    se = math.sqrt(v1 / n1 + v2 / n2)
-    row = spark.createDataFrame([(float(n1), float(a.mean()), float(v1), float(n2), float(b.mean()), float(v2))],
-                                "n1 double, m1 double, v1 double, n2 double, m2 double, v2 double")
-    c = [F.col(x) for x in ("n1", "m1", "v1", "n2", "m2", "v2")]
-    lo, hi = stats.ci_diff(*c)
-    r = row.select(stats.pooled_t(*c).alias("t"), lo.alias("lo"), hi.alias("hi")).collect()[0]
-    assert r.t == pytest.approx(t_exp, rel=1e-12)
-    d = b.mean() - a.mean()
-    assert (r.lo, r.hi) == (pytest.approx(d - 1.96 * se), pytest.approx(d + 1.96 * se))
+    rows = [(0.5, 3.0), (2.1, 10.0), (-1.7, 25.0), (3.5, 120.0), (0.01, 1.0), (8.0, 4000.0), (2.0, 9999.0), (2.0, 10001.0), (5.0, 20000.0)]
+    for (t, dof), got in zip(rows, p_values(spark, rows)):
+        assert got == pytest.approx(2 * jvm(dof).cumulativeProbability(-abs(t)), rel=1e-8, abs=1e-300)
+
+
+def test_p_value_keeps_its_digits_at_large_dof(spark):
+    """Against the expansion of the t tail in 1/dof, whose error is of order 1/dof^3."""
+    rows = [(t, dof) for t in (0.1, 1.0, 2.0, 4.0, 6.0) for dof in (1e6, 1e8, 1e10, 1e12)]
+    for (t, v), got in zip(rows, p_values(spark, rows)):
+        density = math.exp(-t * t / 2) / math.sqrt(2 * math.pi)
+        more = (t ** 3 + t) / (4 * v) + (3 * t ** 7 - 5 * t ** 5 - 7 * t ** 3 - 3 * t) / (96 * v * v)
+        assert got == pytest.approx(math.erfc(t / math.sqrt(2)) + 2 * density * more, rel=1e-9)
+
+
+def test_p_value_edges(spark):
+    assert p_values(spark, [(None, 5.0), (1.0, None), (1.0, 0.0), (float("inf"), 5.0), (float("-inf"), 1e9), (0.0, 1e9)]) \
+        == [None, None, None, 0.0, 0.0, 1.0]
 
 
 @settings(max_examples=8, deadline=None)

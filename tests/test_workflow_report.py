@@ -46,18 +46,54 @@ def test_json_sinks_round_trip(spark, analysis):
     d = tempfile.mkdtemp(prefix="adlens-out-")
     sinks.write_insights(analysis.validated, analysis.top_insights, d, "why did roas drop", "sf0.001",
                          "2025-01-01T00:00:00Z")
-    sinks.write_recommendations(analysis.recommendations, d, 0.01)
+    sinks.write_recommendations(spark, analysis.recommendations, d, 0.01, "why did roas drop", "sf0.001",
+                                "2025-01-01T00:00:00Z")
     back = spark.read.json(f"{d}/validated_hypotheses")
     assert back.count() == analysis.validated.count()
     one = json.loads(open([os.path.join(f"{d}/top_insights", f) for f in os.listdir(f"{d}/top_insights")
                            if f.endswith(".json")][0]).readline())
     assert set(one) >= {"hypothesis", "validated_confidence", "query", "timestamp", "dataset"}
     assert spark.read.json(f"{d}/creatives").where(F.size("new_creatives") < 3).count() == 0
+    assert sorted(map(str, sinks.read_recommendations(spark, d).collect())) == \
+        sorted(map(str, analysis.recommendations.select(*sinks.read_recommendations(spark, d).columns).collect()))
+    meta = spark.read.json(f"{d}/creatives_metadata").first().asDict()
+    assert meta == {"query": "why did roas drop", "timestamp": "2025-01-01T00:00:00Z", "dataset": "sf0.001",
+                    "low_ctr_threshold": 0.01}
     seg = analysis.segments()
     rt = sinks.json_round_trip(seg)
     assert sorted(map(tuple, rt.collect())) == sorted(map(tuple, seg.collect()))
 
 
+def test_recommendations_that_were_not_asked_for(spark):
+    d = tempfile.mkdtemp(prefix="adlens-out-")
+    sinks.write_recommendations(spark, None, d, 0.01, "analyze roas", "x", "2025-01-01T00:00:00Z")
+    assert sinks.read_recommendations(spark, d).count() == 0
+    assert "not requested" in spark.read.json(f"{d}/creatives_metadata").first()["note"]
+
+
+@pytest.mark.parametrize("text, kept", [
+    ("\t \t", None), ("\t x", "x"), ("\u00a0\u2003", None), ("\u00a0y\u3000", "y"), ("\n a\tb \r\n", "ab"),
+    ("\x1c\x1f", None), ("a\u2028b", "ab"), ("a  b", "a  b"), ("\x85z", "z")])
+def test_supporting_metrics_strip_white_space_first(spark, text, kept):
+    v = spark.createDataFrame([(1, [(text, 1.0, "c"), ("m", 2.0, text)])],
+                              "rank int, evidence_metrics array<struct<metric_name:string,value:double,comparison:string>>")
+    rows = [(r.metric_name, r.comparison) for r in R.supporting_metrics(v).orderBy("pos").collect()]
+    assert rows == ([] if kept is None else [(kept, "c"), ("m", kept)])
+
+
+def test_request_runs_what_it_asks_for(facts):
+    from adlens.plans.workflow import run_request
+    analysis_only = run_request(facts, "Analyze ROAS for last 30 days", "1998-06-30")
+    assert analysis_only["recommendations"] is None
+    s = analysis_only["analysis"].summary.first()
+    assert str(s.start_date) >= "1998-05-31" and str(s.end_date) <= "1998-06-30"
+    creative = run_request(facts, "Generate creative ideas from 1997-01-01 to 1997-06-30", "1998-06-30")
+    assert creative["recommendations"].count() > 0
+    assert run_request(facts, "how was it on 1997-01-08", "1998-06-30")["recommendations"] is not None
+    with pytest.raises(ValueError):
+        run_request(facts, "\t a \n", "1998-06-30")
+
+
 def test_narratives(analysis):
     from adlens.operators import creatives as C
     from adlens.operators import evidence as E
