@@ -85,16 +85,11 @@ def campaign_modes(df: DataFrame) -> DataFrame:
     return best.select(camp, *[f"mode_{f}" for f in MODE_FIELDS])
 
 
-def low_ctr_campaigns(seg: DataFrame, df: DataFrame, params: Params = Params(),
-                      modes: DataFrame | None = None) -> DataFrame:
-    """Campaign segments with ctr < threshold that have rows in ``df``, with their modes.
-
-    ``modes`` (per-campaign modes, e.g. from the fact cube) avoids a second scan of ``df``.
-    """
+def low_ctr_campaigns(seg: DataFrame, df: DataFrame, params: Params = Params()) -> DataFrame:
+    """Campaign segments with ctr < threshold that have rows in ``df``, with their modes."""
     low = (seg.where((F.col("dimension") == "campaign_name") & (F.col("ctr") < params.low_ctr))
            .select(F.col("value").alias("campaign_name"), F.col("ctr").alias("current_ctr"), "spend"))
-    modes = campaign_modes(df) if modes is None else modes
-    j = low.join(modes, "campaign_name", "inner")
+    j = low.join(campaign_modes(df), "campaign_name", "inner")
     has_type = "creative_type" in df.columns
     has_msg = "creative_message" in df.columns
     return j.select(
@@ -229,9 +224,8 @@ def recommendations(variations: DataFrame) -> DataFrame:
                     F.transform("v", lambda e: e.dropFields("i")).alias("new_creatives"))
 
 
-def creative_pipeline(seg: DataFrame, df: DataFrame, params: Params = Params(),
-                      modes: DataFrame | None = None) -> dict:
-    low = low_ctr_campaigns(seg, df, params, modes)
+def creative_pipeline(seg: DataFrame, df: DataFrame, params: Params = Params()) -> dict:
+    low = low_ctr_campaigns(seg, df, params)
     cands = creative_candidates(low, best_creative_types(seg), params)
     var = creative_variations(cands, seg)
     return {"low_ctr": low, "candidates": cands, "variations": var, "recommendations": recommendations(var)}

@@ -161,11 +161,6 @@ def trends(df: DataFrame, params: Params = Params(), daily: DataFrame | None = N
     return ch.select(F.explode(F.array(*packed)).alias("t")).select("t.*")
 
 
-def overall_from_daily(daily: DataFrame) -> DataFrame:
-    """``overall_metrics`` from daily (or any re-aggregable) sums."""
-    return overall_metrics(daily)
-
-
 def summary_from_daily(daily: DataFrame, seg: DataFrame, issues: DataFrame | None = None) -> DataFrame:
     """``dataset_summary`` from daily sums plus the campaign segments (distinct campaigns)."""
     s = daily.agg(

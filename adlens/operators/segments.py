@@ -1,9 +1,8 @@
 """Segmentation: per-value totals of the four dimensions in one pass.
 
 ``fact_cube`` runs a single GROUPING SETS aggregate (Expand feeding a partial
-hash aggregate, one shuffle) over the four dimensions, optionally the date
-and the (campaign, value) pairs of the per-campaign modes.  It also collects
-the two-sample sufficient statistics (n, mean, sample variance) of the
+hash aggregate, one shuffle) over the four dimensions and optionally the
+date.  It also collects the two-sample sufficient statistics (n, mean, sample variance) of the
 row-level ``ctr`` and ``roas`` columns, so the t-tests need no second scan.
 Hot keys are harmless: the partial aggregate collapses them map-side before
 the shuffle.
@@ -43,30 +42,20 @@ def _moment_aggs(df: DataFrame) -> list[Column]:
     return out
 
 
-MODE_FIELDS = ("creative_type", "creative_message", "audience_type")
+def fact_cube(df: DataFrame, dims=DIMENSIONS, moments: bool = True, include_daily: bool = False) -> DataFrame:
+    """One GROUPING SETS pass over the facts.
 
-
-def cube_aggregate(df: DataFrame, dims=DIMENSIONS, moments: bool = True,
-                   include_daily: bool = False, include_modes: bool = False) -> DataFrame:
-    """First level of ``fact_cube``: one GROUPING SETS pass over the facts.
+    The plan is linear (scan -> Expand -> partial/final aggregate); the facts are read once.
 
     Columns: dimension, dim_ord, value, date (daily rows only), re-aggregable
     sums (money as cents when carried), rows, guarded spend/revenue/roas/ctr,
-    and with ``moments`` n/mean/var of row-level ctr and roas.  With
-    ``include_modes`` it also holds (campaign, value) pair rows
-    ``dimension = 'mode:<field>'`` (campaign in ``value``, the field value in
-    ``mode_value``, its row count in ``rows``) from the same Expand;
-    ``finish_cube`` reduces them to the per-campaign mode (ties -> smallest).
+    and with ``moments`` n/mean/var of row-level ctr and roas.
     """
     dims = present_dimensions(df, dims)
-    mode_fields = ([f for f in MODE_FIELDS if f in df.columns]
-                   if include_modes and "campaign_name" in df.columns else [])
     keys = list(dims) + (["date"] if include_daily else [])
-    keys += [f for f in mode_fields if f not in keys]
     if not keys:
         raise ValueError("no segmentation dimension present")
     sets = [[d] for d in dims] + ([["date"]] if include_daily else [])
-    sets += [["campaign_name", f] for f in mode_fields]
     cents = "spend_cents" in df.columns and "revenue_cents" in df.columns
     sums = ([F.sum("spend_cents").alias("spend_cents"), F.sum("revenue_cents").alias("revenue_cents")]
             if cents else [F.coalesce(F.sum(F.col("spend").cast("double")), F.lit(0.0)).alias("spend"),
@@ -86,9 +75,6 @@ def cube_aggregate(df: DataFrame, dims=DIMENSIONS, moments: bool = True,
     order = {d: i for i, d in enumerate(DIMENSIONS)}
     order["date"] = len(DIMENSIONS)
 
-    def label(st):
-        return st[0] if len(st) == 1 else f"mode:{st[1]}"
-
     def case(fn):
         items = list(gid_of.items())
         expr = F.when(F.col("_gid") == items[0][0], fn(items[0][1]))
@@ -96,10 +82,9 @@ def cube_aggregate(df: DataFrame, dims=DIMENSIONS, moments: bool = True,
             expr = expr.when(F.col("_gid") == g, fn(st))
         return expr
 
-    dim_name = case(lambda st: F.lit(label(st)))
-    dim_ord = case(lambda st: F.lit(order.get(label(st), len(DIMENSIONS) + 1)))
+    dim_name = case(lambda st: F.lit(st[0]))
+    dim_ord = case(lambda st: F.lit(order[st[0]]))
     dim_value = case(lambda st: F.col(st[0]).cast("string"))
-    mode_value = case(lambda st: F.col(st[1]).cast("string") if len(st) == 2 else F.lit(None).cast("string"))
     money = ([(F.coalesce(F.col("spend_cents"), F.lit(0)) / 100.0).alias("spend"),
               (F.coalesce(F.col("revenue_cents"), F.lit(0)) / 100.0).alias("revenue"),
               "spend_cents", "revenue_cents"] if cents else ["spend", "revenue"])
@@ -110,67 +95,17 @@ def cube_aggregate(df: DataFrame, dims=DIMENSIONS, moments: bool = True,
         dim_name.alias("dimension"), dim_ord.alias("dim_ord"), dim_value.alias("value"),
         (F.when(F.col("_gid") == [g for g, st in gid_of.items() if st == ["date"]][0], F.col("date"))
          if include_daily else F.lit(None).cast("date")).alias("date"),
-        mode_value.alias("mode_value"),
         *money, F.col("impressions").cast("bigint").alias("impressions"),
         F.col("clicks").cast("bigint").alias("clicks"), "rows", *extra)
     out = out.select("*", guarded_ratio("revenue", "spend").alias("roas"),
                      guarded_ratio("clicks", "impressions").alias("ctr"))
-    out = out.where(F.col("value").isNotNull())
-    if not mode_fields:
-        return out.drop("mode_value")
-    return out
-
-
-def finish_cube(out: DataFrame) -> DataFrame:
-    """Reduce the (campaign, value) pair rows of a first-level cube to per-campaign modes.
-
-    One more aggregate over all first-level rows, keyed by (dimension, value,
-    date): cube rows are already unique per key and pass through (``first``);
-    pair rows collapse per (mode field, campaign) to the value with the most
-    rows, ties -> smallest (``min_by`` on (-rows, value)).  A single linear
-    plan (no union of branches), so the facts are read once; both levels are
-    partial aggregates, so a campaign holding a third of the rows is reduced
-    map-side.
-    """
-    if "mode_value" not in out.columns:
-        return out
-    is_mode = F.col("dimension").startswith("mode:")
-    keys = ["dimension", "value", "date"]
-    passthrough = [c for c in out.columns if c not in keys + ["mode_value"]]
-    key = F.when(is_mode & F.col("mode_value").isNotNull(),
-                 F.struct((-F.col("rows")).alias("n"), F.col("mode_value").alias("v")))
-    agg = out.groupBy(*keys).agg(
-        *[F.first(c).alias(c) for c in passthrough],
-        F.min_by(F.col("mode_value"), key).alias("mode_value"))
-    # mode rows keep only (dimension, value, mode_value); their other columns
-    # would be an arbitrary pair's totals
-    meaningful = {"dimension", "value", "mode_value", "dim_ord"}
-    return agg.where(~is_mode | F.col("mode_value").isNotNull()).select(*[
-        F.col(c) if c in meaningful else F.when(~is_mode, F.col(c)).alias(c) for c in out.columns])
-
-
-def fact_cube(df: DataFrame, dims=DIMENSIONS, moments: bool = True,
-              include_daily: bool = False, include_modes: bool = False) -> DataFrame:
-    """The cube (see ``cube_aggregate``) with pair rows reduced to modes.
-
-    The plan is linear: scan -> Expand -> partial/final aggregate -> (with
-    modes) one more partial/final aggregate; the facts are read once.
-    """
-    return finish_cube(cube_aggregate(df, dims, moments, include_daily, include_modes))
-
-
-def modes_of_cube(cube: DataFrame) -> DataFrame:
-    """Per campaign: mode_creative_type, mode_creative_message, mode_audience_type."""
-    m = cube.where(F.col("dimension").startswith("mode:"))
-    return m.groupBy(F.col("value").alias("campaign_name")).agg(*[
-        F.max(F.when(F.col("dimension") == f"mode:{f}", F.col("mode_value"))).alias(f"mode_{f}")
-        for f in MODE_FIELDS])
+    return out.where(F.col("value").isNotNull())
 
 
 def segment_aggregates(df: DataFrame, dims=DIMENSIONS, moments: bool = True) -> DataFrame:
     """Long-form per (dimension, value): totals, guarded ratios and, optionally,
     n/mean/var of row-level ctr and roas.  NULL values are dropped."""
-    return fact_cube(df, dims, moments, include_daily=False)
+    return fact_cube(df, dims, moments)
 
 
 def segments_of_cube(cube: DataFrame) -> DataFrame:

@@ -10,12 +10,7 @@ from dataclasses import dataclass, field, replace
 # Required / optional fact columns, numeric columns and the
 # strings a CSV reader treats as missing.
 REQUIRED_FIELDS = ("campaign_name", "date", "spend", "impressions", "clicks", "revenue")
-EXPECTED_FIELDS = (
-    "adset_name", "ctr", "purchases", "roas", "creative_type",
-    "creative_message", "audience_type", "platform", "country",
-)
 NUMERIC_FIELDS = ("spend", "impressions", "clicks", "revenue", "purchases", "ctr", "roas")
-INTEGER_FIELDS = ("impressions", "clicks", "purchases")
 NA_STRINGS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan",
     "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a",
@@ -51,16 +46,12 @@ def strptime_to_spark(fmt: str) -> str:
 class Params:
     # thresholds
     low_ctr: float = 0.01
-    high_confidence: float = 0.7
-    roas_change_significant: float = 0.15
     trend_stable_threshold: float = 0.05
     # generation limits
     max_hypotheses: int = 5
     min_data_points: int = 10
-    min_creatives_per_campaign: int = 3
     # data quality
     date_format: str = "%Y-%m-%d"
-    max_missing_percentage: float = 0.1
     required_fields: tuple = field(default=REQUIRED_FIELDS)
     # confidence weights (insight, validation strength, segmentation evidence)
     weight_insight: float = 0.4

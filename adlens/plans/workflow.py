@@ -3,24 +3,26 @@
 Physical shape, whatever the data size:
 
 * one scan -- ``fact_cube``: one GROUPING SETS aggregate over the facts
-  (four dimensions + date; sums, row counts, t-test moments; with creatives
-  also the (campaign, value) counts whose per-campaign ``min_by`` gives the
-  modes, reduced by a second aggregate in the same linear plan).  Partial
-  aggregation map-side; output is #dates + #segment values + 3 x #campaigns
-  rows.
+  (four dimensions + date; sums, row counts, t-test moments).  Partial
+  aggregation map-side; output is #dates + #segment values rows.
+* with creatives a second, column-pruned scan counts (campaign, value) pairs
+  for the per-campaign modes (``creatives.campaign_modes``).  Its rows carry
+  a count only; as many pairs as rows (a message of its own for each row) do
+  not touch the cube.
 * the exact ctr quantile histogram and the high-CTR message counts (only
   for the high-CTR message report) scan again.
 
 The cube is written as a table into the session's shared checkpoint folder
-and read back (``session.cut_lineage``), and so are the one- and two-row
-metrics and trends tables and the creative variations when first used, so
-later steps (and an executor loss) never recompute from the raw facts.
+and read back (``session.cut_lineage``), and so are one row of metrics and
+trends, and the creative variations when first used, so later steps (and an
+executor loss) never recompute from the raw facts.
 Everything after the scan works on those small tables.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from adlens.operators import creatives as C
 from adlens.operators import evidence as E
@@ -46,8 +48,7 @@ class Analysis:
         self.evidence_facts = evidence_facts
         self.cube, self.daily, self.seg = data["cube"], data["daily"], data["seg"]
         self.summary = data["summary"]
-        self._metrics_builder, self._trends_builder = data["metrics"], data["trends"]
-        self.modes = data.get("modes")
+        self._context_builder = data["context"]
         self._creatives = creatives
         self._cache: dict = {}
 
@@ -59,8 +60,9 @@ class Analysis:
     def _set(self, name, value):
         self._cache[name] = value
 
-    metrics = property(lambda self: self._get("metrics", self._metrics_builder))
-    trends = property(lambda self: self._get("trends", self._trends_builder))
+    _context = property(lambda self: self._get("context", self._context_builder))
+    metrics = property(lambda self: self._get("metrics", lambda: self._context.select("metrics.*")))
+    trends = property(lambda self: self._get("trends", lambda: self._context.select(F.inline("trends"))))
     hypotheses = property(lambda self: self._get(
         "hypotheses", lambda: H.hypotheses(self.metrics, self.trends, self.seg, self.params)))
     def _evidence_seg(self) -> DataFrame:
@@ -85,7 +87,7 @@ class Analysis:
             if self.evidence_facts is not None:
                 pipe = C.creative_pipeline(self.seg, self.evidence_facts, self.params)
             else:
-                pipe = C.creative_pipeline(self.seg, self.facts, self.params, self.modes)
+                pipe = C.creative_pipeline(self.seg, self.facts, self.params)
             if self._checkpoint:
                 pipe["variations"] = cut_lineage(pipe["variations"])
             pipe["recommendations"] = C.recommendations(pipe["variations"])
@@ -101,25 +103,23 @@ class Analysis:
 
 
 def data_step(facts: DataFrame, params: Params = Params(), issues: DataFrame | None = None,
-              checkpoint: bool = True, modes: bool = False) -> dict:
-    """One scan of the facts (the cube, optionally with per-campaign modes),
-    materialised.  Overall metrics and trends (one or two rows each) are
-    returned as builders: ``Analysis`` materialises them on first use, since
-    every later step reads them through scalar subqueries."""
-    cube = S.fact_cube(facts, moments=True, include_daily=True, include_modes=modes)
+              checkpoint: bool = True) -> dict:
+    """One scan of the facts (the cube), materialised.  Overall metrics and
+    trends are one row, built and materialised on first use, since every later
+    step reads them through scalar subqueries."""
+    cube = S.fact_cube(facts, moments=True, include_daily=True)
     if checkpoint:
         cube = cut_lineage(cube)
     daily = S.daily_of_cube(cube)
     seg = S.segments_of_cube(cube)
 
-    def small(df):
-        return cut_lineage(df) if checkpoint else df
+    def context():
+        found = M.trends(facts, params, daily=daily).agg(F.collect_list(F.struct("*"))).scalar()
+        row = M.overall_metrics(daily).select(F.struct("*").alias("metrics"), found.alias("trends"))
+        return cut_lineage(row.coalesce(1)) if checkpoint else row
 
-    return dict(cube=cube, daily=daily, seg=seg,
-                metrics=lambda: small(M.overall_metrics(daily)),
-                trends=lambda: small(M.trends(facts, params, daily=daily)),
-                summary=M.summary_from_daily(daily, seg, issues),
-                modes=S.modes_of_cube(cube) if modes else None)
+    return dict(cube=cube, daily=daily, seg=seg, context=context,
+                summary=M.summary_from_daily(daily, seg, issues))
 
 
 def analyze(facts: DataFrame, params: Params = Params(), issues: DataFrame | None = None,
@@ -129,11 +129,9 @@ def analyze(facts: DataFrame, params: Params = Params(), issues: DataFrame | Non
 
     ``evidence_facts``: optional second frame (e.g. the lenient, unfiltered
     load) from which the t-test moments and the creative modes are taken,
-    as the analysed tool does; this costs one more scan.  By default both
-    come from ``facts`` and the facts are scanned once.
+    as the analysed tool does.  By default both come from ``facts``.
     """
-    modes = creatives and evidence_facts is None
-    return Analysis(facts, params, data_step(facts, params, issues, checkpoint, modes=modes),
+    return Analysis(facts, params, data_step(facts, params, issues, checkpoint),
                     creatives, checkpoint, evidence_facts)
 
 

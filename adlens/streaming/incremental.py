@@ -15,6 +15,7 @@ cube exactly as they read the batch one.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from adlens.operators.segments import fact_cube
@@ -36,15 +37,16 @@ def streaming_cube(facts: DataFrame, moments: bool = True) -> DataFrame:
 
 def publish_cube(cube: DataFrame, target_dir: str, checkpoint_location: str,
                  trigger_once: bool = False) -> StreamingQuery:
-    """Run the streaming cube; after every micro-batch overwrite ``target_dir`` with the full cube.
+    """Run the streaming cube; every micro-batch writes the full cube as ``target_dir/epoch=N``.
 
-    ``complete`` output mode + ``foreachBatch``: the write of each epoch is an
-    idempotent overwrite, so a retried epoch after a failure leaves the same
-    table.  The query's own state and offsets live in ``checkpoint_location``
-    (a shared folder on a cluster).
+    ``complete`` output mode + ``foreachBatch``.  An epoch has a folder of its
+    own, so a reader of an earlier one (``latest_cube``) never sees a table
+    that is being replaced; a retried epoch overwrites only itself.  The
+    query's own state and offsets live in ``checkpoint_location`` (a shared
+    folder on a cluster).
     """
     def write(batch: DataFrame, epoch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(target_dir)
+        batch.write.mode("overwrite").parquet(f"{target_dir}/epoch={epoch_id}")
 
     w = (cube.writeStream.outputMode("complete")
          .option("checkpointLocation", checkpoint_location)
@@ -52,3 +54,10 @@ def publish_cube(cube: DataFrame, target_dir: str, checkpoint_location: str,
     if trigger_once:
         w = w.trigger(availableNow=True)
     return w.start()
+
+
+def latest_cube(spark: SparkSession, target_dir: str) -> DataFrame:
+    """The cube of the last published epoch; only its folder is read."""
+    cubes = spark.read.parquet(target_dir)
+    last = cubes.select(F.max("epoch")).first()[0]
+    return cubes.where(F.col("epoch") == last).drop("epoch")

@@ -21,9 +21,9 @@ def test_fact_view_scanned_once(spark, name):
     assert a["python_eval"] == 0
 
 
-def test_cube_with_modes_is_one_linear_plan(spark, facts):
+def test_cube_is_one_linear_plan(spark, facts):
     from adlens.operators import segments as S
-    cube = S.fact_cube(facts, include_daily=True, include_modes=True)
+    cube = S.fact_cube(facts, include_daily=True)
     a = audit(cube)
     assert a["scans"].get("lineitem") == 1
     plan = cube._jdf.queryExecution().executedPlan().toString()

@@ -7,6 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from adlens.operators import segments as S
+from adlens.operators.creatives import campaign_modes
 
 ROW = st.tuples(
     st.sampled_from(["C1", "C2", "C3"]),                       # campaign
@@ -39,7 +40,7 @@ def test_cube_matches_pandas(spark, rows):
     data = [(c, dt.date(2024, 1, 1) + dt.timedelta(days=d), *rest) for c, d, *rest in rows]
     df = spark.createDataFrame(data, SCHEMA)
     df = df.withColumns({"spend": df.spend_cents / 100.0, "revenue": df.revenue_cents / 100.0})
-    cube = S.fact_cube(df, moments=False, include_daily=True, include_modes=True)
+    cube = S.fact_cube(df, moments=False, include_daily=True)
     got = {(r.dimension, r.value): r for r in cube.collect()}
     pdf = pd.DataFrame(data, columns=[c.split()[0] for c in SCHEMA.split(", ")])
     for dim in ["campaign_name", "creative_type", "audience_type", "platform"]:
@@ -56,8 +57,7 @@ def test_cube_matches_pandas(spark, rows):
     for d, e in daily.iterrows():
         r = got[("date", str(d))]
         assert (r.spend_cents, r.rows) == (e.sc, e.n)
+    modes = {r.campaign_name: r for r in campaign_modes(df).collect()}
     for f in ["creative_type", "creative_message", "audience_type"]:
         for camp, grp in pdf.groupby("campaign_name"):
-            m = _mode(grp[f])
-            key = (f"mode:{f}", camp)
-            assert (got[key].mode_value if key in got else None) == m
+            assert modes[camp][f"mode_{f}"] == _mode(grp[f])

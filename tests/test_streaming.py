@@ -24,7 +24,7 @@ def test_streaming_cube_equals_batch(spark, facts):
             q.processAllAvailable()
     finally:
         q.stop()
-    got = spark.read.parquet(out)
+    got = I.latest_cube(spark, out)
     exp = S.fact_cube(facts.select(cols), moments=False, include_daily=True)
     key = ["dimension", "value", "spend_cents", "revenue_cents", "impressions", "clicks", "rows"]
     assert sorted(map(tuple, got.select(key).collect())) == sorted(map(tuple, exp.select(key).collect()))
