@@ -79,8 +79,9 @@ def column_missing(spark, sf):
 
 def quality_issues(spark, sf):
     c = _cleaned(spark, sf)
-    return Q.quality_issues(c.flags, c.numeric_fields, c.required, with_examples=False) \
-        .select(F.col("ord").cast("bigint").alias("ord"), "issue_type", "field", "count", "action")
+    examples = F.array_join(F.transform("examples", lambda e: F.concat_ws(":", e["row"].cast("string"), e["value"])), "|")
+    return Q.quality_issues(c.flags, c.numeric_fields, c.required).select(
+        F.col("ord").cast("bigint").alias("ord"), "issue_type", "field", "count", "action", examples.alias("examples"))
 
 
 def invalid_rows(spark, sf):
@@ -401,6 +402,8 @@ REQUESTS = {
     "analysis": "Analyze ROAS for last 7 days",
     "creative": "Generate creative recommendations for 1997-03-01 to 1997-03-03",
     "full": "What happened on 1996-05-05",
+    "summer": "Compare clicks from 1995-06-14 to 1995-08-23",
+    "before": "Review everything from 1994-01-01 to 1994-03-12",    # before the first fact: default hypotheses only
 }
 
 
@@ -517,7 +520,8 @@ REGISTRY = {
     "report_recommendations": report_recommendations, "contract_violations": contract_check,
     "contract_defects": contract_defects, "hypotheses_six": hypotheses_six,
     "request_run_analysis": _request_run("analysis"), "request_run_creative": _request_run("creative"),
-    "request_run_full": _request_run("full"), "request_run_lenient": request_run_lenient,
+    "request_run_full": _request_run("full"), "request_run_summer": _request_run("summer"),
+    "request_run_before": _request_run("before"), "request_run_lenient": request_run_lenient,
     "json_round_trip": json_round_trip_segments, "narratives": narratives,
     "weekly_mean_ctr": weekly_mean_ctr, "segment_counts": segment_counts,
     "hypothesis_categories": hypothesis_categories, "top_hypothesis": top_hypothesis,

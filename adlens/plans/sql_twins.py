@@ -132,10 +132,15 @@ _ISSUE_ROWS = ([(i, "missing_values", c, f"missing_{c}", "excluded_rows") for i,
                + [(len(REQUIRED_FIELDS), "invalid_dates", None, "date_failures", "excluded_rows")]
                + [(len(REQUIRED_FIELDS) + 1 + j, "non_numeric_values", c, f"nonnum_{c}", "converted_to_nan")
                   for j, c in enumerate(RAW_NUMERIC)])
-QUALITY_ISSUES = _with(*CLEAN_CTES, _PROFILE) + "SELECT * FROM (" + " UNION ALL ".join(
+QUALITY_ISSUES = _with(*CLEAN_CTES, _PROFILE) + """SELECT i.*, coalesce(CASE i.issue_type
+  WHEN 'invalid_dates' THEN (SELECT string_agg("row" || ':' || value, '|' ORDER BY pos) FROM (""" + DATE_FAILURES[
+    DATE_FAILURES.index("q2 AS ("):].join(["WITH ", ""]) + """))
+  WHEN 'non_numeric_values' THEN (SELECT string_agg(value, '|' ORDER BY pos) FROM (""" + NUMERIC_FAILURES[
+    NUMERIC_FAILURES.index("nf AS ("):].join(["WITH ", ""]) + """) x WHERE x.field = i.field) END, '') AS examples
+FROM (""" + " UNION ALL ".join(
     f"SELECT CAST({o} AS BIGINT) AS ord, {_q(t)} AS issue_type, "
     f"{'CAST(NULL AS VARCHAR)' if f is None else _q(f)} AS field, {col} AS count, {_q(a)} AS action FROM profile"
-    for o, t, f, col, a in _ISSUE_ROWS) + ") WHERE count > 0"
+    for o, t, f, col, a in _ISSUE_ROWS) + ") i WHERE count > 0"
 
 INVALID_ROWS = _with(*CLEAN_CTES, _PROFILE) + "SELECT CAST(" + " + ".join(
     [f"missing_{c}" for c in REQUIRED_FIELDS] + ["date_failures"] + [f"nonnum_{c}" for c in RAW_NUMERIC]) + \
@@ -687,11 +692,11 @@ _ENDS = "chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(28) || chr(29
 REQUEST_VALIDITY = f"SELECT conv_id, turn, coalesce(length(trim(text, {_ENDS})) >= 5, FALSE) AS valid FROM {_REQUEST_ROWS}"
 
 
-def _request_run(where: str, recs: bool, max_h: int = 6, lenient: bool = False) -> str:
+def _request_run(where: str, recs: bool, max_h: int = 6, lenient: bool = False, focus: str = "roas") -> str:
     """The insights of an analysis whose facts are cut to ``where``; ``lenient`` takes the moments from all facts."""
     cut = F.replace("FROM fact_base\n)", f"FROM fact_base WHERE {where}\n)")
     assert cut != F
-    valid = _hyp(max_h) + _VALID[len(_hyp()):]
+    valid = _hyp(max_h, focus) + _VALID[len(_hyp()):]
     ctes = [*valid, *[c for c in _VARS if c not in _VALID]] if recs else valid
     if lenient:
         cut += ",\nall_facts AS (SELECT * FROM (" + F[F.index("ad_facts AS (") + len("ad_facts AS ("):].rstrip().rstrip(")") + "))"
@@ -708,6 +713,8 @@ _WEEK = f"date >= DATE '{AS_OF}' - INTERVAL 7 DAY AND date <= DATE '{AS_OF}'"
 REQUEST_RUN_ANALYSIS = _request_run(_WEEK, recs=False)
 REQUEST_RUN_CREATIVE = _request_run("date >= DATE '1997-03-01' AND date <= DATE '1997-03-03'", recs=True)
 REQUEST_RUN_FULL = _request_run("date >= DATE '1996-04-28' AND date <= DATE '1996-05-05'", recs=True)
+REQUEST_RUN_SUMMER = _request_run("date >= DATE '1995-06-14' AND date <= DATE '1995-08-23'", recs=True, focus="ctr")
+REQUEST_RUN_BEFORE = _request_run("date >= DATE '1994-01-01' AND date <= DATE '1994-03-12'", recs=True)
 REQUEST_RUN_LENIENT = _request_run(_WEEK, recs=False, max_h=5, lenient=True)
 HYPOTHESES_SIX = _with(F, *_hyp(6)) + "SELECT ord, category, subject, confidence_score, hypothesis_text FROM hyp"
 
@@ -938,5 +945,6 @@ ORACLE = {
     "contract_violations": CONTRACT_VIOLATIONS, "narratives": NARRATIVES,
     "contract_defects": CONTRACT_DEFECTS, "hypotheses_six": HYPOTHESES_SIX,
     "request_run_analysis": REQUEST_RUN_ANALYSIS, "request_run_creative": REQUEST_RUN_CREATIVE,
+    "request_run_summer": REQUEST_RUN_SUMMER, "request_run_before": REQUEST_RUN_BEFORE,
     "request_run_full": REQUEST_RUN_FULL, "request_run_lenient": REQUEST_RUN_LENIENT,
 }
