@@ -102,7 +102,7 @@ WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
            FROM w LEFT JOIN cov USING (doc_id)),
      b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM f)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-       NOT (base_failed OR 10 * n_symbols > n_words OR 100 * n_dup_lines > 30 * n_lines
+       NOT (base_failed OR 10 * n_symbols > n_words OR (n_dup_lines >= 3 AND 100 * n_dup_lines > 30 * n_lines)
             OR (n_words > 0 AND (word_chars < 2 * n_words OR word_chars > 20 * n_words))
             OR (n_words > 0 AND 2 * n_caps > word_chars)) AS kept
 FROM b"""

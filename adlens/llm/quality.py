@@ -48,7 +48,7 @@ BASE_RULES = (
 )
 EXTRA_RULES = (
     Rule("symbols", "10 * n_symbols > n_words", "2 * n_chars"),
-    Rule("duplicate_lines", "100 * n_dup_lines > 30 * n_lines", "n_chars + 20 * n_lines"),
+    Rule("duplicate_lines", "n_dup_lines >= 3 and 100 * n_dup_lines > 30 * n_lines", "n_chars + 20 * n_lines"),
     Rule("word_length", "n_words > 0 and (word_chars < 2 * n_words or word_chars > 20 * n_words)", "n_chars"),
     Rule("shouting", "2 * n_caps > word_chars and n_words > 0", "3 * n_chars"),
 )
