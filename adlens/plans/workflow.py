@@ -110,13 +110,14 @@ def data_step(facts: DataFrame, params: Params = Params(), issues: DataFrame | N
     cube = S.fact_cube(facts, moments=True, include_daily=True)
     if checkpoint:
         cube = cut_lineage(cube)
-    daily = S.daily_of_cube(cube)
+    # at most one row per calendar day: in one partition, what follows needs no exchange and is one job
+    daily = S.daily_of_cube(cube).coalesce(1)
     seg = S.segments_of_cube(cube)
 
     def context():
         found = M.trends(facts, params, daily=daily).agg(F.collect_list(F.struct("*"))).scalar()
         row = M.overall_metrics(daily).select(F.struct("*").alias("metrics"), found.alias("trends"))
-        return cut_lineage(row.coalesce(1)) if checkpoint else row
+        return cut_lineage(row) if checkpoint else row
 
     return dict(cube=cube, daily=daily, seg=seg, context=context,
                 summary=M.summary_from_daily(daily, seg, issues))

@@ -73,4 +73,4 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     path = f"{folder.rstrip('/')}/adlens-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)      # a known schema needs no job to infer it
