@@ -26,8 +26,9 @@ from adlens.llm.toxicity import fit, score_toxicity
 TOXIC_FROM = 0.5
 #: Per cent of Jaccard from which documents are near-duplicates.
 NEAR_DUPLICATE = 80
-#: Powers of the observed token shares that make the mixing targets.
-MIX_POWERS = {"_source": 0.85, "_lang": 0.9, "_topic": 0.9}
+#: Powers of the observed token shares that make the mixing targets: near one, so that levelling
+#: sources and languages leaves most documents; topics keep their shares.
+MIX_POWERS = {"_source": 0.9, "_lang": 0.95, "_topic": 1.0}
 SHARDS, SHARD_SEED = 8, 2024
 
 
