@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adlens.params import NA_STRINGS, NUMERIC_FIELDS, Params
+from adlens.session import cut_lineage
 
 ORD = "row_ord"
 #: Decimal literals (a cast alone would also take suffixes and hexadecimal digits).
@@ -157,12 +158,16 @@ def clean_rows(flagged: DataFrame, numeric: list) -> DataFrame:
 
 def quality_profile(flagged: DataFrame, numeric: list, required: list) -> DataFrame:
     """One fused aggregate: raw rows, per-field missing, date and numeric failures, kept rows."""
+    return flagged.agg(*_profile_aggregates(numeric, required))
+
+
+def _profile_aggregates(numeric: list, required: list) -> list[Column]:
     aggs = [F.count(F.lit(1)).alias("raw_rows")]
     aggs += [F.count_if(F.col(f).isNull()).alias(f"missing_{f}") for f in required]
     aggs += [F.count_if("_date_fail").alias("date_failures")]
     aggs += [F.count_if(f"_fail_{f}").alias(f"nonnum_{f}") for f in numeric]
     aggs += [F.count_if("_keep").alias("clean_rows")]
-    return flagged.agg(*aggs)
+    return aggs
 
 
 def date_examples(flagged: DataFrame) -> DataFrame:
@@ -182,7 +187,14 @@ def date_examples(flagged: DataFrame) -> DataFrame:
 
 
 def numeric_examples(flagged: DataFrame, numeric: list) -> DataFrame:
-    """First five raw values per numeric field that failed coercion: (field, pos, value).
+    """First five raw values per numeric field that failed coercion: (field, pos, value)."""
+    if not numeric:
+        return flagged.sparkSession.createDataFrame([], "field string, pos int, value string")
+    return first_failures(flagged, numeric, dates=False).select("field", "pos", "value")
+
+
+def first_failures(flagged: DataFrame, numeric: list, dates: bool = True) -> DataFrame:
+    """First five failing values of every numeric field and, on request, of the date: (field, pos, o, value).
 
     One scan: every failing (field, ordinal, value) triple is emitted once;
     a window per (field, input partition) keeps each partition's first five,
@@ -190,19 +202,17 @@ def numeric_examples(flagged: DataFrame, numeric: list) -> DataFrame:
     spread over all partitions even when one field fails on a third of the
     rows.
     """
-    if not numeric:
-        return flagged.sparkSession.createDataFrame([], "field string, pos int, value string")
+    failed = {f: F.col(f"_fail_{f}") for f in numeric} | ({"date": F.col("_date_fail")} if dates else {})
     fails = flagged.select(
         F.col(ORD).alias("o"),
-        F.explode(F.array(*[F.when(F.col(f"_fail_{f}"), F.struct(F.lit(f).alias("field"),
-                                                                  F.col(f).cast("string").alias("value")))
-                            for f in numeric])).alias("e"))
+        F.explode(F.array(*[F.when(cond, F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value")))
+                            for f, cond in failed.items()])).alias("e"))
     fails = fails.where(F.col("e").isNotNull()).select("o", "e.field", "e.value",
                                                        F.spark_partition_id().alias("part"))
     first_local = (fails.withColumn("r", F.row_number().over(Window.partitionBy("field", "part").orderBy("o")))
                    .where(F.col("r") <= N_EXAMPLES))
     ranked = first_local.withColumn("pos", F.row_number().over(Window.partitionBy("field").orderBy("o")) - 1)
-    return ranked.where(F.col("pos") < N_EXAMPLES).select("field", "pos", "value")
+    return ranked.where(F.col("pos") < N_EXAMPLES).select("field", "pos", "o", "value")
 
 
 _EX_TYPE = "array<struct<row:bigint,value:string>>"
@@ -210,8 +220,35 @@ _EX_TYPE = "array<struct<row:bigint,value:string>>"
 
 def quality_issues(flagged: DataFrame, numeric: list, required: list,
                    with_examples: bool = True) -> DataFrame:
-    """Issue rows in reference order: missing values, invalid dates, non-numeric values."""
-    prof = quality_profile(flagged, numeric, required)
+    """Issue rows in reference order: missing values, invalid dates, non-numeric values.
+
+    Two scans: the first failures of all fields (at most five rows each, written
+    as a table), then one aggregate of all counts, with the rows before each
+    date example among them.
+    """
+    if not with_examples:
+        return _issue_rows(quality_profile(flagged, numeric, required), numeric, required)
+    firsts = cut_lineage(first_failures(flagged, numeric))
+    at = firsts.where("field = 'date'").agg(F.sort_array(F.collect_list(F.struct("pos", "o", "value")))).scalar()
+    before = [F.count_if(F.col("_q2") & (F.col(ORD) < F.get(F.col("_at"), F.lit(i)).getField("o"))).alias(f"_before_{i}")
+              for i in range(N_EXAMPLES)]
+    prof = flagged.withColumn("_at", at).agg(*_profile_aggregates(numeric, required), *before, F.first("_at").alias("_at"))
+    dates = F.transform(F.col("_at"), lambda e, i: F.struct(
+        F.get(F.array(*[F.col(f"_before_{k}") for k in range(N_EXAMPLES)]), i).alias("row"), e["value"].alias("value")))
+    issues = _issue_rows(prof.withColumn("_dates", dates), numeric, required, ["_dates"])
+    nex = firsts.where("field <> 'date'").groupBy("field").agg(
+        F.sort_array(F.collect_list(F.struct("pos", "value"))).alias("a")).select(
+        F.col("field").alias("_field"),
+        F.transform("a", lambda e: F.struct(F.lit(None).cast("bigint").alias("row"), e["value"].alias("value"))).alias("_values"))
+    found = (F.when(F.col("issue_type") == "invalid_dates", F.col("_dates"))
+             .when(F.col("issue_type") == "non_numeric_values", F.col("_values")))
+    return (issues.join(nex, F.col("field") == F.col("_field"), "left")
+            .select("ord", "issue_type", "field", "count", "action",
+                    F.coalesce(found, F.array()).cast(_EX_TYPE).alias("examples")))
+
+
+def _issue_rows(prof: DataFrame, numeric: list, required: list, beside: list = ()) -> DataFrame:
+    """One row per issue that occurs, from the one row of counts; ``beside`` names columns to carry along."""
     rows = []
     for i, f in enumerate(required):
         rows.append((i, "missing_values", f, f"missing_{f}", "excluded_rows"))
@@ -222,23 +259,7 @@ def quality_issues(flagged: DataFrame, numeric: list, required: list,
                         F.lit(f).cast("string").alias("field"),
                         F.col(c).cast("bigint").alias("count"), F.lit(a).alias("action"))
                for o, t, f, c, a in rows]
-    issues = prof.select(F.explode(F.array(*structs)).alias("i")).select("i.*").where(F.col("count") > 0)
-    if not with_examples:
-        return issues
-    dex = date_examples(flagged).agg(F.sort_array(F.collect_list(
-        F.struct("pos", "row", "value"))).alias("a")).select(
-        F.lit("invalid_dates").alias("issue_type"), F.lit(None).cast("string").alias("field"),
-        F.transform("a", lambda e: F.struct(e["row"].cast("bigint").alias("row"), e["value"].alias("value")))
-        .alias("examples"))
-    nex = numeric_examples(flagged, numeric).groupBy("field").agg(
-        F.sort_array(F.collect_list(F.struct("pos", "value"))).alias("a")).select(
-        F.lit("non_numeric_values").alias("issue_type"), "field",
-        F.transform("a", lambda e: F.struct(F.lit(None).cast("bigint").alias("row"), e["value"].alias("value")))
-        .alias("examples"))
-    ex = dex.unionByName(nex)
-    return (issues.join(ex, (issues.issue_type == ex.issue_type) & issues.field.eqNullSafe(ex.field), "left")
-            .select(issues.ord, issues.issue_type, issues.field, issues["count"], issues.action,
-                    F.coalesce(ex.examples, F.array().cast(_EX_TYPE)).alias("examples")))
+    return prof.select(F.explode(F.array(*structs)).alias("i"), *beside).select("i.*", *beside).where(F.col("count") > 0)
 
 
 def clean(raw: DataFrame, params: Params = Params()) -> Cleaned:
