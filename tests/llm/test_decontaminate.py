@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from adlens.llm import decontaminate as D
 
@@ -69,8 +70,8 @@ def test_messy_and_empty(spark, messy):
     items = spark.createDataFrame([(1, None), (2, ""), (3, "short"), (None, "x" * 50),
                                    (4, "one two three four five six seven"), (5, "One two  three four five six seven")],
                                   "item_id long, text string")
-    out = D.find_items(messy, items)
-    assert sorted(out.columns) == sorted(messy.columns)
+    out = D.find_items(messy.withColumn("benchmark_hits", F.lit("clash")), items)
+    assert sorted(out.columns) == sorted([*messy.columns, "benchmark_hits"])
     for r in out.collect():
         assert [h["item_id"] for h in r["benchmark_hits"]] == ([4, 5] if (r["text"] or "").startswith("one") else [])
     assert D.find_items(messy.limit(0), items).count() == 0
