@@ -11,7 +11,7 @@ from .common import table, written
 from .decontaminate import find_items
 from .language import document_evidence, identify, page_evidence
 from .language import train as train_language
-from .mixing import cells_of, mixed, tempered, with_cells
+from .mixing import MOST, cells_of, mixed, tempered, with_cells
 from .near_dedup import near_duplicates
 from .quality import quality_verdicts
 from .secrets import BASE_RULES as BASE_SECRETS
@@ -32,7 +32,7 @@ def op2_source_mixing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
     celled = written(with_cells(docs).drop("text", "source", "lang"))
     cells = cells_of(celled)
-    found = mixed(celled, cells, tempered(cells, {"_source": 0.5, "_lang": 0.7, "_topic": 0.8}))
+    found = mixed(celled, cells, tempered(cells, {"_source": 0.5, "_lang": 0.7, "_topic": 0.8}), most=MOST)
     return found.select("doc_id", F.col("_source").alias("source"), F.col("_lang").alias("lang"),
                         F.col("_topic").alias("topic"), F.col("_tokens").alias("tokens"),
                         F.col("_probability").alias("probability"), F.col("_kept").alias("kept"))

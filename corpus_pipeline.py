@@ -26,9 +26,11 @@ from adlens.llm.toxicity import fit, score_toxicity
 TOXIC_FROM = 0.5
 #: Per cent of Jaccard from which documents are near-duplicates.
 NEAR_DUPLICATE = 80
-#: Powers of the observed token shares that make the mixing targets: near one, so that levelling
-#: sources and languages leaves most documents; topics keep their shares.
+#: Powers of the observed token shares that make the mixing targets: levelled a little for sources
+#: and languages; topics keep their shares.
 MIX_POWERS = {"_source": 0.9, "_lang": 0.95, "_topic": 1.0}
+#: Bounds of a value's target over its share and of a cell's factor, so that most documents stay.
+MIX_UPLIFT, MIX_MOST = 1.1, 1.25
 SHARDS, SHARD_SEED = 8, 2024
 
 
@@ -55,7 +57,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     docs, back = clear_of(docs, ADDED)
     celled = with_cells(docs)
     cells = cells_of(celled)
-    return back(mixed(celled, cells, tempered(cells, MIX_POWERS)).where("_kept"))
+    return back(mixed(celled, cells, tempered(cells, MIX_POWERS, MIX_UPLIFT), most=MIX_MOST).where("_kept"))
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
