@@ -5,6 +5,10 @@ labelled texts.  A lazily built automaton runs the trie and the edit-distance
 automata of all its terms at once: one state is the set of (trie node, errors)
 pairs that a word's letters can have reached, so a word is read once whatever
 the lexicon's size, and most words reach the dead state in a few letters.
+Terms of 4 and 5 letters, to which the automaton allows no edit, are looked up
+with one edit in a table of their blurred spellings, where a word that clean
+labelled texts use as well ("lose", "moon") is no misspelling.  Underscores around
+words are markup; a word with some inside is read whole and in its parts.
 
 Each hit is judged in a window of words around it: within quotation marks or
 beside a verb of saying it counts as quotation, beside a second person it
@@ -49,11 +53,15 @@ ADDRESS = frozenset("you your yours youre du dich dein ihr euch tu te toi vous v
 TRAIN_ROWS, MAX_TERMS, COVERS, STEM = 20_000, 300, 4, (4, 8)
 #: Words on either side of a hit that make its context; hits this close support each other.
 CONTEXT, CLOSE = 6, 25
+#: Least letters of a term that is sought with one edit as a whole word, and as a word's beginning.
+SHORT_WORD, SHORT_STEM = 4, 5
+#: Clean training texts from which a word near a short term is a word of its own.
+ORDINARY = 2
 #: Weights before any label is seen, and how strongly they are held.
 PRIOR = (-4.0, 2.5, 0.5, 0.2, 1.0, 0.5)
 HOLD = 0.5
 
-_WORD = re.compile(r"\w+")
+_WORD = re.compile(r"[^\W_]+(?:_+[^\W_]+)*")
 _QUOTES = re.compile("[\"“”„«»]")
 
 
@@ -112,7 +120,7 @@ class LexiconAutomaton:
                 cost = e + (c != letter)
                 if cost <= self.allowed[child] and out.get(child, 9) > cost:
                     out[child] = cost
-            if e + 1 <= self.allowed[node] and out.get(node, 9) > e + 1 and node:
+            if e + 1 <= self.allowed[node] and out.get(node, 9) > e + 1:
                 out[node] = e + 1
         state = self._closed(out)
         if state not in self.numbers:
@@ -143,10 +151,68 @@ class LexiconAutomaton:
         return got
 
 
-def context_counts(text: str, automaton: LexiconAutomaton) -> tuple[float, ...]:
+class ShortTerms:
+    """One-edit spellings of the terms to which the automaton allows none.
+
+    A word is near a term if it is one edit from it as a whole, or, for terms
+    without "$", if a beginning is that ends in the term's last letter (else
+    "idiom" and "idio..." were all near).  "?" stands for any letter.
+    """
+
+    def __init__(self, terms):
+        self.spellings: set[str] = set()
+        self.words: dict[str, bool] = {}
+        for term in terms:
+            letters = term.rstrip("$")
+            if errors_allowed(term) or len(letters) < SHORT_WORD:
+                continue
+            for whole in {letters + "$", term} if len(letters) >= SHORT_STEM else {letters + "$"}:
+                body, last = whole[:-1], whole[-1]
+                for i in range(len(body) + 1):
+                    self.spellings.add(f"{body[:i]}?{body[i:]}{last}")
+                for i in range(len(body)):
+                    self.spellings.update((f"{body[:i]}?{body[i + 1:]}{last}", f"{body[:i]}{body[i + 1:]}{last}"))
+        self.sizes = sorted({len(x) for x in self.spellings})
+
+    def near(self, word: str) -> bool:
+        got = self.words.get(word)
+        if got is None:
+            got = self._sought(word + "$")
+            if len(self.words) > 500_000:
+                self.words.clear()
+            self.words[word] = got
+        return got
+
+    def _sought(self, word: str) -> bool:
+        for n in self.sizes:
+            if n > len(word):
+                break
+            part = word[:n]
+            if part in self.spellings or any(f"{part[:i]}?{part[i + 1:]}" in self.spellings for i in range(n - 1)):
+                return True
+        return False
+
+
+class Lexicon:
+    """All terms: the automaton's, and the short ones' spellings but for words that are ``ordinary``."""
+
+    def __init__(self, terms, ordinary=()):
+        self.automaton, self.short, self.ordinary = LexiconAutomaton(terms), ShortTerms(terms), frozenset(ordinary)
+
+    def errors(self, word: str) -> int:
+        """As the automaton's; 1 for a word that is near a short term."""
+        got = self.automaton.errors(word)
+        if got > 1 and word not in self.ordinary and self.short.near(word):
+            got = 1
+        if got and "_" in word:
+            got = min(got, *(self.errors(x) for x in word.split("_") if x))
+        return got
+
+
+def context_counts(text: str, lexicon: Lexicon | LexiconAutomaton) -> tuple[float, ...]:
     """(exact, misspelled, quoted, near each other, addressed): evidence of a text's hits, before logarithms."""
     low = text.lower()
-    errors = automaton.errors
+    errors = lexicon.errors
     hits = {w: e for w in set(_WORD.findall(low)) if (e := errors(w)) < 9}
     if not hits:
         return (0.0,) * 5
@@ -184,6 +250,7 @@ def _features(counts: np.ndarray) -> np.ndarray:
 class ToxicityModel:
     terms: tuple[str, ...] = TERMS
     weights: tuple[float, ...] = PRIOR
+    ordinary: tuple[str, ...] = ()
 
     def scores(self, counts: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(_features(counts) @ np.array(self.weights), -30, 30)))
@@ -282,11 +349,39 @@ def learned_terms(rows: DataFrame, max_terms: int = MAX_TERMS) -> list[str]:
     return chosen
 
 
-def _count_contexts(terms: tuple[str, ...], passed: tuple[str, ...]):
+def _count_near(terms: tuple[str, ...]):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lexicon = Lexicon(terms)
+        for batch in batches:
+            found: Counter = Counter()
+            for text in _texts(batch, "text"):
+                words = set(_WORD.findall(text.lower()))
+                found.update(w for w in words.union(*(w.split("_") for w in words if "_" in w))
+                             if lexicon.automaton.errors(w) > 1 and lexicon.short.near(w))
+            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())],
+                                             names=["word", "n"])
+    return count
+
+
+def ordinary_words(rows: DataFrame, terms: tuple[str, ...]) -> tuple[str, ...]:
+    """Words near a short term that clean training texts use too: in ORDINARY of them or more, and at least
+    half as often as toxic ones."""
+    sizes = {x["toxic"]: x["count"] for x in rows.groupBy("toxic").count().collect()}
+    n1, n0 = sizes.get(1, 0), sum(sizes.values()) - sizes.get(1, 0)
+
+    def counted(which: str) -> dict[str, int]:
+        near = rows.where(which).select("text").mapInArrow(_count_near(terms), "word string, n long")
+        return {x["word"]: x["n"] for x in near.groupBy("word").agg(F.sum("n").alias("n")).collect()}    # bounded by the sample
+
+    clean, toxic = counted("toxic <> 1"), counted("toxic = 1")
+    return tuple(sorted(w for w, n in clean.items() if n >= ORDINARY and 2 * n * n1 >= toxic.get(w, 0) * n0))
+
+
+def _count_contexts(terms: tuple[str, ...], ordinary: tuple[str, ...], passed: tuple[str, ...]):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = LexiconAutomaton(terms)
+        lexicon = Lexicon(terms, ordinary)
         for batch in batches:
-            counts = np.array([context_counts(t, automaton) for t in _texts(batch, "text")], float).reshape(-1, 5)
+            counts = np.array([context_counts(t, lexicon) for t in _texts(batch, "text")], float).reshape(-1, 5)
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in passed], *[pa.array(counts[:, k]) for k in range(5)]],
                                              names=[*passed, *[f"c{k}" for k in range(5)]])
     return count
@@ -296,11 +391,12 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Tox
     """Lexicon and weights from labelled ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic)."""
     rows = training_rows(docs, labels, train_rows)
     terms = tuple(dict.fromkeys([*TERMS, *learned_terms(rows)]))
+    ordinary = ordinary_words(rows, terms)
     counted = rows.select("text", "toxic").mapInArrow(
-        _count_contexts(terms, ("toxic",)), "toxic int, " + ", ".join(f"c{k} double" for k in range(5)))
+        _count_contexts(terms, ordinary, ("toxic",)), "toxic int, " + ", ".join(f"c{k} double" for k in range(5)))
     got = counted.toPandas()                                                 # at most train_rows short rows
     if not len(got):
-        return ToxicityModel(terms)
+        return ToxicityModel(terms, ordinary=ordinary)
     x, y = _features(got[[f"c{k}" for k in range(5)]].to_numpy()), (got["toxic"] == 1).to_numpy(float)
     prior = np.array(PRIOR)
     w = prior.copy()
@@ -311,7 +407,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Tox
         w += np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-9:
             break
-    return ToxicityModel(terms, tuple(float(v) for v in w))
+    return ToxicityModel(terms, tuple(float(v) for v in w), ordinary)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text", score: str = "toxicity") -> DataFrame:
@@ -320,9 +416,9 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text"
     schema = T.StructType([*docs.schema.fields, T.StructField(score, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        automaton = LexiconAutomaton(model.terms)
+        lexicon = Lexicon(model.terms, model.ordinary)
         for batch in batches:
-            counts = np.array([context_counts(t, automaton) for t in _texts(batch, text_col)], float).reshape(-1, 5)
+            counts = np.array([context_counts(t, lexicon) for t in _texts(batch, text_col)], float).reshape(-1, 5)
             yield batch.append_column(score, pa.array(model.scores(counts)))
 
     return docs.mapInArrow(run, schema)

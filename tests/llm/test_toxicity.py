@@ -91,3 +91,61 @@ def test_messy_and_empty(spark, messy):
     assert len(rows) == messy.count() and all(0 <= r["toxicity"] <= 1 for r in rows)
     assert X.score_toxicity(messy.limit(0), model).count() == 0
     assert X.fit(messy, labels.limit(0)).weights == X.PRIOR
+
+
+def misspelled(term):
+    """One planted misspelling of each kind, the leading letter's among them."""
+    t = term.rstrip("$")
+    return ["x" + t, "0" + t[1:], t[1:], t[:2] + "0" + t[3:], t[:2] + t[3:], t[:2] + "x" + t[2:]]
+
+
+@pytest.mark.parametrize("term", [*X.TERMS, "trash$", "clown$"])
+def test_misspelled_terms_are_near(term):
+    lexicon = X.Lexicon([*X.TERMS, "trash$", "clown$"])
+    clean = X.context_counts("the weather was fine and we went home", lexicon)
+    for word in misspelled(term):
+        assert 0 < lexicon.errors(word) < 9, word
+        assert X.context_counts(f"the weather was {word} and we went home", lexicon) != clean, word
+    for word in (term.rstrip("$"), f"_{term.rstrip('$')}_", f"__{term.rstrip('$')}__", f"so_{term.rstrip('$')}"):
+        assert X.context_counts(f"well {word} then", lexicon)[0] == 1, word
+
+
+@pytest.mark.parametrize("word", ["idiom", "idioms", "scumbag", "scale", "the", "idiosyncratic", "clothes"])
+def test_other_words_are_not_near_short_terms(word):
+    assert X.Lexicon(["scum$", "clown$", "idiot"], ordinary=["idiom"]).errors("idiom") == 9
+    assert X.Lexicon(["scum$", "clown$", "idiot"]).errors(word) == (1 if word == "idiom" else 9)
+
+
+def test_short_spellings_equal_the_table_of_edits():
+    r = random.Random(4)
+    terms = ["".join(r.choice("abc") for _ in range(r.choice((4, 5)))) + r.choice(["", "$"]) for _ in range(4)]
+    short = X.ShortTerms(terms)
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, c in enumerate(a, 1):
+            new = [i]
+            for j, d in enumerate(b, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (c != d)))
+            row = new
+        return row[-1]
+
+    for _ in range(4000):
+        word = "".join(r.choice("abcd") for _ in range(r.randrange(1, 9)))
+        want = any(edits(t.rstrip("$"), word) <= 1 or (not t.endswith("$") and len(t) >= X.SHORT_STEM and any(
+            word[n - 1] == t[-1] and edits(t[:-1], word[:n - 1]) <= 1 for n in range(1, len(word) + 1))) for t in terms)
+        exact = any(word == t.rstrip("$") or (not t.endswith("$") and word.startswith(t)) for t in terms)
+        assert exact or short.near(word) == want, word
+
+
+def test_misspelled_short_abuse_is_learned(spark, monkeypatch):
+    monkeypatch.setattr(X, "learned_terms", lambda rows, *_: [])
+    r = random.Random(9)
+    rows = [(i, " ".join(["we", "lose", "or", "fine"] * 2 + [f"n{i}"] + [r.choice(["idi0t", "xmoron", "l0ser", "_sccum_"]) for _ in range(4 * (i % 4 == 0))]),
+             int(i % 4 == 0)) for i in range(200)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    model = X.fit(docs, labels)
+    assert model.ordinary == ("lose",)
+    scored = {x["doc_id"]: x["toxicity"] for x in X.score_toxicity(docs, model).collect()}
+    assert all((scored[i] >= 0.5) == bool(y) for i, _, y in rows)
