@@ -10,10 +10,11 @@ with one edit in a table of their blurred spellings, where a word that clean
 labelled texts use as well ("lose", "moon") is no misspelling.  Underscores around
 words are markup; a word with some inside is read whole and in its parts.
 
-Each hit is judged in a window of words around it: within quotation marks or
-beside a verb of saying it counts as quotation, beside a second person it
-counts as abuse, and hits close together strengthen each other.  A logistic
-model over these few counts gives the score.
+Each hit is judged in a window of words around it: within quotation marks, or
+misspelled beside a verb of saying, it counts as quotation; an exact one beside
+a verb of saying counts as a hit and as reported, for which labels set a weight;
+others count as abuse beside a second person and strengthen each other when
+close together.  A logistic model over these few counts gives the score.
 
 Learning uses at most ``train_rows`` labelled rows, chosen by a hash of their
 id: stems are counted by grouped aggregation on that sample, and a greedy
@@ -58,9 +59,12 @@ SHORT_WORD, SHORT_STEM = 4, 5
 #: Clean training texts from which a word near a short term is a word of its own.
 ORDINARY = 2
 #: Weights before any label is seen, and how strongly they are held.
-PRIOR = (-4.0, 2.5, 0.5, 0.2, 1.0, 0.5)
+PRIOR = (-4.0, 2.5, 0.5, 0.2, 1.0, 0.5, -1.0)
 HOLD = 0.5
 
+#: Counts of a text.
+COUNTS = 6
+
 _WORD = re.compile(r"[^\W_]+(?:_+[^\W_]+)*")
 _QUOTES = re.compile("[\"“”„«»]")
 
@@ -210,15 +214,15 @@ class Lexicon:
 
 
 def context_counts(text: str, lexicon: Lexicon | LexiconAutomaton) -> tuple[float, ...]:
-    """(exact, misspelled, quoted, near each other, addressed): evidence of a text's hits, before logarithms."""
+    """(exact, misspelled, quoted, near each other, addressed, reported): evidence of a text's hits, before logarithms."""
     low = text.lower()
     errors = lexicon.errors
     hits = {w: e for w in set(_WORD.findall(low)) if (e := errors(w)) < 9}
     if not hits:
-        return (0.0,) * 5
+        return (0.0,) * COUNTS
     quotes = [m.start() for m in _QUOTES.finditer(low)]
     words = [(m.group(), m.start()) for m in _WORD.finditer(low)]
-    exact = fuzzy = quoted = close = addressed = 0.0
+    exact = fuzzy = quoted = close = addressed = reported = 0.0
     last, passed, open_at = -10 ** 9, 0, -1
     for i, (w, at) in enumerate(words):
         e = hits.get(w)
@@ -236,10 +240,13 @@ def context_counts(text: str, lexicon: Lexicon | LexiconAutomaton) -> tuple[floa
             fuzzy += 1.0 / e
         else:
             exact += 1
+            if said:
+                reported += 1
+                continue
             addressed += bool(around & ADDRESS)
             close += i - last <= CLOSE
             last = i
-    return exact, fuzzy, quoted, close, addressed
+    return exact, fuzzy, quoted, close, addressed, reported
 
 
 def _features(counts: np.ndarray) -> np.ndarray:
@@ -381,9 +388,9 @@ def _count_contexts(terms: tuple[str, ...], ordinary: tuple[str, ...], passed: t
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(terms, ordinary)
         for batch in batches:
-            counts = np.array([context_counts(t, lexicon) for t in _texts(batch, "text")], float).reshape(-1, 5)
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in passed], *[pa.array(counts[:, k]) for k in range(5)]],
-                                             names=[*passed, *[f"c{k}" for k in range(5)]])
+            counts = np.array([context_counts(t, lexicon) for t in _texts(batch, "text")], float).reshape(-1, COUNTS)
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in passed], *[pa.array(counts[:, k]) for k in range(COUNTS)]],
+                                             names=[*passed, *[f"c{k}" for k in range(COUNTS)]])
     return count
 
 
@@ -393,11 +400,11 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Tox
     terms = tuple(dict.fromkeys([*TERMS, *learned_terms(rows)]))
     ordinary = ordinary_words(rows, terms)
     counted = rows.select("text", "toxic").mapInArrow(
-        _count_contexts(terms, ordinary, ("toxic",)), "toxic int, " + ", ".join(f"c{k} double" for k in range(5)))
+        _count_contexts(terms, ordinary, ("toxic",)), "toxic int, " + ", ".join(f"c{k} double" for k in range(COUNTS)))
     got = counted.toPandas()                                                 # at most train_rows short rows
     if not len(got):
         return ToxicityModel(terms, ordinary=ordinary)
-    x, y = _features(got[[f"c{k}" for k in range(5)]].to_numpy()), (got["toxic"] == 1).to_numpy(float)
+    x, y = _features(got[[f"c{k}" for k in range(COUNTS)]].to_numpy()), (got["toxic"] == 1).to_numpy(float)
     prior = np.array(PRIOR)
     w = prior.copy()
     for _ in range(50):                                                      # Newton steps to the penalised optimum
@@ -418,7 +425,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(model.terms, model.ordinary)
         for batch in batches:
-            counts = np.array([context_counts(t, lexicon) for t in _texts(batch, text_col)], float).reshape(-1, 5)
+            counts = np.array([context_counts(t, lexicon) for t in _texts(batch, text_col)], float).reshape(-1, COUNTS)
             yield batch.append_column(score, pa.array(model.scores(counts)))
 
     return docs.mapInArrow(run, schema)

@@ -149,3 +149,20 @@ def test_misspelled_short_abuse_is_learned(spark, monkeypatch):
     assert model.ordinary == ("lose",)
     scored = {x["doc_id"]: x["toxicity"] for x in X.score_toxicity(docs, model).collect()}
     assert all((scored[i] >= 0.5) == bool(y) for i, _, y in rows)
+
+
+@pytest.mark.parametrize("text", ["she said he was an idiot", "the report called them scum", "er schrieb du bist ein idiot"])
+def test_exact_hits_beside_a_saying_word_are_reported(text):
+    lexicon = X.Lexicon(X.TERMS)
+    plain = " ".join("xx" if w in X.SAYING else w for w in text.split())
+    said, unsaid = X.context_counts(text, lexicon), X.context_counts(plain, lexicon)
+    assert said[0] == unsaid[0] == 1 and said[5] == 1 and unsaid[5] == 0 and said[3] == said[4] == 0
+    scores = X.ToxicityModel().scores(X.np.array([said, unsaid]))
+    assert scores[0] < scores[1]
+
+
+def test_labels_set_the_weight_of_reported_hits(spark):
+    rows = [(i, f"n{i} " + ("we say you idiot" if i % 2 else "she said he was an idiot"), i % 2) for i in range(200)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    model = X.fit(docs, spark.createDataFrame([r[::2] for r in rows], "doc_id long, toxic int"))
+    assert model.weights[6] < X.PRIOR[6]
