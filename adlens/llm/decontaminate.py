@@ -11,8 +11,11 @@ The items are the query set and are taken in blocks of bounded size
 (``BLOCK_CHARS``); each block makes one pass over the documents, without a
 shuffle.  Texts are read whole, and all hits are verified.
 
-Defined results: null and empty texts contain nothing; null or blank items,
-and items shorter than ``MIN_CHARS``, are in no document; items whose texts
+Items shorter than ``MIN_CHARS`` forgive no edit and have to stand between word
+boundaries, so that they are not found inside other words.
+
+Defined results: null and empty texts contain nothing; null or blank items are
+in no document; items whose texts
 are equal are all reported; repeated rows get equal results; empty tables
 give no findings; other columns pass through, one named like a result column
 is replaced.
@@ -30,7 +33,7 @@ from pyspark.sql import types as T
 
 #: One edit is allowed for so many characters of an item; its pieces are then about as long.
 CHARS_PER_EDIT = 16
-#: Shorter items would be found by chance.
+#: Shorter items would be found by chance within edits: they are sought as they are, as whole words.
 MIN_CHARS = 32
 #: Characters of items that one block may hold: the bound of what is sent to every task.
 BLOCK_CHARS = 4_000_000
@@ -41,7 +44,13 @@ def normalised(text: str | None) -> str:
 
 
 def error_budget(item: str) -> int:
-    return len(item) // CHARS_PER_EDIT
+    return len(item) // CHARS_PER_EDIT if len(item) >= MIN_CHARS else 0
+
+
+def stands_alone(text: str, start: int, stop: int) -> bool:
+    """No letter or digit goes on beyond either end of ``text[start:stop]``."""
+    return not (start and text[start - 1].isalnum() and text[start].isalnum()
+                or stop < len(text) and text[stop - 1].isalnum() and text[stop].isalnum())
 
 
 def pieces(item: str) -> list[tuple[int, str]]:
@@ -92,14 +101,18 @@ class ItemFinder:
         """Fewest edits for each item that the text contains within its budget."""
         text = normalised(text)
         windows: dict[int, list[tuple[int, int]]] = {}
+        found: dict[int, int] = {}
         if not text or not len(self.automaton):
             return {}
         for end, (size, where) in self.automaton.iter(text):
             for k, offset in where:
-                item = self.items[k][1]
+                number, item = self.items[k]
+                if len(item) < MIN_CHARS:
+                    if number not in found and stands_alone(text, end + 1 - size, end + 1):
+                        found[number] = 0
+                    continue
                 budget, start = error_budget(item), end + 1 - size - offset
                 windows.setdefault(k, []).append((max(0, start - budget), start + len(item) + budget))
-        found = {}
         for k, spans in windows.items():
             number, item = self.items[k]
             budget = error_budget(item)
@@ -128,7 +141,7 @@ def item_blocks(items: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[li
     block, size = [], 0
     for row in rows.toLocalIterator():
         text = normalised(row["text"])
-        if len(text) < MIN_CHARS:
+        if not text:
             continue
         if block and size + len(text) > block_chars:
             yield block

@@ -76,3 +76,13 @@ def test_messy_and_empty(spark, messy):
         assert [h["item_id"] for h in r["benchmark_hits"]] == ([4, 5] if (r["text"] or "").startswith("one") else [])
     assert D.find_items(messy.limit(0), items).count() == 0
     assert all(r["benchmark_hits"] == [] for r in D.find_items(messy, items.limit(0)).collect())
+
+
+def test_short_items_are_found_as_whole_words(spark):
+    items = spark.createDataFrame([(1, "What is 2 + 2?"), (2, "capital of  Peru"), (3, "how many legs has a spid")], "item_id long, text string")
+    texts = [(0, "So WHAT is\n2 + 2? Four.", [1]), (1, "what is 2 + 3?", []), (2, "the capital of Peru", [2]),
+             (3, "capital of peruvians, then the capital of peru.", [2]), (4, "a supercapital of peru", []),
+             (5, "capital of peruvians", []), (6, "how many legs has a spider", []), (7, "what is 2 + 2?capital of peru", [1, 2]), (8, None, [])]
+    docs = spark.createDataFrame([t[:2] for t in texts], "doc_id long, text string")
+    got = {r["doc_id"]: [(h["item_id"], h["edits"]) for h in r["benchmark_hits"]] for r in D.find_items(docs, items).collect()}
+    assert got == {k: [(n, 0) for n in want] for k, _, want in texts}
