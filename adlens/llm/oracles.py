@@ -138,3 +138,44 @@ SELECT d.doc_id, {', '.join(f"count(*) FILTER (kind = '{k[0]}')::BIGINT AS n_{k[
        sha256(coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, place) FILTER ({_IS_BASE}), '')) AS base_sha256,
        coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, place), '') AS spans
 FROM d LEFT JOIN f USING (doc_id) GROUP BY d.doc_id"""
+
+ORACLES["op11_filter_interaction_audit"] = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+     w AS (SELECT *, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+                  length(regexp_replace(t, '[^A-Z]', '', 'g')) AS capitals FROM d),
+     m AS (SELECT part, (CASE WHEN len(ws) < 100 THEN 1 ELSE 0 END) + (CASE WHEN 100 * len(list_distinct(ws)) < 80 * len(ws) THEN 2 ELSE 0 END)
+                  + (CASE WHEN 100 * capitals > 10 * length(t) THEN 4 ELSE 0 END) + (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END)
+                  + (CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 16 ELSE 0 END) AS mask,
+                  CASE WHEN doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) THEN 1 ELSE 0 END AS good,
+                  CASE WHEN doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) THEN 1 ELSE 0 END AS toxic FROM w),
+     h AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY ALL),
+     f(l, b) AS (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)),
+     o AS (SELECT a.l || b.l || c.l || d.l || e.l AS filter_order, [a.b, b.b, c.b, d.b, e.b] AS bits
+           FROM f a, f b, f c, f d, f e WHERE a.b + b.b + c.b + d.b + e.b = 31 AND a.b <> b.b AND a.b <> c.b AND a.b <> d.b AND a.b <> e.b
+            AND b.b <> c.b AND b.b <> d.b AND b.b <> e.b AND c.b <> d.b AND c.b <> e.b AND d.b <> e.b),
+     s AS (SELECT filter_order, step, bits[step] AS own, coalesce(list_sum(bits[1:step - 1]), 0)::INTEGER AS prior
+           FROM o, (SELECT unnest(range(1, 6))::INTEGER AS step))
+SELECT part, filter_order, step,
+       sum(CASE WHEN (mask & (own + prior)) = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+       sum(CASE WHEN (mask & own) <> 0 AND (mask & prior) = 0 THEN n ELSE 0 END)::BIGINT AS removed,
+       sum(CASE WHEN (mask & own) <> 0 AND (mask & prior) <> 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+       sum(CASE WHEN mask = own THEN n ELSE 0 END)::BIGINT AS unique_fails,
+       sum(CASE WHEN (mask & own) <> 0 AND (mask & prior) = 0 THEN good ELSE 0 END)::BIGINT AS good_lost,
+       sum(CASE WHEN (mask & own) <> 0 AND (mask & prior) = 0 THEN toxic ELSE 0 END)::BIGINT AS toxic_lost,
+       sum(CASE WHEN (mask & own) <> 0 THEN n * 120 // bit_count(mask) ELSE 0 END)::BIGINT AS shapley
+FROM h, s GROUP BY part, filter_order, step, own, prior"""
+
+ORACLES["op12_hard_negatives"] = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+           FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+     p AS (SELECT a.vec_id AS anchor_id, r.vec_id AS other_id, a.label = r.label AS same,
+                  list_inner_product(a.v, r.v)::BIGINT AS score
+           FROM e a, e r WHERE a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id),
+     g AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM p WHERE same
+           QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT g.anchor_id, positive_id, row_number() OVER (PARTITION BY g.anchor_id, positive_id ORDER BY score DESC, other_id)::INTEGER AS rank,
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM g JOIN p ON g.anchor_id = p.anchor_id AND NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+QUALIFY rank <= 5"""

@@ -9,6 +9,8 @@ import corpus_pipeline
 from .chat import canonical_turns, formatted, read_back
 from .common import table, written
 from .decontaminate import find_items
+from .filter_audit import filter_audit
+from .hard_negatives import hard_negatives
 from .language import document_evidence, identify, page_evidence
 from .language import train as train_language
 from .mixing import MOST, cells_of, mixed, tempered, with_cells
@@ -122,6 +124,18 @@ def op10_toxicity(spark, sf_dir):
     return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_filter_interaction_audit(spark, sf_dir):
+    """What each step of every order of five filters removes from every language, by a retracting stream over all documents."""
+    return filter_audit(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"))
+
+
+def op12_hard_negatives(spark, sf_dir):
+    """Hard negatives of every anchor and positive, over all embeddings; every seventh row has the next label."""
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
 def pipeline(spark, sf_dir):
     """The corpus pipeline over all documents."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -139,4 +153,6 @@ QUERIES = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_secret_scan": op9_secret_scan,
     "op10_toxicity": op10_toxicity,
+    "op11_filter_interaction_audit": op11_filter_interaction_audit,
+    "op12_hard_negatives": op12_hard_negatives,
 }
