@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 
 from .chat import canonical_turns, formatted, read_back
+from .class_lm import is_training, score_documents
 from .common import table, written
 from .decontaminate import find_items
 from .filter_audit import filter_audit
@@ -136,6 +137,13 @@ def op12_hard_negatives(spark, sf_dir):
     return hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
 
 
+def op13_lm_scoring(spark, sf_dir):
+    """Log probabilities of all documents under unigrams and under the class model, learned from four fifths of them."""
+    found = score_documents(table(spark, sf_dir, "documents"), is_training(F.col("doc_id")))
+    return found.select("doc_id", (~F.col("training")).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                        "base_score", "score", "perplexity")
+
+
 def pipeline(spark, sf_dir):
     """The corpus pipeline over all documents."""
     return corpus_pipeline.run(spark, sf_dir)
@@ -155,4 +163,5 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
     "op11_filter_interaction_audit": op11_filter_interaction_audit,
     "op12_hard_negatives": op12_hard_negatives,
+    "op13_lm_scoring": op13_lm_scoring,
 }
