@@ -55,7 +55,7 @@ KINDS, LENGTHS = 4, (3, 6, 9)
 FORMS = KINDS * (len(LENGTHS) + 1)
 END, ALL = CLASSES + FORMS, CLASSES + FORMS + 1
 #: Rounds of the exchange, parts of the words that may move one after the other, weight of the prior.
-ROUNDS, PARTS, PRIOR = 4, 2, 8.0
+ROUNDS, PARTS, PRIOR = 3, 2, 8.0
 #: Words that a task counts before it hands them on; bytes of a text split at once; words compared at once.
 HELD, PIECE, AT_ONCE = 500_000, 1 << 20, 128
 
@@ -125,38 +125,39 @@ def vocabulary(counts: DataFrame, texts: int) -> Vocabulary:
 _CODED = ("row_no long, n_tokens long, codes array<int>, others array<struct<word: binary, n: long>>")
 
 
+class _Codes(dict):
+    """Numbers of frequent words; any other word gives -1 - form and is noted in ``rest``."""
+
+    def __init__(self, words: dict[bytes, int]):
+        super().__init__(words)
+        self.rest: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self.rest.append(word)
+        return -1 - form_of(word)
+
+
 def _code(words: dict[bytes, int], at: int):
     """Numbers of frequent words, -1 - form for the others; and the others with their counts."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        form: dict[bytes, int] = {}
+        codes_of = _Codes(words)
         for batch in batches:
-            codes, sizes, others = [], [], []
+            codes, sizes, others, numbers, starts = [], [], [], [], [0]
             for text in texts_as_bytes(batch):
-                rest: Counter = Counter()
-                own = []
+                codes_of.rest, size = [], 0
                 for piece in pieces_of(text):
-                    found = [words.get(w, -1) for w in piece]
-                    if -1 in found:
-                        for i, c in enumerate(found):
-                            if c < 0:
-                                w = piece[i]
-                                if (f := form.get(w)) is None:
-                                    if len(form) > HELD:
-                                        form.clear()
-                                    f = form[w] = -1 - form_of(w)
-                                found[i] = f
-                                rest[w] += 1
-                    own.append(np.array(found, np.int32))
-                codes.append(np.concatenate(own) if own else np.empty(0, np.int32))
-                sizes.append(len(codes[-1]))
-                others.append(rest)
+                    codes.append(np.fromiter(map(codes_of.__getitem__, piece), np.int32, len(piece)))
+                    size += len(piece)
+                rest = Counter(codes_of.rest)
+                sizes.append(size)
+                others.extend(rest.keys())
+                numbers.extend(rest.values())
+                starts.append(len(others))
             flat = pa.array(np.concatenate(codes) if codes else np.empty(0, np.int32), pa.int32())
             ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-            of_rest = pa.array(np.concatenate([[0], np.cumsum([len(r) for r in others])]).astype(np.int32))
-            pairs = pa.StructArray.from_arrays([pa.array([w for r in others for w in r], pa.binary()),
-                                                pa.array([n for r in others for n in r.values()], pa.int64())], ["word", "n"])
+            pairs = pa.StructArray.from_arrays([pa.array(others, pa.binary()), pa.array(numbers, pa.int64())], ["word", "n"])
             columns = [batch.column("row_no"), pa.array([n + 1 for n in sizes], pa.int64()),
-                       pa.ListArray.from_arrays(ends, flat), pa.ListArray.from_arrays(of_rest, pairs)]
+                       pa.ListArray.from_arrays(ends, flat), pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pairs)]
             yield pa.RecordBatch.from_arrays(columns + [batch.column(i) for i in range(at)], names=[
                 "row_no", "n_tokens", "codes", "others"] + batch.schema.names[:at])
     return task
@@ -190,11 +191,12 @@ def _pairs(n_words: int):
 
 def _neighbours(pairs: DataFrame) -> DataFrame:
     """One row for each code with its neighbours on both sides, at most two for each code there is."""
-    sided = pairs.select(F.col("a").alias("code"), F.struct(F.lit(0).alias("side"), F.col("b").alias("other"), "n").alias("x")).union(
-        pairs.select(F.col("b").alias("code"), F.struct(F.lit(1).alias("side"), F.col("a").alias("other"), "n").alias("x")))
-    rows = sided.groupBy("code").agg(F.collect_list("x").alias("near"))
-    return rows.select("code", *[F.transform(F.filter("near", lambda x: x["side"] == s), lambda x: x[c]).alias(f"{c}{s}")
-                                 for s in (0, 1) for c in ("other", "n")])
+    both = F.explode(F.array(F.struct(F.col("a").alias("code"), F.lit(True).alias("after"), F.col("b").alias("other"), "n"),
+                             F.struct(F.col("b").alias("code"), F.lit(False).alias("after"), F.col("a").alias("other"), "n")))
+    sided = pairs.select(both.alias("x")).select("x.*")
+    rows = [F.collect_list(F.when(F.col("after") == after, F.col(c))).alias(f"{name}{i}")
+            for i, after in enumerate((True, False)) for c, name in (("other", "other"), ("n", "n"))]
+    return sided.groupBy("code").agg(*rows)
 
 
 def _class_counts(column: pa.Array, counts: pa.Array, class_of: np.ndarray) -> np.ndarray:
@@ -206,23 +208,26 @@ def _class_counts(column: pa.Array, counts: pa.Array, class_of: np.ndarray) -> n
 
 
 def _matrix(class_of: np.ndarray):
-    """The task that counts pairs of classes (first class x next class)."""
+    """The task that counts pairs of classes: a row for each first class, a column for each next one."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((ALL, ALL))
         for batch in batches:
             right = _class_counts(batch.column("other0"), batch.column("n0"), class_of)
             np.add.at(total, class_of[batch.column("code").to_numpy()], right)
-        cell = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), pa.array(total.ravel()[cell].astype(np.int64))], names=["cell", "n"])
+        first = np.flatnonzero(total.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(first, pa.int32())] + [pa.array(c) for c in total[first].astype(np.int64).T],
+                                         names=["first"] + [f"c{i}" for i in range(ALL)])
     return task
 
 
 def class_matrix(near: DataFrame, class_of: np.ndarray) -> np.ndarray:
-    found = near.select("code", "other0", "n0").mapInArrow(_matrix(class_of), "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    out = np.zeros(ALL * ALL)
-    for cell, n in found.collect():                           # at most ALL x ALL
-        out[cell] = n
-    return out.reshape(ALL, ALL)
+    """Counts of (class, next class) over all training texts."""
+    columns = [f"c{i}" for i in range(ALL)]
+    found = near.select("code", "other0", "n0").mapInArrow(_matrix(class_of), "first int, " + ", ".join(f"{c} long" for c in columns))
+    out = np.zeros((ALL, ALL))
+    for row in found.groupBy("first").agg(*[F.sum(c).alias(c) for c in columns]).collect():      # ALL rows at most
+        out[row["first"]] = row[1:]
+    return out
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
@@ -316,7 +321,7 @@ def exchange(near: DataFrame, n_words: int, rounds: int = ROUNDS) -> Classes:
                     history.append(likelihood(then))
                     break
                 order = order[:len(order) // 2]
-        if history[-1] - before <= 1e-4 * abs(before):
+        if history[-1] - before <= 1e-3 * abs(before):
             break
     return Classes(class_of, matrix, history)
 
