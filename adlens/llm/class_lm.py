@@ -189,22 +189,52 @@ def _pairs(n_words: int):
     return task
 
 
+_PACKED = {"other0": np.int32, "n0": np.int64, "other1": np.int32, "n1": np.int64}
+
+
 def _neighbours(pairs: DataFrame) -> DataFrame:
-    """One row for each code with its neighbours on both sides, at most two for each code there is."""
+    """One row for each code with its neighbours on both sides, at most two for each code there is.
+
+    The four lists (following codes and counts, preceding codes and counts) are
+    packed as bytes, since every step of the exchange reads them all again.
+    """
     both = F.explode(F.array(F.struct(F.col("a").alias("code"), F.lit(True).alias("after"), F.col("b").alias("other"), "n"),
                              F.struct(F.col("b").alias("code"), F.lit(False).alias("after"), F.col("a").alias("other"), "n")))
     sided = pairs.select(both.alias("x")).select("x.*")
     rows = [F.collect_list(F.when(F.col("after") == after, F.col(c))).alias(f"{name}{i}")
             for i, after in enumerate((True, False)) for c, name in (("other", "other"), ("n", "n"))]
-    return sided.groupBy("code").agg(*rows)
+    return sided.groupBy("code").agg(*rows).mapInArrow(_pack, "code int, " + ", ".join(f"{c} binary" for c in _PACKED))
 
 
-def _class_counts(column: pa.Array, counts: pa.Array, class_of: np.ndarray) -> np.ndarray:
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, len(batch), AT_ONCE):
+            rows = batch.slice(start, AT_ONCE)
+            columns = [rows.column("code")]
+            for name, kind in _PACKED.items():
+                ends = np.asarray(rows.column(name).offsets)
+                values = np.ascontiguousarray(np.asarray(rows.column(name).values)[ends[0]:ends[-1]], dtype=kind)
+                at = ((ends - ends[0]) * values.itemsize).astype(np.int32)
+                columns.append(pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(at), pa.py_buffer(values)]))
+            yield pa.RecordBatch.from_arrays(columns, names=["code", *_PACKED])
+
+
+def _near(batch: pa.RecordBatch, side: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, neighbour and count of everything packed for one side."""
+    out = []
+    for name in (f"other{side}", f"n{side}"):
+        column, kind = batch.column(name), np.dtype(_PACKED[f"{name}"])
+        ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int32)
+        data = column.buffers()[2]
+        out.append(np.frombuffer(data, np.uint8)[ends[0]:ends[-1]].copy().view(kind) if data is not None else np.empty(0, kind))
+        sizes = np.diff(ends) // kind.itemsize
+    return np.repeat(np.arange(len(batch)), sizes), *out
+
+
+def _class_counts(batch: pa.RecordBatch, side: int, class_of: np.ndarray) -> np.ndarray:
     """Rows x classes: how often each row's neighbours of one side are of each class."""
-    ends = np.asarray(column.offsets).astype(np.int64)
-    other, n = np.asarray(column.values)[ends[0]:ends[-1]], np.asarray(counts.values)[ends[0]:ends[-1]]
-    row = np.repeat(np.arange(len(column)), np.diff(ends))
-    return np.bincount(row * ALL + class_of[other], weights=n, minlength=len(column) * ALL).reshape(len(column), ALL)
+    row, other, n = _near(batch, side)
+    return np.bincount(row * ALL + class_of[other], weights=n, minlength=len(batch) * ALL).reshape(len(batch), ALL)
 
 
 def _matrix(class_of: np.ndarray):
@@ -212,8 +242,7 @@ def _matrix(class_of: np.ndarray):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((ALL, ALL))
         for batch in batches:
-            right = _class_counts(batch.column("other0"), batch.column("n0"), class_of)
-            np.add.at(total, class_of[batch.column("code").to_numpy()], right)
+            np.add.at(total, class_of[batch.column("code").to_numpy()], _class_counts(batch, 0, class_of))
         first = np.flatnonzero(total.any(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(first, pa.int32())] + [pa.array(c) for c in total[first].astype(np.int64).T],
                                          names=["first"] + [f"c{i}" for i in range(ALL)])
@@ -251,7 +280,7 @@ def move_gains(own: np.ndarray, right: np.ndarray, left: np.ndarray, itself: np.
     without[at, own, :] -= right
     without[at, :, own] -= left
     without[at, own, own] -= itself
-    rows, columns = without.sum(2), without.sum(1)
+    rows, columns = without.sum(2) + left, without.sum(1) + right         # totals that hold wherever the word goes
     n_out, n_in = right.sum(1) + itself, left.sum(1) + itself
     first, diagonal = without[:, :CLASSES, :], np.arange(CLASSES)
     second = without[:, :, :CLASSES].transpose(0, 2, 1)
@@ -274,11 +303,8 @@ def _moves(class_of: np.ndarray, matrix: np.ndarray, n_words: int, part: int):
                 code = rows.column("code").to_numpy()
                 if not len(code):
                     continue
-                right = _class_counts(rows.column("other0"), rows.column("n0"), class_of)
-                left = _class_counts(rows.column("other1"), rows.column("n1"), class_of)
-                ends = np.asarray(rows.column("other0").offsets)
-                near, n = np.asarray(rows.column("other0").values)[ends[0]:ends[-1]], np.asarray(rows.column("n0").values)[ends[0]:ends[-1]]
-                row = np.repeat(np.arange(len(code)), np.diff(ends))
+                right, left = (_class_counts(rows, side, class_of) for side in (0, 1))
+                row, near, n = _near(rows, 0)
                 itself = np.bincount(row[near == code[row]], weights=n[near == code[row]], minlength=len(code))
                 own, at = class_of[code].astype(np.int64), np.arange(len(code))
                 right[at, own] -= itself
