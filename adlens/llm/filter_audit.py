@@ -13,19 +13,25 @@ Structured Streaming query as available-now micro-batches:
 2. Every task combines its rows by digest before anything is shuffled: the
    smallest id is counted as passing E, larger ids as failing it, so a text
    that a third of all rows share leaves a task as one row.
-3. A state keyed by text holds the smallest id so far, and the counters under
-   which its rows were counted.  When a smaller id arrives, the earlier rows'
-   mask is retracted from their part's counters and counted anew with E; a
-   larger id is corrected at once.  Texts met once emit nothing here.
-4. The counters' changes are appended by the file sink, exactly once.
+3. A state table keyed by text holds the rows with the smallest id so far,
+   and the counters under which they were counted.  The combined rows and the
+   state meet by text; where a smaller id arrives, the earlier rows' mask is
+   retracted from their part's counters and counted anew with E, and a larger
+   id is corrected at once.  What remains is the next state.
+4. Counters, corrections and state of a micro-batch are one write into its
+   own folder.
 
 After the last micro-batch the summed counters are a table of at most 32
 masks x 4 label combinations for each part, from which every order, step and
 Shapley value follows without another look at the documents.
 
-State is kept in RocksDB, so executors hold no more of it than a cache, and
-state, offsets and counters are in the session's shared folder: a lost
-executor repeats tasks of one micro-batch.
+The state has a row of some 50 bytes for each text and is read and written
+once for each of the few micro-batches, by a shuffle that spills, so nothing
+of it is held in memory.  (Spark's own state store was tried first: a Python
+call for each text took 860 CPU seconds a GB, and RocksDB 4 MB of disk for
+each of its partitions.)  State, counters and the stream's offsets are in the
+session's shared folder; a lost executor repeats tasks, and a repeated
+micro-batch reads the state before it and overwrites its own folder only.
 
 Defined results: null texts are empty and null languages the empty string; a
 null id never fails E and makes no other row fail; rows that repeat an id are
@@ -42,12 +48,13 @@ import json
 import uuid
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .common import shared_folder, texts_as_bytes, written
 
@@ -59,7 +66,6 @@ _NOT_CAPITAL = bytes(b for b in range(256) if not 65 <= b <= 90)
 #: Micro-batches of one run, digests that a task combines at once, bytes of a text split at once, label copies.
 BATCHES, COMBINED, PIECE, SALTS = 4, 200_000, 1 << 20, 8
 DIGEST_BYTES = 16
-_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def word_counts(text: bytes) -> tuple[int, int]:
@@ -104,7 +110,7 @@ _KEYED = "text_key binary, doc_id long, part string, mask int, good boolean, tox
 
 
 def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of a task by text: the smallest id of each text, and counters under a key of their own each."""
+    """Rows of a task by text: those with the smallest id of each text, and the task's counters under keys of their own."""
     held: dict[bytes, tuple[int, Counter]] = {}
     counters: Counter = Counter()
     for batch in batches:
@@ -138,42 +144,18 @@ def _fails(cell: tuple) -> tuple:
 
 def _keyed(held: dict, counters: Counter) -> pa.RecordBatch:
     rows = [(key, doc_id, *cell, n) for key, (doc_id, cells) in held.items() for cell, n in cells.items()]
-    rows += [(json.dumps(cell).encode(), 0, *cell, n) for cell, n in counters.items() if n]   # keys of over 16 bytes
+    rows += [(uuid.uuid4().bytes + b"#", 0, *cell, n) for cell, n in counters.items() if n]
     kinds = (pa.binary(), pa.int64(), pa.string(), pa.int32(), pa.bool_(), pa.bool_(), pa.int64())
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)],
                                       names=["text_key", "doc_id", "part", "mask", "good", "toxic", "n"])
 
 
-_CHANGE = "part string, mask int, good boolean, toxic boolean, n long"
-
-
-def _retract(key, frames, state) -> Iterator[pd.DataFrame]:
-    """One text's rows of a micro-batch against its state; yields the corrections of the part counters."""
-    changes: Counter = Counter()
-    best, cells = None, Counter()
-    if state.exists:
-        best, held = state.get
-        cells = Counter({tuple(c): n for c, n in json.loads(held)})
-    before = best, len(cells), sum(cells.values())
-    for frame in frames:
-        for doc_id, part, mask, good, toxic, n in zip(*(frame[c].tolist() for c in ("doc_id", "part", "mask", "good", "toxic", "n"))):
-            cell = (part, mask, bool(good), bool(toxic))
-            if len(key[0]) != DIGEST_BYTES:                   # a task's counters pass as they are
-                changes[cell] += n
-            elif best is None or doc_id < best:
-                for c, m in cells.items():
-                    changes[c] -= m
-                    changes[_fails(c)] += m
-                best, cells = int(doc_id), Counter({cell: n})
-            elif doc_id == best:
-                cells[cell] += n
-            else:
-                changes[cell] -= n
-                changes[_fails(cell)] += n
-    if best is not None and before != (best, len(cells), sum(cells.values())):
-        state.update((best, json.dumps([[c, n] for c, n in cells.items()])))
-    if rows := [(*c, n) for c, n in changes.items() if n]:
-        yield pd.DataFrame(rows, columns=["part", "mask", "good", "toxic", "n"])
+def _retract(rows: DataFrame) -> DataFrame:
+    """``kind`` of each row of a micro-batch and of the state before it: "state" (still the smallest id of its text),
+    "lost" (was counted as passing E, and fails it) or "counter" (a task's counters, which stand)."""
+    best = F.min("doc_id").over(Window.partitionBy("text_key"))         # one row per text and task at most, besides the state
+    return rows.withColumn("kind", F.when(F.octet_length("text_key") != DIGEST_BYTES, "counter")
+                           .when(F.col("doc_id") > best, "lost").otherwise("state"))
 
 
 def _positive(labels: DataFrame) -> DataFrame:
@@ -194,23 +176,39 @@ def mask_counters(spark: SparkSession, path: str, labels: DataFrame, part: str =
     exactly = f"{path[:-1]}[{path[-1]}]"                     # a pattern: a stream takes a single file only by one
     stream = (spark.readStream.schema(table.schema).option("maxFilesPerTrigger", max(1, -(-files // batches))).parquet(exactly)
               .select(F.col("doc_id").cast("long").alias("doc_id"), F.col(part).cast("string").alias("part"), "text"))
-    measured = stream.mapInArrow(_measure, "doc_id long, part string, text_key binary, mask int, salt int")
-    judged = (measured.join(positive, ["doc_id", "salt"], "left")
-              .select("text_key", "doc_id", "part", "mask", F.coalesce("good", F.lit(False)).alias("good"),
-                      F.coalesce("toxic", F.lit(False)).alias("toxic")))
-    changes = (judged.mapInArrow(_combine, _KEYED).groupBy("text_key")
-               .applyInPandasWithState(_retract, _CHANGE, "doc_id long, cells string", "append", "NoTimeout"))
-    setting = "spark.sql.streaming.stateStore.providerClass"
-    own = spark.conf.get(setting, None)
-    spark.conf.set(setting, _ROCKSDB)
-    try:
-        query = (changes.writeStream.format("parquet").option("path", f"{folder}/changes")
-                 .option("checkpointLocation", f"{folder}/stream").outputMode("append").trigger(availableNow=True).start())
-        query.awaitTermination()
-    finally:
-        spark.conf.unset(setting) if own is None else spark.conf.set(setting, own)
-    found = spark.read.schema(_CHANGE).parquet(f"{folder}/changes")
-    return found.groupBy("part", "mask", "good", "toxic").agg(F.sum("n").alias("n")).where("n <> 0")
+
+    epochs: set[int] = set()
+
+    def micro_batch(docs: DataFrame, epoch: int) -> None:
+        measured = docs.mapInArrow(_measure, "doc_id long, part string, text_key binary, mask int, salt int")
+        judged = (measured.join(positive, ["doc_id", "salt"], "left")
+                  .select("text_key", "doc_id", "part", "mask", F.coalesce("good", F.lit(False)).alias("good"),
+                          F.coalesce("toxic", F.lit(False)).alias("toxic")))
+        rows = judged.mapInArrow(_combine, _KEYED)
+        if epoch:
+            rows = rows.union(_epoch(docs.sparkSession, folder, epoch - 1).where("kind = 'state'").drop("kind"))
+        _retract(rows).write.mode("overwrite").partitionBy("kind").parquet(f"{folder}/epoch={epoch}")
+        epochs.add(epoch)
+
+    query = (stream.writeStream.foreachBatch(micro_batch).option("checkpointLocation", f"{folder}/stream")
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    if not epochs:
+        return spark.createDataFrame([], _COUNTERS)
+    found = reduce(DataFrame.union, [_epoch(spark, folder, e) for e in sorted(epochs)]).where("kind <> 'state'")
+    lost = F.col("kind") == "lost"                           # counted once as passing E: that goes, and E comes
+    change = F.when(lost, F.array(F.struct("mask", (-F.col("n")).alias("n")),
+                                  F.struct(F.col("mask").bitwiseOR(BIT["E"]).alias("mask"), "n"))).otherwise(F.array(F.struct("mask", "n")))
+    found = found.select("part", "good", "toxic", F.explode(change).alias("c"))
+    return (found.groupBy("part", F.col("c.mask").alias("mask"), "good", "toxic").agg(F.sum("c.n").alias("n")).where("n <> 0"))
+
+
+_COUNTERS = "part string, mask int, good boolean, toxic boolean, n long"
+
+
+def _epoch(spark: SparkSession, folder: str, epoch: int) -> DataFrame:
+    """What a micro-batch has written."""
+    return spark.read.schema(f"{_KEYED}, kind string").parquet(f"{folder}/epoch={epoch}")
 
 
 def audit_of(counters: DataFrame) -> DataFrame:
