@@ -9,13 +9,14 @@ Semantics, in order:
   3. numeric columns are coerced; failures are counted with the first five
      raw values and become NULL, the row is kept.
 
-All counts come from one fused global aggregate over flag columns.  The
-date examples are a top-5 query by input ordinal (``TakeOrderedAndProject``);
-the row position of a date example is the number of surviving rows before
-it, computed by conditional counts against a scalar array of at most five
-ordinals -- exact, distributed, and without a join or a global window.  The
-numeric examples of all fields come from one scan with a two-level window
-(first five per field and input partition, then per field).
+The rows are read once.  All counts are observed while the numbers and
+failing values of the rows kept by step 1 are written as a narrow table
+(``quality_pass``); the examples are the first five rows of each field in
+that table (a window whose limit is pushed below its shuffle), and the row
+position of a date example is a count over it.  ``load_clean`` observes the
+same counts while it writes the typed rows.  An observed count is exact
+because it stands in the job's last stage, where each partition counts once,
+whatever tasks are repeated.
 """
 
 from __future__ import annotations
@@ -23,12 +24,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from adlens.params import NA_STRINGS, NUMERIC_FIELDS, Params
-from adlens.session import cut_lineage
+from adlens.session import cut_lineage, fresh_folder
 
 ORD = "row_ord"
 #: Decimal literals (a cast alone would also take suffixes and hexadecimal digits).
@@ -170,49 +171,78 @@ def _profile_aggregates(numeric: list, required: list) -> list[Column]:
     return aggs
 
 
+def _observed(spark, seen: Observation, numeric: list, required: list) -> DataFrame:
+    """The one row of counts that a finished job has observed."""
+    names = ["raw_rows", *[f"missing_{f}" for f in required], "date_failures", *[f"nonnum_{f}" for f in numeric], "clean_rows"]
+    found = seen.get
+    return spark.createDataFrame([tuple(int(found.get(n, 0)) for n in names)], ", ".join(f"`{n}` bigint" for n in names))
+
+
+def quality_pass(flagged: DataFrame, numeric: list, required: list) -> tuple[DataFrame, DataFrame]:
+    """One scan: (one row of counts, rows kept by step 1 as (o, fails)).
+
+    ``o`` is a row's ordinal and ``fails`` the fields whose value did not
+    parse, with the values; null for most rows.  The second table is written
+    in the shared folder, so the counts are there as well.
+    """
+    seen = Observation()
+    failed = {"date": F.col("_date_fail")} | {f: F.col(f"_fail_{f}") for f in numeric}
+    values = F.filter(F.array(*[F.when(cond, F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value")))
+                                for f, cond in failed.items()]), lambda x: x.isNotNull())
+    anything = reduce(lambda a, b: a | b, failed.values())
+    rows = (flagged.observe(seen, *_profile_aggregates(numeric, required)).where("_q2")
+            .select(F.col(ORD).alias("o"), F.when(anything, values).alias("fails")))
+    rows = cut_lineage(rows)
+    return _observed(flagged.sparkSession, seen, numeric, required), rows
+
+
+def load_clean(flagged: DataFrame, numeric: list, required: list, path: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Write the surviving rows; (the rows read back, the one row of counts), from one scan of the raw rows."""
+    seen = Observation()
+    clean = clean_rows(flagged.observe(seen, *_profile_aggregates(numeric, required)), numeric)
+    path = path or fresh_folder(flagged.sparkSession, "clean")
+    clean.write.parquet(path)
+    return (flagged.sparkSession.read.schema(clean.schema).parquet(path),
+            _observed(flagged.sparkSession, seen, numeric, required))
+
+
+def first_failures(rows: DataFrame) -> DataFrame:
+    """First five failing values of every field, from the table of ``quality_pass``: (field, pos, o, value).
+
+    Every partition keeps its first five of a field before the shuffle, so a
+    field that fails on a third of all rows costs no more than another.
+    """
+    fails = rows.where("fails IS NOT NULL").select("o", F.explode("fails").alias("e")).select("o", "e.field", "e.value")
+    ranked = fails.withColumn("rank", F.row_number().over(Window.partitionBy("field").orderBy("o"))).where(F.col("rank") <= N_EXAMPLES)
+    return ranked.select("field", (F.col("rank") - 1).alias("pos"), "o", "value")
+
+
+def _date_positions(rows: DataFrame, firsts: DataFrame) -> DataFrame:
+    """One row with ``dates``: an array of (row, value), row = rows kept by step 1 before the example."""
+    at = firsts.where("field = 'date'").agg(F.sort_array(F.collect_list(F.struct("pos", "o", "value")))).scalar()
+    before = [F.count_if(F.col("o") < F.get(F.col("_at"), F.lit(i)).getField("o")).alias(f"_before_{i}") for i in range(N_EXAMPLES)]
+    counted = rows.select("o", at.alias("_at")).agg(*before, F.first("_at").alias("_at"))
+    dates = F.transform(F.col("_at"), lambda e, i: F.struct(
+        F.get(F.array(*[F.col(f"_before_{k}") for k in range(N_EXAMPLES)]), i).alias("row"), e["value"].alias("value")))
+    return counted.select(F.coalesce(dates, F.array().cast(_EX_TYPE)).alias("dates"))
+
+
+def _local(firsts: DataFrame) -> DataFrame:
+    """At most five rows of each field, brought to the driver once instead of computed for each use."""
+    return firsts.sparkSession.createDataFrame(firsts.collect(), firsts.schema)
+
+
 def date_examples(flagged: DataFrame) -> DataFrame:
     """First five unparsable dates: (pos, row, value), row = position among rows kept by step 1."""
-    first = (flagged.where("_date_fail").select(F.col(ORD).alias("o"), F.col("date").cast("string").alias("v"))
-             .orderBy("o").limit(N_EXAMPLES))
-    arr = first.agg(F.sort_array(F.collect_list(F.struct("o", "v"))).alias("a")).scalar()
-    # the <= 5 example ordinals are attached as a projected column (a scalar
-    # subquery result), then one aggregate counts the kept rows before each
-    with_ex = flagged.where("_q2").select(F.col(ORD), arr.alias("_ex"))
-    ranks = with_ex.agg(F.array(*[
-        F.struct(F.lit(i).alias("pos"),
-                 F.count_if(F.col(ORD) < F.try_element_at(F.col("_ex"), F.lit(i + 1)).getField("o")).alias("row"),
-                 F.first(F.try_element_at(F.col("_ex"), F.lit(i + 1)).getField("v")).alias("value"))
-        for i in range(N_EXAMPLES)]).alias("ex"))
-    return ranks.select(F.explode("ex").alias("e")).select("e.*").where(F.col("value").isNotNull())
+    _, rows = quality_pass(flagged, [], [])
+    found = _date_positions(rows, _local(first_failures(rows)))
+    return found.select(F.posexplode("dates").alias("pos", "e")).select("pos", "e.row", "e.value")
 
 
 def numeric_examples(flagged: DataFrame, numeric: list) -> DataFrame:
     """First five raw values per numeric field that failed coercion: (field, pos, value)."""
-    if not numeric:
-        return flagged.sparkSession.createDataFrame([], "field string, pos int, value string")
-    return first_failures(flagged, numeric, dates=False).select("field", "pos", "value")
-
-
-def first_failures(flagged: DataFrame, numeric: list, dates: bool = True) -> DataFrame:
-    """First five failing values of every numeric field and, on request, of the date: (field, pos, o, value).
-
-    One scan: every failing (field, ordinal, value) triple is emitted once;
-    a window per (field, input partition) keeps each partition's first five,
-    then a window per field ranks at most 5 x #partitions rows.  Work stays
-    spread over all partitions even when one field fails on a third of the
-    rows.
-    """
-    failed = {f: F.col(f"_fail_{f}") for f in numeric} | ({"date": F.col("_date_fail")} if dates else {})
-    fails = flagged.select(
-        F.col(ORD).alias("o"),
-        F.explode(F.array(*[F.when(cond, F.struct(F.lit(f).alias("field"), F.col(f).cast("string").alias("value")))
-                            for f, cond in failed.items()])).alias("e"))
-    fails = fails.where(F.col("e").isNotNull()).select("o", "e.field", "e.value",
-                                                       F.spark_partition_id().alias("part"))
-    first_local = (fails.withColumn("r", F.row_number().over(Window.partitionBy("field", "part").orderBy("o")))
-                   .where(F.col("r") <= N_EXAMPLES))
-    ranked = first_local.withColumn("pos", F.row_number().over(Window.partitionBy("field").orderBy("o")) - 1)
-    return ranked.where(F.col("pos") < N_EXAMPLES).select("field", "pos", "o", "value")
+    _, rows = quality_pass(flagged, numeric, [])
+    return first_failures(rows).where("field <> 'date'").select("field", "pos", "value")
 
 
 _EX_TYPE = "array<struct<row:bigint,value:string>>"
@@ -222,33 +252,28 @@ def quality_issues(flagged: DataFrame, numeric: list, required: list,
                    with_examples: bool = True) -> DataFrame:
     """Issue rows in reference order: missing values, invalid dates, non-numeric values.
 
-    Two scans: the first failures of all fields (at most five rows each, written
-    as a table), then one aggregate of all counts, with the rows before each
-    date example among them.
+    One scan of the raw rows (``quality_pass``); the examples and their
+    positions come from the narrow table that it writes.
     """
     if not with_examples:
         return _issue_rows(quality_profile(flagged, numeric, required), numeric, required)
-    firsts = cut_lineage(first_failures(flagged, numeric))
-    at = firsts.where("field = 'date'").agg(F.sort_array(F.collect_list(F.struct("pos", "o", "value")))).scalar()
-    before = [F.count_if(F.col("_q2") & (F.col(ORD) < F.get(F.col("_at"), F.lit(i)).getField("o"))).alias(f"_before_{i}")
-              for i in range(N_EXAMPLES)]
-    prof = flagged.withColumn("_at", at).agg(*_profile_aggregates(numeric, required), *before, F.first("_at").alias("_at"))
-    dates = F.transform(F.col("_at"), lambda e, i: F.struct(
-        F.get(F.array(*[F.col(f"_before_{k}") for k in range(N_EXAMPLES)]), i).alias("row"), e["value"].alias("value")))
-    issues = _issue_rows(prof.withColumn("_dates", dates), numeric, required, ["_dates"])
-    nex = firsts.where("field <> 'date'").groupBy("field").agg(
+    counts, rows = quality_pass(flagged, numeric, required)
+    firsts = _local(first_failures(rows))
+    issues = _issue_rows(counts, numeric, required)
+    dates = _date_positions(rows, firsts).scalar()
+    values = firsts.where("field <> 'date'").groupBy("field").agg(
         F.sort_array(F.collect_list(F.struct("pos", "value"))).alias("a")).select(
         F.col("field").alias("_field"),
         F.transform("a", lambda e: F.struct(F.lit(None).cast("bigint").alias("row"), e["value"].alias("value"))).alias("_values"))
-    found = (F.when(F.col("issue_type") == "invalid_dates", F.col("_dates"))
+    found = (F.when(F.col("issue_type") == "invalid_dates", dates)
              .when(F.col("issue_type") == "non_numeric_values", F.col("_values")))
-    return (issues.join(nex, F.col("field") == F.col("_field"), "left")
+    return (issues.join(values, F.col("field") == F.col("_field"), "left")
             .select("ord", "issue_type", "field", "count", "action",
                     F.coalesce(found, F.array()).cast(_EX_TYPE).alias("examples")))
 
 
-def _issue_rows(prof: DataFrame, numeric: list, required: list, beside: list = ()) -> DataFrame:
-    """One row per issue that occurs, from the one row of counts; ``beside`` names columns to carry along."""
+def _issue_rows(prof: DataFrame, numeric: list, required: list) -> DataFrame:
+    """One row per issue that occurs, from the one row of counts."""
     rows = []
     for i, f in enumerate(required):
         rows.append((i, "missing_values", f, f"missing_{f}", "excluded_rows"))
@@ -259,7 +284,7 @@ def _issue_rows(prof: DataFrame, numeric: list, required: list, beside: list = (
                         F.lit(f).cast("string").alias("field"),
                         F.col(c).cast("bigint").alias("count"), F.lit(a).alias("action"))
                for o, t, f, c, a in rows]
-    return prof.select(F.explode(F.array(*structs)).alias("i"), *beside).select("i.*", *beside).where(F.col("count") > 0)
+    return prof.select(F.explode(F.array(*structs)).alias("i")).select("i.*").where(F.col("count") > 0)
 
 
 def clean(raw: DataFrame, params: Params = Params()) -> Cleaned:

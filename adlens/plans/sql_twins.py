@@ -35,7 +35,7 @@ fact_base AS (
          CASE l_linestatus WHEN 'O' THEN 'Facebook' ELSE 'Instagram' END AS platform,
          n_name AS country,
          l_orderkey * 8 + l_linenumber AS row_ord,
-         l_orderkey
+         l_orderkey, l_partkey, l_suppkey
   FROM lineitem JOIN part ON p_partkey = l_partkey JOIN orders ON o_orderkey = l_orderkey
        JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey
 )"""
@@ -52,9 +52,7 @@ ad_facts AS (
 
 RAW_SQL = FACTS_BASE_SQL + """,
 raw_ad_rows AS (
-  SELECT row_ord * 1000 + row_number() OVER (
-           PARTITION BY row_ord ORDER BY fact_base.date, campaign_name, adset_name, spend_cents, impressions, clicks,
-           revenue_cents, creative_message, country) AS row_ord, campaign_name, adset_name,
+  SELECT row_ord * 1048576 + (l_partkey * 8191 + l_suppkey) % 1048576 AS row_ord, campaign_name, adset_name,
          CASE WHEN l_orderkey % 89 = 0 THEN 'invalid-date' ELSE CAST(date AS VARCHAR) END AS date,
          CASE WHEN l_orderkey % 97 = 0 THEN 'not-a-number' ELSE CAST(spend_cents AS VARCHAR) END AS spend,
          CAST(impressions AS VARCHAR) AS impressions, CAST(clicks AS VARCHAR) AS clicks,

@@ -59,18 +59,23 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     return None
 
 
+def fresh_folder(spark: SparkSession, kind: str = "adlens") -> str:
+    """A new path in the session's shared folder.  A cluster session without
+    ``spark.checkpoint.dir`` is an error: what is written must outlive executors."""
+    folder = checkpoint_dir(spark)
+    if folder is None:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{folder.rstrip('/')}/adlens-{kind}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise a frame in the session's shared checkpoint folder and read it back.
 
     Writes a parquet table under the checkpoint folder (one job); the returned
     frame's plan is a plain scan, so later analysis and any executor loss never
-    go back to the raw input.  A cluster session without
-    ``spark.checkpoint.dir`` is an error: the tables must outlive executors.
+    go back to the raw input.
     """
     spark = df.sparkSession
-    folder = checkpoint_dir(spark)
-    if folder is None:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    path = f"{folder.rstrip('/')}/adlens-{uuid.uuid4().hex}"
+    path = fresh_folder(spark, "table")
     df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)      # a known schema needs no job to infer it

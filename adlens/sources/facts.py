@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,7 +33,7 @@ def _joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     and lineitem/part joins stay shuffle joins at scale.
     """
     li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", "l_quantity",
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
         "l_linestatus", "l_shipdate")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size")
@@ -76,7 +75,7 @@ def _fact_columns() -> list[Column]:
         _case(F.col("l_linestatus"), [("O", "Facebook")], "Instagram").alias("platform"),
         F.col("n_name").alias("country"),
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("row_ord"),
-        F.col("l_orderkey"),
+        F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey"),
     ]
 
 
@@ -100,16 +99,14 @@ def raw_ad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Money is written in cents.  Injected dirt: ``not-a-number`` spend,
     ``invalid-date`` dates and missing revenue on fixed order-key classes.
-    ``row_ord`` is the input ordinal (file position): unique, since the lines
-    of one order that share a number are told apart by all their columns.
+    ``row_ord`` is the input ordinal (file position): lines of one order that
+    share a number are told apart by part and supplier, by arithmetic alone.
     """
     base = _joined(spark, sf_dir).select(*_fact_columns())
     ok = F.col("l_orderkey")
     s = lambda c: F.col(c).cast("string")
-    same = Window.partitionBy("row_ord").orderBy(
-        "date", "campaign_name", "adset_name", "spend_cents", "impressions", "clicks", "revenue_cents", "creative_message", "country")
     return base.select(
-        (F.col("row_ord") * 1000 + F.row_number().over(same)).alias("row_ord"),
+        (F.col("row_ord") * (1 << 20) + (F.col("l_partkey") * 8191 + F.col("l_suppkey")) % (1 << 20)).alias("row_ord"),
         "campaign_name", "adset_name",
         F.when(ok % 89 == 0, F.lit("invalid-date")).otherwise(s("date")).alias("date"),
         F.when(ok % 97 == 0, F.lit("not-a-number")).otherwise(s("spend_cents")).alias("spend"),
