@@ -44,6 +44,15 @@ class MissingColumnsError(ValueError):
         self.required_fields = list(required)
 
 
+class MissingShareError(ValueError):
+    """A required field is missing in more than the allowed share of all rows; ``shares`` has all that are."""
+
+    def __init__(self, shares: dict, limit: float):
+        super().__init__(f"Missing values above {limit:.0%} of all rows: "
+                         + ", ".join(f"{k} {v:.2%}" for k, v in sorted(shares.items())))
+        self.shares, self.limit = shares, limit
+
+
 def check_required(df: DataFrame, required) -> None:
     """Raise with the full list of absent required columns."""
     missing = [f for f in required if f not in df.columns]
@@ -196,16 +205,32 @@ def quality_pass(flagged: DataFrame, numeric: list, required: list) -> tuple[Dat
     return _observed(flagged.sparkSession, seen, numeric, required), rows
 
 
-def load_clean(flagged: DataFrame, numeric: list, required: list, path: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Write the surviving rows; (the rows read back, the one row of counts), from one scan of the raw rows."""
+def load_clean(flagged: DataFrame, numeric: list, required: list, path: str | None = None,
+               max_missing: float | None = None) -> tuple[DataFrame, DataFrame]:
+    """Write the surviving rows; (the rows read back, the one row of counts), from one scan of the raw rows.
+
+    With ``max_missing``, required fields that lack more than that share of
+    all rows raise ``MissingShareError``: what was written then counts for
+    nothing, and a commit that comes after it is not made.
+    """
     seen = Observation()
     clean = clean_rows(flagged.observe(seen, *_profile_aggregates(numeric, required)), numeric)
     path = path or fresh_folder(flagged.sparkSession, "clean")
     clean.write.parquet(path)
+    if max_missing is not None:
+        check_missing(seen.get, required, max_missing)
     return (flagged.sparkSession.read.schema(clean.schema).parquet(path),
             _observed(flagged.sparkSession, seen, numeric, required))
 
 
+def check_missing(counts: dict, required: list, limit: float) -> None:
+    """Raise if a required field is missing in more than ``limit`` of all rows; no rows pass."""
+    n = counts.get("raw_rows", 0)
+    over = {f: counts[f"missing_{f}"] / n for f in required if n and counts[f"missing_{f}"] > limit * n}
+    if over:
+        raise MissingShareError(over, limit)
+
+
 def first_failures(rows: DataFrame) -> DataFrame:
     """First five failing values of every field, from the table of ``quality_pass``: (field, pos, o, value).
 
@@ -246,6 +271,7 @@ def numeric_examples(flagged: DataFrame, numeric: list) -> DataFrame:
 
 
 _EX_TYPE = "array<struct<row:bigint,value:string>>"
+ISSUE_SCHEMA = f"ord int, issue_type string, field string, count bigint, action string, examples {_EX_TYPE}"
 
 
 def quality_issues(flagged: DataFrame, numeric: list, required: list,

@@ -68,6 +68,12 @@ def fresh_folder(spark: SparkSession, kind: str = "adlens") -> str:
     return f"{folder.rstrip('/')}/adlens-{kind}-{uuid.uuid4().hex}"
 
 
+def remove_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder on whatever file system it is; False where there was none."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True))
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise a frame in the session's shared checkpoint folder and read it back.
 

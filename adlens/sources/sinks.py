@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from adlens.sources.commits import Commits
 
 RECOMMENDATION_SCHEMA = (
     "campaign string, current_ctr double, current_creative_type string, current_message string, "
@@ -54,6 +58,49 @@ def read_recommendations(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RECOMMENDATION_SCHEMA).json(f"{path}/creatives")
 
 
+def publish_insights(validated: DataFrame, top: DataFrame, root: str, query: str, dataset: str, timestamp: str) -> str:
+    """``write_insights`` all or nothing: readers of ``root`` see the former insights until both folders are complete."""
+    def tables(folder: str) -> dict:
+        write_insights(validated, top, folder, query, dataset, timestamp)
+        return {"query": query, "dataset": dataset, "timestamp": timestamp,
+                "validated_hypotheses": evidence_struct(validated).schema.json(), "top_insights": top.schema.json()}
+    return Commits(validated.sparkSession, root).write("insights", tables)[0]
+
+
+def publish_recommendations(spark: SparkSession, recs: DataFrame | None, root: str, threshold: float, query: str,
+                            dataset: str, timestamp: str) -> str:
+    """``write_recommendations`` all or nothing."""
+    def tables(folder: str) -> dict:
+        write_recommendations(spark, recs, folder, threshold, query, dataset, timestamp)
+        return {"query": query, "dataset": dataset, "timestamp": timestamp, "requested": recs is not None}
+    return Commits(spark, root).write("recommendations", tables)[0]
+
+
+def published_insights(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame, dict] | None:
+    """(validated hypotheses, top insights, metadata) of the newest publication; None before the first."""
+    if (found := Commits(spark, root).latest("insights")) is None:
+        return None
+    folder, about = found
+    meta = {k: about[k] for k in ("query", "dataset", "timestamp")}
+    return *(spark.read.schema(_with_meta(about[n])).json(f"{folder}/{n}") for n in ("validated_hypotheses", "top_insights")), meta
+
+
+def published_recommendations(spark: SparkSession, root: str) -> tuple[DataFrame, dict] | None:
+    """(recommendations, metadata) of the newest publication; None before the first."""
+    if (found := Commits(spark, root).latest("recommendations")) is None:
+        return None
+    folder, about = found
+    return read_recommendations(spark, folder), spark.read.json(f"{folder}/creatives_metadata").first().asDict() | {
+        "requested": about["requested"]}
+
+
+def _with_meta(schema: str) -> StructType:
+    kind = StructType.fromJson(json.loads(schema))
+    for name in ("query", "timestamp", "dataset"):
+        kind = kind.add(name, "string")
+    return kind
+
+
 def json_round_trip(df: DataFrame) -> DataFrame:
     """Serialise every row to JSON text and parse it back with the frame's schema."""
     schema = df.schema

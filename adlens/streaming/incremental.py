@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from adlens.operators.segments import fact_cube
+from adlens.session import remove_folder
 
 
 def fact_stream(spark: SparkSession, source_dir: str, schema, max_files_per_trigger: int | None = None
@@ -35,18 +36,24 @@ def streaming_cube(facts: DataFrame, moments: bool = True) -> DataFrame:
     return fact_cube(facts, moments=moments, include_daily=True)
 
 
+#: Epochs that stay: the last one, and the one that a reader may still be reading.
+KEPT_EPOCHS = 2
+
+
 def publish_cube(cube: DataFrame, target_dir: str, checkpoint_location: str,
                  trigger_once: bool = False) -> StreamingQuery:
     """Run the streaming cube; every micro-batch writes the full cube as ``target_dir/epoch=N``.
 
     ``complete`` output mode + ``foreachBatch``.  An epoch has a folder of its
     own, so a reader of an earlier one (``latest_cube``) never sees a table
-    that is being replaced; a retried epoch overwrites only itself.  The
-    query's own state and offsets live in ``checkpoint_location`` (a shared
+    that is being replaced; a retried epoch overwrites only itself.  Epochs
+    before the last ``KEPT_EPOCHS`` are removed.  The query's own state and offsets live in ``checkpoint_location`` (a shared
     folder on a cluster).
     """
     def write(batch: DataFrame, epoch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{target_dir}/epoch={epoch_id}")
+        if epoch_id >= KEPT_EPOCHS:
+            remove_folder(batch.sparkSession, f"{target_dir}/epoch={epoch_id - KEPT_EPOCHS}")
 
     w = (cube.writeStream.outputMode("complete")
          .option("checkpointLocation", checkpoint_location)

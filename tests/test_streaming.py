@@ -28,3 +28,4 @@ def test_streaming_cube_equals_batch(spark, facts):
     exp = S.fact_cube(facts.select(cols), moments=False, include_daily=True)
     key = ["dimension", "value", "spend_cents", "revenue_cents", "impressions", "clicks", "rows"]
     assert sorted(map(tuple, got.select(key).collect())) == sorted(map(tuple, exp.select(key).collect()))
+    assert sorted(x for x in os.listdir(out) if x.startswith("epoch")) == ["epoch=1", "epoch=2"]       # the first is gone
