@@ -22,9 +22,13 @@ from adlens.operators import metrics as M
 from adlens.operators import report as R
 from adlens.operators import requests as RQ
 from adlens.operators import segments as S
+from adlens.operators import seasonality as Z
+from adlens.operators import sketches as K
 from adlens.operators.contracts import contract_violations
 from adlens.params import Params
 from adlens.plans import workflow as W
+from adlens.session import cut_lineage, fresh_folder
+from adlens.sources import readers, sinks, views
 from adlens.sources.facts import ad_facts, raw_ad_rows, table
 from adlens.sources.sinks import json_round_trip
 
@@ -89,6 +93,96 @@ def invalid_rows(spark, sf):
     return Q.invalid_rows(c.profile, c.numeric_fields, c.required)
 
 
+def load_counts(spark, sf):
+    """Counts observed while the clean rows are written, and the rows that were."""
+    c = _cleaned(spark, sf)
+    clean, counts = Q.load_clean(c.flags, c.numeric_fields, c.required)
+    return counts.withColumn("written_rows", clean.select(F.count("*")).scalar())
+
+
+def missing_share_gate(spark, sf):
+    """What a load with a limit for missing values does at two limits: it goes through, or names the fields and stops."""
+    c = _cleaned(spark, sf)
+    out = []
+    for limit in (0.10, 0.01):
+        try:
+            Q.load_clean(c.flags, c.numeric_fields, c.required, max_missing=limit)
+            out.append((limit, "loaded", None, None))
+        except Q.MissingShareError as e:
+            out += [(limit, "stopped", field, share) for field, share in e.shares.items()]
+    return spark.createDataFrame(out, "share_limit double, outcome string, field string, share double").withColumn("share", _r(F.col("share")))
+
+
+# -- files ---------------------------------------------------------------------
+
+CSV_COLUMNS = ("campaign_name", "adset_name", "date", "spend", "impressions", "clicks", "purchases", "revenue", "creative_type",
+               "creative_message", "audience_type", "platform", "country")
+
+
+def _quoted_rows(spark, sf):
+    """The raw rows, every seventh with quotes, separators and a line break in its message."""
+    odd = F.concat("creative_message", F.lit(' says "'), "platform", F.lit('",\n'), "country")
+    return raw_ad_rows(spark, sf).withColumn("creative_message", F.when(F.col("row_ord") % 7 == 0, odd).otherwise(F.col("creative_message")))
+
+
+def _as_csv(rows, folder, mode="error"):
+    rows.write.mode(mode).options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+                                  **readers.QUOTING).csv(folder)
+
+
+def csv_scan(spark, sf):
+    """The raw rows written as CSV and loaded by the strict rules: quoting, line breaks, missing values, dates, numbers."""
+    folder = fresh_folder(spark, "csv")
+    _as_csv(_quoted_rows(spark, sf).select(*CSV_COLUMNS), folder)
+    return readers.load_strict(spark, folder, P, multi_line=True, too_long="fail", columns=CSV_COLUMNS).clean.select(*CSV_COLUMNS)
+
+
+def csv_lenient(spark, sf):
+    """The raw rows as CSV, some lines two fields short and some a field too long, loaded leniently."""
+    folder = fresh_folder(spark, "csv")
+    rows = raw_ad_rows(spark, sf).withColumn("kind", F.col("row_ord") % 5)
+    own = cut_lineage(rows.select("kind", *CSV_COLUMNS))
+    _as_csv(own.where("kind > 1").drop("kind"), folder)
+    _as_csv(own.where("kind = 1").drop("kind", "platform", "country"), folder, "append")
+    _as_csv(own.where("kind = 0").withColumn("extra", F.lit("x")).drop("kind"), folder, "append")
+    return readers.load_lenient(spark, folder, P, too_long="drop", columns=CSV_COLUMNS).select(*CSV_COLUMNS)
+
+
+def view_reload(spark, sf):
+    """A CSV dataset loaded twice through its view: the issues that the second load, which opens no raw file, has kept."""
+    folder, root = fresh_folder(spark, "csv"), fresh_folder(spark, "view")
+    _as_csv(raw_ad_rows(spark, sf).select(*CSV_COLUMNS), folder)
+    views.load(spark, folder, root, P)
+    again = views.load(spark, folder, root, P)
+    return again.issues.select(F.col("ord").cast("bigint").alias("ord"), "issue_type", "field", "count", "action",
+                               F.size("examples").cast("bigint").alias("n_examples"),
+                               again.clean.select(F.count("*")).scalar().alias("clean_rows"), F.lit(again.reused).alias("reused"))
+
+
+QUERY, DATASET, STAMP = "Analyze ROAS", "ad_facts", "2025-01-01T00:00:00Z"
+
+
+def insights_published(spark, sf):
+    """Validated hypotheses and top insights published all or nothing, and read back with their metadata."""
+    a, root = _analysis(spark, sf), fresh_folder(spark, "published")
+    sinks.publish_insights(a.validated, a.top_insights, root, QUERY, DATASET, STAMP)
+    validated, top, _ = sinks.published_insights(spark, root)
+    return validated.join(top.select(F.col("hypothesis").alias("hypothesis_text"), F.lit(True).alias("is_top")), "hypothesis_text", "left").select(
+        "hypothesis_id", "hypothesis_text", "validation_status", F.col("rank").cast("bigint").alias("rank"),
+        _r(F.col("adjusted_confidence_score")).alias("adjusted_confidence_score"),
+        F.size("evidence.metrics").cast("bigint").alias("n_metrics"), F.coalesce("is_top", F.lit(False)).alias("is_top"),
+        "query", "dataset", "timestamp")
+
+
+def recommendations_published(spark, sf):
+    """Recommendations published all or nothing, and read back with their metadata."""
+    root = fresh_folder(spark, "published")
+    sinks.publish_recommendations(spark, _full(spark, sf).recommendations, root, P.low_ctr, QUERY, DATASET, STAMP)
+    recs, meta = sinks.published_recommendations(spark, root)
+    return _recommendation_rows(recs).select("*", F.lit(meta["query"]).alias("query"), F.lit(meta["dataset"]).alias("dataset"),
+                                             F.lit(meta["timestamp"]).alias("timestamp"), F.lit(meta["low_ctr_threshold"]).alias("low_ctr_threshold"))
+
+
 # -- filters and aggregates ----------------------------------------------------
 
 def date_range_filter(spark, sf):
@@ -124,6 +218,25 @@ def trend_changes(spark, sf):
     return M.trend_changes(facts(spark, sf)).select("roas_wow", "ctr_wow", "roas_mom", "ctr_mom")
 
 
+def seasonality(spark, sf):
+    """Cycle of the daily roas and ctr, if there is one."""
+    found = Z.seasonality(M.daily_sums(facts(spark, sf)))
+    return found.select("metric", "days", "gaps", F.col("lag").cast("bigint").alias("lag"),
+                        _r(F.col("autocorrelation"), 8).alias("autocorrelation"), "seasonal")
+
+
+def period_sketches(spark, sf):
+    """Distinct campaigns and the ctr quantile of every month from daily sketches; whether the quantile keeps its bound."""
+    f = facts(spark, sf)
+    month = F.date_trunc("month", F.col("date")).cast("date").alias("month")
+    got = cut_lineage(K.merged(cut_lineage(K.daily_sketches(f)), month))
+    rank = (f.where("ctr IS NOT NULL").select(month, "ctr").join(got.select("month", "q75"), "month").groupBy("month")
+            .agg(F.avg((F.col("ctr") < F.col("q75")).cast("int")).alias("below"), F.avg((F.col("ctr") <= F.col("q75")).cast("int")).alias("upto")))
+    bound = 3 * K.RANK_ERROR + F.lit(1.0) / F.col("values")
+    kept = (F.col("below") - bound <= 0.75) & (F.lit(0.75) <= F.col("upto") + bound)
+    return got.join(rank, "month").select("month", "rows", F.col("distinct_estimate").alias("campaigns"), "values", kept.alias("q75_in_bounds"))
+
+
 def trend_direction(spark, sf):
     return M.trends(facts(spark, sf), P)
 
@@ -298,12 +411,23 @@ def creative_candidates(spark, sf):
 
 
 def creative_variations(spark, sf):
-    v = _creatives(spark, sf)["variations"]
+    return _variation_rows(_creatives(spark, sf)["variations"])
+
+
+def _variation_rows(v):
     return v.select("campaign", F.col("i").cast("bigint").alias("i"), "creative_type", "creative_message",
                     "audience_type", _r(F.col("confidence_score")).alias("confidence_score"),
                     _r(F.col("expected_ctr_improvement")).alias("expected_ctr_improvement"), "rationale")
 
 
+def creative_variations_four(spark, sf):
+    """Variations where some campaigns have a type outside the standard ones or none at all: four candidates, four variations."""
+    own = (F.when(F.col("campaign_name").startswith("Brand#1"), F.lit(None).cast("string"))
+           .when(F.col("campaign_name").startswith("Brand#2"), F.lit("story")).otherwise(F.col("creative_type")))
+    changed = facts(spark, sf).withColumn("creative_type", own)
+    return _variation_rows(C.creative_pipeline(S.segment_aggregates(changed, moments=False), changed, P)["variations"])
+
+
 def recommendation_summary(spark, sf):
     c = _creatives(spark, sf)
     s = C.recommendation_summary(c["variations"], c["low_ctr"])
@@ -388,8 +512,28 @@ def report_metrics(spark, sf):
                     "metric_name", _r(F.col("value")).alias("value"), "comparison")
 
 
+def report_metrics_cells(spark, sf):
+    """Supporting metrics of a table whose names and comparisons are blank, unprintable or wrapped in white space (made from customers)."""
+    k = F.col("c_custkey")
+
+    def cell(by):
+        odd = ["", "  ", "\u200b", "\t\u00a0\u2003", " \u0007 ", "\u2028x\u00a0y ", "a\u200bb\u0001", "\ufeffok\u3000"]
+        forms = F.array(*map(F.lit, odd), F.lit(None).cast("string"), F.concat(F.lit(" "), "c_name", F.lit("\n")), F.col("c_name"))
+        return F.element_at(forms, (by % 11 + 1).cast("int"))
+
+    metrics = F.array(*[F.struct(cell(k * (i + 1) + i).alias("metric_name"), (k + i).cast("double").alias("value"),
+                                 cell(k + 3 * i).alias("comparison")) for i in range(3)])
+    rows = table(spark, sf, "customer").select(k.cast("int").alias("rank"), metrics.alias("evidence_metrics"))
+    found = R.supporting_metrics(rows, k=1 << 30)
+    return found.select(F.col("rank").cast("bigint").alias("rank"), F.col("pos").cast("bigint").alias("pos"), "metric_name", "value", "comparison")
+
+
 def report_recommendations(spark, sf):
-    r = R.recommendation_rows(_full(spark, sf).recommendations)
+    return _recommendation_rows(_full(spark, sf).recommendations)
+
+
+def _recommendation_rows(recs):
+    r = R.recommendation_rows(recs)
     return r.select("campaign", F.col("variation").cast("bigint").alias("variation"), "creative_type",
                     "creative_message", "audience_type",
                     _r(F.col("expected_ctr_improvement")).alias("expected_ctr_improvement"),
@@ -497,6 +641,10 @@ def narratives(spark, sf):
 
 
 REGISTRY = {
+    "load_counts": load_counts, "missing_share_gate": missing_share_gate, "csv_scan": csv_scan, "csv_lenient": csv_lenient,
+    "view_reload": view_reload, "insights_published": insights_published, "recommendations_published": recommendations_published,
+    "report_metrics_cells": report_metrics_cells, "creative_variations_four": creative_variations_four,
+    "seasonality": seasonality, "period_sketches": period_sketches,
     "scan_clean": scan_clean, "lenient_scan": lenient_scan, "missing_profile": missing_profile, "date_failures": date_failures,
     "numeric_failures": numeric_failures, "column_missing": column_missing, "quality_issues": quality_issues,
     "invalid_rows": invalid_rows, "date_range_filter": date_range_filter, "last_n_days": last_n_days,

@@ -913,7 +913,86 @@ SEGMENTS = {
     "audience_type": _segment_by("audience_type"), "platform": _segment_by("platform"),
 }
 
+# ------------------------------------------------------- files and outputs ---
+_CSV_COLS = [c for c in RAW_COLS if c != "row_ord"]
+_QUOTED = RAW_SQL.strip().replace("raw_ad_rows AS (", "raw_plain AS (") + """,
+raw_ad_rows AS (SELECT * REPLACE (CASE WHEN row_ord % 7 = 0 THEN creative_message || ' says "' || platform || '",' || chr(10) || country
+                                       ELSE creative_message END AS creative_message) FROM raw_plain)"""
+CSV_SCAN = _with(_QUOTED, _RAWN, _FLAGS, _CLEAN) + f"SELECT {', '.join(_CSV_COLS)} FROM clean"
+_SHORT = RAW_SQL.strip().replace("raw_ad_rows AS (", "raw_plain AS (") + """,
+raw_ad_rows AS (SELECT * REPLACE (CASE WHEN row_ord % 5 = 1 THEN NULL ELSE platform END AS platform,
+                                  CASE WHEN row_ord % 5 = 1 THEN NULL ELSE country END AS country) FROM raw_plain WHERE row_ord % 5 <> 0)"""
+CSV_LENIENT = _with(_SHORT, _RAWN) + "SELECT " + ", ".join(
+    "CAST(try_strptime(date, '%Y-%m-%d') AS DATE) AS date" if c == "date"
+    else (f"TRY_CAST({c} AS DOUBLE) AS {c}" if c in RAW_NUMERIC else c) for c in _CSV_COLS) + " FROM raw_n"
+LOAD_COUNTS = _with(*CLEAN_CTES, _PROFILE) + "SELECT *, clean_rows AS written_rows FROM profile"
+MISSING_SHARE_GATE = _with(*CLEAN_CTES, _PROFILE, "share AS (" + " UNION ALL ".join(
+    f"SELECT {_q(c)} AS field, missing_{c} / raw_rows AS share FROM profile" for c in REQUIRED_FIELDS) + ")",
+    "lim(share_limit) AS (VALUES (CAST(0.1 AS DOUBLE)), (CAST(0.01 AS DOUBLE)))") + """
+SELECT share_limit, 'stopped' AS outcome, field, round(share, 10) AS share FROM lim JOIN share ON share > share_limit
+UNION ALL SELECT share_limit, 'loaded', NULL, NULL FROM lim WHERE NOT EXISTS (SELECT 1 FROM share WHERE share > share_limit)"""
+VIEW_RELOAD = _with(*CLEAN_CTES, _PROFILE, "issues AS (" + " UNION ALL ".join(
+    f"SELECT CAST({o} AS BIGINT) AS ord, {_q(t)} AS issue_type, "
+    f"{'CAST(NULL AS VARCHAR)' if f is None else _q(f)} AS field, {col} AS count, {_q(a)} AS action FROM profile"
+    for o, t, f, col, a in _ISSUE_ROWS) + ")") + """SELECT i.*,
+       CAST(CASE WHEN issue_type = 'missing_values' THEN 0 ELSE least(count, 5) END AS BIGINT) AS n_examples,
+       (SELECT clean_rows FROM profile) AS clean_rows, TRUE AS reused FROM issues i WHERE count > 0"""
+_META = "'Analyze ROAS' AS query, 'ad_facts' AS dataset, '2025-01-01T00:00:00Z' AS timestamp"
+INSIGHTS_PUBLISHED = _with(F, *_VALID) + f"""SELECT sha256(concat_ws('~', CAST(ord AS VARCHAR), category, hypothesis_text)) AS hypothesis_id,
+       hypothesis_text, validation_status, CAST(rank AS BIGINT) AS rank, round(adjusted_confidence_score, 10) AS adjusted_confidence_score,
+       CAST(n_metrics AS BIGINT) AS n_metrics, rank <= 3 AS is_top, {_META} FROM ranked_v"""
+RECOMMENDATIONS_PUBLISHED = REPORT_RECOMMENDATIONS.replace(
+    " FROM variations", f", {_META}, CAST(0.01 AS DOUBLE) AS low_ctr_threshold FROM variations")
+
+_FOUR = F.replace("ad_facts AS (", "ad_facts_plain AS (") + """,
+ad_facts AS (SELECT * REPLACE (CASE WHEN starts_with(campaign_name, 'Brand#1') THEN NULL WHEN starts_with(campaign_name, 'Brand#2') THEN 'story'
+                                    ELSE creative_type END AS creative_type) FROM ad_facts_plain)"""
+CREATIVE_VARIATIONS_FOUR = CREATIVE_VARIATIONS.replace(F, _FOUR)
+
+_CELL = """[ '', '  ', chr(8203), chr(9) || chr(160) || chr(8195), ' ' || chr(7) || ' ', chr(8232) || 'x' || chr(160) || 'y ',
+  'a' || chr(8203) || 'b' || chr(1), chr(65279) || 'ok' || chr(12288), NULL, ' ' || c_name || chr(10), c_name ]"""
+_WHITE = r"[\x09-\x0D\x1C-\x1F\x20\x{85}\pZ]"
+
+
+def _printable(c: str) -> str:
+    ends = f"regexp_replace({c}, '^{_WHITE}+|{_WHITE}+$', '', 'g')"
+    spaces = r"\x{A0}\x{1680}\x{2000}-\x{200A}\x{202F}\x{205F}\x{3000}"
+    return f"regexp_replace({ends}, '[\\pC\\p{{Zl}}\\p{{Zp}}{spaces}]', '', 'g')".replace("\\\\", "\\")
+
+
+REPORT_METRICS_CELLS = f"""SELECT * FROM (SELECT c_custkey AS rank, i AS pos, {_printable('metric')} AS metric_name,
+         CAST(c_custkey + i AS DOUBLE) AS value, {_printable('cmp')} AS comparison
+  FROM (SELECT c_custkey, i, ({_CELL})[(c_custkey * (i + 1) + i) % 11 + 1] AS metric, ({_CELL})[(c_custkey + 3 * i) % 11 + 1] AS cmp
+        FROM customer, (SELECT unnest(range(0, 3)) AS i)))
+WHERE metric_name <> '' AND comparison <> ''"""
+
+SEASONALITY = _with(F, """daily AS (SELECT date, sum(spend_cents) / 100.0 AS spend, sum(revenue_cents) / 100.0 AS revenue,
+           sum(impressions) AS impressions, sum(clicks) AS clicks FROM ad_facts WHERE date IS NOT NULL GROUP BY date)""",
+                    """series AS (SELECT 'roas' AS metric, date, revenue / nullif(spend, 0) AS value FROM daily
+  UNION ALL SELECT 'ctr', date, clicks / nullif(impressions, 0) FROM daily)""",
+                    """days AS (SELECT metric, CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date
+  FROM series GROUP BY metric)""",
+                    """steps AS (SELECT d.metric, d.date, s.date IS NULL AS gap, s.value - lag(s.value) OVER (PARTITION BY d.metric ORDER BY d.date) AS d
+  FROM days d LEFT JOIN series s ON s.metric = d.metric AND s.date = d.date)""",
+                    "centred AS (SELECT metric, date, gap, d - avg(d) OVER (PARTITION BY metric) AS x FROM steps)",
+                    """own AS (SELECT metric, count(*) AS days, count(*) FILTER (gap) AS gaps, count(x) AS changes, sum(x * x) AS own
+  FROM centred GROUP BY metric)""",
+                    """auto AS (SELECT a.metric, k.lag, sum(a.x * b.x) / any_value(o.own) AS r
+  FROM centred a, (SELECT unnest(range(2, 29)) AS lag) k, centred b, own o
+  WHERE b.metric = a.metric AND b.date = a.date - CAST(k.lag AS INTEGER) AND o.metric = a.metric GROUP BY a.metric, k.lag)""",
+                    "best AS (SELECT * FROM auto QUALIFY row_number() OVER (PARTITION BY metric ORDER BY r DESC, lag) = 1)") + """
+SELECT o.metric, CAST(days AS BIGINT) AS days, CAST(gaps AS BIGINT) AS gaps, CAST(lag AS BIGINT) AS lag, round(r, 8) AS autocorrelation,
+       r >= 0.3 AND r > 3.0 / sqrt(changes) AS seasonal FROM own o JOIN best b ON b.metric = o.metric"""
+
+PERIOD_SKETCHES = _with(F) + """SELECT CAST(date_trunc('month', date) AS DATE) AS month, CAST(count(*) AS BIGINT) AS rows,
+       CAST(count(DISTINCT campaign_name) AS BIGINT) AS campaigns, CAST(count(ctr) AS BIGINT) AS values, TRUE AS q75_in_bounds
+FROM ad_facts WHERE date IS NOT NULL GROUP BY 1 HAVING count(ctr) > 0"""
+
 ORACLE = {
+    "load_counts": LOAD_COUNTS, "missing_share_gate": MISSING_SHARE_GATE, "csv_scan": CSV_SCAN, "csv_lenient": CSV_LENIENT,
+    "view_reload": VIEW_RELOAD, "insights_published": INSIGHTS_PUBLISHED, "recommendations_published": RECOMMENDATIONS_PUBLISHED,
+    "report_metrics_cells": REPORT_METRICS_CELLS, "creative_variations_four": CREATIVE_VARIATIONS_FOUR,
+    "seasonality": SEASONALITY, "period_sketches": PERIOD_SKETCHES,
     "scan_clean": SCAN_CLEAN, "lenient_scan": LENIENT_SCAN, "missing_profile": MISSING_PROFILE, "date_failures": DATE_FAILURES,
     "numeric_failures": NUMERIC_FAILURES, "column_missing": COLUMN_MISSING, "quality_issues": QUALITY_ISSUES,
     "invalid_rows": INVALID_ROWS, "date_range_filter": DATE_RANGE_FILTER, "last_n_days": LAST_N_DAYS,

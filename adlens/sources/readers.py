@@ -20,11 +20,13 @@ QUOTING = {"quote": '"', "escape": '"'}
 TOO_LONG, _CUT = ("cut", "drop", "fail"), "_malformed_line"
 
 
-def read_raw_csv(spark: SparkSession, path: str, too_long: str = "cut", multi_line: bool = False) -> DataFrame:
+def read_raw_csv(spark: SparkSession, path: str, too_long: str = "cut", multi_line: bool = False,
+                 columns: tuple | None = None) -> DataFrame:
     """Header CSV with every column as STRING (no inference pass over the data).
 
-    Only the header line is inspected to name the columns; the scan itself
-    is a normal distributed CSV read with column pruning.  A line with too
+    Only the header line of one file is inspected to name the columns, and
+    none if ``columns`` names them; the scan itself is a normal distributed
+    CSV read with column pruning.  A line with too
     few fields has nulls for the rest.  A line with too many is cut to the
     header's fields, dropped, or ends the job (``too_long``).  ``multi_line``
     allows line breaks inside quotes; a file is then one task, so it is for
@@ -34,10 +36,10 @@ def read_raw_csv(spark: SparkSession, path: str, too_long: str = "cut", multi_li
         raise ValueError(f"too_long is one of {TOO_LONG}")
     reader = lambda: spark.read.options(**QUOTING, header=True, multiLine=multi_line)
     try:
-        probe = reader().option("inferSchema", False).csv(path)
+        probe = reader().option("inferSchema", False).csv(path) if columns is None else spark.read.text(path)
     except AnalysisException as e:  # path does not exist
         raise DatasetError(f"Dataset file not found: {path}") from e
-    cols = probe.columns
+    cols = list(columns or probe.columns)
     if not cols:
         raise DatasetError(f"Dataset file is empty: {path}")
     schema = ", ".join(f"`{c}` STRING" for c in cols)
