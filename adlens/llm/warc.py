@@ -121,7 +121,7 @@ def parsed_records(stream: BinaryIO) -> Iterator[tuple[dict[str, str], bytes]]:
 
 def _member(record: bytes) -> bytes:
     """One record as a gzip member that does not hold the separator."""
-    for level in (6, 1, 9, 3):
+    for level in (1, 6, 9, 3):
         squeeze = zlib.compressobj(level, zlib.DEFLATED, 31)
         out = squeeze.compress(record + RECORD_END.encode()) + squeeze.flush()
         if BETWEEN not in out:
@@ -166,6 +166,13 @@ def _serialised(lines: list[tuple[str, str]], block: bytes) -> bytes:
     return ("WARC/1.1\r\n" + "".join(f"{n}: {v}\r\n" for n, v in lines) + "\r\n").encode() + block
 
 
+def _opened(member: bytes) -> tuple[list[tuple[str, str]], bytes]:
+    """Header lines and block of a record as ``_member`` has packed it."""
+    head, _, rest = zlib.decompress(member, 31).partition(b"\r\n\r\n")
+    lines = [(n, v.strip()) for n, _, v in (x.partition(":") for x in head.decode("utf-8", "replace").split("\r\n")[1:])]
+    return lines, rest[:-len(RECORD_END)]
+
+
 def _import(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         yield from _members(_serialised(*record) for content in batch.column("content") for record in parsed_lines(_stream(content.as_py())))
@@ -202,7 +209,7 @@ class _Record:
 
     @classmethod
     def of(cls, member: bytes) -> _Record:
-        lines, block = next(parsed_lines(gzip.open(io.BytesIO(member))))
+        lines, block = _opened(member)
         head = {n.lower(): v for n, v in reversed(lines)}
         kind, said = head.get("warc-type", "").lower(), head.get("warc-payload-digest", "")
         digest, size = said.removeprefix("sha1:") if said.startswith("sha1:") else None, head.get("x-payload-length")
