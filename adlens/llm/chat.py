@@ -16,8 +16,10 @@ segments by conversation and place and streams through them, so a
 conversation of any length takes bounded memory.
 
 Defined results: null or missing texts and roles are empty; a record whose
-fingerprint no layout has, that is no JSON object or is null, gives no turns
-and is listed by ``unknown_records``; repeated rows are turns of their own,
+fingerprint no layout has, that is no JSON object, is nested beyond what the
+JSON reader takes (thousands of levels) or is null, gives no turns and is
+listed by ``unknown_records``; half of a character (a lone surrogate) becomes
+U+FFFD; keys that hold the signs of paths are not taken for paths; repeated rows are turns of their own,
 equal places are ordered by segment; null conversation ids form one
 conversation; an empty table gives an empty result; other columns are not read.
 """
@@ -84,13 +86,32 @@ LAYOUTS = (
 )
 
 
-def field_paths(value, at: str = "") -> set[str]:
+_KEY = re.compile(r"[\\.\[\]]")
+_LONE = re.compile("[\ud800-\udfff]")
+
+
+def whole(text: str) -> str:
+    """``text`` with U+FFFD for every half of a character (a surrogate without its pair)."""
+    return _LONE.sub("\ufffd", text)
+
+
+def path_key(key: str) -> str:
+    """A key as a path has it: the signs of paths escaped, so no key looks like a path; the empty key is ``\\e``."""
+    return _KEY.sub(lambda m: "\\" + m.group(), whole(key)) or "\\e"
+
+
+def field_paths(value) -> set[str]:
     """The paths of a JSON value's leaves; list elements share one path, empty lists and objects are leaves."""
-    if isinstance(value, dict) and value:
-        return set().union(*[field_paths(v, f"{at}.{k}" if at else k) for k, v in value.items()])
-    if isinstance(value, list) and value:
-        return set().union(*[field_paths(v, at + "[]") for v in value])
-    return {at}
+    out, open_ = set(), [("", value)]
+    while open_:
+        at, x = open_.pop()
+        if isinstance(x, dict) and x:
+            open_ += [(f"{at}.{path_key(k)}" if at else path_key(k), v) for k, v in x.items()]
+        elif isinstance(x, list) and x:
+            open_ += [(at + "[]", v) for v in x]
+        else:
+            out.add(at)
+    return out
 
 
 def fingerprint(paths) -> str:
@@ -104,7 +125,7 @@ def _table(layouts: tuple[Layout, ...]) -> dict[str, Layout]:
 def _parsed(payload: str | None):
     try:
         record = json.loads(payload) if payload else None
-    except ValueError:
+    except (ValueError, RecursionError):                      # no JSON, or nested beyond what the reader takes
         return None
     return record if isinstance(record, dict) else None
 
@@ -123,7 +144,7 @@ def canonical_turns(records: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS) -
                 if layout is None:
                     rows.append((conv, place, 0, None, None, None, mark))
                 else:
-                    rows += [(conv, place, i, role, text, layout.name, mark)
+                    rows += [(conv, place, i, whole(role), whole(text), layout.name, mark)
                              for i, (role, text) in enumerate(layout.turns(record))]
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string(), pa.string())
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)],

@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,8 +38,8 @@ from pyspark.sql import functions as F
 
 from .common import written
 
-#: Hash buckets of trigrams; languages that a model may have.
-BUCKETS, MAX_LANGUAGES = 1 << 13, 256
+#: Hash buckets of trigrams; languages that a model has at most, and the code of all others together beyond.
+BUCKETS, MAX_LANGUAGES, OTHERS = 1 << 13, 256, "und"
 #: Overlapping trigrams repeat each other's evidence; its weight is this part.
 TEXT_WEIGHT = 0.3
 #: Pseudo-rows of the domain's mix in a host's, of all rows' in a domain's, of a uniform mix in a declaration's.
@@ -48,13 +49,47 @@ SUFFIX_LANGUAGE = {"at": "de", "mx": "es", "ar": "es", "cl": "es", "uk": "en", "
 CHUNK_BYTES = 1 << 20
 
 _LETTERS = bytes(b if b > 127 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
-_NOT_TEXT = re.compile(r"<!--.*?-->|<(script|style)\b.*?</\1\s*>|<[^>]*>", re.DOTALL | re.IGNORECASE)
+_OPENS = re.compile(r"<(script|style)\b", re.IGNORECASE)
+_CLOSES = re.compile(r"</(script|style)\s*>", re.IGNORECASE)
 _SPACES = re.compile(rb" {2,}")
 
 
 def visible_text(page: str | None) -> str:
-    """A page's text without tags, scripts, styles and comments."""
-    return html.unescape(_NOT_TEXT.sub(" ", page or ""))
+    """A page's text without tags, scripts, styles and comments, in time linear in its length.
+
+    A comment, script or style that nothing closes is only a tag, and a ``<``
+    that no ``>`` follows is text.  What is searched for further on (the next
+    end of a comment, closing tag or ``>``) is looked up once and kept until
+    the scan has passed it.
+    """
+    page = page or ""
+    out, at, comment, tag = [], 0, 0, 0
+    closings: dict[str, list[tuple[int, int]]] | None = None
+    while (lt := page.find("<", at)) >= 0:
+        out.append(page[at:lt])
+        end = -1
+        if page.startswith("<!--", lt):
+            if 0 <= comment < lt + 4:
+                comment = page.find("-->", lt + 4)
+            end = comment + 3 if comment >= 0 else -1
+        elif opening := _OPENS.match(page, lt):
+            if closings is None:
+                closings = {"script": [], "style": []}
+                for m in _CLOSES.finditer(page):
+                    closings.setdefault(m[1].lower(), []).append((m.start(), m.end()))
+            own = closings.get(opening[1].lower(), [])
+            k = bisect_left(own, (opening.end(), 0))
+            end = own[k][1] if k < len(own) else -1
+        if end < 0:
+            if 0 <= tag < lt + 1:
+                tag = page.find(">", lt + 1)
+            if tag < 0:
+                at = lt
+                break
+            end = tag + 1
+        out.append(" ")
+        at = end
+    return html.unescape("".join(out) + page[at:])
 
 
 def trigram_buckets(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -134,9 +169,14 @@ def train(texts: DataFrame) -> TextModel:
     counted = known.mapInArrow(_count_trigrams, "lang string, bucket long, n long")
     rows = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     rows = written(rows)
-    langs = sorted(x["lang"] for x in rows.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
-    if len(langs) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    sizes = written(rows.groupBy("lang").agg(F.sum("n").alias("size")))
+    most = sizes.orderBy(F.desc("size"), "lang").limit(MAX_LANGUAGES)
+    if sizes.count() > MAX_LANGUAGES:                           # all others together are one more language
+        kept = F.broadcast(most.limit(MAX_LANGUAGES - 1).select(F.col("lang").alias("_kept")))
+        rows = rows.join(kept, F.col("lang") == F.col("_kept"), "left").groupBy(
+            F.coalesce("_kept", F.lit(OTHERS)).alias("lang"), "bucket").agg(F.sum("n").alias("n"))
+        rows = written(rows)
+    langs = sorted(x["lang"] for x in rows.select("lang").distinct().collect())
     table = np.full((len(langs), BUCKETS), 0.5)
     place = {x: i for i, x in enumerate(langs)}
     got = rows.toPandas()                                       # at most MAX_LANGUAGES * BUCKETS short rows

@@ -80,19 +80,41 @@ def op7_benchmark_decontamination(spark, sf_dir):
 
 
 def chat_records(conversations):
-    """Rows of ``conversations`` as JSON records (conv_id, place, payload): stand-in input of mixed layouts."""
-    role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
-    usual = role.isin("system", "user", "assistant")
-    kind = F.when(usual, F.pmod(F.coalesce("conv_id", F.lit(3)), F.lit(4))).otherwise(3)
-    sender = F.when(role == "user", "human").when(role == "assistant", "gpt").otherwise(role)
-    payload = (
-        F.when(kind == 0, F.to_json(F.struct(F.array(F.struct(role.alias("role"), text.alias("content"))).alias("messages"))))
-        .when(kind == 1, F.to_json(F.struct(F.array(F.struct(sender.alias("from"), text.alias("value"))).alias("conversations"))))
-        .when((kind == 2) & (role == "user"), F.to_json(F.struct(text.alias("prompt"))))
-        .when((kind == 2) & (role == "assistant"), F.to_json(F.struct(text.alias("completion"))))
-        .when((kind == 2) & (role == "system"), F.to_json(F.struct(text.alias("system"))))
-        .otherwise(F.to_json(F.struct(role.alias("role"), text.alias("text")))))
-    return conversations.select("conv_id", F.col("turn").alias("place"), payload.alias("payload"))
+    """Rows of ``conversations`` as JSON records (conv_id, place, payload): stand-in input of mixed layouts.
+
+    Turns 2k and 2k + 1 of a conversation share a record where its layout has
+    a place for both; turns whose number repeats, and roles that the layout
+    lacks, are records of their own.
+    """
+    rows = conversations.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    numbers = rows.groupBy("conv_id", "turn").agg(F.count("*").alias("n"), F.min(F.struct("turn", "role", "text")).alias("x"))
+    pair = F.sort_array(F.collect_list("x"))                  # two turns at most
+    single = numbers.where("n = 1").groupBy("conv_id", F.shiftright("turn", 1).alias("k")).agg(pair.alias("turns"))
+    repeated = numbers.where("n > 1").select(F.col("conv_id").alias("_c"), F.col("turn").alias("_t"))
+    again = rows.join(repeated, F.col("conv_id").eqNullSafe(F.col("_c")) & F.col("turn").eqNullSafe(F.col("_t")), "left_semi")
+    again = again.select("conv_id", F.array(F.struct("turn", "role", "text")).alias("turns"))
+    packed = single.select("conv_id", "turns").unionByName(again)
+
+    kind = F.pmod(F.coalesce("conv_id", F.lit(3)), F.lit(8))
+    usual = F.forall("turns", lambda t: t["role"].isin("system", "user", "assistant"))
+    roles = F.array_join(F.transform("turns", lambda t: t["role"]), ">")
+    sender = lambda t: F.when(t["role"] == "user", "human").when(t["role"] == "assistant", "gpt").otherwise(t["role"])
+    first, second = F.get("turns", F.lit(0))["text"], F.get("turns", F.lit(1))["text"]
+    fields = [("user", ("prompt",)), ("assistant", ("completion",)), ("system", ("system",)), ("user>user", ("instruction", "input")),
+              ("system>user", ("system", "instruction")), ("system>assistant", ("system", "output"))]
+    both = ("instruction", "output"), ("prompt", "completion")
+    whole = (F.when(usual & kind.isin(0, 4), F.to_json(F.struct(F.transform("turns", lambda t: F.struct(
+                t["role"].alias("role"), t["text"].alias("content"))).alias("messages"))))
+             .when(usual & kind.isin(1, 5), F.to_json(F.struct(F.transform("turns", lambda t: F.struct(
+                sender(t).alias("from"), t["text"].alias("value"))).alias("conversations")))))
+    for have, names in [*fields, *[("user>assistant", b) for b in both]]:
+        record = F.to_json(F.struct(*[x.alias(n) for x, n in zip((first, second), names)]))
+        whole = whole.when((roles == have) & (kind == 2 if names == both[0] else kind == 6 if names == both[1] else kind.isin(2, 6)), record)
+    turn = lambda t: F.struct(t["turn"].alias("place"), F.to_json(F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("payload"))
+    place = F.get("turns", F.lit(0))["turn"].alias("place")
+    found = packed.withColumn("_whole", whole)
+    out = F.when(F.col("_whole").isNotNull(), F.array(F.struct(place, F.col("_whole").alias("payload")))).otherwise(F.transform("turns", turn))
+    return found.select("conv_id", F.inline(out))
 
 
 def op8_chat_formatting(spark, sf_dir):

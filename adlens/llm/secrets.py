@@ -28,7 +28,7 @@ from itertools import product
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, written
+from .common import let, running_sums, written
 
 #: Candidate keys (16 bytes each) up to this number are broadcast; more are joined by shuffling.
 BROADCAST_KEYS = 500_000
@@ -157,14 +157,15 @@ def _spans(text: Column, rule: SecretRule, place: int) -> Column:
         gaps = F.split(text, rule.regex, -1)
 
         def placed(gap: Column) -> Column:
-            step = lambda acc, i: F.struct(
-                (acc["at"] + F.char_length(F.get(gap, i)) + F.char_length(F.get(m, i))).alias("at"),
-                F.concat(acc["out"], F.array(F.struct(
-                    (acc["at"] + F.char_length(F.get(gap, i))).alias("start"), F.lit(place).alias("place"),
-                    F.lit(rule.kind).alias("kind"),
-                    (acc["at"] + F.char_length(F.get(gap, i)) + F.char_length(F.get(m, i))).alias("end")))).alias("out"))
-            return F.aggregate(F.sequence(F.lit(0), F.size(m) - 1),
-                               F.struct(F.lit(0).alias("at"), _no_spans().alias("out")), step, lambda acc: acc["out"])
+            there = F.transform(m, lambda x, i: F.struct(F.char_length(F.get(gap, i)).alias("gap"), F.char_length(x).alias("own")))
+
+            def spans(sizes: Column) -> Column:
+                before = running_sums(F.transform(sizes, lambda x: (x["gap"] + x["own"]).cast("long")))
+                return let(before, lambda at: F.transform(sizes, lambda x, i: F.struct(
+                    (F.get(at, i) + x["gap"]).cast("int").alias("start"), F.lit(place).alias("place"), F.lit(rule.kind).alias("kind"),
+                    (F.get(at, i) + x["gap"] + x["own"]).cast("int").alias("end"))))
+
+            return let(there, spans)
 
         found = let(gaps, placed)
         if rule.min_length:
