@@ -6,15 +6,18 @@ automata of all its terms at once: one state is the set of (trie node, errors)
 pairs that a word's letters can have reached, so a word is read once whatever
 the lexicon's size, and most words reach the dead state in a few letters.
 Terms of 4 and 5 letters, to which the automaton allows no edit, are looked up
-with one edit in a table of their blurred spellings, where a word that clean
-labelled texts use as well ("lose", "moon") is no misspelling.  Underscores around
-words are markup; a word with some inside is read whole and in its parts.
+with one edit in a table of their blurred spellings.  A word that clean labelled
+texts use as well ("lose", "moon"), or one of a short fixed list of common words
+("reward", "closer"), is no misspelling of any term.  Underscores around words
+are markup; a word with some inside is read whole and in its parts.
 
 Each hit is judged in a window of words around it: within quotation marks, or
 misspelled beside a verb of saying, it counts as quotation; an exact one beside
 a verb of saying counts as a hit and as reported, for which labels set a weight;
-others count as abuse beside a second person and strengthen each other when
-close together.  A logistic model over these few counts gives the score.
+others, misspelled ones too, count as abuse beside a second person and
+strengthen each other when close together.  A logistic model over these few
+counts gives the score.  What a misspelled hit weighs is learned as well: each
+toxic training text is learned from a second time with one edit in every hit.
 
 Learning uses at most ``train_rows`` labelled rows, chosen by a hash of their
 id: stems are counted by grouped aggregation on that sample, and a greedy
@@ -50,6 +53,10 @@ TERMS = ("idiot", "moron$", "morons$", "scum$", "stupid", "pathetic$", "worthles
 SAYING = frozenset("said says wrote called quoted quote quoting reported term word sagte schrieb zitat nannte "
                    "dit écrit appelé cite citation dijo escribió llamó cita".split())
 ADDRESS = frozenset("you your yours youre du dich dein ihr euch tu te toi vous votre tú usted ustedes".split())
+#: Common words one or two edits from a fixed term.
+COMMON = frozenset("reward rewards rewarded regard regards regarded apathetic empathetic discussing digesting distrusting mormon mormons moran "
+                   "morn boron closer closers loose looser lower laser lover lovers loner loners poser user loser's idiom idioms scam "
+                   "scams sum slum scrum scud scuba stupor custard mustard bastion".split())
 #: Largest labelled sample, most learned terms, covers of a toxic text, letters of a stem.
 TRAIN_ROWS, MAX_TERMS, COVERS, STEM = 20_000, 300, 4, (4, 8)
 #: Words on either side of a hit that make its context; hits this close support each other.
@@ -59,8 +66,11 @@ SHORT_WORD, SHORT_STEM = 4, 5
 #: Clean training texts from which a word near a short term is a word of its own.
 ORDINARY = 2
 #: Weights before any label is seen, and how strongly they are held.
-PRIOR = (-4.0, 2.5, 0.5, 0.2, 1.0, 0.5, -1.0)
+PRIOR = (-4.0, 2.5, 2.0, 0.2, 1.0, 0.5, -1.0)
 HOLD = 0.5
+#: What an edited copy of a toxic training text counts beside the text itself, and look-alikes of letters.
+EDITED = 0.5
+LOOKALIKES = dict(zip("aeiostbg", "43105+86"))
 
 #: Counts of a text.
 COUNTS = 6
@@ -206,7 +216,9 @@ class Lexicon:
     def errors(self, word: str) -> int:
         """As the automaton's; 1 for a word that is near a short term."""
         got = self.automaton.errors(word)
-        if got > 1 and word not in self.ordinary and self.short.near(word):
+        if got and word in self.ordinary:
+            got = 9
+        elif got > 1 and self.short.near(word):
             got = 1
         if got and "_" in word:
             got = min(got, *(self.errors(x) for x in word.split("_") if x))
@@ -236,19 +248,44 @@ def context_counts(text: str, lexicon: Lexicon | LexiconAutomaton) -> tuple[floa
         said = bool(around & SAYING)
         if inside or (said and e):
             quoted += 1
-        elif e:
-            fuzzy += 1.0 / e
         else:
-            exact += 1
-            if said:
-                reported += 1
-                continue
+            if e:
+                fuzzy += 1.0 / e
+            else:
+                exact += 1
+                if said:
+                    reported += 1
+                    continue
             addressed += bool(around & ADDRESS)
             close += i - last <= CLOSE
             last = i
     return exact, fuzzy, quoted, close, addressed, reported
 
 
+def misspelled(word: str, turn: int) -> str:
+    """``word`` with one edit near its beginning: a look-alike, a letter dropped, doubled or put in, as ``turn`` says."""
+    at = 1 + turn // 4 % max(1, min(len(word) - 1, 4))
+    kind = turn % 4
+    if kind == 0:
+        return word[:at] + LOOKALIKES.get(word[at:at + 1], "*" if turn % 8 < 4 else "x") + word[at + 1:]
+    if kind == 1:
+        return word[:at] + word[at + 1:]
+    return word[:at] + (word[at - 1] if kind == 2 else "x") + word[at:]
+
+
+def misspelled_text(text: str, lexicon: Lexicon) -> str:
+    """``text`` in lower case with one edit in every exact hit; the kind of edit follows from the word's place."""
+    low, turn = text.lower(), 0
+
+    def edit(m: re.Match) -> str:
+        nonlocal turn
+        if lexicon.errors(m.group()):
+            return m.group()
+        turn += 1
+        return misspelled(m.group().strip("_"), 5 * turn + len(low))
+    return _WORD.sub(edit, low)
+
+
 def _features(counts: np.ndarray) -> np.ndarray:
     return np.concatenate([np.ones((len(counts), 1)), np.log1p(counts)], axis=1)
 
@@ -358,20 +395,19 @@ def learned_terms(rows: DataFrame, max_terms: int = MAX_TERMS) -> list[str]:
 
 def _count_near(terms: tuple[str, ...]):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = Lexicon(terms)
+        lexicon = Lexicon(terms, COMMON)
         for batch in batches:
             found: Counter = Counter()
             for text in _texts(batch, "text"):
                 words = set(_WORD.findall(text.lower()))
-                found.update(w for w in words.union(*(w.split("_") for w in words if "_" in w))
-                             if lexicon.automaton.errors(w) > 1 and lexicon.short.near(w))
+                found.update(w for w in words.union(*(w.split("_") for w in words if "_" in w)) if 0 < lexicon.errors(w) < 9)
             yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())],
                                              names=["word", "n"])
     return count
 
 
 def ordinary_words(rows: DataFrame, terms: tuple[str, ...]) -> tuple[str, ...]:
-    """Words near a short term that clean training texts use too: in ORDINARY of them or more, and at least
+    """Words near a term that clean training texts use too: in ORDINARY of them or more, and at least
     half as often as toxic ones."""
     sizes = {x["toxic"]: x["count"] for x in rows.groupBy("toxic").count().collect()}
     n1, n0 = sizes.get(1, 0), sum(sizes.values()) - sizes.get(1, 0)
@@ -384,11 +420,12 @@ def ordinary_words(rows: DataFrame, terms: tuple[str, ...]) -> tuple[str, ...]:
     return tuple(sorted(w for w, n in clean.items() if n >= ORDINARY and 2 * n * n1 >= toxic.get(w, 0) * n0))
 
 
-def _count_contexts(terms: tuple[str, ...], ordinary: tuple[str, ...], passed: tuple[str, ...]):
+def _count_contexts(terms: tuple[str, ...], ordinary: tuple[str, ...], passed: tuple[str, ...], edited: bool = False):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = Lexicon(terms, ordinary)
+        lexicon = Lexicon(terms, (*ordinary, *COMMON))
         for batch in batches:
-            counts = np.array([context_counts(t, lexicon) for t in _texts(batch, "text")], float).reshape(-1, COUNTS)
+            texts = [misspelled_text(t, lexicon) if edited else t for t in _texts(batch, "text")]
+            counts = np.array([context_counts(t, lexicon) for t in texts], float).reshape(-1, COUNTS)
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in passed], *[pa.array(counts[:, k]) for k in range(COUNTS)]],
                                              names=[*passed, *[f"c{k}" for k in range(COUNTS)]])
     return count
@@ -399,18 +436,21 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Tox
     rows = training_rows(docs, labels, train_rows)
     terms = tuple(dict.fromkeys([*TERMS, *learned_terms(rows)]))
     ordinary = ordinary_words(rows, terms)
-    counted = rows.select("text", "toxic").mapInArrow(
-        _count_contexts(terms, ordinary, ("toxic",)), "toxic int, " + ", ".join(f"c{k} double" for k in range(COUNTS)))
-    got = counted.toPandas()                                                 # at most train_rows short rows
+    kinds = "toxic int, " + ", ".join(f"c{k} double" for k in range(COUNTS))
+    got = rows.select("text", "toxic").mapInArrow(_count_contexts(terms, ordinary, ("toxic",)), kinds).toPandas()     # at most train_rows short rows
     if not len(got):
         return ToxicityModel(terms, ordinary=ordinary)
-    x, y = _features(got[[f"c{k}" for k in range(COUNTS)]].to_numpy()), (got["toxic"] == 1).to_numpy(float)
+    again = rows.where("toxic = 1").select("text", "toxic").mapInArrow(_count_contexts(terms, ordinary, ("toxic",), True), kinds).toPandas()
+    again = again[again[[f"c{k}" for k in range(1, COUNTS)]].to_numpy().any(axis=1)]      # those that had a hit to edit
+    weight = np.concatenate([np.ones(len(got)), np.full(len(again), EDITED)])
+    counts = np.concatenate([f[[f"c{k}" for k in range(COUNTS)]].to_numpy() for f in (got, again)])
+    x, y = _features(counts), np.concatenate([(f["toxic"] == 1).to_numpy(float) for f in (got, again)])
     prior = np.array(PRIOR)
     w = prior.copy()
     for _ in range(50):                                                      # Newton steps to the penalised optimum
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (y - p) - HOLD * (w - prior)
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + HOLD * np.eye(len(w)), slope)
+        slope = x.T @ (weight * (y - p)) - HOLD * (w - prior)
+        step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + HOLD * np.eye(len(w)), slope)
         w += np.clip(step, -2, 2)
         if np.abs(step).max() < 1e-9:
             break
@@ -423,7 +463,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text"
     schema = T.StructType([*docs.schema.fields, T.StructField(score, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lexicon = Lexicon(model.terms, model.ordinary)
+        lexicon = Lexicon(model.terms, (*model.ordinary, *COMMON))
         for batch in batches:
             counts = np.array([context_counts(t, lexicon) for t in _texts(batch, text_col)], float).reshape(-1, COUNTS)
             yield batch.append_column(score, pa.array(model.scores(counts)))

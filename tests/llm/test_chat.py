@@ -73,3 +73,34 @@ def test_read_back_equals_the_rows(spark):
            for r in C.read_back(C.formatted(C.canonical_turns(chat_records(frame)))).collect()}
     assert got == brute(rows)
     assert C.read_back(C.formatted(C.canonical_turns(chat_records(frame.limit(0))))).count() == 0
+
+
+def test_broken_and_crafted_records(spark):
+    deep = "[" * 100_000 + "]" * 100_000
+    nested = '{"a":' * 3000 + "1" + "}" * 3000
+    records = [(1, 0, '{"role":"user","text":"cut \\ud83d"}'), (2, 0, '{"role":"us\\udc00er","text":"\\ud83d\\ude00 fine"}'),
+               (3, 0, '{"a":' + deep + "}"), (4, 0, nested), (5, 0, '{"messages[].role":"user","messages[].content":"x"}'),
+               (6, 0, '{"":{"role":"user"},"text":"t"}'), (7, 0, '{"messages":{"role":"user","content":"x"}}'), (8, 0, '{"ro\\\\.le":1,"text":"t"}'),
+               (9, 0, '{"messages":[{"role":{},"content":[]},{"content":7,"role":"assistant"}]}'), (10, 0, '{"\\ud800":1}'), (11, 0, "1" * 6000),
+               (12, 0, '{"role":"user","text":"x","text":"last"}'), (13, 0, '{"messages":[{"role":"user"},{"content":"y"}]}')]
+    turns = C.canonical_turns(spark.createDataFrame(records, "conv_id long, place long, payload string")).collect()
+    got = {}
+    for r in turns:
+        got.setdefault(r["conv_id"], []).append((r["layout"], r["role"], r["text"]))
+    assert got[1] == [("turn", "user", "cut �")] and got[2] == [("turn", "us�er", "\U0001f600 fine")]
+    assert all(got[k] == [(None, None, None)] for k in (3, 4, 5, 6, 7, 8, 10, 11))
+    assert got[9] == [("messages", "", "[]"), ("messages", "assistant", "7")] and got[12] == [("turn", "user", "last")]
+    assert got[13] == [("messages", "user", ""), ("messages", "", "y")]
+
+
+def test_several_turns_share_a_record_in_every_layout(spark):
+    usual = ["system", "user", "assistant", "user", "user", "assistant", "assistant", "system", "assistant", "user", "system", "user"]
+    rows = [(c, t, role, f"{c} {t}") for c in range(16) for t, role in enumerate(usual)]
+    rows += [(3, 2, "user", "again"), (4, 2, "user", "again"), (4, None, "user", "no turn"), (None, 0, "user", "u"), (None, 1, "assistant", None)]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    turns = C.canonical_turns(chat_records(frame)).collect()
+    assert len(turns) == len(rows) and all(r["layout"] for r in turns)
+    packed = {r["layout"] for r in turns if r["sub"] == 1}
+    assert packed == {"messages", "from_value", "prompt_completion", "instruction"} and {r["layout"] for r in turns} == packed | {"turn"}
+    again = sorted((r["conv_id"] is None, r["conv_id"] or 0, r["place"] is None, (r["place"] or 0) + r["sub"], r["role"], r["text"]) for r in turns)
+    assert again == sorted((c is None, c or 0, t is None, t or 0, role, text or "") for c, t, role, text in rows)

@@ -60,3 +60,24 @@ def test_messy_and_empty(messy):
     rows = S.scan_secrets(messy).collect()
     assert len(rows) == messy.count() and all(r["spans"] is not None for r in rows)
     assert S.scan_secrets(messy.limit(0)).count() == 0
+
+
+def test_very_many_matches_in_one_text(spark):
+    """Start and end of each of 200,000 matches, in time that does not grow with their square."""
+    import time
+    from adlens.llm import secrets as S
+    n = 200_000
+    text = " ".join(f"é AKIA{i:016d}" for i in range(n))
+    df = spark.createDataFrame([(1, text), (2, "AKIA" + "A" * 16)], "doc_id long, text string")
+    began = time.perf_counter()
+    got = {r["doc_id"]: r["spans"] for r in S.scan_secrets(df, tuple(r for r in S.BASE_RULES if r.kind == "access")).collect()}
+    assert time.perf_counter() - began < 60
+    assert [(s["start"], s["end"]) for s in got[1]] == [(23 * i + 2, 23 * i + 22) for i in range(n)] and len(got[2]) == 1
+
+
+def test_running_sums(spark):
+    from pyspark.sql import functions as F
+    from adlens.llm.common import running_sums
+    rows = [([],), ([5],), (list(range(16)),), (list(range(17)),), ([(7 * i) % 13 - 5 for i in range(1000)],), ([2 ** 40] * 50,)]
+    for x, sums in spark.createDataFrame(rows, "x array<long>").select("x", running_sums(F.col("x"))).collect():
+        assert sums == [sum(x[:i]) for i in range(len(x))]

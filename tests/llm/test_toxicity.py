@@ -166,3 +166,91 @@ def test_labels_set_the_weight_of_reported_hits(spark):
     docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
     model = X.fit(docs, spark.createDataFrame([r[::2] for r in rows], "doc_id long, toxic int"))
     assert model.weights[6] < X.PRIOR[6]
+
+
+@pytest.fixture(scope="module")
+def given(spark):
+    """A model of the given small tables."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    return X.fit(docs.select("doc_id", "text"), labels)
+
+
+def score_of(model, text):
+    return float(model.scores(X.np.array([X.context_counts(text, X.Lexicon(model.terms, (*model.ordinary, *X.COMMON)))]))[0])
+
+
+def test_misspelled_abuse_is_caught(given):
+    """Second-person texts with one-edit misspellings of every term."""
+    frames = ("you {} and you {}, you {}", "well you {} you {} {}", "your {} {} friend, you are a {}")
+    planted = [frames[k % 3].format(*(X.misspelled(t.rstrip("$"), 7 * k + j) for j in range(3))) for t in given.terms for k in range(12)]
+    assert sum(score_of(given, t) >= 0.5 for t in planted) >= 0.9 * len(planted)
+    assert score_of(given, "You stup1d idi0t, you m0ron, you worthles pathet1c l0ser, you disgustinq scvm.") > 0.9
+
+
+@pytest.mark.parametrize("text", ["your reward and you with regard to it", "you apathetic crowd, you are discussing it", "your idiom, your scam, you moran",
+                                  "a mormon came closer to you", "he said \"idi0t\" and \"m0ron\" to nobody", "the report called them stup1d and pathet1c"])
+def test_common_words_and_quoted_misspellings_are_left_alone(given, text):
+    assert score_of(given, text) < 0.2
+
+
+def test_misspelled_held_out_texts(spark):
+    """Held-out toxic texts with one edit in each hit, against the same texts as they are."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    model = X.fit(docs.select("doc_id", "text"), labels)
+    lexicon = X.Lexicon(model.terms, (*model.ordinary, *X.COMMON))
+    held = docs.join(labels.where("toxic IS NOT NULL"), "doc_id").where("crc32(cast(doc_id AS string)) % 5 = 0").select("text", "toxic").collect()
+    toxic = [r["text"] or "" for r in held if r["toxic"] == 1]
+    caught = [t for t in toxic if score_of(model, t) >= 0.5]
+    again = [t for t in caught if score_of(model, X.misspelled_text(t, lexicon)) >= 0.5]
+    assert len(caught) >= 0.9 * len(toxic) and len(again) >= 0.9 * len(caught)
+    clean = [r["text"] or "" for r in held if r["toxic"] == 0]
+    assert sum(score_of(model, t) < 0.5 for t in clean) >= 0.98 * len(clean)
+
+
+def plain_counts(text, terms, ordinary):
+    """Counts of a text with edit distances by the table, word by word."""
+    import re
+    low = text.lower()
+    words = [(m.group(), m.start()) for m in re.finditer(r"[^\W_]+(?:_+[^\W_]+)*", low)]
+
+    def errors(word):
+        near = [edits_to_beginning(t, word + "$") for t in terms]
+        got = min((e for t, e in zip(terms, near) if e <= X.errors_allowed(t)), default=9)
+        if got and word in ordinary:
+            return 9
+        return 1 if got > 1 and X.ShortTerms(terms).near(word) else got
+
+    out, last = [0.0] * 6, -10 ** 9
+    for i, (w, at) in enumerate(words):
+        if (e := errors(w)) == 9:
+            continue
+        around = {x for x, _ in words[max(0, i - 6):i + 7]}
+        before, after = [m.start() for m in re.finditer('["“”„«»]', low[:at])], re.search('["“”„«»]', low[at:])
+        inside = len(before) % 2 == 1 and at - before[-1] < 400 and after is not None and after.start() < 400
+        said = bool(around & X.SAYING)
+        if inside or (said and e):
+            out[2] += 1
+            continue
+        out[1 if e else 0] += 1 / e if e else 1
+        if said:
+            out[5] += 1
+            continue
+        out[4] += bool(around & X.ADDRESS)
+        out[3] += i - last <= 25
+        last = i
+    return tuple(out)
+
+
+def test_counts_equal_plain_counting():
+    r = random.Random(6)
+    terms, ordinary = ["grumvok", "blatherskite", "snark$", "zorb$", "idiot"], ("snarl",)
+    lexicon = X.Lexicon(terms, ordinary)
+    words = [*terms, "you", "said", "the", "snarl", "\"", "«", "fine", "day", "grumvoks", "x" * 500]
+    for _ in range(400):
+        text = " ".join(X.misspelled(w.rstrip("$"), r.randrange(40)) if w in terms and r.random() < 0.5 else w.rstrip("$")
+                        for w in r.choices(words, k=r.randrange(0, 60)))
+        assert X.context_counts(text, lexicon) == plain_counts(text, terms, ordinary), text
+    w = X.np.array(X.PRIOR)
+    c = X.np.array([[1.0, 2.0, 0.0, 3.0, 1.0, 0.0]])
+    want = 1 / (1 + X.np.exp(-(w[0] + sum(w[k + 1] * X.np.log1p(c[0][k]) for k in range(6)))))
+    assert abs(X.ToxicityModel().scores(c)[0] - want) < 1e-12
