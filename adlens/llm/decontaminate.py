@@ -7,12 +7,16 @@ every occurrence has an exact piece hit.  The hits, found for all pieces at
 once with one automaton, give windows of the document, and Myers' algorithm
 verifies each window.
 
-The items are the query set and are taken in blocks of bounded size
-(``BLOCK_CHARS``); each block makes one pass over the documents, without a
-shuffle.  Texts are read whole, and all hits are verified.
+The items are the query set, a table that is read in blocks of bounded size
+(``BLOCK_CHARS``): the driver and the tasks hold one block at a time.  One
+block makes one pass over the documents, without a shuffle.  With more of
+them each block is a pass of its own, whose hits (a text's digest, item and
+edits) are written before the next block is read, and the documents join all
+hits by digest at the end.  Texts are read whole, and all hits are verified.
 
-Items shorter than ``MIN_CHARS`` forgive no edit and have to stand between word
-boundaries, so that they are not found inside other words.
+The budget is one edit for ``CHARS_PER_EDIT`` characters.  Items shorter than
+``MIN_CHARS`` have to stand between word boundaries, so that they are not
+found inside other words; their edits are counted against whole words.
 
 Defined results: null and empty texts contain nothing; null or blank items are
 in no document; items whose texts
@@ -24,6 +28,7 @@ is replaced.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import ahocorasick
 import pyarrow as pa
@@ -31,9 +36,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import written
+
 #: One edit is allowed for so many characters of an item; its pieces are then about as long.
 CHARS_PER_EDIT = 16
-#: Shorter items would be found by chance within edits: they are sought as they are, as whole words.
+#: Shorter items would be found by chance inside other words: they are sought as whole words.
 MIN_CHARS = 32
 #: Characters of items that one block may hold: the bound of what is sent to every task.
 BLOCK_CHARS = 4_000_000
@@ -44,7 +51,7 @@ def normalised(text: str | None) -> str:
 
 
 def error_budget(item: str) -> int:
-    return len(item) // CHARS_PER_EDIT if len(item) >= MIN_CHARS else 0
+    return len(item) // CHARS_PER_EDIT
 
 
 def stands_alone(text: str, start: int, stop: int) -> bool:
@@ -82,6 +89,32 @@ def myers_search(item: str, text: str, most: int) -> int:
     return best
 
 
+def edits_of_words(item: str, text: str, start: int, stop: int, most: int) -> int:
+    """Fewest edits between ``item`` and a run of whole words of ``text`` in ``start`` to ``stop``; ``most`` + 1 if more.
+
+    A word is cut where a letter or digit meets something else, as in ``stands_alone``.
+    """
+    best = most + 1
+    for a in range(start, stop):
+        for b in range(max(a + 1, a + len(item) - most), min(stop, a + len(item) + most) + 1):
+            if stands_alone(text, a, b):
+                best = min(best, whole_distance(item, text[a:b], most))
+    return best
+
+
+def whole_distance(a: str, b: str, most: int) -> int:
+    """Edits between two short strings, ``most`` + 1 if more, by a table of bands."""
+    row = list(range(len(b) + 1))
+    for i, c in enumerate(a, 1):
+        new = [i]
+        for j, d in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (c != d)))
+        if min(new) > most:
+            return most + 1
+        row = new
+    return min(row[-1], most + 1)
+
+
 class ItemFinder:
     """Finds the items of one block in texts."""
 
@@ -107,8 +140,8 @@ class ItemFinder:
         for end, (size, where) in self.automaton.iter(text):
             for k, offset in where:
                 number, item = self.items[k]
-                if len(item) < MIN_CHARS:
-                    if number not in found and stands_alone(text, end + 1 - size, end + 1):
+                if not error_budget(item):                    # the one piece is the item
+                    if stands_alone(text, end + 1 - size, end + 1):
                         found[number] = 0
                     continue
                 budget, start = error_budget(item), end + 1 - size - offset
@@ -126,7 +159,10 @@ class ItemFinder:
             best = budget + 1
             for a, b in merged:
                 part = text[a:b]
-                best = min(best, 0 if item in part else myers_search(item, part, budget))
+                near = 0 if item in part else myers_search(item, part, budget)
+                if near <= budget and len(item) < MIN_CHARS:
+                    near = edits_of_words(item, text, a, min(b, len(text)), budget)
+                best = min(best, near)
             if best <= budget:
                 found[number] = min(best, found.get(number, best))
         return found
@@ -137,7 +173,7 @@ def item_blocks(items: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[li
 
     ``items`` has item_id and text.  Blocks reach the driver one at a time.
     """
-    rows = items.where("item_id is not null").select("item_id", "text")
+    rows = written(items.where("item_id is not null").select("item_id", "text"))
     block, size = [], 0
     for row in rows.toLocalIterator():
         text = normalised(row["text"])
@@ -152,23 +188,41 @@ def item_blocks(items: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[li
         yield block
 
 
+_HITS = pa.list_(pa.struct([("item_id", pa.int64()), ("edits", pa.int64())]))
+_FOUND = T.ArrayType(T.StructType([T.StructField("item_id", T.LongType()), T.StructField("edits", T.LongType())]))
+
+
 def _find_in(batches: Iterator[pa.RecordBatch], block: list, text_col: str, hits: str) -> Iterator[pa.RecordBatch]:
     finder = ItemFinder(block)
-    kind = pa.list_(pa.struct([("item_id", pa.int64()), ("edits", pa.int64())]))
     for batch in batches:
         found = [[{"item_id": k, "edits": e} for k, e in sorted(finder.find(t).items())]
                  for t in batch.column(text_col).to_pylist()]
-        yield batch.append_column(hits, pa.array(found, kind))
+        yield batch.append_column(hits, pa.array(found, _HITS))
+
+
+def _with_hits(docs: DataFrame, block: list, text_col: str, hits: str) -> DataFrame:
+    schema = T.StructType([*docs.schema.fields, T.StructField(hits, _FOUND)])
+    return docs.mapInArrow(lambda batches: _find_in(batches, block, text_col, hits), schema)
 
 
 def find_items(docs: DataFrame, items: DataFrame, text_col: str = "text", hits: str = "benchmark_hits",
                block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``docs`` with ``hits``: array of (item_id, edits) of the test items that each text contains."""
-    found = T.ArrayType(T.StructType([T.StructField("item_id", T.LongType()), T.StructField("edits", T.LongType())]))
-    out = docs.drop(hits).withColumn(hits, F.array().cast(found))
-    for block in item_blocks(items, block_chars):
-        part = "_block_hits"
-        schema = T.StructType([*out.schema.fields, T.StructField(part, found)])
-        out = out.mapInArrow(lambda batches, block=block: _find_in(batches, block, text_col, part), schema)
-        out = out.withColumn(hits, F.sort_array(F.concat(hits, part))).drop(part)
-    return out
+    docs = docs.drop(hits)
+    blocks = item_blocks(items, block_chars)
+    first, second = next(blocks, []), next(blocks, None)
+    if second is None:
+        found = _with_hits(docs, first, text_col, hits)
+        return found.withColumn(hits, F.array_sort(hits))
+    digest = F.md5(F.coalesce(F.col(text_col), F.lit("")))
+    texts = docs.select(digest.alias("digest"), F.col(text_col).alias("text"))
+    parts = []
+    for block in (first, second, *blocks):                   # the generator reads a block when the one before is done
+        part = _with_hits(texts, block, "text", "found").where(F.size("found") > 0).select("digest", F.inline("found"))
+        parts.append(written(part.distinct()))
+    everything = reduce(DataFrame.union, parts).groupBy("digest").agg(F.array_sort(F.collect_set(F.struct("item_id", "edits"))).alias("found"))
+    everything = everything.select(F.col("digest").alias("_of"), F.col("found").alias("_found"))
+    away = {c: f"c{i}" for i, c in enumerate(docs.columns)}                            # so that no name of ours clashes
+    own = docs.toDF(*away.values())
+    joined = own.withColumn("_own", F.md5(F.coalesce(F.col(away[text_col]), F.lit("")))).join(everything, F.col("_own") == F.col("_of"), "left")
+    return joined.select(*[F.col(a).alias(c) for c, a in away.items()], F.coalesce("_found", F.array().cast(_FOUND)).alias(hits))

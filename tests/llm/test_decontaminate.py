@@ -86,3 +86,23 @@ def test_short_items_are_found_as_whole_words(spark):
     docs = spark.createDataFrame([t[:2] for t in texts], "doc_id long, text string")
     got = {r["doc_id"]: [(h["item_id"], h["edits"]) for h in r["benchmark_hits"]] for r in D.find_items(docs, items).collect()}
     assert got == {k: [(n, 0) for n in want] for k, _, want in texts}
+
+
+def test_short_items_forgive_an_edit_between_words(spark):
+    items = spark.createDataFrame([(1, "name the seven wonders"), (2, "what is 2 + 2?"), (3, "who wrote hamlet then?")], "item_id long, text string")
+    texts = [(0, "so: name the sevem wonders, please", [(1, 1)]), (1, "name the seven wonders", [(1, 0)]), (2, "rename the seven wonders", [(1, 2)][:0]),
+             (3, "name the sevn wonderss", []), (4, "what is 2 + 3?", []), (5, "Who wrote Hamlet, then?", [(3, 1)]), (6, "name the seven wonder", [(1, 1)]),
+             (7, "names the seven wonders", [(1, 1)])]
+    docs = spark.createDataFrame([t[:2] for t in texts], "doc_id long, text string")
+    got = {r["doc_id"]: [(h["item_id"], h["edits"]) for h in r["benchmark_hits"]] for r in D.find_items(docs, items).collect()}
+    assert got == {k: want for k, _, want in texts}
+
+
+def test_blocks_are_passes_of_their_own_and_names_do_not_clash(spark, messy):
+    items = spark.createDataFrame([(k, f"item number {k} of the block {'x' * 40}") for k in range(12)] + [(20, "one two three four five six seven")],
+                                  "item_id long, text string")
+    docs = messy.withColumns({c: F.lit("own") for c in ("_block_hits", "_own", "_of", "_found", "c0", "found", "item_id")})
+    one = D.find_items(docs, items).orderBy("doc_id", "text").collect()
+    many = D.find_items(docs, items, block_chars=100).orderBy("doc_id", "text").collect()
+    assert one == many and len(one) == messy.count()
+    assert {r["doc_id"] for r in many if r["benchmark_hits"]} == {1, None}
