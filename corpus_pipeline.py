@@ -15,9 +15,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlens.llm.common import clear_of, shared_folder, table
+from adlens.llm.common import clear_of, shared_folder, table, written
 from adlens.llm.decontaminate import find_items
-from adlens.llm.mixing import ADDED, cells_of, mixed, tempered, with_cells
+from adlens.llm.mixing import ADDED, cells_of, fit_topics, mixed, tempered, with_cells
 from adlens.llm.near_dedup import keep_one_of_each
 from adlens.llm.sharding import shard_documents
 from adlens.llm.toxicity import fit, score_toxicity
@@ -48,14 +48,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7: documents that contain a benchmark item within its error budget go."""
-    docs, back = clear_of(docs, ["_hits", "_block_hits"])
+    docs, back = clear_of(docs, ["_hits"])
     return back(find_items(docs, table(spark, sf_dir, "benchmark"), hits="_hits").where(F.size("_hits") == 0))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2: documents sampled so that sources, languages and topics meet their target token shares."""
     docs, back = clear_of(docs, ADDED)
-    celled = with_cells(docs)
+    celled = written(with_cells(docs, topics=fit_topics(docs)))            # the texts are tokenised once
     cells = cells_of(celled)
     return back(mixed(celled, cells, tempered(cells, MIX_POWERS, MIX_UPLIFT), most=MIX_MOST).where("_kept"))
 
