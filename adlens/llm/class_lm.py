@@ -43,6 +43,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,8 +57,8 @@ FORMS = KINDS * (len(LENGTHS) + 1)
 END, ALL = CLASSES + FORMS, CLASSES + FORMS + 1
 #: Rounds of the exchange, parts of the words that may move one after the other, weight of the prior.
 ROUNDS, PARTS, PRIOR = 3, 2, 8.0
-#: Words that a task counts before it hands them on; bytes of a text split at once; words compared at once.
-HELD, PIECE, AT_ONCE = 500_000, 1 << 20, 128
+#: Words and pairs that a task counts before it hands them on; bytes of texts coded, and of one split, at once; words compared at once.
+HELD, PAIRS, PART, PIECE, AT_ONCE = 300_000, 1_500_000, 4 << 20, 1 << 20, 128
 
 
 def pieces_of(text: bytes) -> Iterator[list[bytes]]:
@@ -71,6 +72,18 @@ def pieces_of(text: bytes) -> Iterator[list[bytes]]:
         start = end
 
 
+def parts_of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch's rows in parts of about ``PART`` bytes of text."""
+    sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False)
+    start = size = 0
+    for i, n in enumerate(sizes):
+        if size and size + n > PART:
+            yield batch.slice(start, i - start)
+            start, size = i, 0
+        size += n
+    yield batch.slice(start)
+
+
 def form_of(word: bytes) -> int:
     """The class of forms of a word, from 0 to FORMS - 1."""
     last = word[-1]
@@ -90,12 +103,13 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], names=["word", "n"])
 
     for batch in batches:
-        for text in texts_as_bytes(batch):
-            for words in pieces_of(text):
-                held.update(words)
-            if len(held) > HELD:
-                yield out(held)
-                held = Counter()
+        for part in parts_of(batch):
+            for text in texts_as_bytes(part):
+                for words in pieces_of(text):
+                    held.update(words)
+                if len(held) > HELD:
+                    yield out(held)
+                    held = Counter()
     yield out(held)
 
 
@@ -139,27 +153,32 @@ class _Codes(dict):
 
 def _code(words: dict[bytes, int], at: int):
     """Numbers of frequent words, -1 - form for the others; and the others with their counts."""
+    def coded(codes_of: _Codes, texts: list[bytes], rows: pa.RecordBatch) -> pa.RecordBatch:
+        codes, sizes, others, numbers, starts = [], [], [], [], [0]
+        for text in texts:
+            codes_of.rest, size = [], 0
+            for piece in pieces_of(text):
+                codes.append(np.fromiter(map(codes_of.__getitem__, piece), np.int32, len(piece)))
+                size += len(piece)
+            rest = Counter(codes_of.rest)
+            sizes.append(size)
+            others.extend(rest.keys())
+            numbers.extend(rest.values())
+            starts.append(len(others))
+        codes_of.rest = []
+        flat = pa.array(np.concatenate(codes) if codes else np.empty(0, np.int32), pa.int32())
+        ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+        pairs = pa.StructArray.from_arrays([pa.array(others, pa.binary()), pa.array(numbers, pa.int64())], ["word", "n"])
+        columns = [rows.column("row_no"), pa.array([n + 1 for n in sizes], pa.int64()),
+                   pa.ListArray.from_arrays(ends, flat), pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pairs)]
+        return pa.RecordBatch.from_arrays(columns + [rows.column(i) for i in range(at)], names=[
+            "row_no", "n_tokens", "codes", "others"] + rows.schema.names[:at])
+
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codes_of = _Codes(words)
         for batch in batches:
-            codes, sizes, others, numbers, starts = [], [], [], [], [0]
-            for text in texts_as_bytes(batch):
-                codes_of.rest, size = [], 0
-                for piece in pieces_of(text):
-                    codes.append(np.fromiter(map(codes_of.__getitem__, piece), np.int32, len(piece)))
-                    size += len(piece)
-                rest = Counter(codes_of.rest)
-                sizes.append(size)
-                others.extend(rest.keys())
-                numbers.extend(rest.values())
-                starts.append(len(others))
-            flat = pa.array(np.concatenate(codes) if codes else np.empty(0, np.int32), pa.int32())
-            ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
-            pairs = pa.StructArray.from_arrays([pa.array(others, pa.binary()), pa.array(numbers, pa.int64())], ["word", "n"])
-            columns = [batch.column("row_no"), pa.array([n + 1 for n in sizes], pa.int64()),
-                       pa.ListArray.from_arrays(ends, flat), pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pairs)]
-            yield pa.RecordBatch.from_arrays(columns + [batch.column(i) for i in range(at)], names=[
-                "row_no", "n_tokens", "codes", "others"] + batch.schema.names[:at])
+            for part in parts_of(batch):
+                yield coded(codes_of, texts_as_bytes(part), part)
     return task
 
 
@@ -181,7 +200,7 @@ def _pairs(n_words: int):
             whole = np.insert(flat, ends, n_words)             # an end mark before the first text and after each
             chunks.append(whole[:-1] * width + whole[1:])
             size += len(whole)
-            if size > 4 * HELD:
+            if size > PAIRS:
                 yield out(chunks)
                 chunks, size = [], 0
         if chunks:
