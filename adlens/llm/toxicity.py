@@ -72,6 +72,9 @@ HOLD = 0.5
 EDITED = 0.5
 LOOKALIKES = dict(zip("aeiostbg", "43105+86"))
 
+#: Words whose errors are remembered by a task, of each table.
+REMEMBERED = 150_000
+
 #: Counts of a text.
 COUNTS = 6
 
@@ -159,7 +162,7 @@ class LexiconAutomaton:
                     got = self.found[number]
                 if got == 0 or not self.states[number]:
                     break
-            if len(self.words) > 500_000:
+            if len(self.words) > REMEMBERED:
                 self.words.clear()
             self.words[word] = got
         return got
@@ -192,7 +195,7 @@ class ShortTerms:
         got = self.words.get(word)
         if got is None:
             got = self._sought(word + "$")
-            if len(self.words) > 500_000:
+            if len(self.words) > REMEMBERED:
                 self.words.clear()
             self.words[word] = got
         return got
