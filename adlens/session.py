@@ -68,6 +68,11 @@ def fresh_folder(spark: SparkSession, kind: str = "adlens") -> str:
     return f"{folder.rstrip('/')}/adlens-{kind}-{uuid.uuid4().hex}"
 
 
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at))
+
+
 def remove_folder(spark: SparkSession, path: str) -> bool:
     """Delete a folder on whatever file system it is; False where there was none."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -13,11 +13,10 @@ import json
 import uuid
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlens.session import remove_folder
+from adlens.session import folder_exists, remove_folder
 
 _ENTRY = "commit_no long, committed_at timestamp, key string, folder string, about string"
 
@@ -29,10 +28,8 @@ class Commits:
         self.spark, self.root = spark, root.rstrip("/")
 
     def _log(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(_ENTRY).json(f"{self.root}/commits")
-        except AnalysisException:                            # nothing is committed yet
-            return None
+        folder = f"{self.root}/commits"
+        return self.spark.read.schema(_ENTRY).json(folder) if folder_exists(self.spark, folder) else None
 
     def latest(self, key: str | None = None) -> tuple[str, dict] | None:
         """(folder, what was said about it) of the newest commit, of ``key`` if given."""
