@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from adlens.functions.ratios import count_sum, money_sum, period_ratio
 from adlens.operators.metrics import RATIO_PARTS
+from adlens.session import cut_lineage
 
 MAX_LAG, LEAST, NOISE = 28, 0.3, 3.0
 #: Changes whose squares are below so much of the values' squares are rounding, not change.
@@ -62,7 +63,7 @@ def seasonality(daily: DataFrame, max_lag: int = MAX_LAG) -> DataFrame:
 
     ``daily`` has a date and the additive sums, as ``metrics.daily_sums`` gives them.
     """
-    found = autocorrelations(daily_ratios(daily), max_lag)
+    found = autocorrelations(cut_lineage(daily_ratios(daily)), max_lag)      # a row per day, which two branches read
     long = F.col("lag") >= 2
     best = found.groupBy("metric", "days", "gaps", "changes").agg(
         F.max_by(F.struct("lag", "autocorrelation"), F.when(long, F.struct(F.col("autocorrelation"), -F.col("lag")))).alias("b"))

@@ -425,7 +425,7 @@ def creative_variations_four(spark, sf):
     own = (F.when(F.col("campaign_name").startswith("Brand#1"), F.lit(None).cast("string"))
            .when(F.col("campaign_name").startswith("Brand#2"), F.lit("story")).otherwise(F.col("creative_type")))
     changed = facts(spark, sf).withColumn("creative_type", own)
-    return _variation_rows(C.creative_pipeline(S.segment_aggregates(changed, moments=False), changed, P)["variations"])
+    return _variation_rows(W.analyze(changed, P, creatives=True, checkpoint=True).variations)
 
 
 def recommendation_summary(spark, sf):
