@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from .sharding import MUL1, MUL2, PRIME, round_keys
+#: Fixed values of the sharding query: modulus and multipliers of the round hash, and its keys for the seed 2024.
+PRIME, MUL1, MUL2 = 2147483647, 1103515245, 1664525247
+ROUND_KEYS = {2024: [702508842, 2037526063, 817038131, 710444357, 693197815, 1409023969]}
 
 #: Base32 of a 40-digit hex SHA-1 ``h``: each 5 hex digits are 4 letters.
 _BASE32 = """list_aggregate(list_transform(range(8), lambda i: list_aggregate(list_transform(range(4), lambda j:
@@ -50,7 +52,7 @@ def _feistel(shards: int, seed: int) -> str:
     """The permutation as recursive SQL: six rounds, and again while the value lies beyond n."""
     def rounds(value: str, source: str, keep: str) -> str:
         sql = f"SELECT {keep}, n, a, b, {value} // b AS x, {value} % b AS y, a AS mx, b AS my FROM {source}"
-        for key in round_keys(seed):
+        for key in ROUND_KEYS[seed]:
             first = f"SELECT *, (y * {MUL1} + {key}) % {PRIME} AS h1 FROM ({sql})"
             second = f"SELECT *, (xor(h1, h1 >> 15) * {MUL2} + {key}) % {PRIME} AS h2 FROM ({first})"
             sql = f"SELECT {keep}, n, a, b, y AS x, (x + xor(h2, h2 >> 13)) % mx AS y, my AS mx, mx AS my FROM ({second})"
