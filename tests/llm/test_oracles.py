@@ -8,7 +8,7 @@ from adlens.llm.oracles import ORACLES
 from adlens.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-TABLES = ["documents", "pages", "benchmark", "labels", "conversations"]
+TABLES = ["documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
 @pytest.fixture(scope="module")
@@ -19,11 +19,11 @@ def con():
     return c
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     names = set(QUERIES)
     assert names <= set(E.queries()) and set(ORACLES) <= set(E.oracle_sql())
     assert "pipeline" in names
-    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{k}_") for n in names) for k in range(1, 14)] == [1] * 13
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -37,7 +37,7 @@ def test_query_equals_sql(spark, con, name):
     assert sorted(repr(tuple(r)) for r in df.select(*columns).collect()) == want
 
 
-@pytest.mark.parametrize("name", ["op2_source_mixing", "op6_language_id", "op7_benchmark_decontamination", "op10_toxicity"])
+@pytest.mark.parametrize("name", ["op2_source_mixing", "op6_language_id", "op7_benchmark_decontamination", "op10_toxicity", "op13_lm_scoring"])
 def test_query_returns_every_row(spark, name):
     df = QUERIES[name](spark, SF)
     rows = spark.read.parquet(f"{SF}/documents.parquet").count()
