@@ -19,8 +19,17 @@ ring by k places for coordinate k, and the coordinate is the smallest value
    already adds nothing to components.
 4. Components of the verified links, and the smallest id of each.
 
-Large buckets and clusters are dealt into blocks of bounded size, and every
-pair of blocks is one unit of work, so no task holds more than two blocks.
+Large buckets and clusters are contracted first.  Every member is compared
+with the group's pivot, its smallest node.  Members linked with the pivot (the
+star) are connected already and never meet each other again.  The rest may
+still hold a link to a member of the star, so both meet, but only where their
+distances to the pivot allow it: differing coordinates and Jaccard distance
+are metrics, so two members whose distances to the pivot differ by more than
+the limit cannot be linked.  The rest, if still large, gets a pivot of its own
+in the next round; what ``ROUNDS`` rounds leave is dealt into blocks, and
+every pair of blocks is one unit of work.  No link is lost, no unit holds more
+than two blocks, and a group of near copies is written a few times, whatever
+its size.
 
 Chance of losing a link at Jaccard 0.8: banding (0.59**24, under 1e-5) plus
 the agreement filter (under 1e-7); at 0.85 together under 1e-7, and less above.
@@ -37,6 +46,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -54,6 +64,10 @@ COORDINATES = BANDS * BAND_ROWS
 AGREE = 55
 #: A bucket's block has at most about so many classes, a cluster's block so many shingles.
 BLOCK_CLASSES, BLOCK_SHINGLES = 4000, 1_000_000
+#: Rounds of contraction; large groups still left are dealt into pairs of blocks.
+ROUNDS = 4
+#: Two signatures whose differences to a third lie so many stripes of STRIPE coordinates apart differ too much.
+STRIPE, APART = 14, 4
 #: Up to so many members of clusters (40 bytes each) are broadcast; more are joined by shuffling.
 BROADCAST_MEMBERS = 300_000
 #: Bytes of text hashed at once.
@@ -249,10 +263,10 @@ def _edges(pairs: list[tuple[int, int]], ids: np.ndarray) -> pa.RecordBatch:
 
 
 def _bucket_forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for group in _runs(batches, ["band", "pair"]):
+    for group in _runs(batches, ["unit", "pair"]):
         ids, first = np.unique(group.column("node").to_numpy(), return_index=True)
         if len(ids) > 1:
-            kept = group.column("signature").combine_chunks().take(pa.array(first))
+            kept = group.column("payload").combine_chunks().take(pa.array(first))
             signature = np.frombuffer(b"".join(kept.to_pylist()), np.uint8).reshape(len(ids), COORDINATES)
             found = _forest(len(ids), lambda i, rest: (signature[rest] == signature[i]).sum(axis=1) >= AGREE)
             if found:
@@ -262,11 +276,11 @@ def _bucket_forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 def _verified_forest(threshold: int):
     """Links of 100 * intersection >= threshold * union between the full sets of a cluster's block pair."""
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for group in _runs(batches, ["cluster", "pair"]):
+        for group in _runs(batches, ["unit", "pair"]):
             ids, first = np.unique(group.column("node").to_numpy(), return_index=True)
             if len(ids) < 2:
                 continue
-            texts = [x or b"" for x in group.column("text").cast(pa.binary()).combine_chunks().take(pa.array(first)).to_pylist()]
+            texts = [x or b"" for x in group.column("payload").combine_chunks().take(pa.array(first)).to_pylist()]
             parts = [distinct_per_text(*shingle_hashes(texts[p])) for p in _chunks(texts)]
             hashes, n = np.concatenate([x[0] for x in parts]), np.concatenate([x[1] for x in parts])
             _, shingle = np.unique(hashes, return_inverse=True)
@@ -296,15 +310,125 @@ def _block_pairs(df: DataFrame) -> DataFrame:
     return df.withColumn("_own", own).withColumn("pair", F.explode(F.transform(every, pair))).drop("_own", "blocks")
 
 
+def _jaccard_to(threshold: int):
+    """What ``_meet_pivot`` does with texts: exact links with the pivot, and Jaccard distances in thirds of the limit."""
+    third = max(100 - threshold, 1) / 3
+
+    def prepared(lead: bytes) -> np.ndarray:
+        return np.unique(shingle_hashes([lead])[0])
+
+    def compare(lead: np.ndarray, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        near, stripe = [], []
+        for part in _chunks(texts):
+            hashes, n = distinct_per_text(*shingle_hashes(texts[part]))
+            common = np.bincount(np.repeat(np.arange(len(n)), n)[np.isin(hashes, lead)], minlength=len(n))
+            union = np.maximum(n + len(lead) - common, 1)
+            near.append(100 * common >= threshold * union)
+            stripe.append((100 * (union - common) / union) // third)
+        return np.concatenate(near), np.concatenate(stripe)
+    return prepared, compare
+
+
+def _agreement():
+    """What ``_meet_pivot`` does with signatures: enough agreement with the pivot, and differences in stripes."""
+    def prepared(lead: bytes) -> np.ndarray:
+        return np.frombuffer(lead, np.uint8)
+
+    def compare(lead: np.ndarray, signatures_: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        differ = (np.frombuffer(b"".join(signatures_), np.uint8).reshape(-1, COORDINATES) != lead).sum(axis=1)
+        return differ <= COORDINATES - AGREE, differ // STRIPE
+    return prepared, compare
+
+
+_SEEN = pa.schema([("unit", pa.int64()), ("node", pa.int64()), ("size", pa.int64()), ("payload", pa.binary()),
+                   ("pivot", pa.int64()), ("near", pa.bool_()), ("stripe", pa.int32())])
+
+
+def _meet_pivot(prepared, compare):
+    """Members of each part of a group after the group's pivot, which leads the part; the pivot's copies are left out."""
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pivot = lead = None
+        for batch in batches:
+            leads = np.flatnonzero(batch.column("lead").to_numpy(zero_copy_only=False))
+            for a, b in zip([0, *leads], [*leads, batch.num_rows]):
+                part = batch.slice(a, b - a)
+                if part.num_rows and part.column("lead")[0].as_py():
+                    pivot, lead = part.column("node")[0].as_py(), prepared(part.column("payload")[0].as_py() or b"")
+                    part = part.slice(1)
+                if part.num_rows:
+                    near, stripe = compare(lead, [x or b"" for x in part.column("payload").to_pylist()])
+                    yield pa.RecordBatch.from_arrays([
+                        *[part.column(c) for c in ("unit", "node", "size", "payload")],
+                        pa.array(np.full(part.num_rows, pivot, np.int64)), pa.array(near.astype(bool)),
+                        pa.array(stripe.astype(np.int32))], schema=_SEEN)
+    return meet
+
+
+def _star_meets_rest(seen: DataFrame, apart: int, block: int) -> DataFrame:
+    """(unit, pair, node, payload): blocks of the star and of the rest whose stripes are less than ``apart``
+    apart, one ``pair`` for two blocks."""
+    sizes = written(seen.groupBy("unit", "near", "stripe").agg(F.ceil(F.sum("size") / block).cast("long").alias("blocks")))
+    others = sizes.select(F.col("unit").alias("_unit"), (~F.col("near")).alias("_near"),
+                          F.col("stripe").alias("_stripe"), F.col("blocks").alias("_blocks"))
+    meeting = sizes.join(others, (F.col("unit") == F.col("_unit")) & (F.col("near") == F.col("_near"))
+                         & (F.abs(F.col("stripe") - F.col("_stripe")) < apart))
+    rows = seen.join(meeting.drop("_unit", "_near"), ["unit", "near", "stripe"])
+    rows = rows.withColumn("_own", F.pmod(F.xxhash64("node"), F.col("blocks")))
+    rows = rows.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1)))
+    mine, theirs = ["stripe", "_own"], ["_stripe", "_other"]
+    # a number for two blocks; if two of them shared one, more members would meet, none fewer
+    pair = F.when(F.col("near"), F.xxhash64("pivot", *mine, *theirs)).otherwise(F.xxhash64("pivot", *theirs, *mine))
+    return rows.select("unit", pair.alias("pair"), "node", "payload")
+
+
+def _contracted(hot: DataFrame, meet, apart: int, block: int) -> tuple[DataFrame, DataFrame]:
+    """Links of large groups with their pivots, and the units of work that hold all other possible links.
+
+    ``hot`` has unit (the group), node, size, payload and blocks.
+    """
+    columns = ["unit", "pair", "node", "payload"]
+    links, units = [], []
+    for _ in range(ROUNDS):
+        pivots = hot.groupBy("unit").agg(F.min("node").alias("pivot"), F.first("blocks").alias("_parts"))
+        leads = hot.join(pivots.withColumnRenamed("unit", "_unit"), (F.col("unit") == F.col("_unit")) & (F.col("node") == F.col("pivot")))
+        leads = leads.select("unit", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)).alias("part"),
+                             F.lit(True).alias("lead"), "node", "size", "payload")
+        members = hot.select("unit", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("part"),
+                             F.lit(False).alias("lead"), "node", "size", "payload")
+        rows = leads.unionByName(members).repartition("unit", "part")
+        rows = rows.sortWithinPartitions("unit", "part", F.desc("lead")).drop("part")
+        seen = written(rows.mapInArrow(meet, "unit long, node long, size long, payload binary, pivot long, near boolean, stripe int"))
+        links.append(seen.where("near AND node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")))
+        units.append(_star_meets_rest(seen, apart, block))
+        rest = seen.where("NOT near")
+        left = written(rest.groupBy("unit").agg(F.ceil(F.sum("size") / block).cast("long").alias("blocks")))
+        rest = rest.join(left, "unit").select("unit", "node", "size", "payload", "blocks")
+        units.append(rest.where("blocks = 1").withColumn("pair", F.lit(0).cast("long")).select(*columns))
+        hot = rest.where("blocks > 1")
+        if not left.where("blocks > 1").limit(1).count():
+            break
+    else:
+        units.append(_block_pairs(hot).select(*columns))
+    return reduce(DataFrame.union, links), reduce(DataFrame.union, units)
+
+
 def coarse_links(classes: DataFrame) -> DataFrame:
     """Forest links (a, b) between classes (node, signature, bands) that share a band and agree enough."""
     meets = classes.select("node", F.explode("bands").alias("band"))
     full = meets.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
-    full = full.select("band", F.ceil(F.col("n") / BLOCK_CLASSES).cast("long").alias("blocks"))
-    meets = _block_pairs(meets.join(full, "band"))
-    meets = meets.join(classes.select("node", "signature"), "node")
-    meets = meets.repartition("band", "pair").sortWithinPartitions("band", "pair")
-    return meets.select("band", "pair", "node", "signature").mapInArrow(_bucket_forest, "a long, b long")
+    full = written(full.select("band", F.ceil(F.col("n") / BLOCK_CLASSES).cast("long").alias("blocks")))
+    large = full.where("blocks > 1")
+    rows = meets.join(full, "band").join(classes.select("node", "signature"), "node")
+    units = rows.where("blocks = 1").select(F.col("band").alias("unit"), F.lit(0).cast("long").alias("pair"), "node", F.col("signature").alias("payload"))
+    links = None
+    if large.limit(1).count():
+        hot = written(rows.where("blocks > 1").select(
+            F.col("band").alias("unit"), "node", F.lit(1).cast("long").alias("size"), F.col("signature").alias("payload"), "blocks"))
+        links, more = _contracted(hot, _meet_pivot(*_agreement()), APART, BLOCK_CLASSES)
+        units = units.unionByName(more)
+    units = units.repartition("unit", "pair").sortWithinPartitions("unit", "pair")
+    found = units.mapInArrow(_bucket_forest, "a long, b long")
+    return found if links is None else found.union(links)
 
 
 def verified_links(texts: DataFrame, clusters: DataFrame, classes: DataFrame, threshold: int) -> DataFrame:
@@ -313,15 +437,26 @@ def verified_links(texts: DataFrame, clusters: DataFrame, classes: DataFrame, th
     ``texts`` has doc_id, text_hash and text, ``classes`` what stands for each
     node.  The members are broadcast only after their number was checked.
     """
-    members = classes.join(clusters.withColumnRenamed("component", "cluster"), "node")
-    blocks = members.groupBy("cluster").agg(
+    members = classes.join(clusters.withColumnRenamed("component", "unit"), "node")
+    blocks = members.groupBy("unit").agg(
         F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES).cast("long").alias("blocks"))
-    members = written(members.join(blocks, "cluster").select("node", "doc_id", "text_hash", "cluster", "blocks"))
-    if members.count() <= BROADCAST_MEMBERS:
-        members = F.broadcast(members)
-    rows = _block_pairs(texts.join(members, ["doc_id", "text_hash"]))
-    rows = rows.repartition("cluster", "pair").sortWithinPartitions("cluster", "pair")
-    return rows.select("cluster", "pair", "node", "text").mapInArrow(_verified_forest(threshold), "a long, b long")
+    members = written(members.join(blocks, "unit").select("node", "doc_id", "text_hash", "unit", "n_shingles", "blocks"))
+
+    def rows_of(kept: DataFrame) -> DataFrame:
+        if kept.count() <= BROADCAST_MEMBERS:
+            kept = F.broadcast(kept)
+        return texts.join(kept, ["doc_id", "text_hash"]).withColumn("payload", F.col("text").cast("binary"))
+
+    units = rows_of(members.where("blocks = 1")).select("unit", F.lit(0).cast("long").alias("pair"), "node", "payload")
+    links = None
+    if members.where("blocks > 1").limit(1).count():
+        hot = written(rows_of(members.where("blocks > 1")).select("unit", "node", F.col("n_shingles").alias("size"), "payload", "blocks"))
+        # stripes are thirds of the limit: from the fifth on the difference is above it, whatever the rounding
+        links, more = _contracted(hot, _meet_pivot(*_jaccard_to(threshold)), 5, BLOCK_SHINGLES)
+        units = units.unionByName(more)
+    units = units.repartition("unit", "pair").sortWithinPartitions("unit", "pair")
+    found = units.mapInArrow(_verified_forest(threshold), "a long, b long")
+    return found if links is None else found.union(links)
 
 
 def near_duplicates(docs: DataFrame, threshold: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

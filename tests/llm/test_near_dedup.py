@@ -71,6 +71,54 @@ def test_small_blocks_lose_no_link(spark, monkeypatch):
     assert {r["doc_id"]: r["component_id"] for r in got} == brute(rows, 85)
 
 
+def drifting(seed, steps=60, words=60):
+    """Texts that each change two more words: neighbours are linked, the ends share little."""
+    r = random.Random(seed)
+    own, rows = [f"w{r.randrange(500)}" for _ in range(words)], []
+    for i in range(steps):
+        own[(i * 7) % words] = f"d{i}"
+        rows.append((1000 + i, " ".join(own)))
+    return rows
+
+
+@pytest.mark.parametrize("rounds", [1, 4])
+def test_contraction_loses_no_link(spark, monkeypatch, rounds):
+    """Chains whose links lie far from every pivot, beside several stars, with rounds used up or not."""
+    monkeypatch.setattr(N, "BLOCK_CLASSES", 4)
+    monkeypatch.setattr(N, "BLOCK_SHINGLES", 150)
+    monkeypatch.setattr(N, "ROUNDS", rounds)
+    rows = near_copies(5, bases=2, copies=25) + drifting(1) + [(5000 + i, t) for i, t in drifting(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for threshold in (80, 85, 100):
+        got = {r["doc_id"]: r["component_id"] for r in N.near_duplicates(docs, threshold).collect()}
+        assert got == brute(rows, threshold)
+
+
+def test_group_of_near_copies_is_written_a_few_times(spark):
+    """400 near copies in blocks of 10: block pairs would write each 40 times."""
+    r = random.Random(9)
+    base = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(400):
+        own = list(base)
+        own[r.randrange(300)] = f"e{i}"
+        rows.append((1, i, 300, " ".join(own).encode(), 40))
+    hot = spark.createDataFrame(rows, "unit long, node long, size long, payload binary, blocks long")
+    links, units = N._contracted(hot, N._meet_pivot(*N._jaccard_to(85)), 5, 300 * 10)
+    assert sorted(r["b"] for r in links.collect()) == list(range(1, 400))
+    assert units.count() <= 2 * len(rows)
+
+
+def test_two_far_stars_do_not_meet(spark):
+    """Signatures of two groups that differ everywhere: the stripes keep their blocks apart."""
+    same = bytes(N.COORDINATES), bytes([1] * N.COORDINATES)
+    rows = [(1, i, 1, same[i % 2], 20) for i in range(200)]
+    hot = spark.createDataFrame(rows, "unit long, node long, size long, payload binary, blocks long")
+    links, units = N._contracted(hot, N._meet_pivot(*N._agreement()), N.APART, 10)
+    assert sorted((r["a"], r["b"]) for r in links.collect()) == sorted([(0, i) for i in range(2, 200, 2)] + [(1, i) for i in range(3, 200, 2)])
+    assert units.count() == 0
+
+
 def test_signature_agreement_estimates_jaccard():
     words = [f"w{i}" for i in range(400)]
     a, b = " ".join(words).encode(), " ".join(words[:360] + [f"x{i}" for i in range(40)]).encode()
