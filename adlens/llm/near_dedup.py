@@ -50,6 +50,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -71,7 +72,7 @@ STRIPE, APART = 14, 4
 #: Up to so many members of clusters (40 bytes each) are broadcast; more are joined by shuffling.
 BROADCAST_MEMBERS = 300_000
 #: Bytes of text hashed at once.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)           # odd: has an inverse modulo 2**64
 _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -177,15 +178,16 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def _chunks(texts: list[bytes]) -> Iterator[slice]:
+def _chunks(sizes: list[int]) -> Iterator[slice]:
+    """Neighbouring texts of about CHUNK_BYTES together; a longer text is one by itself."""
     start = size = 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > CHUNK_BYTES:
+    for i, n in enumerate(sizes):
+        if size and size + n > CHUNK_BYTES:
             yield slice(start, i)
             start, size = i, 0
-        size += len(t) + 1
-    if start < len(texts):
-        yield slice(start, len(texts))
+        size += n + 1
+    if start < len(sizes):
+        yield slice(start, len(sizes))
 
 
 _SIGNED = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shingles", pa.int64()), ("digest", pa.binary()),
@@ -194,9 +196,10 @@ _SIGNED = pa.schema([("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_shin
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts, ids, text_hash = texts_as_bytes(batch), batch.column("doc_id"), batch.column("text_hash")
-        for part in _chunks(texts):
-            own = texts[part]
+        ids, text_hash = batch.column("doc_id"), batch.column("text_hash")
+        sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_pylist()
+        for part in _chunks(sizes):
+            own = texts_as_bytes(batch.slice(part.start, part.stop - part.start))      # never a whole batch as objects
             hashes, n = distinct_per_text(*shingle_hashes(own))
             full = np.flatnonzero(n)
             signature = signatures(hashes, n[full]) if len(full) else np.empty((0, COORDINATES), np.uint32)
@@ -281,7 +284,7 @@ def _verified_forest(threshold: int):
             if len(ids) < 2:
                 continue
             texts = [x or b"" for x in group.column("payload").combine_chunks().take(pa.array(first)).to_pylist()]
-            parts = [distinct_per_text(*shingle_hashes(texts[p])) for p in _chunks(texts)]
+            parts = [distinct_per_text(*shingle_hashes(texts[p])) for p in _chunks([len(t) for t in texts])]
             hashes, n = np.concatenate([x[0] for x in parts]), np.concatenate([x[1] for x in parts])
             _, shingle = np.unique(hashes, return_inverse=True)
             owner = np.repeat(np.arange(len(n)), n)
@@ -319,7 +322,7 @@ def _jaccard_to(threshold: int):
 
     def compare(lead: np.ndarray, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         near, stripe = [], []
-        for part in _chunks(texts):
+        for part in _chunks([len(t) for t in texts]):
             hashes, n = distinct_per_text(*shingle_hashes(texts[part]))
             common = np.bincount(np.repeat(np.arange(len(n)), n)[np.isin(hashes, lead)], minlength=len(n))
             union = np.maximum(n + len(lead) - common, 1)
