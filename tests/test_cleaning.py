@@ -127,3 +127,45 @@ def test_appended_files_are_seen(spark):
     assert table(spark, d, "t").count() == 5
     spark.range(7).write.mode("append").parquet(f"{d}/t.parquet")
     assert table(spark, d, "t").count() == 12
+
+
+TWIN_TABLES = {
+    "nation": (["(0, 'N0')"], "n_nationkey bigint, n_name string"),
+    "customer": (["(1, 0, 'BUILDING')"], "c_custkey bigint, c_nationkey bigint, c_mktsegment string"),
+    "part": (["(1, 'p1', 'Brand#1', 4)", "(2, 'p2', 'Brand#2', 5)", "(1048577, 'p3', 'Brand#3', 6)"],
+             "p_partkey bigint, p_name string, p_brand string, p_size bigint"),
+    "orders": (["(5, 1)", "(89, 1)"], "o_orderkey bigint, o_custkey bigint"),
+    "lineitem": ([f"({o}, {p}, 3, 1, 2.0D, 10.0D, 0.5D, {t}D, 'A', 'O', timestamp'1996-01-0{d} 00:00:00')"
+                  for o, p, t, d in [(5, 1, 0.1, 2), (5, 1, 0.1, 2), (5, 1048577, 0.1, 1), (5, 2, 0.2, 3), (89, 1, 0.1, 1), (89, 1, 0.1, 1)]],
+                 "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
+                 "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp"),
+}
+
+
+@pytest.fixture(scope="module")
+def repeated_lines(spark, tmp_path_factory):
+    """Tables in which lines share their order, number, part and supplier (or parts that are 2 ** 20 apart)."""
+    folder = str(tmp_path_factory.mktemp("lines"))
+    for name, (rows, schema) in TWIN_TABLES.items():
+        names = [c.split()[0] for c in schema.split(", ")]
+        spark.sql(f"SELECT * FROM VALUES {', '.join(rows)} AS t({', '.join(names)})").write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+def _as_sql_says(spark, folder, name):
+    import duckdb
+    import __spark_entry__ as E
+    con = duckdb.connect()
+    for t in TWIN_TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{folder}/{t}.parquet/*.parquet')")
+    df = E.queries()[name](spark, folder)
+    want = con.execute(E.oracle_sql()[name])
+    cols = [d[0] for d in want.description]
+    got = [tuple(r) for r in df.select(*cols).collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, want.fetchall()))
+    return got, cols.index("row_ord")
+
+
+def test_scan_clean_numbers_lines_that_share_everything(spark, repeated_lines):
+    got, at = _as_sql_says(spark, repeated_lines, "scan_clean")
+    assert sorted(r[at] for r in got) == [41001, 41002, 41003, 41004]
