@@ -169,3 +169,8 @@ def _as_sql_says(spark, folder, name):
 def test_scan_clean_numbers_lines_that_share_everything(spark, repeated_lines):
     got, at = _as_sql_says(spark, repeated_lines, "scan_clean")
     assert sorted(r[at] for r in got) == [41001, 41002, 41003, 41004]
+
+
+def test_lenient_scan_numbers_lines_that_share_everything(spark, repeated_lines):
+    got, at = _as_sql_says(spark, repeated_lines, "lenient_scan")
+    assert sorted(r[at] for r in got) == [41001, 41002, 41003, 41004, 713001, 713002]
