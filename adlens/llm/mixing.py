@@ -13,8 +13,12 @@ times its observed share, and raking holds every cell's factor at ``most``: a
 value or a cell of one document stays whole and sets no one else's rate, and
 about 1 / ``most`` of the tokens or more are kept however skewed the cells are.
 
-Topics are clusters of words: ``fit_topics`` fits them on a bounded sample of
-texts (``TOPIC_SAMPLE``), and every text, whole, goes to the nearest one.
+Topics are clusters of words: ``fit_topics`` fits them on all distinct texts,
+and every text, whole, goes to the nearest one.  ``with_counts`` tokenises the
+texts, once; the fit and the topics read its counts of hashed words.  Every
+step of the fit is a Spark job that sums whole numbers over all texts, so that
+the topics are the same whatever the partitions, and what reaches the driver is
+at most ``TOPICS`` x ``TOPIC_BUCKETS`` sums.
 
 The counting is one grouped aggregation (a hot source is summed in part by
 every task).  Cells, not documents, are raked: on the driver while there are
@@ -37,13 +41,13 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,11 +65,15 @@ RATE_STEPS = 60
 UPLIFT, MOST = 1.5, 2.5
 #: Topics, and the least letters of a word that tells them.
 TOPICS, TOPIC_LETTERS = 6, 6
-#: Texts that topics are fitted on, buckets that words are hashed to, steps of the fit.
-TOPIC_SAMPLE, TOPIC_BUCKETS, TOPIC_STEPS = 2000, 4096, 15
+#: Buckets that words are hashed to, steps of the fit at most, texts tried as the start of each topic.
+TOPIC_BUCKETS, TOPIC_STEPS, TOPIC_TRIES = 4096, 15, 4
+#: Parts of 1 that the fit's sums are counted in, and entries of texts that a task holds at once.
+TOPIC_UNIT, TOPIC_ENTRIES = 1 << 24, 500_000
 MARGINS = ("_source", "_lang", "_topic")
 #: Columns that ``mixed`` adds.
 ADDED = [*MARGINS, "_tokens", "_draw", "_probability", "_kept"]
+#: Columns of ``with_counts`` that ``with_cells`` replaces by the topic: hash of the text, its buckets and their counts.
+COUNTED = ["_text_row", "_buckets", "_bucket_counts"]
 
 
 def topic_of(words: list[bytes]) -> str:
@@ -78,8 +86,8 @@ def topic_of(words: list[bytes]) -> str:
     return f"topic_{sum(word) % TOPICS}"
 
 
-def topic_counts(words: list[bytes], buckets: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
-    """Hash buckets of a text's long words, and how often each occurs; ``buckets`` keeps those of words met."""
+def topic_counts(words: list[bytes], buckets: dict[bytes, int]) -> Counter:
+    """How often each hash bucket of a text's long words occurs; ``buckets`` keeps those of words met."""
     counts: Counter = Counter()
     for w, n in Counter(w for w in words if len(w) >= TOPIC_LETTERS).items():
         if (b := buckets.get(w)) is None:
@@ -87,7 +95,38 @@ def topic_counts(words: list[bytes], buckets: dict[bytes, int]) -> tuple[np.ndar
                 buckets.clear()
             b = buckets[w] = zlib.crc32(w) % TOPIC_BUCKETS
         counts[b] += n
-    return np.fromiter(counts.keys(), np.int64, len(counts)), np.fromiter(counts.values(), float, len(counts))
+    return counts
+
+
+@dataclass(frozen=True)
+class Vectors:
+    """Some texts as vectors of length 1 over buckets: entry ``i`` is ``x[i]`` in bucket ``at[i]`` of text ``row[i]``."""
+
+    first: int                   # place of text 0 in its batch
+    size: int
+    row: np.ndarray
+    at: np.ndarray
+    x: np.ndarray
+    there: np.ndarray            # texts with any word that tells
+
+    def likeness(self, centres: np.ndarray) -> np.ndarray:
+        """centres x texts; summed text by text, so that a text's batch makes no difference."""
+        return np.array([np.bincount(self.row, self.x * c[self.at], self.size) for c in centres])
+
+
+def _vectors(buckets: pa.ListArray, counts: pa.ListArray, weight: np.ndarray) -> Iterator[Vectors]:
+    offsets = buckets.offsets.to_numpy()
+    at_all, n_all = buckets.values.to_numpy(), counts.values.to_numpy()
+    shift, lo = int(counts.offsets[0].as_py()) - int(offsets[0]), 0
+    while lo < len(buckets):
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + TOPIC_ENTRIES, "right")) - 1)
+        start, stop = int(offsets[lo]), int(offsets[hi])
+        at = at_all[start:stop]
+        row = np.repeat(np.arange(hi - lo), np.diff(offsets[lo:hi + 1]))
+        x = np.sqrt(n_all[start + shift:stop + shift]) * weight[at]
+        norm = np.sqrt(np.bincount(row, x * x, hi - lo))
+        yield Vectors(lo, hi - lo, row, at, x / np.where(norm > 0, norm, 1.0)[row], norm > 0)
+        lo = hi
 
 
 @dataclass(frozen=True)
@@ -97,75 +136,161 @@ class Topics:
     weight: np.ndarray           # of each bucket, by how few texts have it
     centres: np.ndarray          # topics x buckets, of length 1
 
-    def of(self, words: list[bytes], buckets: dict[bytes, int]) -> str:
-        at, n = topic_counts(words, buckets)
-        value = np.sqrt(n) * self.weight[at]
-        if not value.any():
-            return "topic_none"
-        return f"topic_{int((self.centres[:, at] @ value).argmax())}"
+    def column(self, buckets: str, counts: str) -> Column:
+        """The topic of each text from its buckets and their counts."""
+        weight, centres = self.weight, self.centres
 
+        @F.arrow_udf("string")
+        def topic(at: pa.Array, n: pa.Array) -> pa.Array:
+            out = []
+            for v in _vectors(at, n, weight):
+                out += [f"topic_{k}" if there else "topic_none" for k, there in zip(v.likeness(centres).argmax(0), v.there)]
+            return pa.array(out, pa.string())
 
-def fit_topics(docs: DataFrame, text_col: str = "text", topics: int = TOPICS, sample: int = TOPIC_SAMPLE) -> Topics:
-    """Spherical k-means over at most ``sample`` distinct texts, chosen by a hash of the text.
+        return topic(F.col(buckets), F.col(counts))
 
-    What reaches the driver is at most ``sample`` x ``TOPIC_BUCKETS`` counts;
-    the fit starts at texts far from each other and depends on the texts alone.
-    """
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        buckets: dict[bytes, int] = {}
+
+def _summed(rows: DataFrame, weight: np.ndarray, size: int, sums: Callable[[Vectors], np.ndarray]) -> np.ndarray:
+    """The sum of ``sums`` (``size`` whole numbers) over all texts."""
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size, np.int64)
         for batch in batches:
-            found = [topic_counts(words_of(t), buckets) for t in texts_as_bytes(batch, "text")]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array([x[0] for x in found], pa.list_(pa.int64())),
-                                              pa.array([x[1] for x in found], pa.list_(pa.float64()))], names=["row", "at", "n"])
-
-    row = F.xxhash64(F.lit("topics"), F.col(text_col))
-    chosen = docs.where(F.col(text_col).isNotNull()).select(row.alias("row")).distinct().orderBy("row").limit(sample)
-    texts = docs.select(row.alias("row"), F.col(text_col).alias("text")).join(F.broadcast(written(chosen)), "row")
-    counted = written(texts.mapInArrow(count, "row long, at array<long>, n array<double>"))
-    rows = counted.groupBy("row").agg(F.first("at").alias("at"), F.first("n").alias("n")).orderBy("row").collect()
-    x = np.zeros((len(rows), TOPIC_BUCKETS))
-    for i, r in enumerate(rows):
-        x[i, np.array(r["at"], np.int64)] = np.sqrt(r["n"])
-    seen = (x > 0).sum(0)
-    weight = np.where(seen > 0, np.log((len(x) + 1) / np.maximum(seen, 1)), 0.0)
-    x *= weight
-    x = x[np.linalg.norm(x, axis=1) > 0]
-    x /= np.linalg.norm(x, axis=1, keepdims=True)
-    if not len(x):
+            for v in _vectors(batch.column("_buckets"), batch.column("_bucket_counts"), weight):
+                total += sums(v).astype(np.int64)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["at", "n"])
+
+    parts = rows.select("_buckets", "_bucket_counts").mapInArrow(add, "at long, n long")
+    found = parts.groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(size, np.int64)
+    out[found["at"].to_numpy()] = found["n"].to_numpy()
+    return out
+
+
+def _tried(rows: DataFrame, weight: np.ndarray, centres: np.ndarray, step: int) -> np.ndarray:
+    """``TOPIC_TRIES`` texts drawn, by a hash, from all in proportion to how unlike every centre they are (k-means++)."""
+    def race(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: list = []
+        for batch in batches:
+            buckets, counts = batch.column("_buckets"), batch.column("_bucket_counts")
+            ids = batch.column("_text_row").to_numpy()
+            draw = (batch.column("draw").to_numpy() + 0.5) / float(1 << 53)
+            for v in _vectors(buckets, counts, weight):
+                here = slice(v.first, v.first + v.size)
+                unlike = np.where(v.there, 1.0 - v.likeness(centres).max(0) if len(centres) else 1.0, 0.0)
+                key = np.full(v.size, np.inf)
+                np.divide(-np.log(draw[here]), unlike, out=key, where=unlike > 1e-9)
+                near = np.lexsort((ids[here], key))[:TOPIC_TRIES]
+                best += [(key[i], int(ids[v.first + i]), buckets[v.first + i].as_py(), counts[v.first + i].as_py())
+                         for i in near if np.isfinite(key[i])]
+                best = sorted(best)[:TOPIC_TRIES]
+        yield pa.RecordBatch.from_arrays([pa.array([b[i] for b in best], t) for i, t in enumerate(
+            (pa.float64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32())))], names=["key", "row", "at", "n"])
+
+    drawn = rows.withColumn("draw", F.xxhash64("_text_row", F.lit(step)).bitwiseAND((1 << 53) - 1))
+    tried = drawn.mapInArrow(race, "key double, row long, at array<int>, n array<int>").orderBy("key", "row").limit(TOPIC_TRIES).collect()
+    out = np.zeros((len(tried), TOPIC_BUCKETS))
+    for i, r in enumerate(tried):
+        out[i, r["at"]] = np.sqrt(r["n"]) * weight[r["at"]]
+    return out / np.linalg.norm(out, axis=1, keepdims=True)
+
+
+def fit_topics(docs: DataFrame, text_col: str = "text", topics: int = TOPICS, sample: int | None = None) -> Topics:
+    """Spherical k-means over all distinct texts of ``docs``, which may have the columns of ``with_counts``.
+
+    Words weigh by how few texts have them.  A topic starts at that of a few
+    texts, drawn from all in proportion to how unlike the former topics they
+    are, which leaves all texts nearest to their topics; then every text goes
+    to the nearest topic and topics become the mean of their texts, until
+    nothing changes or ``TOPIC_STEPS`` times.  The fit depends on the texts
+    alone.  A caller may ask for a ``sample`` of so many texts; no query does.
+    """
+    counted = docs if _is_counted(docs) else _with_buckets(docs.select(text_col), text_col)
+    rows = counted.where("_text_row IS NOT NULL").select(*COUNTED).dropDuplicates(["_text_row"])
+    rows = written(rows if sample is None else rows.orderBy("_text_row").limit(sample))
+    even = np.ones(TOPIC_BUCKETS)
+    seen = _summed(rows, even, TOPIC_BUCKETS, lambda v: np.bincount(v.at, minlength=TOPIC_BUCKETS))
+    weight = np.where(seen > 0, np.log((rows.count() + 1) / np.maximum(seen, 1)), 0.0)
+    centres = np.zeros((0, TOPIC_BUCKETS))
+    for step in range(topics):
+        tried = _tried(rows, weight, centres, step)
+        if not len(tried):
+            break
+
+        def unlike(v: Vectors, tried=tried, centres=centres) -> np.ndarray:
+            former = v.likeness(centres).max(0) if len(centres) else np.zeros(v.size)
+            left = 1.0 - np.maximum(v.likeness(tried), former)
+            return np.rint(left * TOPIC_UNIT).sum(1)
+
+        centres = np.vstack([centres, tried[_summed(rows, weight, len(tried), unlike).argmin()]])
+    if not len(centres):
         return Topics(weight, np.zeros((1, TOPIC_BUCKETS)))
-    centres = [x[0]]
-    while len(centres) < min(topics, len(x)):                # the text that is least like every centre so far
-        centres.append(x[(x @ np.array(centres).T).max(1).argmin()])
-    centres = np.array(centres)
     for _ in range(TOPIC_STEPS):
-        own = (x @ centres.T).argmax(1)
-        sums = np.array([x[own == k].sum(0) if (own == k).any() else c for k, c in enumerate(centres)])
-        centres = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
+        def total(v: Vectors, centres=centres) -> np.ndarray:
+            own = v.likeness(centres).argmax(0)
+            return np.bincount(own[v.row] * TOPIC_BUCKETS + v.at, np.rint(v.x * TOPIC_UNIT), centres.size)
+
+        sums = _summed(rows, weight, centres.size, total).reshape(centres.shape).astype(float)
+        sums = np.where(sums.any(1, keepdims=True), sums, centres)
+        former, centres = centres, sums / np.linalg.norm(sums, axis=1, keepdims=True)
+        if np.array_equal(former, centres):
+            break
     return Topics(weight, centres)
 
 
-def _describe(text_col: str, topics: Topics | None):
-    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _with_buckets(docs: DataFrame, text_col: str) -> DataFrame:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets: dict[bytes, int] = {}
         for batch in batches:
             words = (words_of(t) for t in texts_as_bytes(batch, text_col))
-            found = [(topic_of(w) if topics is None else topics.of(w, buckets), len(w)) for w in words]
+            found = [(len(w), topic_counts(w, buckets)) for w in words]
+            yield (batch.append_column("_tokens", pa.array([n for n, _ in found], pa.int64()))
+                   .append_column("_buckets", pa.array([list(c) for _, c in found], pa.list_(pa.int32())))
+                   .append_column("_bucket_counts", pa.array([list(c.values()) for _, c in found], pa.list_(pa.int32()))))
+
+    schema = T.StructType([*docs.schema.fields, T.StructField("_tokens", T.LongType()),
+                           *[T.StructField(c, T.ArrayType(T.IntegerType())) for c in COUNTED[1:]]])
+    row = F.when(F.col(text_col).isNotNull(), F.xxhash64(F.lit("topics"), F.col(text_col)))
+    return docs.mapInArrow(count, schema).withColumn("_text_row", row)
+
+
+def _draw(text_col: str) -> Column:
+    return F.xxhash64(F.lit("mixing"), F.col("doc_id"), F.col(text_col)).bitwiseAND((1 << 53) - 1) / float(1 << 53)
+
+
+def with_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs`` with all that mixing takes from texts: _tokens, _draw and the columns ``COUNTED`` that topics read."""
+    return _with_buckets(docs.drop(*ADDED, *COUNTED), text_col).withColumn("_draw", _draw(text_col))
+
+
+def _is_counted(docs: DataFrame) -> bool:
+    return {"_tokens", "_draw", *COUNTED} <= set(docs.columns)
+
+
+def _with_groups(docs: DataFrame, text_col: str) -> DataFrame:
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [(topic_of(w), len(w)) for w in (words_of(t) for t in texts_as_bytes(batch, text_col))]
             yield (batch.append_column("_topic", pa.array([x[0] for x in found], pa.string()))
                    .append_column("_tokens", pa.array([x[1] for x in found], pa.int64())))
-    return describe
+
+    schema = T.StructType([*docs.schema.fields, T.StructField("_topic", T.StringType()), T.StructField("_tokens", T.LongType())])
+    return docs.mapInArrow(describe, schema).withColumn("_draw", _draw(text_col))
 
 
 def with_cells(docs: DataFrame, text_col: str = "text", topics: Topics | None = None) -> DataFrame:
     """``docs`` (doc_id, text, source, lang, ...) with _source, _lang, _topic, _tokens and _draw (0 to 1).
 
-    Without ``topics`` a text's topic is only a group of its most frequent long word.
+    With ``topics``, rows of ``with_counts`` need no text any more.  Without, a text's topic is only a
+    group of its most frequent long word.
     """
-    docs = docs.drop(*ADDED)
-    schema = T.StructType([*docs.schema.fields, T.StructField("_topic", T.StringType()), T.StructField("_tokens", T.LongType())])
+    if topics is None:
+        found = _with_groups(docs.drop(*ADDED), text_col)
+    else:
+        counted = docs if _is_counted(docs) else with_counts(docs, text_col)
+        found = counted.withColumn("_topic", topics.column(*COUNTED[1:])).drop(*COUNTED)
     none = F.lit("")
-    draw = F.xxhash64(F.lit("mixing"), F.col("doc_id"), F.col(text_col)).bitwiseAND((1 << 53) - 1) / float(1 << 53)
-    return docs.mapInArrow(_describe(text_col, topics), schema).withColumns({
-        "_source": F.coalesce(F.col("source"), none), "_lang": F.coalesce(F.col("lang"), none), "_draw": draw})
+    return found.withColumns({"_source": F.coalesce(F.col("source"), none), "_lang": F.coalesce(F.col("lang"), none)})
 
 
 def bounded(raised: dict[str, float], observed: dict[str, float], uplift: float) -> dict[str, float]:

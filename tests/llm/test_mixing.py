@@ -173,3 +173,45 @@ def test_errors_are_reported(spark):
     assert max(r["error"] for r in held) > 0.01
     short = M.reached(table, M.raked(table, {**TARGETS, "_lang": {"l0": 0.6, "gone": 0.4}}), {**TARGETS, "_lang": {"l0": 0.6, "gone": 0.4}}).collect()
     assert {r["value"]: round(r["error"], 6) for r in short if r["margin"] == "_lang"} == {"l0": 0.4, "gone": 0.4, "l1": 0.0, "l2": 0.0}
+
+
+def _two_topics(spark, n):
+    """Texts of two vocabularies and, for each hundredth text, of a third: its words are in few texts."""
+    rows = [(i, " ".join(f"{'rareone' if i % 100 == 7 else 'sports' if i % 2 else 'cooking'}{(i * 7 + j * 11) % 20:02d}" for j in range(9)) + f" own{i}")
+            for i in range(n)]
+    return spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'s' AS source", "'l' AS lang")
+
+
+def test_topics_learn_from_all_texts(spark):
+    """Weights count every distinct text, beyond any bounded number of them; copies and null texts count once or not at all."""
+    docs = _two_topics(spark, 2600)
+    fitted = M.fit_topics(docs.unionByName(docs).unionByName(docs.withColumn("text", M.F.lit(None).cast("string"))), topics=2)
+    words = [f"{k}{i:02d}" for k in ("sports", "cooking") for i in range(20)]
+    texts = [r["text"].encode() for r in docs.select("text").collect()]
+    for w in words:
+        b = M.zlib.crc32(w.encode()) % M.TOPIC_BUCKETS
+        seen = sum(any(M.zlib.crc32(x) % M.TOPIC_BUCKETS == b for x in set(t.split()) if len(x) >= 6) for t in texts)
+        assert abs(fitted.weight[b] - np.log(2601 / seen)) < 1e-12
+
+
+def test_counted_rows_need_no_text(spark):
+    docs = _two_topics(spark, 300)
+    counted = M.with_counts(docs).drop("text")
+    a, b = M.fit_topics(counted, topics=2), M.fit_topics(docs.repartition(3), topics=2)
+    assert np.array_equal(a.centres, b.centres) and np.array_equal(a.weight, b.weight)
+    one, two = ({r["doc_id"]: (r["_topic"], r["_tokens"], r["_draw"]) for r in M.with_cells(x, topics=a).collect()} for x in (counted, docs))
+    assert one == two
+    assert {t for i, (t, _, _) in one.items() if i % 100 != 7 and i % 2} != {t for i, (t, _, _) in one.items() if i % 100 != 7 and not i % 2}
+
+
+def test_a_task_holds_few_entries_at_once(spark, monkeypatch):
+    docs = _two_topics(spark, 200)
+    whole = M.fit_topics(docs, topics=3)
+    import pyarrow as pa
+    at = pa.array([[1, 2], [], [3], [1, 3, 5], [4]], pa.list_(pa.int32()))[1:]
+    n = pa.array([[9], [], [2], [1, 4, 1], [3]], pa.list_(pa.int32()))[1:]
+    monkeypatch.setattr(M, "TOPIC_ENTRIES", 2)
+    parts = list(M._vectors(at, n, np.ones(M.TOPIC_BUCKETS)))
+    assert [(v.first, v.size, list(v.at)) for v in parts] == [(0, 2, [3]), (2, 1, [1, 3, 5]), (3, 1, [4])]
+    assert np.allclose(parts[1].x, np.sqrt([1 / 6, 4 / 6, 1 / 6])) and list(parts[0].there) == [False, True]
+    assert len(whole.centres) == 3
