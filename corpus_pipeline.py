@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from adlens.llm.common import clear_of, shared_folder, table, written
 from adlens.llm.decontaminate import find_items
-from adlens.llm.mixing import ADDED, cells_of, fit_topics, mixed, tempered, with_cells
+from adlens.llm.mixing import ADDED, COUNTED, cells_of, fit_topics, mixed, tempered, with_cells, with_counts
 from adlens.llm.near_dedup import keep_one_of_each
 from adlens.llm.sharding import shard_documents
 from adlens.llm.toxicity import fit, score_toxicity
@@ -54,8 +54,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2: documents sampled so that sources, languages and topics meet their target token shares."""
-    docs, back = clear_of(docs, ADDED)
-    celled = written(with_cells(docs, topics=fit_topics(docs)))            # the texts are tokenised once
+    docs, back = clear_of(docs, [*ADDED, *COUNTED])
+    counted = written(with_counts(docs))                                   # the texts are tokenised once
+    celled = with_cells(counted, topics=fit_topics(counted))
     cells = cells_of(celled)
     return back(mixed(celled, cells, tempered(cells, MIX_POWERS, MIX_UPLIFT), most=MIX_MOST).where("_kept"))
 

@@ -71,3 +71,18 @@ def test_repeated_null_and_empty_rows(spark, messy):
     assert kept.where("doc_id = 1").count() == 1 and kept.where("doc_id is null").count() == 2
     assert P.decontamination(spark, messy, SF).count() == messy.count()
     assert P.toxicity(spark, messy.where(F.coalesce(F.col("text"), F.lit("")) == ""), SF).count() == 3
+
+
+def test_mixing_fits_topics_on_all_documents(spark, small, monkeypatch):
+    fitted = []
+    monkeypatch.setattr(P, "fit_topics", lambda counted, fit=P.fit_topics: fitted.append((counted, fit(counted))) or fitted[-1][1])
+    docs = spark.read.parquet(f"{small}/documents.parquet").select("doc_id", "source", "lang", F.concat("text", F.lit(" number"), "doc_id").alias("text"))
+    docs = docs.crossJoin(spark.range(8)).select("doc_id", "source", "lang", F.concat("text", F.lit(" copynumber"), "id").alias("text"))
+    P.mixing(spark, docs, small).count()
+    counted, topics = fitted[0]
+    assert counted.count() == 2400 and "_text_row" in counted.columns
+    from adlens.llm.mixing import TOPIC_BUCKETS, zlib
+    import numpy as np
+    for i in (0, 7):                                         # a word of an eighth of all 2400 texts, beyond 2000
+        seen = (2401 / np.exp(topics.weight[zlib.crc32(f"copynumber{i}".encode()) % TOPIC_BUCKETS]))
+        assert 300 <= round(seen) <= 2400 and abs(seen - round(seen)) < 1e-6
