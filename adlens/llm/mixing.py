@@ -65,15 +65,16 @@ RATE_STEPS = 60
 UPLIFT, MOST = 1.5, 2.5
 #: Topics, and the least letters of a word that tells them.
 TOPICS, TOPIC_LETTERS = 6, 6
-#: Buckets that words are hashed to, steps of the fit at most, texts tried as the start of each topic.
-TOPIC_BUCKETS, TOPIC_STEPS, TOPIC_TRIES = 4096, 15, 4
+#: Buckets that words are hashed to, steps of the fit at most, texts tried for the start of each topic, rounds of drawing them.
+TOPIC_BUCKETS, TOPIC_STEPS, TOPIC_TRIES, TOPIC_ROUNDS = 4096, 15, 4, 2
 #: Parts of 1 that the fit's sums are counted in, and entries of texts that a task holds at once.
 TOPIC_UNIT, TOPIC_ENTRIES = 1 << 24, 500_000
 MARGINS = ("_source", "_lang", "_topic")
 #: Columns that ``mixed`` adds.
 ADDED = [*MARGINS, "_tokens", "_draw", "_probability", "_kept"]
-#: Columns of ``with_counts`` that ``with_cells`` replaces by the topic: hash of the text, its buckets and their counts.
-COUNTED = ["_text_row", "_buckets", "_bucket_counts"]
+#: Columns of ``with_counts`` that ``with_cells`` replaces by the topic: hash of the text, its buckets (2 bytes each) and the
+#: square roots of their counts (4 bytes each).
+COUNTED = ["_text_row", "_buckets", "_bucket_roots"]
 
 
 def topic_of(words: list[bytes]) -> str:
@@ -114,16 +115,25 @@ class Vectors:
         return np.array([np.bincount(self.row, self.x * c[self.at], self.size) for c in centres])
 
 
-def _vectors(buckets: pa.ListArray, counts: pa.ListArray, weight: np.ndarray) -> Iterator[Vectors]:
-    offsets = buckets.offsets.to_numpy()
-    at_all, n_all = buckets.values.to_numpy(), counts.values.to_numpy()
-    shift, lo = int(counts.offsets[0].as_py()) - int(offsets[0]), 0
+def _flat(column: pa.Array, kind) -> tuple[np.ndarray, np.ndarray]:
+    """(first entry of each row and the end, all entries) of a column of packed numbers."""
+    column = column.cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[column.offset:column.offset + len(column) + 1]
+    packed = data[int(offsets[0]):int(offsets[-1])].to_pybytes() if data is not None else b""
+    return (offsets - offsets[0]) // np.dtype(kind).itemsize, np.frombuffer(packed, kind)
+
+
+def _vectors(buckets: pa.Array, roots: pa.Array, weight: np.ndarray) -> Iterator[Vectors]:
+    if not len(buckets):
+        return
+    (offsets, at_all), (_, roots_all), lo = _flat(buckets, np.uint16), _flat(roots, np.float32), 0
     while lo < len(buckets):
         hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + TOPIC_ENTRIES, "right")) - 1)
         start, stop = int(offsets[lo]), int(offsets[hi])
-        at = at_all[start:stop]
+        at = at_all[start:stop].astype(np.int64)
         row = np.repeat(np.arange(hi - lo), np.diff(offsets[lo:hi + 1]))
-        x = np.sqrt(n_all[start + shift:stop + shift]) * weight[at]
+        x = roots_all[start:stop] * weight[at]
         norm = np.sqrt(np.bincount(row, x * x, hi - lo))
         yield Vectors(lo, hi - lo, row, at, x / np.where(norm > 0, norm, 1.0)[row], norm > 0)
         lo = hi
@@ -136,8 +146,8 @@ class Topics:
     weight: np.ndarray           # of each bucket, by how few texts have it
     centres: np.ndarray          # topics x buckets, of length 1
 
-    def column(self, buckets: str, counts: str) -> Column:
-        """The topic of each text from its buckets and their counts."""
+    def column(self, buckets: str, roots: str) -> Column:
+        """The topic of each text from its buckets and the roots of their counts."""
         weight, centres = self.weight, self.centres
 
         @F.arrow_udf("string")
@@ -147,7 +157,7 @@ class Topics:
                 out += [f"topic_{k}" if there else "topic_none" for k, there in zip(v.likeness(centres).argmax(0), v.there)]
             return pa.array(out, pa.string())
 
-        return topic(F.col(buckets), F.col(counts))
+        return topic(F.col(buckets), F.col(roots))
 
 
 def _summed(rows: DataFrame, weight: np.ndarray, size: int, sums: Callable[[Vectors], np.ndarray]) -> np.ndarray:
@@ -155,55 +165,82 @@ def _summed(rows: DataFrame, weight: np.ndarray, size: int, sums: Callable[[Vect
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
         for batch in batches:
-            for v in _vectors(batch.column("_buckets"), batch.column("_bucket_counts"), weight):
+            for v in _vectors(batch.column("_buckets"), batch.column("_bucket_roots"), weight):
                 total += sums(v).astype(np.int64)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], names=["at", "n"])
 
-    parts = rows.select("_buckets", "_bucket_counts").mapInArrow(add, "at long, n long")
+    parts = rows.select("_buckets", "_bucket_roots").mapInArrow(add, "at long, n long")
     found = parts.groupBy("at").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(size, np.int64)
     out[found["at"].to_numpy()] = found["n"].to_numpy()
     return out
 
 
-def _tried(rows: DataFrame, weight: np.ndarray, centres: np.ndarray, step: int) -> np.ndarray:
-    """``TOPIC_TRIES`` texts drawn, by a hash, from all in proportion to how unlike every centre they are (k-means++)."""
+def _tried(rows: DataFrame, weight: np.ndarray, former: np.ndarray, step: int, number: int) -> np.ndarray:
+    """``number`` texts drawn, by a hash, from all in proportion to how unlike every former one they are."""
     def race(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: list = []
         for batch in batches:
-            buckets, counts = batch.column("_buckets"), batch.column("_bucket_counts")
+            buckets, roots = batch.column("_buckets"), batch.column("_bucket_roots")
             ids = batch.column("_text_row").to_numpy()
             draw = (batch.column("draw").to_numpy() + 0.5) / float(1 << 53)
-            for v in _vectors(buckets, counts, weight):
+            for v in _vectors(buckets, roots, weight):
                 here = slice(v.first, v.first + v.size)
-                unlike = np.where(v.there, 1.0 - v.likeness(centres).max(0) if len(centres) else 1.0, 0.0)
+                unlike = np.where(v.there, 1.0 - v.likeness(former).max(0) if len(former) else 1.0, 0.0)
                 key = np.full(v.size, np.inf)
                 np.divide(-np.log(draw[here]), unlike, out=key, where=unlike > 1e-9)
-                near = np.lexsort((ids[here], key))[:TOPIC_TRIES]
-                best += [(key[i], int(ids[v.first + i]), buckets[v.first + i].as_py(), counts[v.first + i].as_py())
+                near = np.lexsort((ids[here], key))[:number]
+                best += [(key[i], int(ids[v.first + i]), buckets[v.first + i].as_py(), roots[v.first + i].as_py())
                          for i in near if np.isfinite(key[i])]
-                best = sorted(best)[:TOPIC_TRIES]
+                best = sorted(best)[:number]
         yield pa.RecordBatch.from_arrays([pa.array([b[i] for b in best], t) for i, t in enumerate(
-            (pa.float64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32())))], names=["key", "row", "at", "n"])
+            (pa.float64(), pa.int64(), pa.binary(), pa.binary()))], names=["key", "row", "at", "roots"])
 
     drawn = rows.withColumn("draw", F.xxhash64("_text_row", F.lit(step)).bitwiseAND((1 << 53) - 1))
-    tried = drawn.mapInArrow(race, "key double, row long, at array<int>, n array<int>").orderBy("key", "row").limit(TOPIC_TRIES).collect()
+    tried = drawn.mapInArrow(race, "key double, row long, at binary, roots binary").orderBy("key", "row").limit(number).collect()
     out = np.zeros((len(tried), TOPIC_BUCKETS))
     for i, r in enumerate(tried):
-        out[i, r["at"]] = np.sqrt(r["n"]) * weight[r["at"]]
+        at = np.frombuffer(r["at"], np.uint16)
+        out[i, at] = np.frombuffer(r["roots"], np.float32) * weight[at]
     return out / np.linalg.norm(out, axis=1, keepdims=True)
 
 
+def _means(rows: DataFrame, weight: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The mean, of length 1, of the texts nearest to each centre (the centre where there are none), and how many they are."""
+    def total(v: Vectors) -> np.ndarray:
+        own = v.likeness(centres).argmax(0)
+        sums = np.bincount(own[v.row] * TOPIC_BUCKETS + v.at, np.rint(v.x * TOPIC_UNIT), centres.size)
+        return np.concatenate([sums, np.bincount(own[v.there], minlength=len(centres))])
+
+    found = _summed(rows, weight, centres.size + len(centres), total)
+    sums = found[:centres.size].reshape(centres.shape).astype(float)
+    sums = np.where(sums.any(1, keepdims=True), sums, centres)
+    return sums / np.linalg.norm(sums, axis=1, keepdims=True), found[centres.size:]
+
+
+def _starts(means: np.ndarray, texts: np.ndarray, topics: int) -> np.ndarray:
+    """Up to ``topics`` of the means of so many ``texts`` each, one after the other the one that leaves all nearest to a start."""
+    like, chosen = np.maximum(means @ means.T, 0.0), []
+    best = np.zeros(len(means))
+    while len(chosen) < min(topics, len(means)):
+        gain = np.array([-1.0 if i in chosen else float((texts * np.maximum(like[i], best)).sum()) for i in range(len(means))])
+        chosen.append(int(gain.argmax()))
+        best = np.maximum(best, like[chosen[-1]])
+    return means[chosen]
+
+
 def fit_topics(docs: DataFrame, text_col: str = "text", topics: int = TOPICS, sample: int | None = None) -> Topics:
     """Spherical k-means over all distinct texts of ``docs``, which may have the columns of ``with_counts``.
 
-    Words weigh by how few texts have them.  A topic starts at that of a few
-    texts, drawn from all in proportion to how unlike the former topics they
-    are, which leaves all texts nearest to their topics; then every text goes
-    to the nearest topic and topics become the mean of their texts, until
-    nothing changes or ``TOPIC_STEPS`` times.  The fit depends on the texts
-    alone.  A caller may ask for a ``sample`` of so many texts; no query does.
+    Words weigh by how few texts have them.  The starts are found as k-means||
+    does: a few texts for each topic are drawn from all, in rounds, in
+    proportion to how unlike those drawn before they are; every text is counted
+    with the nearest of them, and of the means those that stand for the most
+    texts are the starts.  Then every text goes to the nearest topic and topics become the
+    mean of their texts, until nothing changes or ``TOPIC_STEPS`` times.  The
+    fit depends on the texts alone.  A caller may ask for a ``sample`` of so
+    many texts; no query does.
     """
     counted = docs if _is_counted(docs) else _with_buckets(docs.select(text_col), text_col)
     rows = counted.where("_text_row IS NOT NULL").select(*COUNTED).dropDuplicates(["_text_row"])
@@ -211,28 +248,15 @@ def fit_topics(docs: DataFrame, text_col: str = "text", topics: int = TOPICS, sa
     even = np.ones(TOPIC_BUCKETS)
     seen = _summed(rows, even, TOPIC_BUCKETS, lambda v: np.bincount(v.at, minlength=TOPIC_BUCKETS))
     weight = np.where(seen > 0, np.log((rows.count() + 1) / np.maximum(seen, 1)), 0.0)
-    centres = np.zeros((0, TOPIC_BUCKETS))
-    for step in range(topics):
-        tried = _tried(rows, weight, centres, step)
-        if not len(tried):
-            break
-
-        def unlike(v: Vectors, tried=tried, centres=centres) -> np.ndarray:
-            former = v.likeness(centres).max(0) if len(centres) else np.zeros(v.size)
-            left = 1.0 - np.maximum(v.likeness(tried), former)
-            return np.rint(left * TOPIC_UNIT).sum(1)
-
-        centres = np.vstack([centres, tried[_summed(rows, weight, len(tried), unlike).argmin()]])
-    if not len(centres):
+    tried = np.zeros((0, TOPIC_BUCKETS))
+    for step in range(TOPIC_ROUNDS):
+        tried = np.vstack([tried, _tried(rows, weight, tried, step, -(-TOPIC_TRIES * topics // TOPIC_ROUNDS))])
+    if not len(tried):
         return Topics(weight, np.zeros((1, TOPIC_BUCKETS)))
+    means, texts = _means(rows, weight, tried)
+    centres = _starts(means, texts, topics)
     for _ in range(TOPIC_STEPS):
-        def total(v: Vectors, centres=centres) -> np.ndarray:
-            own = v.likeness(centres).argmax(0)
-            return np.bincount(own[v.row] * TOPIC_BUCKETS + v.at, np.rint(v.x * TOPIC_UNIT), centres.size)
-
-        sums = _summed(rows, weight, centres.size, total).reshape(centres.shape).astype(float)
-        sums = np.where(sums.any(1, keepdims=True), sums, centres)
-        former, centres = centres, sums / np.linalg.norm(sums, axis=1, keepdims=True)
+        former, (centres, _) = centres, _means(rows, weight, centres)
         if np.array_equal(former, centres):
             break
     return Topics(weight, centres)
@@ -245,11 +269,12 @@ def _with_buckets(docs: DataFrame, text_col: str) -> DataFrame:
             words = (words_of(t) for t in texts_as_bytes(batch, text_col))
             found = [(len(w), topic_counts(w, buckets)) for w in words]
             yield (batch.append_column("_tokens", pa.array([n for n, _ in found], pa.int64()))
-                   .append_column("_buckets", pa.array([list(c) for _, c in found], pa.list_(pa.int32())))
-                   .append_column("_bucket_counts", pa.array([list(c.values()) for _, c in found], pa.list_(pa.int32()))))
+                   .append_column("_buckets", pa.array([np.fromiter(c, np.uint16, len(c)).tobytes() for _, c in found], pa.binary()))
+                   .append_column("_bucket_roots", pa.array([np.sqrt(np.fromiter(c.values(), np.float32, len(c))).tobytes()
+                                                             for _, c in found], pa.binary())))
 
     schema = T.StructType([*docs.schema.fields, T.StructField("_tokens", T.LongType()),
-                           *[T.StructField(c, T.ArrayType(T.IntegerType())) for c in COUNTED[1:]]])
+                           *[T.StructField(c, T.BinaryType()) for c in COUNTED[1:]]])
     row = F.when(F.col(text_col).isNotNull(), F.xxhash64(F.lit("topics"), F.col(text_col)))
     return docs.mapInArrow(count, schema).withColumn("_text_row", row)
 

@@ -208,8 +208,8 @@ def test_a_task_holds_few_entries_at_once(spark, monkeypatch):
     docs = _two_topics(spark, 200)
     whole = M.fit_topics(docs, topics=3)
     import pyarrow as pa
-    at = pa.array([[1, 2], [], [3], [1, 3, 5], [4]], pa.list_(pa.int32()))[1:]
-    n = pa.array([[9], [], [2], [1, 4, 1], [3]], pa.list_(pa.int32()))[1:]
+    at = pa.array([np.array(x, np.uint16).tobytes() for x in ([1, 2], [], [3], [1, 3, 5], [4])], pa.binary())[1:]
+    n = pa.array([np.array(x, np.float32).tobytes() for x in ([9, 9], [], [2], [1, 2, 1], [3])], pa.binary())[1:]
     monkeypatch.setattr(M, "TOPIC_ENTRIES", 2)
     parts = list(M._vectors(at, n, np.ones(M.TOPIC_BUCKETS)))
     assert [(v.first, v.size, list(v.at)) for v in parts] == [(0, 2, [3]), (2, 1, [1, 3, 5]), (3, 1, [4])]
