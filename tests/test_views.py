@@ -144,3 +144,12 @@ def test_a_third_of_all_rows_failing(spark):
     assert dates["count"] == sum(i % 3 == 0 for i in kept)
     assert [(e["row"], e["value"]) for e in dates["examples"]] == [(kept.index(i), f"d{i}") for i in kept if i % 3 == 0][:5]
     assert [e["value"] for e in issues["non_numeric_values", "spend"]["examples"]] == ["s1", "s4", "s7", "s10", "s13"]
+
+
+def test_a_number_is_matched_once(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    put(raw, "a.csv", ["A,2024-01-01,1,1,1,1", "long,2024-01-01,2,1,1,1,extra", "inf,2024-01-01,-Inf,nan,1e1,0x1p3"])
+    found = readers.load_lenient(spark, raw, too_long="drop")
+    assert found._jdf.queryExecution().executedPlan().toString().count("RLIKE") == 4
+    got = [tuple(r) for r in found.select("spend", "impressions", "clicks", "revenue").orderBy("spend").collect()]
+    assert got == [(float("-inf"), None, 10.0, None), (1.0, 1.0, 1.0, 1.0)]
