@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import written
+from .common import in_small_batches, written
 
 #: One edit is allowed for so many characters of an item; its pieces are then about as long.
 CHARS_PER_EDIT = 16
@@ -208,7 +208,7 @@ def _with_hits(docs: DataFrame, block: list, text_col: str, hits: str) -> DataFr
 def find_items(docs: DataFrame, items: DataFrame, text_col: str = "text", hits: str = "benchmark_hits",
                block_chars: int = BLOCK_CHARS) -> DataFrame:
     """``docs`` with ``hits``: array of (item_id, edits) of the test items that each text contains."""
-    docs = docs.drop(hits)
+    docs = in_small_batches(docs).drop(hits)
     blocks = item_blocks(items, block_chars)
     first, second = next(blocks, []), next(blocks, None)
     if second is None:

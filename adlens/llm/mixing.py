@@ -53,7 +53,7 @@ from pyspark.sql import types as T
 
 from adlens.session import cut_lineage
 
-from .common import texts_as_bytes, words_of, written
+from .common import in_small_batches, texts_as_bytes, words_of, written
 
 #: Cells that are raked on the driver (and broadcast); more are raked by Spark.
 DRIVER_CELLS = 200_000
@@ -263,6 +263,8 @@ def fit_topics(docs: DataFrame, text_col: str = "text", topics: int = TOPICS, sa
 
 
 def _with_buckets(docs: DataFrame, text_col: str) -> DataFrame:
+    docs = in_small_batches(docs)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets: dict[bytes, int] = {}
         for batch in batches:

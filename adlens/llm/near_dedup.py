@@ -54,7 +54,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_BYTES, clear_of, texts_as_bytes, written
+from .common import LOWER_BYTES, clear_of, in_small_batches, texts_as_bytes, written
 from .components import connected_components
 from .sharding import numbered
 
@@ -464,8 +464,8 @@ def verified_links(texts: DataFrame, clusters: DataFrame, classes: DataFrame, th
 
 def near_duplicates(docs: DataFrame, threshold: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text_hash, n_shingles, component_id and kept of every row; ``threshold`` is per cent of Jaccard."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
-                       F.col(text_col).alias("text"))
+    rows = in_small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
+                                         F.col(text_col).alias("text"))
     sets = written(signed(rows))
     linkable = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     classes = sets.where(linkable).groupBy("digest").agg(

@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import written
+from .common import in_small_batches, written
 
 #: Common terms of abuse; a closing "$" asks for the word's end.
 TERMS = ("idiot", "moron$", "morons$", "scum$", "stupid", "pathetic$", "worthless$", "loser$", "losers$", "disgusting$",
@@ -436,7 +436,7 @@ def _count_contexts(terms: tuple[str, ...], ordinary: tuple[str, ...], passed: t
 
 def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> ToxicityModel:
     """Lexicon and weights from labelled ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic)."""
-    rows = training_rows(docs, labels, train_rows)
+    rows = training_rows(in_small_batches(docs), labels, train_rows)
     terms = tuple(dict.fromkeys([*TERMS, *learned_terms(rows)]))
     ordinary = ordinary_words(rows, terms)
     kinds = "toxic int, " + ", ".join(f"c{k} double" for k in range(COUNTS))
@@ -462,7 +462,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Tox
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text", score: str = "toxicity") -> DataFrame:
     """``docs`` with the score of each text; all other columns pass through."""
-    docs = docs.drop(score)
+    docs = in_small_batches(docs).drop(score)
     schema = T.StructType([*docs.schema.fields, T.StructField(score, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
