@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import in_small_batches, written
+from .common import giving_back, in_small_batches, written
 
 #: One edit is allowed for so many characters of an item; its pieces are then about as long.
 CHARS_PER_EDIT = 16
@@ -202,7 +202,7 @@ def _find_in(batches: Iterator[pa.RecordBatch], block: list, text_col: str, hits
 
 def _with_hits(docs: DataFrame, block: list, text_col: str, hits: str) -> DataFrame:
     schema = T.StructType([*docs.schema.fields, T.StructField(hits, _FOUND)])
-    return docs.mapInArrow(lambda batches: _find_in(batches, block, text_col, hits), schema)
+    return docs.mapInArrow(giving_back(lambda batches: _find_in(batches, block, text_col, hits)), schema)
 
 
 def find_items(docs: DataFrame, items: DataFrame, text_col: str = "text", hits: str = "benchmark_hits",

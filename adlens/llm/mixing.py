@@ -53,7 +53,7 @@ from pyspark.sql import types as T
 
 from adlens.session import cut_lineage
 
-from .common import in_small_batches, texts_as_bytes, words_of, written
+from .common import giving_back, in_small_batches, texts_as_bytes, words_of, written
 
 #: Cells that are raked on the driver (and broadcast); more are raked by Spark.
 DRIVER_CELLS = 200_000
@@ -68,7 +68,9 @@ TOPICS, TOPIC_LETTERS = 6, 6
 #: Buckets that words are hashed to, steps of the fit at most, texts tried for the start of each topic, rounds of drawing them.
 TOPIC_BUCKETS, TOPIC_STEPS, TOPIC_TRIES, TOPIC_ROUNDS = 4096, 15, 4, 2
 #: Parts of 1 that the fit's sums are counted in, and entries of texts that a task holds at once.
-TOPIC_UNIT, TOPIC_ENTRIES = 1 << 24, 500_000
+TOPIC_UNIT, TOPIC_ENTRIES = 1 << 24, 100_000
+#: Words whose buckets a task remembers.
+REMEMBERED = 60_000
 MARGINS = ("_source", "_lang", "_topic")
 #: Columns that ``mixed`` adds.
 ADDED = [*MARGINS, "_tokens", "_draw", "_probability", "_kept"]
@@ -92,7 +94,7 @@ def topic_counts(words: list[bytes], buckets: dict[bytes, int]) -> Counter:
     counts: Counter = Counter()
     for w, n in Counter(w for w in words if len(w) >= TOPIC_LETTERS).items():
         if (b := buckets.get(w)) is None:
-            if len(buckets) > 150_000:
+            if len(buckets) > REMEMBERED:
                 buckets.clear()
             b = buckets[w] = zlib.crc32(w) % TOPIC_BUCKETS
         counts[b] += n
@@ -162,6 +164,7 @@ class Topics:
 
 def _summed(rows: DataFrame, weight: np.ndarray, size: int, sums: Callable[[Vectors], np.ndarray]) -> np.ndarray:
     """The sum of ``sums`` (``size`` whole numbers) over all texts."""
+    @giving_back
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
         for batch in batches:
@@ -179,6 +182,7 @@ def _summed(rows: DataFrame, weight: np.ndarray, size: int, sums: Callable[[Vect
 
 def _tried(rows: DataFrame, weight: np.ndarray, former: np.ndarray, step: int, number: int) -> np.ndarray:
     """``number`` texts drawn, by a hash, from all in proportion to how unlike every former one they are."""
+    @giving_back
     def race(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: list = []
         for batch in batches:
@@ -265,6 +269,7 @@ def fit_topics(docs: DataFrame, text_col: str = "text", topics: int = TOPICS, sa
 def _with_buckets(docs: DataFrame, text_col: str) -> DataFrame:
     docs = in_small_batches(docs)
 
+    @giving_back
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets: dict[bytes, int] = {}
         for batch in batches:

@@ -54,7 +54,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER_BYTES, clear_of, in_small_batches, texts_as_bytes, written
+from .common import LOWER_BYTES, clear_of, giving_back, in_small_batches, texts_as_bytes, written
 from .components import connected_components
 from .sharding import numbered
 
@@ -215,7 +215,7 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def signed(docs: DataFrame) -> DataFrame:
     """Set size, digest of the words, signature (a byte per coordinate) and bands of every row of
     ``docs`` (doc_id, text_hash, text); signature and bands are null for empty sets."""
-    return docs.mapInArrow(_sign, "doc_id long, text_hash long, n_shingles long, digest binary, "
+    return docs.mapInArrow(giving_back(_sign), "doc_id long, text_hash long, n_shingles long, digest binary, "
                                   "signature binary, bands array<long>")
 
 
@@ -400,7 +400,7 @@ def _contracted(hot: DataFrame, meet, apart: int, block: int) -> tuple[DataFrame
                              F.lit(False).alias("lead"), "node", "size", "payload")
         rows = leads.unionByName(members).repartition("unit", "part")
         rows = rows.sortWithinPartitions("unit", "part", F.desc("lead")).drop("part")
-        seen = written(rows.mapInArrow(meet, "unit long, node long, size long, payload binary, pivot long, near boolean, stripe int"))
+        seen = written(rows.mapInArrow(giving_back(meet), "unit long, node long, size long, payload binary, pivot long, near boolean, stripe int"))
         links.append(seen.where("near AND node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")))
         units.append(_star_meets_rest(seen, apart, block))
         rest = seen.where("NOT near")
@@ -430,7 +430,7 @@ def coarse_links(classes: DataFrame) -> DataFrame:
         links, more = _contracted(hot, _meet_pivot(*_agreement()), APART, BLOCK_CLASSES)
         units = units.unionByName(more)
     units = units.repartition("unit", "pair").sortWithinPartitions("unit", "pair")
-    found = units.mapInArrow(_bucket_forest, "a long, b long")
+    found = units.mapInArrow(giving_back(_bucket_forest), "a long, b long")
     return found if links is None else found.union(links)
 
 
@@ -458,7 +458,7 @@ def verified_links(texts: DataFrame, clusters: DataFrame, classes: DataFrame, th
         links, more = _contracted(hot, _meet_pivot(*_jaccard_to(threshold)), 5, BLOCK_SHINGLES)
         units = units.unionByName(more)
     units = units.repartition("unit", "pair").sortWithinPartitions("unit", "pair")
-    found = units.mapInArrow(_verified_forest(threshold), "a long, b long")
+    found = units.mapInArrow(giving_back(_verified_forest(threshold)), "a long, b long")
     return found if links is None else found.union(links)
 
 

@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import in_small_batches, written
+from .common import giving_back, in_small_batches, written
 
 #: Common terms of abuse; a closing "$" asks for the word's end.
 TERMS = ("idiot", "moron$", "morons$", "scum$", "stupid", "pathetic$", "worthless$", "loser$", "losers$", "disgusting$",
@@ -465,6 +465,7 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text_col: str = "text"
     docs = in_small_batches(docs).drop(score)
     schema = T.StructType([*docs.schema.fields, T.StructField(score, T.DoubleType())])
 
+    @giving_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = Lexicon(model.terms, (*model.ordinary, *COMMON))
         for batch in batches:

@@ -1,3 +1,7 @@
+import subprocess
+import sys
+from pathlib import Path
+
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -58,3 +62,40 @@ def test_groups_across_batches_lose_no_link(unset):
     unset.conf.set(C._BATCH_SETTING, "500")
     assert {tuple(r) for r in near_duplicates(docs).collect()} == expected
     assert len({r[3] for r in expected}) == 5
+
+
+def test_python_is_given_at_most_two_mb_at_once(unset):
+    C.in_small_batches(unset.range(1))
+    rows, most = packed(unset.range(0, 4000, 1, 1).select("id", F.repeat(F.lit("word "), 1000).alias("text")))
+    assert rows == 4000 and most < 2 << 20
+
+
+def test_a_task_gives_its_memory_back(monkeypatch):
+    calls = []
+    monkeypatch.setattr(C, "give_back", lambda: calls.append(len(out)))
+    out = []
+    for x in C.giving_back(lambda batches: (2 * b for b in batches))(iter([1, 2, 3])):
+        out.append(x)
+    assert out == [2, 4, 6] and calls == [3]
+    assert list(C.giving_back(lambda batches: iter(batches))(iter([]))) == [] and len(calls) == 2
+
+
+def test_freed_memory_leaves_the_process():
+    code = r"""
+import re
+import pyarrow as pa
+from adlens.llm.common import giving_back
+held = lambda: int(re.search(r"VmRSS:\s+(\d+)", open("/proc/self/status").read())[1]) >> 10
+def task(batches):
+    some = [bytes(3000) for _ in range(40_000)]
+    kept.extend(some[-1:])
+    yield len(some)
+kept, before = [], held()
+list(task([]))
+after = held()
+kept.clear()
+list(giving_back(task)([]))
+print(before, after, held())
+"""
+    before, after, end = map(int, subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).parents[2], capture_output=True, text=True, check=True).stdout.split())
+    assert after > before + 100 and end < before + 40
