@@ -91,6 +91,11 @@ def form_of(word: bytes) -> int:
     return kind * (len(LENGTHS) + 1) + sum(len(word) > n for n in LENGTHS)
 
 
+#: -1 - form_of(word) by the word's last byte and its length, of which no more than LONGEST counts.
+LONGEST = LENGTHS[-1] + 1
+_FORM_CODES = [[0, *(-1 - form_of(b"x" * n + bytes([last])) for n in range(LONGEST))] for last in range(256)]
+
+
 def is_training(doc_id: Column, folds: int = 5, held_out: int = 1) -> Column:
     """Whether a document is learned from: the remainder of its id's checksum is not ``held_out``."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % folds != held_out
@@ -148,7 +153,8 @@ class _Codes(dict):
 
     def __missing__(self, word: bytes) -> int:
         self.rest.append(word)
-        return -1 - form_of(word)
+        size = len(word)
+        return _FORM_CODES[word[-1]][size if size < LONGEST else LONGEST]
 
 
 def _code(words: dict[bytes, int], at: int):
@@ -259,9 +265,11 @@ def _class_counts(batch: pa.RecordBatch, side: int, class_of: np.ndarray) -> np.
 def _matrix(class_of: np.ndarray):
     """The task that counts pairs of classes: a row for each first class, a column for each next one."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((ALL, ALL))
+        total = np.zeros(ALL * ALL)
         for batch in batches:
-            np.add.at(total, class_of[batch.column("code").to_numpy()], _class_counts(batch, 0, class_of))
+            row, other, n = _near(batch, 0)
+            total += np.bincount(class_of[batch.column("code").to_numpy()][row] * ALL + class_of[other], weights=n, minlength=ALL * ALL)
+        total = total.reshape(ALL, ALL)
         first = np.flatnonzero(total.any(axis=1))
         yield pa.RecordBatch.from_arrays([pa.array(first, pa.int32())] + [pa.array(c) for c in total[first].astype(np.int64).T],
                                          names=["first"] + [f"c{i}" for i in range(ALL)])
@@ -299,11 +307,15 @@ def move_gains(own: np.ndarray, right: np.ndarray, left: np.ndarray, itself: np.
     without[at, own, :] -= right
     without[at, :, own] -= left
     without[at, own, own] -= itself
+    logs = np.repeat(_xlogx(matrix)[None], m, axis=0)          # of ``without``, which differs in a row and a column
+    logs[at, own, :] = _xlogx(without[at, own, :])
+    logs[at, :, own] = _xlogx(without[at, :, own])
     rows, columns = without.sum(2) + left, without.sum(1) + right         # totals that hold wherever the word goes
     n_out, n_in = right.sum(1) + itself, left.sum(1) + itself
     first, diagonal = without[:, :CLASSES, :], np.arange(CLASSES)
     second = without[:, :, :CLASSES].transpose(0, 2, 1)
-    gain = (_xlogx(first + right[:, None, :]) - _xlogx(first)).sum(2) + (_xlogx(second + left[:, None, :]) - _xlogx(second)).sum(2)
+    gain = (_xlogx(first + right[:, None, :]) - logs[:, :CLASSES, :]).sum(2)
+    gain += (_xlogx(second + left[:, None, :]) - logs[:, :, :CLASSES].transpose(0, 2, 1)).sum(2)
     cell = without[:, diagonal, diagonal]
     r, l_ = right[:, :CLASSES], left[:, :CLASSES]
     gain += _xlogx(cell + r + l_ + itself[:, None]) - _xlogx(cell + r) - _xlogx(cell + l_) + _xlogx(cell)
@@ -311,17 +323,13 @@ def move_gains(own: np.ndarray, right: np.ndarray, left: np.ndarray, itself: np.
     return gain - (_xlogx(columns[:, :CLASSES] + n_in[:, None]) - _xlogx(columns[:, :CLASSES]))
 
 
-def _moves(class_of: np.ndarray, matrix: np.ndarray, n_words: int, part: int):
-    """The task that finds the best class of each word of a part: (code, best, gain) of the words that gain."""
+def _moves(class_of: np.ndarray, matrix: np.ndarray):
+    """The task that finds the best class of each word it is given: (code, best, gain) of the words that gain."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, len(batch), AT_ONCE):
                 rows = batch.slice(start, AT_ONCE)
                 code = rows.column("code").to_numpy()
-                rows = rows.filter(pa.array((code < n_words) & (code % PARTS == part)))
-                code = rows.column("code").to_numpy()
-                if not len(code):
-                    continue
                 right, left = (_class_counts(rows, side, class_of) for side in (0, 1))
                 row, near, n = _near(rows, 0)
                 itself = np.bincount(row[near == code[row]], weights=n[near == code[row]], minlength=len(code))
@@ -354,7 +362,8 @@ def exchange(near: DataFrame, n_words: int, rounds: int = ROUNDS) -> Classes:
     for _ in range(rounds):
         before = history[-1]
         for part in range(PARTS):
-            found = near.mapInArrow(_moves(class_of, matrix, n_words, part), "code int, best int, gain double").toArrow()   # at most SHARE rows
+            words = near.where((F.col("code") < n_words) & (F.col("code") % PARTS == part))
+            found = words.mapInArrow(_moves(class_of, matrix), "code int, best int, gain double").toArrow()   # at most SHARE rows
             code, best, gain = (found.column(c).to_numpy() for c in ("code", "best", "gain"))
             order = np.lexsort((code, -gain))
             while len(order):
@@ -446,7 +455,7 @@ def score_documents(docs: DataFrame, training: Column, rounds: int = ROUNDS) ->
 
     own = coded.select("row_no", "codes").mapInArrow(_score(model), "row_no long, base double, score double, frequent long")
     rest = coded.select("row_no", F.explode("others").alias("o")).select("row_no", "o.word", F.col("o.n").alias("k"))
-    rest = rest.join(counts, "word", "left").withColumn("form", form)
+    rest = rest.join(counts.hint("shuffle_hash"), "word", "left").withColumn("form", form)
     tokens = F.array(*[F.lit(float(x)) for x in model.form_tokens])
     unseen = F.array(*[F.lit(float(x)) for x in model.unseen])
     within = F.when(F.col("n").isNull(), F.log10(F.get(unseen, "form"))).otherwise(

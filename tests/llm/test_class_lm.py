@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -192,3 +193,43 @@ def test_no_training_rows_and_no_rows(spark):
     assert len(got) == len(rows)
     assert all((r["n_known"], r["train_tokens"], round(r["base_score"], 9)) == (0, 0, 0.0) and math.isfinite(r["score"]) for r in got)
     assert scored(spark, []).collect() == []
+
+
+def test_form_codes_equal_the_function(monkeypatch):
+    words = [b"x" * n + bytes([last]) for n in (0, 1, 2, 3, 5, 6, 8, 9, 10, 40) for last in (0, 33, 48, 57, 97, 122, 127, 128, 255)]
+    expected = [-1 - C.form_of(w) for w in words]
+    monkeypatch.setattr(C, "form_of", None)                    # a form is looked up, not worked out for each rare word
+    codes = C._Codes({})
+    assert [codes[w] for w in words] == expected and codes.rest == words
+
+
+def test_rare_words_join_their_counts_without_a_sort(spark, corpus):
+    plan = scored(spark, corpus, rounds=1)._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin [word" in plan and "SortMergeJoin [word" not in plan
+
+
+def test_a_step_of_the_exchange_sends_python_its_own_words_only(spark, corpus, monkeypatch):
+    """Codes that the moves of a step are given: frequent words of one part."""
+    def codes(class_of, matrix):
+        def task(batches):
+            for batch in batches:
+                got = batch.column("code").to_numpy()
+                assert len(set(got % 2)) <= 1 and got.max(initial=0) < 5
+                yield pa.RecordBatch.from_pydict({"code": pa.array([], pa.int32()), "best": pa.array([], pa.int32()), "gain": pa.array([], pa.float64())})
+        return task
+
+    monkeypatch.setattr(C, "_moves", codes)
+    pairs = spark.createDataFrame([(a, b, 1 + a + b) for a in range(9) for b in range(9)], "a int, b int, n long")
+    found = C.exchange(C.written(C._neighbours(pairs)), 5)
+    assert len(found.history) == 1 and found.matrix.sum() == sum(1 + a + b for a in range(9) for b in range(9))
+
+
+def test_class_matrix_counts_every_pair(spark):
+    pick = np.random.default_rng(8)
+    rows = [(int(a), int(b), int(pick.integers(1, 1 << 40))) for a, b in sorted({tuple(x) for x in pick.integers(0, 30, size=(200, 2)).tolist()})]
+    near = C.written(C._neighbours(spark.createDataFrame(rows, "a int, b int, n long").repartition(3)))
+    class_of = pick.integers(0, C.ALL, size=30)
+    want = np.zeros((C.ALL, C.ALL))
+    for a, b, n in rows:
+        want[class_of[a], class_of[b]] += n
+    assert np.array_equal(C.class_matrix(near, class_of), want)
